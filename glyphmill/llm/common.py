@@ -97,7 +97,7 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     pw = _POW if longest <= len(_POW) else powers(_BASE, longest)
     first, last = int(starts[0]), int(ends[-1])
     begin = np.zeros(last - first, np.int64)
-    begin[starts - first] = np.diff(starts, prefix=first)
+    begin[starts - first] = np.diff(starts, prepend=first)
     at = np.arange(last - first) - np.cumsum(begin)
     # Blanks after a word are counted with it but add nothing.
     value = np.where(_SPACE[data[first:last]], np.uint64(0), data[first:last].astype(np.uint64) + np.uint64(1))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from glyphmill.llm import langid
+from glyphmill.llm import langid, minhash, packing, secrets
 
-QUERIES = {**langid.QUERIES}
-ORACLE: dict[str, str] = {**langid.ORACLE}
+_MODULES = (secrets, minhash, packing, langid)
+QUERIES = {name: query for m in _MODULES for name, query in m.QUERIES.items()}
+ORACLE: dict[str, str] = {name: sql for m in _MODULES for name, sql in m.ORACLE.items()}
