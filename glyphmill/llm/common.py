@@ -5,8 +5,10 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -104,3 +106,42 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     if len(pw) <= int(at.max(initial=0)):
         at = np.where(value == 0, 0, at)
     return mix(np.add.reduceat(value * pw[at], starts - first) + size.astype(np.uint64))
+
+
+def block_ends(data: np.ndarray, size: int = 1 << 20) -> list[int]:
+    """Where to cut UTF-8 bytes into blocks of about `size` bytes: at blanks only, so no word is cut."""
+    ends, at = [], 0
+    while len(data) - at > size:
+        end, step = at + size, 4096
+        while end < len(data):
+            blank = np.flatnonzero(_SPACE[data[end : end + step]])
+            if len(blank):
+                end += int(blank[0])
+                break
+            end, step = min(end + step, len(data)), step * 2
+        ends.append(end)
+        at = end
+    return [*ends, len(data)] if not ends or ends[-1] < len(data) else ends
+
+
+def hashed_words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and hashes of all words, made block by block: memory beside the result doesn't grow with data."""
+    found, at = [], 0
+    for end in block_ends(data):
+        starts, ends = word_spans(data[at:end])
+        found.append((starts + at, ends + at, word_hashes(data[at:end], starts, ends)))
+        at = end
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def parts(batches: Iterator[pd.DataFrame], text: str, most: int = 1 << 21) -> Iterator[pd.DataFrame]:
+    """The batches again in parts of about `most` characters, so that long texts don't add up in memory."""
+    for b in batches:
+        at, total = 0, 0
+        for i, t in enumerate(b[text]):
+            n = len(t) if isinstance(t, str) else 0
+            if total and total + n > most:
+                yield b.iloc[at:i].reset_index(drop=True)
+                at, total = i, 0
+            total += n
+        yield b.iloc[at:].reset_index(drop=True)

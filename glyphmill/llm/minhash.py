@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glyphmill.llm.common import cut, mix, powers, table, word_hashes, word_spans
+from glyphmill.llm.common import cut, hashed_words, mix, parts, powers, table
 from glyphmill.llm.graph import components
 
 WORDS, ROWS, BANDS, BITS = 5, 5, 40, 512
@@ -46,8 +46,7 @@ def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
     """Sorted distinct 64-bit hashes of the shingles of each text; the whole word sequence where it is shorter."""
     parts = [t.encode("utf-8", "replace").lower() if isinstance(t, str) else b"" for t in texts]
     data = np.frombuffer(b"\n".join(parts) + b"\n", np.uint8)
-    starts, ends = word_spans(data)
-    words = word_hashes(data, starts, ends)
+    starts, _, words = hashed_words(data)
     edge = np.searchsorted(starts, np.cumsum([0] + [len(p) + 1 for p in parts]))
     n = len(words) - WORDS + 1
     rolled = np.zeros(max(n, 0), np.uint64)
@@ -99,7 +98,7 @@ def signatures(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(key, node, n, bands, odd) for each row; node null for an empty set."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+        for b in parts(batches, text):
             sets = shingle_sets(b[text].tolist())
             full = [i for i, s in enumerate(sets) if len(s)]
             node, bands, odd = np.full(len(b), None, object), np.full(len(b), None, object), np.full(len(b), None, object)
@@ -117,7 +116,7 @@ def set_table(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(node, items) for each row with a set."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+        for b in parts(batches, text):
             sets = [s for s in shingle_sets(b[text].tolist()) if len(s)]
             yield pd.DataFrame({"node": [_node(s) for s in sets], "items": [s.view(np.int64) for s in sets]})
 

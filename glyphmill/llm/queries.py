@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from glyphmill.llm import langid, minhash, packing, secrets
+from glyphmill.llm import decontaminate, langid, minhash, packing, passages, permutation, secrets, suffix, toxicity, urlfilter
 
-_MODULES = (secrets, minhash, packing, langid)
+_MODULES = (toxicity, urlfilter, secrets, decontaminate, minhash, suffix, passages, packing, permutation, langid)
 QUERIES = {name: query for m in _MODULES for name, query in m.QUERIES.items()}
 ORACLE: dict[str, str] = {name: sql for m in _MODULES for name, sql in m.ORACLE.items()}
