@@ -1,7 +1,527 @@
-"""All queries of the record engine with their SQL counterparts."""
+"""All queries of the record engine over the given tables, with their SQL counterparts.
+
+Inputs that the tables don't have (redirects, dirt in texts, faulty rows) are built from them by the same SQL text in
+both engines; what is under test is done by the library here and by plain SQL there.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from glyphmill.functions import markup
+from glyphmill.functions import readings as R
+from glyphmill.functions import text as T
+from glyphmill.operators import aliases, classify, compare, emit, resources, stats, validate
+from glyphmill.plans import build
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 FLAGSHIP = "emit_terms"
+
+
+def _query(name: str, sql: str | None = None):
+    def add(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+        QUERIES[name] = f
+        if sql:
+            ORACLE[name] = sql
+        return f
+
+    return add
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _made(spark: SparkSession, sf_dir: str, sql: str, table: str) -> DataFrame:
+    """An input built from one table by SQL that both engines read alike."""
+    return spark.sql(sql.replace(f"FROM {table}", "FROM {source}"), source=_table(spark, sf_dir, table))
+
+
+# Records out of documents: chains, two-cycles, dangling and repeated headwords, navigation records.
+RECORDS = """SELECT doc_id AS ordinal,
+  CASE WHEN doc_id % 11 = 5 THEN 'x' || CAST(doc_id AS STRING) WHEN doc_id % 13 = 0 THEN 'd' || CAST(doc_id - 1 AS STRING) ELSE 'd' || CAST(doc_id AS STRING) END AS headword,
+  CASE WHEN doc_id % 77 = 16 THEN '@@@LINK=x1'
+    WHEN doc_id % 11 = 5 THEN '<ul><li>' || text || '</li></ul>'
+    WHEN doc_id % 35 IN (3, 10, 31) THEN '@@@LINK=d' || CAST(doc_id + 7 AS STRING) || ' '
+    WHEN doc_id % 35 = 17 THEN '@@@LINK=d' || CAST(doc_id - 7 AS STRING)
+    WHEN doc_id % 35 = 24 THEN '@@@LINK=d' || CAST(doc_id + 1 AS STRING)
+    ELSE text END AS raw
+FROM documents"""
+_SOURCES = f"""records AS ({RECORDS.replace("STRING", "VARCHAR")}),
+sources AS (
+  SELECT ordinal AS id, headword,
+    CASE WHEN raw LIKE '@@@LINK=%' THEN trim(substr(raw, 9)) END AS redirect,
+    CASE WHEN raw LIKE '@@@LINK=%' THEN CASE WHEN headword LIKE 'x%' AND trim(substr(raw, 9)) LIKE 'x%' THEN 'navigation_redirect' END
+      WHEN headword LIKE 'x%' AND contains(lower(raw), '<ul') AND NOT contains(lower(raw), '<hdcs') THEN 'navigation' END AS exclusion
+  FROM records)"""
+_ALIASES = f"""WITH RECURSIVE {_SOURCES},
+canonical AS (SELECT id, headword FROM sources WHERE redirect IS NULL AND exclusion IS NULL),
+redirects AS (SELECT id, headword, redirect FROM sources WHERE redirect IS NOT NULL AND exclusion IS NULL),
+open_redirects AS (SELECT DISTINCT headword, redirect FROM redirects WHERE headword NOT IN (SELECT headword FROM canonical)),
+walk(target, headword) AS (
+  SELECT DISTINCT redirect, redirect FROM redirects
+  UNION SELECT w.target, o.redirect FROM walk w JOIN open_redirects o ON w.headword = o.headword),
+pairs AS (SELECT DISTINCT target, c.id AS canonical_id FROM walk w JOIN canonical c ON w.headword = c.headword)"""
+
+
+def _sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify.classify(_made(spark, sf_dir, RECORDS, "documents"))
+
+
+@_query("classify_records", f"WITH {_SOURCES} SELECT CASE WHEN exclusion IS NOT NULL THEN 'excluded' WHEN redirect IS NOT NULL THEN 'redirect' ELSE 'canonical' END AS kind, coalesce(exclusion, '') AS exclusion, count(*) AS n FROM sources GROUP BY ALL")
+def classify_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _sources(spark, sf_dir)
+    return rows.groupBy("kind", F.coalesce("exclusion", F.lit("")).alias("exclusion")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@_query("resolve_aliases", f"{_ALIASES} SELECT r.id AS alias_id, r.headword AS alias, canonical_id, row_number() OVER (PARTITION BY r.id ORDER BY canonical_id) - 1 AS place FROM redirects r JOIN pairs p ON r.redirect = p.target")
+def resolve_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aliases.resolved_aliases(_sources(spark, sf_dir).drop("raw"))
+
+
+@_query("unresolved_aliases", f"{_ALIASES} SELECT id AS alias_id, headword AS alias, redirect AS target FROM redirects WHERE redirect NOT IN (SELECT target FROM pairs)")
+def unresolved_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aliases.unresolved_aliases(_sources(spark, sf_dir).drop("raw"))
+
+
+def _found(sources: DataFrame) -> DataFrame:
+    """Entries without markup: one a canonical row, with made-up alternates."""
+    rows = sources.where("kind = 'canonical'")
+    alternates = F.array(F.concat(F.lit("d"), F.col("id") + 1), F.concat(F.lit("v"), F.col("id") % 50))
+    none = F.expr("cast(array() as array<string>)")
+    return rows.select(F.col("id").alias("source_id"), F.lit(0).cast("long").alias("entry_index"), F.col("headword").alias("expression"), F.lit("a").alias("reading"), F.when(F.col("id") % 3 == 0, alternates).otherwise(none).alias("alternates"), F.lit('["g"]').alias("glossary"), F.lit("").alias("omitted_content_id"))
+
+
+_FOUND = """found AS (SELECT id AS source_id, headword AS expression FROM canonical),
+alternates AS (
+  SELECT source_id, 1 AS c, 'd' || (source_id + 1) AS alternate FROM found WHERE source_id % 3 = 0
+  UNION ALL SELECT source_id, 2, 'v' || (source_id % 50) FROM found WHERE source_id % 3 = 0),
+rows AS (
+  SELECT 0 AS phase, source_id AS a, 0 AS b, 0 AS c, expression, source_id AS sequence, '' AS term_tags FROM found
+  UNION ALL SELECT 0, source_id, 0, c, alternate, source_id, 'variant' FROM alternates WHERE alternate NOT IN (SELECT headword FROM sources)
+  UNION ALL SELECT 1, r.id, p.canonical_id, 0, r.headword, p.canonical_id, 'redirect' FROM redirects r JOIN pairs p ON r.redirect = p.target),
+firsts AS (SELECT *, row_number() OVER (PARTITION BY expression, sequence, term_tags ORDER BY phase, a, b, c) AS k FROM rows),
+numbered AS (SELECT *, row_number() OVER (ORDER BY phase, a, b, c) AS place FROM firsts WHERE k = 1)"""
+
+
+@_query("emit_terms", f"{_ALIASES}, {_FOUND} SELECT expression, sequence, term_tags, place, (place - 1) // 10000 + 1 AS bank_no FROM numbered")
+def emit_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sources = _sources(spark, sf_dir).drop("raw")
+    return emit.emit(_found(sources), sources).select("expression", "sequence", "term_tags", "place", "bank_no")
+
+
+@_query("emit_redirect_rows", f"{_ALIASES}, {_FOUND} SELECT a AS alias_id, expression, sequence FROM rows WHERE term_tags = 'redirect'")
+def emit_redirect_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sources = _sources(spark, sf_dir).drop("raw")
+    return emit.redirect_terms(_found(sources), sources).select(F.col("a").alias("alias_id"), "expression", "sequence")
+
+
+@_query("suppress_variants", "SELECT p_partkey, lower(p_name) AS alternate FROM part WHERE lower(p_name) NOT IN (SELECT lower(p_name) FROM part WHERE p_partkey % 5 = 0)")
+def suppress_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = _table(spark, sf_dir, "part").select("p_partkey", F.lower("p_name").alias("alternate"))
+    heads = part.where("p_partkey % 5 = 0").select(F.col("alternate").alias("headword"))
+    return emit.suppressed(part, heads).select("p_partkey", "alternate")
+
+
+@_query("dedupe_first", "SELECT sha256(text) AS signature, min(doc_id) AS doc_id FROM documents GROUP BY 1")
+def dedupe_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("signature"))
+    return emit.first_of_each(docs, "signature", ("doc_id",)).select("signature", "doc_id")
+
+
+@_query("duplicates_suppressed", "SELECT count(*) AS rows, count(DISTINCT sha256(text)) AS kept, count(*) - count(DISTINCT sha256(text)) AS suppressed FROM documents")
+def duplicates_suppressed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").groupBy(F.sha2("text", 256).alias("s")).agg(F.count(F.lit(1)).alias("n"))
+    return docs.agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("kept"), (F.sum("n") - F.count(F.lit(1))).alias("suppressed"))
+
+
+_LINES = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice")
+
+
+@_query("assign_banks", f"SELECT l_orderkey, l_partkey, l_linenumber, p AS place, (p - 1) // 10000 + 1 AS bank_no FROM (SELECT *, row_number() OVER (ORDER BY {', '.join(_LINES)}) AS p FROM lineitem)")
+def assign_banks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = emit.with_banks(_table(spark, sf_dir, "lineitem").select(*_LINES), _LINES)
+    return rows.select("l_orderkey", "l_partkey", "l_linenumber", "place", "bank_no")
+
+
+@_query("bank_totals", "WITH b AS (SELECT (row_number() OVER (ORDER BY event_id) - 1) // 10000 + 1 AS bank_no FROM events) SELECT bank_no, count(*) AS terms FROM b GROUP BY 1")
+def bank_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return emit.with_banks(_table(spark, sf_dir, "events").select("event_id"), ("event_id",)).groupBy("bank_no").agg(F.count(F.lit(1)).alias("terms"))
+
+
+@_query("bank_samples", "WITH b AS (SELECT DISTINCT (row_number() OVER (ORDER BY l_orderkey) - 1) // 1000 + 1 AS bank_no FROM lineitem), n AS (SELECT bank_no, row_number() OVER (ORDER BY bank_no) AS rn, count(*) OVER () AS n FROM b) SELECT bank_no FROM n WHERE rn IN (1, n // 2 + 1, n)")
+def bank_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.bank_samples(emit.with_banks(_table(spark, sf_dir, "lineitem").select("l_orderkey"), ("l_orderkey",), 1000))
+
+
+@_query("sample_per_group", "SELECT lang, source, doc_id, place FROM (SELECT *, row_number() OVER (PARTITION BY lang, source ORDER BY doc_id) AS place FROM documents) WHERE place <= 25")
+def sample_per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("lang", "source", "doc_id")
+    return stats.first_of_group(docs, ["lang", "source"], ["doc_id"]).select("lang", "source", "doc_id", "place")
+
+
+@_query("distinct_samples", "SELECT text, min(doc_id) AS first FROM documents GROUP BY text ORDER BY first, text LIMIT 100")
+def distinct_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.first_distinct(_table(spark, sf_dir, "documents"), "text", "doc_id")
+
+
+_DIRTY = "SELECT doc_id, '  ' || replace(replace(text, 'é', 'e' || chr(769)), 'ä', 'a' || chr(776)) || chr(12288) || chr(133) AS dirty FROM documents"
+
+
+@_query("normalize_text", f"SELECT doc_id, sha256(regexp_replace(nfc_normalize(dirty), '^[\\s\\x{{0085}}\\x{{3000}}]+|[\\s\\x{{0085}}\\x{{3000}}]+$', '', 'g')) AS digest FROM ({_DIRTY})")
+def normalize_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dirty = _table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("  "), F.replace(F.replace("text", F.lit("é"), F.lit("é")), F.lit("ä"), F.lit("ä")), F.lit("　\u0085\x00")).alias("dirty"))
+    return dirty.select("doc_id", F.sha2(T.normalize_text(F.col("dirty")), 256).alias("digest"))
+
+
+_READING = "regexp_extract(text, '^[^ ]+', 0)"
+
+
+@_query("normalize_reading", f"SELECT doc_id, nfc_normalize(replace(replace(replace(translate(translate({_READING}, 'gaek', 'ɡɑｅｋ'), 'ɡɑｅｋ', 'gaek'), chr(8195), ' '), 'é', 'e' || chr(769)), chr(0), '')) AS reading FROM documents")
+def normalize_reading(spark: SparkSession, sf_dir: str) -> DataFrame:
+    word = F.regexp_extract("text", "^[^ ]+", 0)
+    dirty = F.concat(F.lit(" "), F.replace(F.translate(word, "gaek", "ɡɑｅｋ"), F.lit("é"), F.lit("é")), F.lit(" "))
+    return _table(spark, sf_dir, "documents").select("doc_id", T.normalize_reading(dirty).alias("reading"))
+
+
+@_query("clean_reading_flag", "WITH w AS (SELECT doc_id, split_part(text, ' ', 1) || CASE WHEN doc_id % 3 = 0 THEN '1' WHEN doc_id % 3 = 1 THEN '' ELSE 'ｅ' END AS word FROM documents) SELECT doc_id, word, word = '' OR regexp_full_match(nfc_normalize(word), '[A-Za-z ,，､、’''\\-àáâäèéêëìíîïòóôöùúûüÀÁÂÄÈÉÊËÌÍÎÏÒÓÔÖÙÚÛÜǎěǐǒǔāēīōūñÑ]*') AND NOT regexp_matches(word, '[ñÑ]') AND regexp_matches(strip_accents(word), '[A-Za-z]') AND word = trim(word) AS clean FROM w")
+def clean_reading_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dirt = F.when(F.col("doc_id") % 3 == 0, "1").when(F.col("doc_id") % 3 == 1, "").otherwise("ｅ")
+    words = _table(spark, sf_dir, "documents").select("doc_id", F.concat(F.element_at(F.split("text", " "), 1), dirt).alias("word"))
+    return words.select("doc_id", "word", T.is_clean_reading(F.col("word")).alias("clean"))
+
+
+@_query("slash_alternatives", "SELECT doc_id, unnest(list_sort(list_distinct(string_split(lower(split_part(text, ' ', 1) || '/' || split_part(text, ' ', 2) || '/'), '/')))) AS part FROM documents")
+def slash_alternatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = F.split("text", " ", -1)
+    word = lambda i: F.coalesce(F.try_element_at(words, F.lit(i)), F.lit(""))
+    both = F.lower(F.concat(word(1), F.lit("/"), word(2), F.lit("/")))
+    return _table(spark, sf_dir, "documents").select("doc_id", F.explode(F.array_distinct(T.split_alternatives(both))).alias("part"))
+
+
+@_query("bracket_extract", "WITH w AS (SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN '［' || split_part(text, ' ', 1) || 'ㄒㄧㄡ］［b］' WHEN doc_id % 4 = 1 THEN '[' || split_part(text, ' ', 1) || ']' WHEN doc_id % 4 = 2 THEN '［a］b' ELSE split_part(text, ' ', 1) END AS v, split_part(text, ' ', 1) AS word FROM documents) SELECT doc_id, doc_id % 4 IN (0, 1) AND NOT regexp_matches(word, '[\\[\\]［］]') AS tiled, CASE WHEN doc_id % 4 IN (0, 1) AND NOT regexp_matches(word, '[\\[\\]［］]') THEN word ELSE '' END AS inside FROM w")
+def bracket_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    word, k = F.element_at(F.split("text", " "), 1), F.col("doc_id") % 4
+    value = F.when(k == 0, F.concat(F.lit("［"), word, F.lit("ㄒㄧㄡ］［b］"))).when(k == 1, F.concat(F.lit("["), word, F.lit("]"))).when(k == 2, "［a］b").otherwise(word)
+    rows = _table(spark, sf_dir, "documents").select("doc_id", value.alias("v"))
+    return rows.select("doc_id", T.bracket_tiles(F.col("v")).alias("tiled"), F.when(T.bracket_tiles(F.col("v")), T.before_bopomofo(T.first_bracket(F.col("v")))).otherwise("").alias("inside"))
+
+
+@_query("literal_count_replace", "SELECT doc_id, CAST((length(text) - length(replace(text, 'en', ''))) / 2 AS BIGINT) AS n, sha256(CASE WHEN strpos(text, 'en') > 0 THEN substr(text, 1, strpos(text, 'en') - 1) || 'EN!' || substr(text, strpos(text, 'en') + 2) ELSE text END) AS digest FROM documents")
+def literal_count_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.col("text")
+    return _table(spark, sf_dir, "documents").select("doc_id", T.count_literal(text, F.lit("en")).alias("n"), F.sha2(T.replace_first(text, F.lit("en"), F.lit("EN!")), 256).alias("digest"))
+
+
+@_query("apply_corrections", "SELECT doc_id AS id, CAST(CASE WHEN doc_id % 10 = 0 AND first THEN 1 ELSE 0 END AS BIGINT) AS corrections, sha256(CASE WHEN doc_id % 10 = 0 AND first THEN text || '!' ELSE text END) AS digest FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY doc_id) = 1 AS first FROM documents)")
+def apply_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.concat(F.lit("d"), "doc_id").alias("headword"), F.col("text").alias("raw"))
+    firsts = emit.first_of_each(docs, "raw", ("id",)).where("id % 10 = 0")
+    rules = firsts.select(F.sha2("raw", 256).alias("source_sha256"), "headword", F.col("raw").alias("before"), F.concat("raw", F.lit("!")).alias("after"), F.lit(0).alias("rule"))
+    return classify.correct(docs, rules).select("id", "corrections", F.sha2("raw", 256).alias("digest"))
+
+
+_HREFS = "SELECT page_id, unnest(regexp_extract_all(html, 'href=\"([^\"]*)\"', 1)) AS href FROM pages"
+
+
+def _hrefs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "pages").select("page_id", F.explode(F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1))).alias("href"))
+
+
+@_query("link_targets", f"SELECT page_id, '?query=' || replace(url_encode(substr(href, 2) || ' é~*'), '%2F', '/') AS target FROM ({_HREFS})")
+def link_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _hrefs(spark, sf_dir)
+    return rows.select("page_id", F.concat(F.lit("?query="), T.url_quote(F.concat(F.expr("substr(href, 2)"), F.lit(" é~*")))).alias("target"))
+
+
+@_query("resource_paths", "SELECT page_id, lower(trim(regexp_extract(url, '^[^:/?#]*://[^/?#]*([^?#]*)', 1), '/')) AS path, lower(regexp_extract(regexp_extract(url, '^[^:/?#]*://[^/?#]*([^?#]*)', 1), '[^./](\\.[^./]+)$', 1)) AS ext FROM pages")
+def resource_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "pages").select("page_id", T.resource_path(F.col("url")).alias("path"))
+    return rows.select("page_id", "path", T.suffix(F.col("path")).alias("ext"))
+
+
+@_query("extension_counts", "SELECT coalesce(nullif(lower(regexp_extract(regexp_extract(url, '^[^:/?#]*://[^/?#]*([^?#]*)', 1), '[^./](\\.[^./]+)$', 1)), ''), '<none>') AS ext, count(*) AS n FROM pages GROUP BY 1")
+def extension_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "pages").select(T.suffix(T.resource_path(F.col("url"))).alias("ext"))
+    return resources.extension_counts(rows)
+
+
+_PACKED = "SELECT DISTINCT 'media/' || substr(sha256(href), 1, 24) || CASE WHEN length(href) % 2 = 0 THEN '.png' ELSE '.jpg' END AS name, href FROM ({h})"
+
+
+@_query("content_names", _PACKED.format(h=_HREFS))
+def content_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ext = F.when(F.length("href") % 2 == 0, ".PNG").otherwise(".jpeg")
+    return _hrefs(spark, sf_dir).select("href").distinct().select(T.content_name(F.encode("href", "utf-8"), ext).alias("name"), "href")
+
+
+@_query("missing_resources", f"SELECT DISTINCT href AS name FROM ({_HREFS}) WHERE href NOT IN (SELECT href FROM ({_HREFS}) WHERE page_id % 3 = 0)")
+def missing_resources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _hrefs(spark, sf_dir).withColumnRenamed("href", "name")
+    return resources.missing(rows, rows.where("page_id % 3 = 0").distinct())
+
+
+@_query("unused_resources", f"SELECT DISTINCT 'media' || href AS name FROM ({_HREFS}) WHERE href NOT IN (SELECT href FROM ({_HREFS}) WHERE page_id % 3 = 0) ORDER BY name LIMIT 100")
+def unused_resources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _hrefs(spark, sf_dir).select("page_id", F.concat(F.lit("media"), "href").alias("name"))
+    return resources.unused(rows, rows.where("page_id % 3 = 0"))
+
+
+@_query("resource_catalog", "WITH f AS (SELECT page_id, 'p/' || (page_id % 40) || CASE WHEN page_id % 4 = 0 THEN '.png' WHEN page_id % 4 = 1 THEN '.JPEG' WHEN page_id % 4 = 2 THEN '.svg' ELSE '.txt' END AS name, html FROM pages), l AS (SELECT *, row_number() OVER (PARTITION BY lower(name) ORDER BY page_id DESC) AS k FROM f) SELECT lower(name) AS path, page_id AS scan_pos, CASE page_id % 4 WHEN 2 THEN 'unsupported' WHEN 3 THEN 'discarded' ELSE 'kept' END AS status, coalesce(CASE page_id % 4 WHEN 0 THEN 'media/' || substr(sha256(html), 1, 24) || '.png' WHEN 1 THEN 'media/' || substr(sha256(html), 1, 24) || '.jpg' END, '') AS output FROM l WHERE k = 1")
+def resource_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("page_id") % 4
+    ext = F.when(k == 0, ".png").when(k == 1, ".JPEG").when(k == 2, ".svg").otherwise(".txt")
+    files = _table(spark, sf_dir, "pages").select(F.concat(F.lit("p/"), F.col("page_id") % 40, ext).alias("name"), F.encode("html", "utf-8").alias("content"), F.col("page_id").alias("scan_pos"))
+    return resources.catalog(files).select("path", "scan_pos", "status", F.coalesce("output", F.lit("")).alias("output"))
+
+
+_STRIPPED = "regexp_replace(regexp_replace(html, '<!--.*?-->', '', 'gs'), '(<(script|style)[^>]*>).*?(</(script|style)>)', '\\1\\3', 'gs')"
+
+
+@_query("tag_histogram", f"WITH t AS (SELECT unnest(regexp_extract_all({_STRIPPED}, '<([a-zA-Z][a-zA-Z0-9]*)', 1)) AS tag FROM pages) SELECT lower(tag) AS tag, count(*) AS n FROM t GROUP BY 1")
+def tag_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    @F.pandas_udf("array<string>")
+    def tags(html):
+        return html.map(lambda x: [n.tag for n in markup.tree(x or "").elements() if n.tag])
+
+    return _table(spark, sf_dir, "pages").select(F.explode(tags("html")).alias("tag")).groupBy("tag").agg(F.count(F.lit(1)).alias("n"))
+
+
+@_query("unknown_tags")
+def unknown_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", F.col("url").alias("headword"), F.col("html").alias("raw"))
+    return stats.events(markup.parsed(pages), "unknown_tags").orderBy(F.desc("n"), "name")
+
+
+@_query("private_use_scan", "SELECT doc_id % 5 = 0 AS found, count(*) AS n FROM documents GROUP BY 1")
+def private_use_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dirty = F.when(F.col("doc_id") % 5 == 0, F.concat("text", F.lit("\U00100000"))).otherwise(F.col("text"))
+    return _table(spark, sf_dir, "documents").groupBy(T.has_private_use(dirty).alias("found")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@_query("usable_content", "SELECT conv_id, turn, regexp_matches(CASE WHEN turn % 3 = 0 THEN '… — 。' ELSE text END, '[\\p{L}\\p{N}\\p{S}]') AS usable FROM conversations")
+def usable_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.when(F.col("turn") % 3 == 0, "… — 。").otherwise(F.col("text"))
+    return _table(spark, sf_dir, "conversations").select("conv_id", "turn", T.is_usable(text).alias("usable"))
+
+
+@_query("codepoint_labels", "SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'U+100000' WHEN 1 THEN 'U+0007,U+E000' ELSE '' END AS labels FROM documents")
+def codepoint_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("doc_id") % 3
+    odd = F.when(k == 0, "a\U00100000").when(k == 1, "b\x07").otherwise("plain")
+    return _table(spark, sf_dir, "documents").select("doc_id", F.array_join(T.odd_codepoints(odd), ",").alias("labels"))
+
+
+@_query("corner_brackets", "SELECT conv_id, turn, sha256(text) AS digest FROM conversations")
+def corner_brackets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    quoted = F.concat(F.lit("「"), "text", F.lit("」"))
+    return _table(spark, sf_dir, "conversations").select("conv_id", "turn", F.sha2(T.strip_corner_brackets(quoted), 256).alias("digest"))
+
+
+@_query("executable_text", "SELECT page_id, regexp_matches(html, '(?i)<(?:script|iframe|object|embed|form|audio|video)\\b|\\bon\\w+\\s*=') AS found FROM pages")
+def executable_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "pages").select("page_id", T.looks_executable(F.col("html")).alias("found"))
+
+
+@_query("unsafe_paths", "SELECT page_id, page_id % 4 <> 3 AS unsafe FROM pages")
+def unsafe_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("page_id") % 4
+    name = F.when(k == 0, "/etc/x").when(k == 1, "a/../b").when(k == 2, "a\\b").otherwise("a/..b/c")
+    return _table(spark, sf_dir, "pages").select("page_id", T.is_unsafe_path(name).alias("unsafe"))
+
+
+@_query("json_walk", "SELECT e.event_id, j.fullkey AS path, j.type IN ('OBJECT', 'ARRAY') AS nested FROM events e, json_tree(CAST(e.props AS JSON)) j WHERE j.fullkey <> '$'")
+def json_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = _table(spark, sf_dir, "events").select("event_id", F.parse_json("props").alias("v"))
+    return _walked(events)
+
+
+def _walked(events: DataFrame) -> DataFrame:
+    """Level by level: each round explodes the values that still hold others, until none does."""
+    out, level = None, events.select("event_id", F.lit("$").alias("path"), "v")
+    depth = 0
+    while True:
+        step = level.lateralJoin(level.sparkSession.tvf.variant_explode_outer(F.col("v").outer()))
+        step = step.where("pos is not null").select("event_id", F.concat("path", F.coalesce(F.concat(F.lit("."), "key"), F.concat(F.lit("["), "pos", F.lit("]")))).alias("path"), F.col("value").alias("v"))
+        kind = F.schema_of_variant("v")
+        step = step.withColumn("nested", kind.startswith("OBJECT") | kind.startswith("ARRAY"))
+        flat = step.select("event_id", "path", "nested")
+        out = flat if out is None else out.union(flat)
+        level = step.where("nested").select("event_id", "path", "v")
+        depth += 1
+        if depth > 200 or level.isEmpty():
+            return out
+
+
+@_query("canonical_json_signature", "SELECT event_id, sha256('{\"a\":[1,\"é\"],\"t\":\"' || event_type || '\",\"z\":{\"b\":null,\"k\":' || user_id || '}}') AS signature FROM events")
+def canonical_json_signature(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.concat(F.lit('{ "z": {"k": '), "user_id", F.lit(', "b": null}, "t": "'), "event_type", F.lit('", "a": [1, "é"] }'))
+    return _table(spark, sf_dir, "events").select("event_id", F.sha2(T.canonical_json(text), 256).alias("signature"))
+
+
+_FAULTS = {
+    0: '["e","ā",null,"",0,[{"type":"structured-content","content":{"tag":"span","data":{"content":"record-entry"},"lang":"zh-Hans","content":["x"]}}],1,""]',
+    1: '["e","ā","",""]',
+    2: '["e",5,"","",0,[],1,""]',
+    3: '["e","ā1","","",0,[],1,""]',
+    4: '["e","","","",0,{},1,""]',
+    5: '["e","","","",0,["t"],1,""]',
+    6: '["e","","","",0,[{"type":"structured-content","content":{"tag":"div"}}],1,""]',
+    7: '["e","","","",0,[{"type":"structured-content","content":{"tag":"span","data":{"content":"record-entry"},"lang":"en"}}],1,""]',
+    8: '["e","","","",0,[{"type":"structured-content","content":{"tag":"span","data":{"content":"record-entry"},"lang":"zh-Hans","content":[{"tag":"a","href":"http://x","content":"<script>"},{"tag":"td","colSpan":0,"lang":"zh"}]}}],1,""]',
+}
+_RULES = {1: "not_eight_slots", 2: "reading_not_text", 3: "reading_not_clean", 4: "glossary_not_array", 5: "not_structured", 6: "no_entry_root", 7: "wrong_root_language"}
+_NODE_RULES = ("link_not_internal", "executable_text", "nested_language", "bad_span")
+
+
+def _faulty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    row = F.create_map(*(F.lit(x) for kv in _FAULTS.items() for x in kv))[(F.col("o_orderkey") % len(_FAULTS)).cast("int")]
+    return _table(spark, sf_dir, "orders").select(F.lit(1).cast("long").alias("bank"), F.col("o_orderkey").alias("place"), row.alias("row"))
+
+
+_CASES = " ".join(f"WHEN {k} THEN '{v}'" for k, v in _RULES.items())
+
+
+@_query("validate_rows", f"SELECT o_orderkey AS place, CASE o_orderkey % 9 {_CASES} END AS rule FROM orders WHERE o_orderkey % 9 BETWEEN 1 AND 7")
+def validate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return validate.row_errors(_faulty(spark, sf_dir)).select("place", "rule")
+
+
+@_query("validate_nodes", "SELECT rule, count(*) AS n FROM orders, (VALUES " + ", ".join(f"('{r}')" for r in _NODE_RULES) + ") r(rule) WHERE o_orderkey % 9 = 8 GROUP BY 1")
+def validate_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return validate.summary(validate.node_errors(validate.nodes(_faulty(spark, sf_dir))))
+
+
+@_query("validate_files", "SELECT 'media/' || page_id || '.exe' AS scope, 'unsupported_media' AS rule FROM pages WHERE page_id % 2 = 0 UNION ALL SELECT '../' || page_id, 'unsafe_path' FROM pages WHERE page_id % 2 = 1 UNION ALL SELECT 'index.json', 'missing_file' UNION ALL SELECT 'styles.css', 'missing_file'")
+def validate_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("media/"), "page_id", F.lit(".exe"))).otherwise(F.concat(F.lit("../"), "page_id"))
+    return validate.file_errors(_table(spark, sf_dir, "pages").select(name.alias("name"))).select("scope", "rule")
+
+
+@_query("validate_banks", "SELECT 'term_bank_' || l_linenumber || '.json' AS scope, CASE WHEN l_linenumber = 1 THEN 'bank_not_array' ELSE 'bank_too_large' END AS rule FROM lineitem GROUP BY l_linenumber HAVING l_linenumber = 1 OR count(*) > 100")
+def validate_banks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sizes = _table(spark, sf_dir, "lineitem").groupBy(F.col("l_linenumber").alias("bank")).agg(F.count(F.lit(1)).alias("n"))
+    return validate.bank_errors(sizes.withColumn("n", F.when(F.col("bank") != 1, F.col("n"))), 100).select("scope", "rule")
+
+
+@_query("validate_css", "SELECT page_id, CASE page_id % 3 WHEN 0 THEN '' WHEN 1 THEN 'remote_css,no_sans_serif' ELSE 'font_in_css,no_sans_serif' END AS rules FROM pages")
+def validate_css(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("page_id") % 3
+    css = F.when(k == 0, '[data-sc-content="record-entry"] { color: red; font-family: sans-serif; }').when(k == 1, "a { background: url('//x/y.png') }").otherwise("@font-face { src: x }")
+    return _table(spark, sf_dir, "pages").select("page_id", F.array_join(validate.css_errors(css), ",").alias("rules"))
+
+
+@_query("edition_parity", "SELECT doc_id AS sequence, CAST(1 AS INTEGER) AS missing, CAST(0 AS INTEGER) AS extra FROM documents WHERE doc_id % 50 = 0")
+def edition_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    full = docs.select(F.col("source").alias("expression"), F.col("lang").alias("reading"), F.lit("").alias("definition_tags"), F.lit("").alias("rules"), F.lit(0).alias("score"), F.col("doc_id").alias("sequence"), F.lit("").alias("term_tags"))
+    return compare.edition_parity(full, full.where("sequence % 50 <> 0")).select("sequence", F.col("missing").cast("int").alias("missing"), F.col("extra").cast("int").alias("extra"))
+
+
+@_query("expected_vs_actual", "SELECT o_orderkey AS sequence, r AS reading FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN o_orderpriority || 'x' ELSE o_orderpriority END AS r FROM orders UNION ALL SELECT o_orderkey, o_orderpriority || 'y' FROM orders WHERE o_orderkey % 10 = 0)")
+def expected_vs_actual(spark: SparkSession, sf_dir: str) -> DataFrame:
+    old = _table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("sequence"), F.col("o_orderpriority").alias("reading"))
+    changes = old.where("sequence % 10 = 0").distinct().withColumn("readings", F.array(F.concat("reading", F.lit("x")), F.concat("reading", F.lit("y"))))
+    return compare.expected_rows(old, changes).select("sequence", "reading")
+
+
+@_query("multiset_difference", "SELECT o_orderkey AS sequence, o_orderstatus AS reading, 1 AS missing, 0 AS extra FROM orders WHERE o_orderkey % 7 = 0 UNION ALL SELECT o_orderkey, o_orderstatus || '!', 0, 1 FROM orders WHERE o_orderkey % 7 = 0")
+def multiset_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("sequence"), F.col("o_orderstatus").alias("reading"))
+    changed = rows.withColumn("reading", F.when(F.col("sequence") % 7 == 0, F.concat("reading", F.lit("!"))).otherwise(F.col("reading")))
+    return compare.multiset_difference(rows, changed, ["sequence", "reading"]).select("sequence", "reading", F.col("missing").cast("int").alias("missing"), F.col("extra").cast("int").alias("extra"))
+
+
+@_query("conflicts", "SELECT l_orderkey, l_linenumber, count(DISTINCT l_suppkey) AS values FROM lineitem GROUP BY ALL HAVING count(DISTINCT l_suppkey) > 1")
+def conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare.conflicts(_table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], "l_suppkey")
+
+
+@_query("members_by_name", "SELECT 'n' || doc_id AS name, CASE WHEN doc_id % 6 = 0 THEN 'only_left' WHEN doc_id % 6 = 1 THEN 'different' ELSE 'equal' END AS state FROM documents UNION ALL SELECT 'm' || doc_id, 'only_right' FROM documents WHERE doc_id % 6 = 0")
+def members_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    left = docs.select(F.concat(F.lit("n"), "doc_id").alias("name"), F.col("text").alias("content"))
+    name = F.concat(F.when(F.col("doc_id") % 6 == 0, "m").otherwise("n"), "doc_id")
+    right = docs.select(name.alias("name"), F.when(F.col("doc_id") % 6 == 1, F.concat("text", F.lit("!"))).otherwise(F.col("text")).alias("content"))
+    return compare.by_name(left, right)
+
+
+@_query("inventory", "SELECT doc_id, CAST(strlen(text) AS BIGINT) AS size, sha256(text) AS sha256 FROM documents")
+def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = F.encode("text", "utf-8")
+    return _table(spark, sf_dir, "documents").select("doc_id", F.octet_length(raw).cast("long").alias("size"), F.sha2(raw, 256).alias("sha256"))
+
+
+# A pronunciation for each document, by turns clean, bracketed, with alternatives, look-alikes, or not resolvable.
+_PRON = """SELECT doc_id, CASE doc_id % 8 WHEN 0 THEN 'gā' WHEN 1 THEN 'gā/gà' WHEN 2 THEN '［xiū］［y］' WHEN 3 THEN '［xiū］y' WHEN 4 THEN 'yāo ?' WHEN 5 THEN 'ɡā/' WHEN 6 THEN '音1' ELSE ' ' END AS original FROM documents"""
+_REASONS = "0:;1:slash_alternatives;2:brackets_extracted;3:unrecognized_brackets,unresolved_missing_primary;4:unresolved_question_mark;5:slash_alternatives,letters_normalized,unresolved_missing_primary;6:unresolved_metadata;7:"
+_REASON_ROWS = ", ".join(f"({k.split(':')[0]}, '{r}')" for k in _REASONS.split(";") for r in k.split(":")[1].split(",") if r)
+
+
+def _readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _made(spark, sf_dir, _PRON, "documents")
+    return rows.withColumn("r", R.reading(F.col("original"), F.col("original"), F.lit(False)))
+
+
+@_query("reading_reason_counts", f"SELECT reason, count(*) AS n FROM documents JOIN (VALUES {_REASON_ROWS}) r(k, reason) ON doc_id % 8 = k GROUP BY 1")
+def reading_reason_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.count_each(_readings(spark, sf_dir), "r.reasons", "reason")
+
+
+@_query("extracted_readings", "SELECT doc_id, CASE doc_id % 8 WHEN 0 THEN 'gā' WHEN 1 THEN 'gā;gà' WHEN 2 THEN 'xiū' WHEN 5 THEN 'gā' ELSE '' END AS readings, doc_id % 8 BETWEEN 2 AND 6 AS retain_source FROM documents")
+def extracted_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _readings(spark, sf_dir).select("doc_id", F.array_join("r.readings", ";").alias("readings"), F.col("r.retain_source").alias("retain_source"))
+
+
+@_query("record_counters", f"WITH {_SOURCES} SELECT unnest(['input_records', 'excluded_records', 'redirect_records', 'canonical_records']) AS name, unnest([count(*), count(exclusion), count(*) FILTER (redirect IS NOT NULL AND exclusion IS NULL), count(*) FILTER (redirect IS NULL AND exclusion IS NULL)]) AS n FROM sources")
+def record_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind = F.col("kind")
+    return stats.counters(_sources(spark, sf_dir), input_records=F.lit(True), excluded_records=kind == "excluded", redirect_records=kind == "redirect", canonical_records=kind == "canonical")
+
+
+# Markup records out of conversations: headwords with forms, readings, senses, examples and images.
+MARKED = """SELECT conv_id * 100 + turn AS ordinal, 'h' || CAST(conv_id AS STRING) || 't' || CAST(turn AS STRING) AS headword,
+  CASE WHEN turn % 4 = 3 THEN '@@@LINK=h' || CAST(conv_id AS STRING) || 't0'
+    ELSE '<hdcs><hdc><hm><hw>' || role || CAST(conv_id AS STRING) || '</hw><simp>s' || CAST(conv_id AS STRING) || '</simp><pron>' || CASE WHEN turn % 2 = 0 THEN 'gā/gà' ELSE 'gā' END || '</pron></hm><item><mean>' || replace(replace(text, '<', ' '), '&', ' ') || '<examples><example>e</example></examples><script>x()</script></mean></item></hdc></hdcs>' END AS raw
+FROM conversations"""
+
+
+def _marked_terms(spark: SparkSession, sf_dir: str, edition: str) -> DataFrame:
+    return build.build(_made(spark, sf_dir, MARKED, "conversations"), edition_=edition).terms
+
+
+_MARKED_SQL = f"""WITH m AS ({MARKED.replace("STRING", "VARCHAR")}),
+c AS (SELECT *, conv_id * 100 + turn AS id FROM conversations WHERE turn % 4 <> 3),
+heads AS (SELECT headword FROM m),
+r AS (SELECT unnest(['gā', 'gà']) AS reading, unnest([0, 1]) AS k),
+e AS (SELECT id, conv_id, turn, role || conv_id AS expression, reading FROM c JOIN r ON k = 0 OR turn % 2 = 0),
+terms AS (
+  SELECT DISTINCT expression, reading, id AS sequence, '' AS term_tags FROM e
+  UNION ALL SELECT DISTINCT 's' || conv_id, reading, id, 'variant' FROM e WHERE 's' || conv_id NOT IN (SELECT headword FROM heads)
+  UNION ALL SELECT DISTINCT a.headword, e.reading, e.id, 'redirect' FROM m a JOIN m t ON a.raw = '@@@LINK=' || t.headword JOIN e ON e.id = t.ordinal)
+SELECT expression, reading, sequence, term_tags FROM terms"""
+
+
+@_query("build_full_terms", _MARKED_SQL)
+def build_full_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _marked_terms(spark, sf_dir, "full").select("expression", "reading", "sequence", "term_tags")
+
+
+@_query("build_light_terms", _MARKED_SQL)
+def build_light_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _marked_terms(spark, sf_dir, "light").select("expression", "reading", "sequence", "term_tags")
+
+
+@_query("build_statistics")
+def build_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return build.statistics(build.build(_made(spark, sf_dir, MARKED, "conversations"), edition_="light"))
+
+
+@_query("render_pages")
+def render_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select(F.col("page_id").alias("ordinal"), F.col("url").alias("headword"), F.col("html").alias("raw"))
+    return build.build(pages).terms.select("expression", "reading", "glossary", "sequence", "place", "bank_no")
