@@ -6,11 +6,13 @@
    RANK dimensions: Y = At (A R) for a random R, Q = orth(Y), then Z = At (A Q) and the eigenvectors of Qt Z.  Each
    product is one pass in which a task sums its own words-by-RANK matrix; the sums are added up in two steps, and what
    reaches the driver has as many rows as the items have words.
-4. Passages that overlap by half are compared with the items (in pieces of PASSAGE words) by cosine in that space;
-   pairs over COSINE are candidates.
-5. A candidate is confirmed by the longest common subsequence of the item's words and the words around the passage
-   (LCS of the item's length at least), and likewise for the item's answer, its last sentence (ANSWER at least).
-   Swapped, dropped or added words lower both only a little, so paraphrases are found with the verbatim copies.
+4. Windows of WINDOW words that overlap by half are compared with the items (in pieces of WINDOW words) by cosine in
+   that space; pairs over COSINE are candidates.  A window whose words weigh less than MASS of a piece can't hold
+   enough of it to be confirmed and isn't compared.
+5. A candidate is confirmed if the words around the window hold LCS of the item's weight, if the longest common
+   subsequence of both is LCS of the item's length at least, and likewise for the item's answer, its last sentence
+   (ANSWER at least).  Swapped, dropped or added words lower these only a little, so paraphrases are found with the
+   verbatim copies.
 
 Items are collected in blocks of ITEMS, each searched in its own passes, so memory doesn't depend on their number.
 """
@@ -28,9 +30,9 @@ from pyspark.sql import functions as F
 
 from glyphmill.llm.common import cut, parts, table
 
-ITEMS, PASSAGE, RANK, COMMON, COSINE, LCS, ANSWER = 5000, 64, 48, 0.2, 0.45, 0.6, 0.5
+ITEMS, PASSAGE, WINDOW, RANK, COMMON, COSINE, MASS, LCS, ANSWER = 5000, 64, 32, 128, 0.05, 0.25, 0.5, 0.6, 0.5
 WORD, SENTENCE = re.compile(r"[^\W_]+"), re.compile(r"[^.!?\n]+")
-HALF, ROWS = PASSAGE // 2, 512
+HALF, ROWS = WINDOW // 2, 512
 
 
 def words(text: str) -> list[str]:
@@ -156,21 +158,35 @@ def lcs(a: list[int], b: list[int]) -> int:
     return len(a) - v.bit_count()
 
 
+def _windows(ids: np.ndarray, block: np.ndarray, chosen: np.ndarray, both: np.ndarray, table_: np.ndarray) -> np.ndarray:
+    """Sums of table_ over the words of the chosen half windows, and of the half after it where both is set."""
+    out = []
+    for half, used in ((chosen, slice(None)), (chosen[both] + 1, both)):
+        a, b = np.searchsorted(block, half), np.searchsorted(block, half, "right")
+        at = np.repeat(a - np.append(0, np.cumsum(b - a)[:-1]), b - a) + np.arange((b - a).sum())
+        sums = np.zeros((len(chosen), table_.shape[1]), np.float32)
+        sums[used] = _summed(ids[at], np.repeat(np.arange(len(half)), b - a), len(half), table_)
+        out.append(sums)
+    return out[0] + out[1]
+
+
 def _search(found: DataFrame, key: str, items: list[tuple[int, list[int], list[int]]], weight: np.ndarray, space: np.ndarray) -> DataFrame:
     n_words = len(weight)
     pieces, owner = [], []
     for i, (_, ids, _) in enumerate(items):
         for at in range(0, max(1, len(ids) - HALF), HALF):
-            pieces.append(ids[at : at + PASSAGE])
+            pieces.append(ids[at : at + WINDOW])
             owner.append(i)
     weighted = (space * weight[:, None]).astype(np.float32)
     vectors = np.stack([weighted[p].sum(0) for p in pieces])
     vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
-    shared = found.sparkSession.sparkContext.broadcast((items, np.array(owner), vectors, weight, weighted))
+    mass = np.array([weight[p].sum() for p in pieces], np.float32)
+    bags = [np.unique(ids, return_counts=True) for _, ids, _ in items]
+    shared = found.sparkSession.sparkContext.broadcast((items, bags, np.array(owner), vectors, mass, weight, weighted))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        items, owner, vectors, w, weighted = shared.value
-        least = [np.bincount(ids, minlength=n_words) for _, ids, _ in items] if len(items) * n_words < 4_000_000 else None
+        items, bags, owner, vectors, mass, w, weighted = shared.value
+        full = [float((n * w[ids]).sum()) for ids, n in bags]
         for b in batches:
             hits: dict[tuple[int, int], tuple[float, float, float]] = {}
             for start in range(0, len(b), 500):
@@ -178,29 +194,29 @@ def _search(found: DataFrame, key: str, items: list[tuple[int, list[int], list[i
                 ids, block, row, nth = _blocks(some, n_words, w, HALF)
                 if not len(ids):
                     continue
-                halves = _summed(ids, block, len(nth), weighted)
-                halves[:-1][row[1:] == row[:-1]] += halves[1:][row[1:] == row[:-1]]
-                norm = np.linalg.norm(halves, axis=1)
-                live = np.flatnonzero(norm > 1e-6)
+                same = np.append(row[1:] == row[:-1], False)
+                held = np.bincount(block, w[ids], len(nth)).astype(np.float32)
+                held[same] += held[1:][same[:-1]]
+                live = np.flatnonzero(held >= MASS * mass.min())
                 for at in range(0, len(live), 4096):
                     chosen = live[at : at + 4096]
-                    cosine = (halves[chosen] / norm[chosen, None]) @ vectors.T
-                    for p, j in zip(*np.nonzero(cosine >= COSINE), strict=True):
-                        i, r = owner[j], row[chosen[p]]
-                        item, need, answer = items[i]
-                        x = _ids(some.iloc[r], n_words)
-                        reach = max(PASSAGE, len(need)) + 8
-                        around = x[max(0, nth[chosen[p]] * HALF - reach) : nth[chosen[p]] * HALF + PASSAGE + reach]
-                        around = around[around >= 0]
-                        if least is not None and np.minimum(np.bincount(around, minlength=n_words), least[i]).sum() < LCS * len(need):
+                    part = _windows(ids, block, chosen, same[chosen], weighted)
+                    cosine = (part / np.maximum(np.linalg.norm(part, axis=1, keepdims=True), 1e-9)) @ vectors.T
+                    for p, j in zip(*np.nonzero((cosine >= COSINE) & (held[chosen, None] >= MASS * mass)), strict=True):
+                        i, r, k = owner[j], row[chosen[p]], nth[chosen[p]] * HALF
+                        _, need, answer = items[i]
+                        x = _ids(some.iloc[r], n_words)[max(0, k - len(need)) : k + WINDOW + len(need)]
+                        x = x[x >= 0]
+                        words_, n = bags[i]
+                        if (np.minimum(np.bincount(x, minlength=n_words)[words_], n) * w[words_]).sum() < LCS * full[i]:
                             continue
-                        around = around.tolist()
+                        around = x.tolist()
                         share = lcs(need, around) / len(need)
                         if share >= LCS:
-                            part = lcs(answer, around) / len(answer)
+                            kept = lcs(answer, around) / len(answer)
                             old = hits.get((start + r, i))
-                            if part >= ANSWER and (old is None or (share, part) > old[:2]):
-                                hits[start + r, i] = (share, part, float(cosine[p, j]))
+                            if kept >= ANSWER and (old is None or (share, kept) > old[:2]):
+                                hits[start + r, i] = (share, kept, float(cosine[p, j]))
             at = sorted(hits)
             yield pd.DataFrame({key: b[key].iloc[[r for r, _ in at]].to_numpy(), "item_id": [items[i][0] for _, i in at], "lcs": [hits[k][0] for k in at], "answer_lcs": [hits[k][1] for k in at], "cosine": [hits[k][2] for k in at]})
 
