@@ -38,9 +38,10 @@ def _drop(spark: SparkSession, app: str, base: str) -> None:
         pass
 
 
-def cut(df: DataFrame, tag: str) -> DataFrame:
+def cut(df: DataFrame, tag: str, tidy: bool = False) -> DataFrame:
     """Write df as a table into the shared folder and read it back: its lineage ends, each row is computed once, and
-    the loss of an executor costs nothing.  The folder of the application is removed when Python ends."""
+    the loss of an executor costs nothing.  The folder of the application is removed when Python ends.  With tidy the
+    driver also collects its garbage, upon which Spark deletes the shuffle files that only the lineage needed."""
     spark = df.sparkSession
     base, app = scratch_dir(spark), spark.sparkContext.applicationId
     if app not in _made:
@@ -48,6 +49,8 @@ def cut(df: DataFrame, tag: str) -> DataFrame:
         atexit.register(_drop, spark, app, base)
     path = f"{base}/{app}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if tidy:
+        spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

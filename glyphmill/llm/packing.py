@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -105,6 +106,12 @@ class Encoder:
         self._learn({w for w in words if w not in self.words})
 
 
+@lru_cache(1)
+def encoder_of(path: str) -> Encoder:
+    """The worker's encoder; its words are kept from task to task."""
+    return Encoder(path)
+
+
 def blocks(text: str) -> Iterator[str]:
     """text in parts of about _BLOCK characters, cut at blanks only."""
     at = 0
@@ -122,7 +129,7 @@ def tokenized(docs: DataFrame, path: str, size: int, key: str = "doc_id", text:
     """One row for each piece: key, piece, start, length, ids_crc32."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(path)
+        encoder = encoder_of(path)
         mark = np.array([end_id], "<u4").tobytes()
         for b in batches:
             rows = []
