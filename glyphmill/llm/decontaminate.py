@@ -11,7 +11,7 @@
    enough of it to be confirmed and isn't compared.
 5. A candidate is confirmed if the words around the window hold LCS of the item's weight, if the longest common
    subsequence of both is LCS of the item's length at least, and likewise for the item's answer, its last sentence
-   (ANSWER at least).  Swapped, dropped or added words lower these only a little, so paraphrases are found with the
+   (ANSWER at least, of LEAST_ANSWER words or more).  Swapped, dropped or added words lower these only a little, so paraphrases are found with the
    verbatim copies.
 
 Items are collected in blocks of ITEMS, each searched in its own passes, so memory doesn't depend on their number.
@@ -32,7 +32,7 @@ from glyphmill.llm.common import cut, parts, table
 
 ITEMS, PASSAGE, WINDOW, RANK, COMMON, COSINE, MASS, LCS, ANSWER = 5000, 64, 32, 128, 0.05, 0.25, 0.5, 0.6, 0.5
 WORD, SENTENCE = re.compile(r"[^\W_]+"), re.compile(r"[^.!?\n]+")
-HALF, ROWS = WINDOW // 2, 512
+HALF, ROWS, LEAST_ANSWER = WINDOW // 2, 512, 6
 
 
 def words(text: str) -> list[str]:
@@ -250,6 +250,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
         items = []
         for i, t, x in listed:
             last = next((s for s in reversed([words(s) for s in SENTENCE.findall(t)]) if s), x)
+            last = x[-max(len(last), LEAST_ANSWER) :]
             items.append((i, [vocabulary[w] for w in x], [vocabulary[w] for w in last]))
         met = _search(found, key, items, weight, latent_space(found, weight))
         out = met if out is None else out.union(met)
