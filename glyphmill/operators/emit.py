@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 from glyphmill.functions import readings as R
 from glyphmill.functions import text as T
 from glyphmill.operators.aliases import resolved_aliases
+from glyphmill.plans.scratch import cut
 from glyphmill.sources.bundle import TERM_COLUMNS
 
 BANK_ROWS = 10_000
@@ -50,9 +51,9 @@ def entries(parsed: DataFrame, root: str = "record-entry") -> DataFrame:
     r = R.reading(F.col("e.primary"), F.col("e.original"), F.size("e.notes_json") > 0)
     default = F.struct(F.array(F.lit("")).alias("readings"), F.lit(False).alias("retain_source"), F.expr("cast(array() as array<string>)").alias("reasons"), F.expr("cast(array() as array<string>)").alias("unresolved"))
     rows = rows.withColumn("r", F.when(F.col("e.has_pron"), r).otherwise(default)).withColumn("glossary", glossary(F.col("e"), F.col("r"), root))
-    rows = rows.select("source_id", "block", "e.expression", "e.alternates", "e.omitted_content_id", "e.has_pron", "e.generic", "e.original", "glossary", F.col("r.reasons").alias("reasons"), F.col("r.readings").alias("readings"), F.posexplode("r.readings").alias("place", "reading"))
-    # Numbers run through a record: blocks times readings, which is small, so a struct orders as well.
-    return rows.withColumn("entry_index", F.col("block").cast("long") * 1000 + F.col("place"))
+    rows = rows.select("source_id", "block", "e.expression", "e.alternates", "e.omitted_content_id", "e.has_pron", "e.generic", "e.original", "glossary", F.col("r.reasons").alias("reasons"), F.col("r.readings").alias("readings"), F.posexplode("r.readings").alias("reading_no", "reading"))
+    # Order within a record: by block, then reading; a block has far fewer than a thousand readings.
+    return rows.withColumn("entry_index", F.col("block").cast("long") * 1000 + F.col("reading_no"))
 
 
 def _term(expression: Column, reading: Column, sequence: Column, tag: str) -> list[Column]:
@@ -120,6 +121,7 @@ def with_banks(rows: DataFrame, order: tuple[str, ...], size: int = BANK_ROWS) -
 def emit(found: DataFrame, sources: DataFrame) -> DataFrame:
     """All term rows, duplicates dropped, with place and bank_no."""
     rows = canonical_terms(found).unionByName(variant_terms(found, sources)).unionByName(redirect_terms(found, sources))
-    rows = first_of_each(rows.withColumn("signature", signature(F.col("glossary"))), "signature", ORDER)
+    # Numbering reads the rows several times, so they are made once.
+    rows = cut(first_of_each(rows.withColumn("signature", signature(F.col("glossary"))), "signature", ORDER), "terms")
     rows = with_banks(rows.withColumn("lead", F.col("phase") * F.lit(2.0**53) + F.col("a")), ("lead", *ORDER))
     return rows.select(*TERM_COLUMNS, "signature", "place", "bank_no")

@@ -91,8 +91,10 @@ def nodes(banks: DataFrame) -> DataFrame:
         for b in batches:
             out = []
             for bank, place, row in zip(b["bank"], b["place"], b["row"], strict=True):
-                roots = [i["content"] for g in [_json(row)] if isinstance(g, list) and len(g) == 8 and isinstance(g[5], list) for i in g[5] if isinstance(i, dict) and isinstance(i.get("content"), dict)]
-                for v in walk(_json(row)):
+                slots = _json(row)
+                items = slots[5] if isinstance(slots, list) and len(slots) == 8 and isinstance(slots[5], list) else []
+                roots = [i["content"] for i in items if isinstance(i, dict) and isinstance(i.get("content"), dict)]
+                for v in walk(slots):
                     where = (f"term_bank_{bank}.json", place)
                     if isinstance(v, str):
                         out.append((*where, None, None, None, None, False, True, None, v, False))

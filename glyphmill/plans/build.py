@@ -64,7 +64,7 @@ def statistics(run: Run) -> DataFrame:
         stats.counters(s, input_records=F.lit(True), excluded_records=kind == "excluded", redirect_records=kind == "redirect", canonical_records=kind == "canonical"),
         stats.events(run.parsed),
     ]
-    blocks = run.found.where("place = 0")
+    blocks = run.found.where("reading_no = 0")
     parts.append(stats.counters(blocks, source_pronunciation_blocks=F.col("has_pron"), missing_readings=~F.col("generic") & (F.size("readings") == 1) & (F.element_at("readings", 1) == "")))
     parts.append(stats.count_each(blocks.where("has_pron"), "reasons", "name"))
     parts.append(emit.variant_terms(run.found, s).agg(F.count(F.lit(1)).alias("n")).select(F.lit("generated_source_variants").alias("name"), "n"))
