@@ -133,15 +133,18 @@ def _contexts(pair: np.ndarray, n: np.ndarray, a: int, least: int) -> np.ndarray
 
 
 def sample_texts(docs: DataFrame, text: str, lang: str, key: str, per_lang: int, max_chars: int, max_langs: int) -> dict[str, list[bytes]]:
-    """At most per_lang texts of each language, picked by a hash of their key, none over max_chars characters."""
-    fit = docs.where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}") & (F.length(text) <= max_chars))
+    """At most per_lang texts of each language, picked by a hash of their key, none over max_chars characters; of more
+    than max_langs languages those with the most rows."""
+    counts = docs.where(F.col(lang).isNotNull()).groupBy(F.col(lang).alias("l")).agg(F.count(F.lit(1)).alias("n"))
+    langs = [r["l"] for r in counts.orderBy(F.desc("n"), "l").limit(max_langs).collect()]
+    fit = docs.where(F.col(lang).isin(langs) & F.col(text).rlike(r"\p{L}") & (F.length(text) <= max_chars))
     order = Window.partitionBy("lang").orderBy("h", "key")
     picked = (
         fit.select(F.col(lang).alias("lang"), F.col(key).alias("key"), F.xxhash64(F.col(key).cast("string")).alias("h"))
         .withColumn("rn", F.row_number().over(order))
         .where(F.col("rn") <= per_lang)
         .select("lang", "key")
-        .limit(per_lang * max_langs + 1)
+        .limit(per_lang * max_langs)
     )
     picked = picked.distinct().withColumnRenamed("lang", "_lang")
     rows = fit.select(F.col(lang).alias("lang"), F.col(key).alias("key"), F.col(text).alias("text"))
@@ -149,17 +152,16 @@ def sample_texts(docs: DataFrame, text: str, lang: str, key: str, per_lang: int,
     found: dict[str, list[tuple]] = {}
     for r in rows.collect():
         found.setdefault(r.lang, []).append((r.key, r.text.encode("utf-8", "replace")))
-    if len(found) > max_langs:
-        raise ValueError(f"more than {max_langs} languages")
     return {l: [t for _, t in sorted(x)][:per_lang] for l, x in found.items()}
 
 
 def identify(
-    docs: DataFrame, train_rows: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", per_lang: int = 250, max_chars: int = 50_000, max_langs: int = 32
+    docs: DataFrame, train_rows: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", per_lang: int = 250, max_chars: int = 50_000, max_langs: int = 64
 ) -> DataFrame:
     """docs with the columns lang_pred and score added (score: the predicted language's posterior under equal priors).
 
-    The trees are fitted on at most per_lang texts of each language from train_rows (bounded, documented); every row of
+    The trees are fitted on at most per_lang texts of each of the max_langs most frequent languages of train_rows, none
+    over max_chars characters (bounded by these parameters); every row of
     docs is scored over its whole text.  Null texts and texts without a letter get `und` and score 0, as does every
     text where train_rows gives nothing to learn.  Ties go to the language that sorts first.  Repeated rows are kept.
     Columns of docs named like the added ones are replaced; others pass through untouched.
