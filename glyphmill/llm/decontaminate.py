@@ -4,7 +4,7 @@
 2. Document frequencies of these words are counted over all documents; words in more than COMMON of them weigh 0.
 3. Documents are cut into passages of PASSAGE words.  A randomised SVD of their TF-IDF matrix A gives a latent space of
    RANK dimensions: Y = At (A R) for a random R, Q = orth(Y), then Z = At (A Q) and the eigenvectors of Qt Z.  Each
-   product is one pass in which a task sums its own words-by-RANK matrix; the sums are added up in two steps, and what
+   product is one pass in which a task sums its own words-by-RANK matrix; the sums are added up in a tree, and what
    reaches the driver has as many rows as the items have words.
 4. Windows of WINDOW words that overlap by half are compared with the items (in pieces of WINDOW words) by cosine in
    that space; pairs over COSINE are candidates.  A window whose words weigh less than MASS of a piece can't hold
@@ -117,16 +117,17 @@ def gram_product(found: DataFrame, weight: np.ndarray, right: np.ndarray) -> np.
                 passages = _summed(ids, block, len(nth), weighted)
                 order = np.argsort(ids, kind="stable")
                 total += _summed(block[order], ids[order], n_words, passages)
-        task = TaskContext.get().partitionId() % 64  # one of 64 first sums; the same when the task is run again
+        task = TaskContext.get().partitionId()  # the same when the task is run again
         for k in range(0, n_words, ROWS):
             yield pd.DataFrame({"salt": [task], "k": [k], "part": [total[k : k + ROWS].tobytes()]})
 
     def add(rows: pd.DataFrame) -> pd.DataFrame:
         total = sum(np.frombuffer(x) for x in rows["part"])
-        return pd.DataFrame({"k": [rows["k"].iloc[0]], "part": [total.tobytes()]})
+        return pd.DataFrame({"salt": [rows["salt"].iloc[0]], "k": [rows["k"].iloc[0]], "part": [total.tobytes()]})
 
     sums = found.select("words").mapInPandas(partial, "salt int, k int, part binary")
-    sums = sums.groupBy("salt", "k").applyInPandas(add, "k int, part binary").groupBy("k").applyInPandas(add, "k int, part binary")
+    for fan in (4096, 64, 1):  # a tree of sums, so that no task adds up very many parts
+        sums = sums.withColumn("salt", F.col("salt") % fan).groupBy("salt", "k").applyInPandas(add, "salt int, k int, part binary")
     out = np.zeros((n_words, rank))
     for r in sums.collect():
         out[r["k"] : r["k"] + ROWS] = np.frombuffer(r["part"]).reshape(-1, rank)
