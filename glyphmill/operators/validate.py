@@ -11,12 +11,13 @@ from collections.abc import Iterator
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glyphmill.functions import text as T
 from glyphmill.functions.markup import LIGHT_DROPPED, walk
-from glyphmill.operators.resources import KEPT, RASTERIZED
+from glyphmill.operators.resources import KEPT, RASTERIZED, missing, unused
+from glyphmill.sources.records import read_banks, read_members
 
 MODES = ("targeted", "exhaustive", "archive-only")
 MAX_ERRORS = 1000
@@ -188,6 +189,33 @@ def summary(errors: DataFrame) -> DataFrame:
     return errors.groupBy("rule").agg(F.count(F.lit(1)).alias("n"))
 
 
+def validate_bundle(spark: SparkSession, path: str, edition: str = "full", mode: str = "targeted", root: str = "record-entry", identity: dict | None = None) -> dict:
+    """A whole archive against all rules: counts, the first errors, warnings."""
+    members = read_members(spark, path)
+    banks = read_banks(spark, path)
+    shapes = sampled(banks, mode).select("bank").distinct()
+    found = nodes(banks)
+    rows = [row_errors(banks, root), node_errors(found, edition, schema=False)]
+    shaped = nodes(banks.join(F.broadcast(shapes), "bank", "left_semi"))
+    rows.append(shaped.where("shape_fault is not null").select("scope", "place", F.col("shape_fault").alias("rule")))
+    sizes = banks.groupBy("bank").agg(F.when(F.bool_or(F.col("row").isNull()), F.lit(None)).otherwise(F.count(F.lit(1))).alias("n"))
+    rows.append(bank_errors(sizes))
+    names = members.select("name")
+    rows.append(file_errors(names, edition))
+    shown = found.where("tag = 'img' and path is not null").select(F.col("path").alias("name"))
+    lost = missing(shown, names).select(F.col("name").alias("scope"), F.lit(-1).cast("long").alias("place"), F.lit("missing_resource").alias("rule"))
+    rows.append(lost)
+    errors = [f"{r['scope']}[{r['place']}]: {r['rule']}" if r["place"] >= 0 else f"{r['scope']}: {r['rule']}" for r in capped(reduce(DataFrame.union, rows)).collect()]
+    small = {r["name"]: bytes(r["content"]) for r in members.where(F.col("name").isin("index.json", "styles.css")).collect()}
+    errors += [f"index.json: {e}" for e in index_errors(_json(small.get("index.json", b"{}")) or {}, edition, identity)]
+    if "styles.css" in small:
+        css = spark.createDataFrame([(small["styles.css"].decode("utf-8", "replace"),)], "css string")
+        errors += [f"styles.css: {e}" for e in css.select(css_errors(F.col("css"), root).alias("e")).first()["e"]]
+    total = sizes.agg(F.count(F.lit(1)).alias("banks"), F.coalesce(F.sum("n"), F.lit(0)).alias("terms")).first()
+    warnings = [f"unused resource: {r['name']}" for r in unused(names, shown).collect()]
+    return {"edition": edition, "valid": not errors, "mode": mode, "term_banks": total["banks"], "terms": total["terms"], "errors": errors, "warnings": warnings}
+
+
 def report(result: dict) -> str:
     """A validation result as text."""
     lines = [f"valid: {str(result.get('valid', False)).lower()}"]

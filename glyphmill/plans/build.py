@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glyphmill.functions import markup
-from glyphmill.operators import classify, emit, stats
+from glyphmill.functions import text as T
+from glyphmill.operators import classify, emit, resources, stats
 from glyphmill.operators.aliases import unresolved_aliases
 from glyphmill.plans.scratch import cut
 from glyphmill.sources import bundle
@@ -39,9 +40,31 @@ class Run:
     parsed: DataFrame
     found: DataFrame
     terms: DataFrame
+    media: DataFrame | None = None
 
 
-def build(records: DataFrame, rules: DataFrame | None = None, edition_: str = "full", root: str = "record-entry") -> Run:
+_IMAGE = r'"tag":"img","path":"((?:[^"\\]|\\.)*)"'
+
+
+def image_references(found: DataFrame) -> DataFrame:
+    """(source_id, entry_index, src, path) of the images that glossaries show; path is the name to look up."""
+    src = F.explode(F.array_distinct(F.regexp_extract_all("glossary", F.lit(_IMAGE), F.lit(1))))
+    refs = found.select("source_id", "entry_index", src.alias("src"))
+    return refs.withColumn("path", T.resource_path(F.col("src")))
+
+
+def with_images(found: DataFrame, mapped: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """found with packaged names (mapped: path, output) for the sources of images, and the references with their output.
+    A source that isn't packaged fails the query."""
+    refs = resources.resolved(image_references(found), mapped)
+    packed = F.collect_list(F.struct(F.concat(F.lit('"path":"'), "src", F.lit('"')).alias("was"), F.concat(F.lit('"path":"'), "output", F.lit('"')).alias("now")))
+    each = refs.groupBy("source_id", "entry_index").agg(packed.alias("_images"))
+    met = found.join(each, ["source_id", "entry_index"], "left")
+    shown = F.aggregate("_images", F.col("glossary"), lambda text, x: F.replace(text, x["was"], x["now"]))
+    return met.withColumn("glossary", F.when(F.col("_images").isNotNull(), shown).otherwise(F.col("glossary"))).drop("_images"), refs
+
+
+def build(records: DataFrame, rules: DataFrame | None = None, edition_: str = "full", root: str = "record-entry", catalog: DataFrame | None = None) -> Run:
     """Term rows (with place and bank_no) of records (ordinal, headword, raw), and what they were made from.
 
     Markup is parsed once and written, since variants, redirects and statistics all read it.
@@ -52,9 +75,12 @@ def build(records: DataFrame, rules: DataFrame | None = None, edition_: str = "f
     if rules is not None:
         canonical = classify.correct(canonical, rules)
     parsed = cut(markup.parsed(canonical, edition_), "parsed")
-    found = emit.entries(parsed, root)
+    found, media = emit.entries(parsed, root), None
+    if catalog is not None and edition_ == "full":
+        found, refs = with_images(found, resources.resource_map(catalog))
+        media = resources.used_blobs(catalog, refs).select(F.col("output").alias("name"), "content")
     sources = sources.drop("raw")
-    return Run(sources, parsed, found, emit.emit(found, sources))
+    return Run(sources, parsed, found, emit.emit(found, sources), media)
 
 
 def statistics(run: Run) -> DataFrame:
@@ -77,6 +103,25 @@ def statistics(run: Run) -> DataFrame:
     return out.groupBy("name").agg(F.sum("n").alias("n")).where("n > 0")
 
 
-def write(run: Run, path: str, index: dict, css: str, media: DataFrame | None = None) -> str:
+def report(run: Run, edition_: str = "full") -> dict:
+    """What a run did: counters, exclusions, unknown tags by frequency, and the first samples of each reading reason."""
+    one = lambda df: {r[0]: r[1] for r in df.collect()}  # noqa: E731  a few names each
+    unknown = stats.events(run.parsed, "unknown_tags").orderBy(F.desc("n"), "name").limit(100)
+    blocks = run.found.where("reading_no = 0 and has_pron").select("expression", "original", "source_id", "block", F.explode(F.array_distinct("reasons")).alias("reason"))
+    samples: dict[str, list] = {}
+    for r in stats.first_of_group(blocks, ["reason"], ["source_id", "block"]).orderBy("reason", "place").collect():  # 25 a reason
+        samples.setdefault(r["reason"], []).append({"headword": r["expression"], "original": r["original"]})
+    missing = run.found.where("reading_no = 0 and not generic and reading = ''")
+    return {
+        "edition": edition_,
+        "counts": dict(sorted(one(statistics(run)).items())),
+        "exclusions": dict(sorted(one(stats.count_by(run.sources.where("exclusion is not null"), "exclusion")).items())),
+        "unknown_tags": one(unknown),
+        "reading_samples": samples,
+        "missing_reading_samples": [r["expression"] for r in stats.first_distinct(missing, "expression", "source_id").collect()],
+    }
+
+
+def write(run: Run, path: str, index: dict, css: str) -> str:
     """Write a run's bundle; SHA-256 of the file."""
-    return bundle.write_bundle(path, run.terms, index, css, media)
+    return bundle.write_bundle(path, run.terms, index, css, run.media)
