@@ -149,6 +149,7 @@ def sample_texts(docs: DataFrame, text: str, lang: str, key: str, per_lang: int,
     picked = picked.distinct().withColumnRenamed("lang", "_lang")
     rows = fit.select(F.col(lang).alias("lang"), F.col(key).alias("key"), F.col(text).alias("text"))
     rows = rows.join(F.broadcast(picked), (rows["key"] == picked["key"]) & (rows["lang"] == picked["_lang"])).select("lang", rows["key"], "text")
+    rows = rows.groupBy("lang", "key").agg(F.min("text").alias("text"))  # however often a key is repeated
     found: dict[str, list[tuple]] = {}
     for r in rows.collect():
         found.setdefault(r.lang, []).append((r.key, r.text.encode("utf-8", "replace")))

@@ -22,7 +22,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from glyphmill.llm.common import fold, table
 
@@ -114,11 +113,12 @@ class Scorer:
 def sample(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, per_label: int) -> tuple[list[str], list[int]]:
     """At most per_label labelled texts of each label; an id labelled both ways counts as toxic."""
     given = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.max(label).alias("_label"))
-    order = Window.partitionBy("_label").orderBy(F.xxhash64(F.col("_key").cast("string")), "_key")
-    picked = given.withColumn("_rn", F.row_number().over(order)).where(F.col("_rn") <= per_label).drop("_rn").limit(2 * per_label)
+    order = (F.xxhash64(F.col("_key").cast("string")), F.col("_key"))
+    some = [given.where(F.col("_label") == y).orderBy(*order).limit(per_label) for y in (0, 1)]
+    picked = some[0].union(some[1])
     texts = docs.where(F.col(text).isNotNull() & (F.length(text) <= MAX_CHARS)).select(F.col(key).alias("_id"), F.col(text).alias("_text"))
-    rows = texts.join(F.broadcast(picked), F.col("_id") == F.col("_key")).select("_id", "_text", "_label").collect()
-    rows = sorted({(r["_id"], r["_text"], r["_label"]) for r in rows})
+    rows = texts.join(F.broadcast(picked), F.col("_id") == F.col("_key")).groupBy("_id", "_label").agg(F.min("_text").alias("_text"))
+    rows = sorted((r["_id"], r["_text"], r["_label"]) for r in rows.collect())  # a row a label, however often an id is repeated
     return [r[1] for r in rows], [int(r[2]) for r in rows]
 
 
