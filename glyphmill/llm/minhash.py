@@ -12,8 +12,8 @@ the sorted set), and only classes are compared:
 
 A crowded band isn't expanded into all pairs.  Its members are first compared with its smallest member only.  After the
 components of these links are known, just those members of a band are compared that are still in different components,
-so a group of copies costs a multiple of its size.  Bands that still hold many components are compared sketch by sketch
-in blocks, and only pairs whose sketches agree leave the task.
+so a group of copies costs a multiple of its size.  Bands with more than FEW members are compared in blocks: sketches
+first, then the full sets of what the sketches leave, and only links that join something leave the task.
 """
 
 from __future__ import annotations
@@ -29,12 +29,12 @@ from pyspark.sql import functions as F
 from glyphmill.llm.common import cut, hashed_words, mix, parts, powers, table
 from glyphmill.llm.graph import components
 
-WORDS, ROWS, BANDS, BITS = 5, 5, 40, 512
+WORDS, ROWS, BANDS, BITS, PERCENT = 5, 5, 40, 512, 75
 SAMPLES = ROWS * BANDS
 #: Sketches that differ in more bits than this estimate a similarity under 0.55.
 MOST_BITS = int(BITS / 2 * (1 - np.exp((0.55 - 1) * 4 * SAMPLES / BITS)))
-#: Members of a band that are paired by a join; larger bands are compared in blocks of BLOCK.
-FEW, BLOCK = 24, 1500
+#: Members of a band that are paired by a join; more are compared in blocks of about BLOCK.
+FEW, BLOCK = 12, 1000
 
 _STEP = powers(0xD6E8FEB86659FD93, WORDS + 1)[1:]
 _MULT = mix(np.arange(1, SAMPLES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -127,29 +127,55 @@ def _alike(a: str, b: str) -> Column:
     """Sizes allow the threshold and the sketches agree."""
     apart = sum((F.bit_count(F.col(f"{a}.odd")[i].bitwiseXOR(F.col(f"{b}.odd")[i])) for i in range(1, BITS // 64)), F.bit_count(F.col(f"{a}.odd")[0].bitwiseXOR(F.col(f"{b}.odd")[0])))
     small, large = F.least(f"{a}.n", f"{b}.n"), F.greatest(f"{a}.n", f"{b}.n")
-    return (small * 100 >= large * 75) & (apart <= MOST_BITS)
+    return (small * 100 >= large * PERCENT) & (apart <= MOST_BITS)
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int = 75) -> DataFrame:
+def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs (u, v) whose full sets meet the threshold."""
     u, v = sets.select(F.col("node").alias("u"), F.col("items").alias("a")), sets.select(F.col("node").alias("v"), F.col("items").alias("b"))
     met = F.size(F.array_intersect("a", "b"))
     both = pairs.join(u, "u").join(v, "v").withColumn("met", met)
-    return both.where(F.col("met") * 100 >= (F.size("a") + F.size("b") - F.col("met")) * percent).select("u", "v")
-
-
-def _block_pairs(rows: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of one block pair of a crowded band that are alike and in different components."""
-    side = rows["side"].to_numpy()
-    odd, n, node, comp = np.stack(rows["odd"]).view(np.uint64), rows["n"].to_numpy(), rows["node"].to_numpy(), rows["comp"].to_numpy()
-    left, right = np.flatnonzero(side < 2), np.flatnonzero(side > 0)
-    found = []
-    for i in left:
-        ok = (comp[right] != comp[i]) & (np.minimum(n[right], n[i]) * 100 >= np.maximum(n[right], n[i]) * 75)
-        j = right[ok]
-        j = j[np.bitwise_count(odd[j] ^ odd[i]).sum(1) <= MOST_BITS]
-        found += [(min(node[i], node[k]), max(node[i], node[k])) for k in j]
-    return pd.DataFrame(found, columns=["u", "v"], dtype="int64").drop_duplicates()
+    return both.where(F.col("met") * 100 >= (F.size("a") + F.size("b") - F.col("met")) * PERCENT).select("u", "v")
+
+
+def _alike_sets(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two sorted sets meet the threshold."""
+    small, large = (a, b) if len(a) < len(b) else (b, a)
+    at = np.minimum(np.searchsorted(large, small), len(large) - 1)
+    met = int((large[at] == small).sum())
+    return met * 100 >= (len(a) + len(b) - met) * PERCENT
+
+
+def _block_links(rows: pd.DataFrame) -> pd.DataFrame:
+    """Links within one block pair of a crowded band, confirmed on the full sets: as many as it takes to join what
+    belongs together (a forest), so their number is below that of the members.  A pair that shares several bands is
+    looked at in the first of them only."""
+    side, n, node, comp = (rows[c].to_numpy() for c in ("side", "n", "node", "comp"))
+    odd, bands = np.stack(rows["odd"]).view(np.uint64), np.stack(rows["bands"])
+    sets = [np.asarray(x) for x in rows["items"]]
+    here = int(np.flatnonzero(bands[0] == rows["band"].iloc[0])[0])
+    up = {c: c for c in comp.tolist()}
+
+    def top(c: int) -> int:
+        while up[c] != c:
+            up[c] = up[up[c]]
+            c = up[c]
+        return c
+
+    right, found = np.flatnonzero(side > 0), []
+    for i in np.flatnonzero(side < 2):
+        j = right[(comp[right] != comp[i]) & (np.minimum(n[right], n[i]) * 100 >= np.maximum(n[right], n[i]) * PERCENT)]
+        apart = np.bitwise_count(odd[j] ^ odd[i]).sum(1)
+        near = apart <= MOST_BITS
+        j, apart = j[near], apart[near]
+        j = j[np.argsort(apart, kind="stable")]
+        j = j[(bands[j] == bands[i]).argmax(1) == here]
+        for k in j:
+            a, b = top(comp[i]), top(comp[k])
+            if a != b and _alike_sets(sets[i], sets[k]):
+                up[a] = b
+                found.append((min(node[i], node[k]), max(node[i], node[k])))
+    return pd.DataFrame(found, columns=["u", "v"], dtype="int64")
 
 
 def links(sigs: DataFrame, sets: DataFrame, members: DataFrame) -> DataFrame:
@@ -176,9 +202,10 @@ def links(sigs: DataFrame, sets: DataFrame, members: DataFrame) -> DataFrame:
     many = open_.where(F.col("size") > FEW).withColumn("k", n_blocks).withColumn("own", own)
     many = many.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
     side = F.when(F.col("own") == F.col("other"), 1).when(F.col("own") < F.col("other"), 0).otherwise(2)
-    many = many.select("band", "node", "comp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), side.alias("side")).join(facts, "node")
-    blocks = many.groupBy("band", "i", "j").applyInPandas(_block_pairs, "u long, v long").distinct()
-    more = cut(_confirmed(alike(cross).union(blocks).distinct(), sets), "links")
+    many = many.select("band", "node", "comp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), side.alias("side"))
+    many = many.join(sigs.select("node", "n", "odd", "bands"), "node").join(sets, "node")
+    blocks = many.groupBy("band", "i", "j").applyInPandas(_block_links, "u long, v long")
+    more = cut(_confirmed(alike(cross), sets).union(blocks).distinct(), "links")
     return components(edges.union(more)) if not more.isEmpty() else comps
 
 
