@@ -16,6 +16,8 @@ MAX_PATTERNS, not by the input.
 
 from __future__ import annotations
 
+import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -34,17 +36,19 @@ MAX_PATTERNS = 20_000
 #: Pieces in a rank bucket, about.
 BUCKET_ROWS = 100_000
 #: Distinct words whose ids a worker keeps.
-MAX_WORDS = 600_000
+MAX_WORDS = 1_500_000
 
-_WORD = regex.compile(r"(\p{L}+)([.,:;!?]?)")
 #: Characters that Python's split() takes for white space and the tokenizer doesn't.
-_ODD_SPACE = regex.compile("[\x1c-\x1f]")
-_BLOCK = 1 << 20
+_ODD_SPACE = re.compile("[\x1c-\x1f]")
+#: What the vocabulary takes for a word of its own, after lower-casing.
+_WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+_BLOCK, _TOGETHER = 1 << 20, 5000
 
 
 class Encoder:
     """Ids of whole texts as little-endian 32-bit bytes.  White space never joins two words in this vocabulary, so each
-    blank-separated word is encoded once and kept."""
+    blank-separated word is encoded once and kept.  New words are encoded together: every word of the vocabulary's own
+    kind ends in a token with an end mark, so their ids can be told apart again."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -54,56 +58,73 @@ class Encoder:
         self.ends = np.zeros(max(names.values()) + 1, bool)
         self.ends[[i for s, i in names.items() if s.endswith("</w>")]] = True
         self.words: dict[str, bytes] = {}
-        self.plain: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4")
+        return np.array(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
     def _learn(self, new: set[str]) -> None:
-        """Ids of new words: runs of letters are encoded together, the rest one by one."""
-        if len(self.words) + len(new) > MAX_WORDS:
-            self.words, self.plain = {}, {}
-        split = {}
+        known = self.words
+        if len(known) + 2 * len(new) > MAX_WORDS:
+            known.clear()
+        plain, other, split = set(), [], []
         for w in new:
-            if m := _WORD.fullmatch(w):
-                split[w] = (m[1].lower() if m[1].isascii() else m[1], m[2])
+            base = w[:-1] if w[-1] in ".," else w
+            if base.isalpha():  # a run of letters, perhaps with a mark after it: the two are encoded apart
+                base = base.lower() if base.isascii() else base
+                if base not in known:
+                    plain.add(base)
+                if base != w:
+                    split.append((w, base))
             else:
-                self.words[w] = self._ids(w).tobytes()
-        fresh = sorted({p for w in split.values() for p in w if p and p not in self.plain})
-        for at in range(0, len(fresh), 2000):
-            some = fresh[at : at + 2000]
+                other.append(w)
+        self._encode_words(sorted(plain), None)
+        for mark in ".,":
+            if mark not in known:
+                known[mark] = self._ids(mark).tobytes()
+        for w, base in split:
+            known[w] = known[base] + known[w[-1]] if w[-1] in ".," else known[base]
+        self._encode_words(other, [len(_WORD.findall(unicodedata.normalize("NFC", w).lower())) for w in other])
+
+    def _encode_words(self, words: list[str], counts: list[int] | None) -> None:
+        """Ids of words; counts: of how many words of the vocabulary's kind each consists, one if None."""
+        for at in range(0, len(words), _TOGETHER):
+            some = words[at : at + _TOGETHER]
             ids = self._ids(" ".join(some))
             stop = np.flatnonzero(self.ends[ids]) + 1
-            if len(stop) == len(some) and (not len(stop) or stop[-1] == len(ids)):
-                for w, a, b in zip(some, np.append(0, stop[:-1]), stop, strict=True):
-                    self.plain[w] = ids[a:b].tobytes()
+            last = np.arange(len(some)) if counts is None else np.cumsum(counts[at : at + _TOGETHER]) - 1
+            if len(stop) == last[-1] + 1 and stop[-1] == len(ids):
+                raw, stop = ids.tobytes(), 4 * stop[last]
+                start = np.append(0, stop[:-1])
+                self.words.update((w, raw[a:b]) for w, a, b in zip(some, start.tolist(), stop.tolist(), strict=True))
             else:
-                self.plain.update((w, self._ids(w).tobytes()) for w in some)
-        for w, (a, b) in split.items():
-            self.words[w] = self.plain[a] + (self.plain[b] if b else b"")
-
-    def encode(self, text: str) -> bytes:
-        if _ODD_SPACE.search(text):
-            return b"".join(self._ids(x).tobytes() for x in blocks(text))
-        out = []
-        for part in blocks(text):
-            words = part.split()
-            try:
-                out.append(b"".join([self.words[w] for w in words]))
-            except KeyError:
-                self._learn({w for w in words if w not in self.words})
-                if any(w not in self.words for w in words):  # the store was emptied on the way
-                    self._learn(set(words))
-                out.append(b"".join([self.words[w] for w in words]))
-        return b"".join(out)
-
-    def warm(self, texts: list[str]) -> None:
-        """Learn the words of a batch at once."""
-        words: set[str] = set()
+                self.words.update((w, self._ids(w).tobytes()) for w in some)
+
+    def encode(self, texts: list[str]) -> Iterator[bytes]:
+        """The ids of each text, in order."""
+        split, total = [], 0
         for t in texts:
-            if len(t) < _BLOCK and not _ODD_SPACE.search(t):
-                words.update(t.split())
-        self._learn({w for w in words if w not in self.words})
+            odd = _ODD_SPACE.search(t) is not None
+            if total and (odd or total + len(t) > _BLOCK):
+                yield from self._joined(split)
+                split, total = [], 0
+            if odd:
+                yield b"".join(self._ids(x).tobytes() for x in blocks(t))
+            elif len(t) > _BLOCK:
+                yield b"".join(b"".join(self._joined([x.split()])) for x in blocks(t))
+            else:
+                split.append(t.split())
+                total += len(t)
+        yield from self._joined(split)
+
+    def _joined(self, split: list[list[str]]) -> Iterator[bytes]:
+        new = set().union(*split).difference(self.words)
+        if new:
+            self._learn(new)
+            if len(self.words) < MAX_WORDS // 2:  # the store may have been emptied on the way
+                self._learn(set().union(*split).difference(self.words))
+        get = self.words.__getitem__
+        for words in split:
+            yield b"".join(map(get, words))
 
 
 @lru_cache(1)
@@ -133,10 +154,8 @@ def tokenized(docs: DataFrame, path: str, size: int, key: str = "doc_id", text:
         mark = np.array([end_id], "<u4").tobytes()
         for b in batches:
             rows = []
-            texts = [t if isinstance(t, str) else "" for t in b[text]]
-            encoder.warm(texts)
-            for k, t in zip(b[key], texts, strict=True):
-                ids = encoder.encode(t) + mark
+            for k, ids in zip(b[key], encoder.encode([t if isinstance(t, str) else "" for t in b[text]]), strict=True):
+                ids += mark
                 for i, at in enumerate(range(0, len(ids) // 4, size)):
                     part = ids[4 * at : 4 * (at + size)]
                     rows.append((k, i, at, len(part) // 4, zlib.crc32(part)))
