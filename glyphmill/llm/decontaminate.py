@@ -1,7 +1,8 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 1. Texts are read once and kept as word numbers in the vocabulary of the benchmark items (other words: -1).
-2. Document frequencies of these words are counted over all documents; words in more than COMMON of them weigh 0.
+2. Document frequencies of these words are counted over all documents; words in more than COMMON of them (and
+   over 50) weigh 0, but each item keeps its RAREST rarest.
 3. Documents are cut into passages of PASSAGE words.  A randomised SVD of their TF-IDF matrix A gives a latent space of
    RANK dimensions: Y = At (A R) for a random R, Q = orth(Y), then Z = At (A Q) and the eigenvectors of Qt Z.  Each
    product is one pass in which a task sums its own words-by-RANK matrix; the sums are added up in a tree, and what
@@ -32,7 +33,7 @@ from glyphmill.llm.common import cut, parts, table
 
 ITEMS, PASSAGE, WINDOW, RANK, COMMON, COSINE, MASS, LCS, ANSWER = 5000, 64, 32, 128, 0.05, 0.25, 0.5, 0.6, 0.5
 WORD, SENTENCE = re.compile(r"[^\W_]+"), re.compile(r"[^.!?\n]+")
-HALF, ROWS, LEAST_ANSWER = WINDOW // 2, 512, 6
+HALF, ROWS, LEAST_ANSWER, RAREST = WINDOW // 2, 512, 6, 6
 
 
 def words(text: str) -> list[str]:
@@ -245,9 +246,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
         found = cut(encoded(docs, vocabulary, key, text), "encoded")
         total = found.count() if total is None else total
         df = frequencies(found, len(vocabulary))
-        weight = np.where(df > COMMON * total, 0.0, np.log((total + 1) / (df + 1)) + 0.1)
-        if not weight.any():  # every word is common: a tiny or a uniform corpus
-            weight[:] = 1.0
+        weight = np.where(df > max(COMMON * total, 50), 0.0, np.log((total + 1) / (df + 1)) + 0.1)
+        for _, _, x in listed:  # an item keeps its rarest words even if it leaked into very many documents
+            rare = sorted({vocabulary[w] for w in x}, key=lambda n: (df[n], n))[:RAREST]
+            weight[rare] = np.log((total + 1) / (df[rare] + 1)) + 0.1
         items = []
         for i, t, x in listed:
             last = next((s for s in reversed([words(s) for s in SENTENCE.findall(t)]) if s), x)

@@ -90,6 +90,13 @@ def train(samples: dict[str, list[bytes]], min_count: int = 3) -> PPM:
     classes[seen] = np.arange(1, seen.sum() + 1)
     a = int(seen.sum()) + 1
     codes = {l: classes[x] for l, x in joined.items()}
+    # The bytes put before each text are contexts, but nobody has to predict them.
+    counted = {}
+    for l, x in joined.items():
+        mask = np.ones(len(x), bool)
+        starts = np.cumsum([0] + [ORDER + len(t) for t in samples[l]])[:-1]
+        mask[(starts[:, None] + np.arange(ORDER)).ravel()] = False
+        counted[l] = mask[ORDER:]
 
     level_rows, level_cost = None, None
     for order in range(ORDER + 1):
@@ -98,7 +105,7 @@ def train(samples: dict[str, list[bytes]], min_count: int = 3) -> PPM:
             ctx = np.zeros(len(c) - ORDER, np.int64)
             for k in range(ORDER - order, ORDER):
                 ctx = ctx * a + c[k : len(c) - ORDER + k]
-            pair, n = np.unique(ctx * a + c[ORDER:], return_counts=True)
+            pair, n = np.unique((ctx * a + c[ORDER:])[counted[l]], return_counts=True)
             grams[l] = (pair, n)
         held = np.unique(np.concatenate([_contexts(*g, a, 1 if order < 2 else min_count) for g in grams.values()]))
         if order == 0:
