@@ -42,7 +42,12 @@ MAX_WORDS = 1_500_000
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 #: What the vocabulary takes for a word of its own, after lower-casing.
 _WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
-_BLOCK, _TOGETHER = 1 << 20, 5000
+_BLOCK, _TOGETHER = 1 << 20, 1000
+#: Up to here letters have one lower-case letter each, but for those whose lower case is longer.
+LATIN_END = "\u0250"
+# How the vocabulary shows bytes: printable ones as themselves, the rest as U+0100 and up, in order.
+_PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_SHOWN = {b: 0x100 + n for n, b in enumerate(x for x in range(256) if x not in _PRINTABLE)}
 
 
 class Encoder:
@@ -58,6 +63,7 @@ class Encoder:
         self.ends = np.zeros(max(names.values()) + 1, bool)
         self.ends[[i for s, i in names.items() if s.endswith("</w>")]] = True
         self.words: dict[str, bytes] = {}
+        self.raw = [i.to_bytes(4, "little") for i in range(len(self.ends))]
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
@@ -66,17 +72,24 @@ class Encoder:
         known = self.words
         if len(known) + 2 * len(new) > MAX_WORDS:
             known.clear()
-        plain, other, split = set(), [], []
+        latin, plain, other, split = set(), set(), [], []
         for w in new:
             base = w[:-1] if w[-1] in ".," else w
             if base.isalpha():  # a run of letters, perhaps with a mark after it: the two are encoded apart
-                base = base.lower() if base.isascii() else base
-                if base not in known:
+                if max(base) < LATIN_END and unicodedata.is_normalized("NFC", base) and len(low := base.lower()) == len(base):
+                    base = low
+                    if low not in known:
+                        latin.add(low)
+                elif base not in known:
                     plain.add(base)
                 if base != w:
                     split.append((w, base))
             else:
                 other.append(w)
+        model, raw = self.tok.model, self.raw
+        for w in latin:  # nothing is left to normalize or to split: the merges are all there is to do
+            shown = w if w.isascii() else w.encode().decode("latin-1").translate(_SHOWN)
+            known[w] = b"".join([raw[t.id] for t in model.tokenize(shown)])
         self._encode_words(sorted(plain), None)
         for mark in ".,":
             if mark not in known:
