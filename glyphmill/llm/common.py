@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -51,7 +52,17 @@ def cut(df: DataFrame, tag: str, tidy: bool = False) -> DataFrame:
     df.write.parquet(path)
     if tidy:
         spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+        time.sleep(0.2)  # the cleaner works on its own thread
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the files of a table made by cut(), once nothing to come reads it."""
+    spark = df.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df._scratch_path)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def fold(doc_id: Column, n: int) -> Column:

@@ -29,10 +29,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glyphmill.llm.common import cut, mix, parts, table
+from glyphmill.llm.common import cut, discard, mix, parts, table
 from glyphmill.llm.winnow import Prefix, anchors
 
-WINDOW, Q, STEP, CROWD = 100, 24, 12, 8_000
+WINDOW, Q, STEP, CROWD = 100, 24, 25, 8_000
 #: q-grams in a window; bytes before an anchor that can share a window with it; bytes of a whole neighbourhood.
 W = WINDOW - Q + 1
 LEFT = W - 1
@@ -113,16 +113,27 @@ def neighbourhoods(docs: DataFrame) -> DataFrame:
     return docs.mapInPandas(run, "gram long, doc long, th long, pos long, left int, right int, near binary")
 
 
-def _bucket(*keys: np.ndarray) -> np.ndarray:
-    """Bucket numbers of equal keys, by sorting on them."""
-    order = np.lexsort(keys)
+def _bucket(code: np.ndarray) -> np.ndarray:
+    """Bucket numbers of equal codes, by sorting."""
+    order = np.argsort(code)
+    ordered = code[order]
     new = np.ones(len(order), bool)
-    new[1:] = np.any([k[order][1:] != k[order][:-1] for k in keys], axis=0)
+    new[1:] = ordered[1:] != ordered[:-1]
     out = np.empty(len(order), np.int64)
     out[order] = np.cumsum(new)
     return out
 
 
+def _first_codes(near: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """A hash of the STEP bytes from each position on, of the position and of the row's key."""
+    code, size = _VALUE[near], 1
+    while size < STEP:
+        more = min(size, STEP - size)  # two runs that may overlap are equal if and only if the longer run is
+        code[:, :-more] = code[:, :-more] * (_VALUE[size] | np.uint64(1)) + code[:, more:]
+        size += more
+    return mix(code + mix(key.view(np.uint64))[:, None] + _VALUE[: near.shape[1]])
+
+
 def refine(key: np.ndarray, near: np.ndarray, left: np.ndarray, right: np.ndarray, low: np.ndarray, high: np.ndarray, doc: np.ndarray, own: np.ndarray, rank: np.ndarray) -> np.ndarray:
     """For rows of neighbourhoods: a (row, window) flag for windows that a row of the same key has too and that is
     earlier: of a smaller doc, or of the same text (own) with a lower rank; rank goes by doc first, then own.
@@ -139,13 +150,9 @@ def refine(key: np.ndarray, near: np.ndarray, left: np.ndarray, right: np.ndarra
         ok = (col + length <= LEFT + right[row]) & (col >= LEFT - left[row])
         alive, row, col = alive[ok], row[ok], col[ok]
         if ids is None:
-            value, code = _VALUE[near], np.zeros((rows, n), np.uint64)
-            for k in range(STEP):
-                code[:, : n - STEP + 1] += value[:, k : n - STEP + 1 + k] * _VALUE[k]
-            code = mix(code + mix(key.view(np.uint64))[:, None] + _VALUE[:n]).ravel()[alive]
-            got = _bucket(code)
+            got = _bucket(_first_codes(near, key).ravel()[alive])
         else:
-            got = _bucket(ids[alive + (length - size)], ids[alive])
+            got = _bucket(ids[alive + (length - size)] << 32 | ids[alive])
         # Buckets of one are done; their neighbours can only be found in buckets that others share as well.
         count = np.bincount(got)
         shared = count[got] > 1
@@ -248,23 +255,37 @@ def identified(docs: DataFrame, key: str, text: str) -> DataFrame:
     return rows.withColumn("th", F.lit(0).cast("long") if unique else F.coalesce(F.xxhash64("text"), F.lit(0)))
 
 
+def shared_marks(marks: DataFrame, wanted: str) -> DataFrame:
+    """The marks (gram, near, doc, th, pos) whose q-gram fits `wanted`, by its smallest and largest document and count.
+    Each step is written before the next shuffle, so the files of only one are on disk at a time."""
+    sums = marks.groupBy("gram").agg(F.min("doc").alias("least"), F.max("doc").alias("most"), F.count(F.lit(1)).alias("n"))
+    shared = cut(sums.where(wanted).select("gram"), "grams", tidy=True)
+    return cut(marks.join(shared, "gram", "left_semi"), "shared", tidy=True)
+
+
+def judged(known: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of the marks of shared q-grams: those whose whole neighbourhood a smaller document has too, and the firsts of each
+    neighbourhood where the q-gram has several."""
+    first = cut(known.groupBy("gram", "near").agg(F.min("doc").alias("least")), "firsts", tidy=True)
+    several = first.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("gram")
+    met = cut(known.join(first, ["gram", "near"]), "judged", tidy=True)
+    # Rows of one id are the same document in the order: neither is earlier, so all of them count as firsts.
+    return met.where("doc > least").select("doc", "th", "pos"), met.where("doc = least").join(several, "gram", "left_semi").select("gram", "doc", "th", "pos")
+
+
 def repeated_spans(rows: DataFrame) -> DataFrame:
     """(doc, th, spans) of all repeats in rows (doc, th, text)."""
     rows = rows.select("doc", "th", "text")
-    marks = anchor_table(rows)
-    firsts = marks.where("not again")
-    classes = firsts.groupBy("gram", "near").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
-    kinds = classes.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
-    facts = classes.join(kinds, "gram", "left").where("least <> most or kinds is not null")
-    facts = cut(facts.select("gram", "near", "least", F.col("kinds").isNotNull().alias("mixed")), "classes")
-    # Rows of one id are the same document in the order: neither is earlier, so all of them count as firsts.
-    known = marks.join(facts, ["gram", "near"], "left").where("again or least is not null")
-    known = cut(known.select("doc", "th", "gram", "pos", "mixed", (F.col("again") | (F.col("doc") > F.col("least"))).alias("later")), "anchors")
+    marks = cut(anchor_table(rows), "anchors", tidy=True)
+    repeats = cut(marks.where("again").select("doc", "th", "pos"), "repeats")
+    shared = shared_marks(marks.where("not again").drop("again"), "n > 1")
+    discard(marks)
+    later, firsts = judged(shared)
     reach = [F.greatest(F.col("pos") - LEFT, F.lit(0)).alias("start"), (F.col("pos") + WINDOW).alias("end")]
-    whole = known.where("later").select("doc", "th", *reach)
-    wanted = known.where("mixed and not later").groupBy("doc", "th").agg(F.collect_list(F.struct("gram", "pos")).alias("at"))
-    near = cut(neighbourhoods(rows.join(wanted, ["doc", "th"])), "neighbourhoods")
-    spans = whole.union(resolved(near))
+    whole = later.union(repeats).select("doc", "th", *reach)
+    wanted = firsts.groupBy("doc", "th").agg(F.collect_list(F.struct("gram", "pos")).alias("at"))
+    near = cut(neighbourhoods(rows.join(wanted, ["doc", "th"])), "neighbourhoods", tidy=True)
+    spans = cut(whole.union(resolved(near)), "spans", tidy=True)
     return spans.groupBy("doc", "th").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
 

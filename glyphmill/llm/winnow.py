@@ -33,14 +33,27 @@ def anchors(grams: np.ndarray, w: int) -> np.ndarray:
     return np.flatnonzero(sliding(np.concatenate([pad, least, pad]), w, np.maximum) == grams)
 
 
+_kept: dict[int, np.ndarray] = {}
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    """The first n powers, kept from call to call up to 4 million of them."""
+    if base not in _kept or len(_kept[base]) < n:
+        out = powers(base, max(n, 1 << 16))
+        if n > 1 << 22:
+            return out
+        _kept[base] = out
+    return _kept[base][:n]
+
+
 class Prefix:
     """Hashes of any stretch of a sequence of 64-bit items, equal for equal content."""
 
     def __init__(self, items: np.ndarray):
         n = len(items)
         self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(items * powers(BASE, n), dtype=np.uint64, out=self.sums[1:])
-        self.back = powers(_INVERSE, n + 1)
+        np.cumsum(items * _powers(BASE, n), dtype=np.uint64, out=self.sums[1:])
+        self.back = _powers(_INVERSE, n + 1)
 
     def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mix((self.sums[end] - self.sums[start]) * self.back[start] + (end - start).astype(np.uint64))
