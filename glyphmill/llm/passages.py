@@ -23,8 +23,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glyphmill.llm.common import cut, hashed_words, mix, parts, powers, table
-from glyphmill.llm.suffix import identified
+from glyphmill.llm.common import cut, discard, hashed_words, mix, parts, powers, table
+from glyphmill.llm.suffix import identified, judged, shared_marks
 from glyphmill.llm.winnow import Prefix, anchors, sliding
 
 WORDS, FIRST = 13, 4
@@ -103,19 +103,17 @@ def _met_twice(rows: DataFrame, key: str) -> DataFrame:
 def repeated_spans(rows: DataFrame) -> DataFrame:
     """(doc, th, spans) of all repeats in rows (doc, th, text); spans are word numbers (start, end)."""
     rows = rows.select("doc", "th", "text")
-    marks = anchor_table(rows)
-    classes = marks.groupBy("gram", "near").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
-    kinds = classes.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds"), F.min("least").alias("lo"), F.max("most").alias("hi")).where("kinds > 1 and lo <> hi")
-    facts = classes.join(kinds, "gram", "left").where("least <> most or kinds is not null")
-    facts = cut(facts.select("gram", "near", "least", F.col("kinds").isNotNull().alias("mixed")), "classes")
-    known = cut(marks.join(facts, ["gram", "near"]).select("doc", "th", "pos", "mixed", (F.col("doc") > F.col("least")).alias("later")), "anchors")
-    whole = known.where("later").select("doc", "th", F.greatest(F.col("pos") - LEFT, F.lit(0)).alias("start"), (F.col("pos") + WORDS).alias("end"))
-
-    wanted = known.where("mixed and not later").groupBy("doc", "th").agg(F.collect_list("pos").alias("at"))
-    level2 = cut(window_table(rows.join(wanted, ["doc", "th"])), "windows")
-    level3 = _met_twice(level2, "half").drop("least")
+    marks = cut(anchor_table(rows), "anchors", tidy=True)
+    shared = shared_marks(marks, "least <> most")
+    discard(marks)
+    later, firsts = judged(shared)
+    whole = later.select("doc", "th", F.greatest(F.col("pos") - LEFT, F.lit(0)).alias("start"), (F.col("pos") + WORDS).alias("end"))
+
+    wanted = firsts.groupBy("doc", "th").agg(F.collect_list("pos").alias("at"))
+    level2 = cut(window_table(rows.join(wanted, ["doc", "th"])), "windows", tidy=True)
+    level3 = cut(_met_twice(level2, "half").drop("least"), "windows", tidy=True)
     again = _met_twice(level3, "full").where("doc > least").select("doc", "th", "start", (F.col("start") + WORDS).alias("end"))
-    return whole.union(again).groupBy("doc", "th").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    return cut(whole.union(again), "spans", tidy=True).groupBy("doc", "th").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
 
 def dedup_passages(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
