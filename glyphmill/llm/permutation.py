@@ -1,14 +1,17 @@
-"""Approximate nearest neighbours by a permutation index.
+"""Nearest neighbours by a permutation index.
 
 A vector is represented by the order of PIVOTS pivots by their distance from it.  The index is cut into blocks of about
 BLOCK vectors; within a block every vector is posted in the inverted files of its POSTED nearest pivots.  A query opens
 the files of its own POSTED nearest pivots, ranks what it finds there by the footrule distance (the sum of the
 differences of a pivot's places in both orders), and the best SHARE of a block, at least LEAST vectors, are ranked anew
-by their exact distances.  The nearest of all blocks are merged.
+by their exact distances.  These give a distance that a result can't exceed; by the triangle inequality a vector whose
+distance from one of the query's pivots differs by more from the query's own is further away.  All others are ranked
+too, so the result is exact whatever the pivots are: they only decide how much is ranked.  The nearest of all blocks are
+merged.
 
 Equal vectors are one entry: a class with its smallest ids, as many as a result can hold.  So a vector that a third of
-all rows share costs one entry, and its ties are exact.  Pivots are a bounded sample (PIVOTS vectors picked by hash);
-every row is indexed.  Queries are a stated set, searched in blocks of QUERIES against every block of the index.
+all rows share costs one entry, and its ties are exact.  Pivots are PIVOTS vectors spread apart, each the furthest from
+those before it in a bounded sample (SAMPLE vectors picked by hash), so near copies give one pivot; every row is indexed.  Queries are a stated set, searched in blocks of QUERIES against every block of the index.
 """
 
 from __future__ import annotations
@@ -22,7 +25,7 @@ from pyspark.sql.window import Window
 from glyphmill.llm.common import cut, table
 
 PIVOTS, POSTED, BLOCK, QUERIES_A_BLOCK = 256, 20, 4096, 2048
-SHARE, LEAST = 0.08, 200
+SHARE, LEAST, SAMPLE = 0.08, 200, 4096
 
 
 def usable(vector: Column) -> Column:
@@ -31,6 +34,22 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & F.coalesce(fine, F.lit(False)) & F.exists(vector, lambda x: x != 0)
 
 
+def spread(sample: np.ndarray, n: int = PIVOTS) -> np.ndarray:
+    """n vectors of the sample, each the furthest from those before it; all of them if there are no more."""
+    at, gap = [0], np.full(len(sample), np.inf)
+    while len(at) < min(n, len(sample)):
+        gap = np.minimum(gap, ((sample - sample[at[-1]]) ** 2).sum(1))
+        gap[at[-1]] = -1.0
+        at.append(int(gap.argmax()))
+    return sample[at]
+
+
+def distances(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    """Euclidean distance of each vector from each pivot."""
+    square = (vectors * vectors).sum(1)[:, None] + (pivots * pivots).sum(1) - 2 * (vectors @ pivots.T)
+    return np.sqrt(np.maximum(square, 0.0))
+
+
 def places(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     """The place of each pivot in each vector's order; ties go to the earlier pivot."""
     near = (pivots * pivots).sum(1) - 2 * (vectors @ pivots.T)
@@ -41,21 +60,32 @@ def places(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
 
 
 def search_block(queries: np.ndarray, vectors: np.ndarray, pivots: np.ndarray, k: int, share: float = SHARE) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each query the positions of the k nearest found among vectors and their exact distances."""
+    """For each query the positions of the k nearest among vectors and their exact distances."""
     asked, posted = places(queries, pivots), places(vectors, pivots)
+    from_pivots, own_gaps = np.ascontiguousarray(distances(vectors, pivots).T), distances(queries, pivots)
+    # What rounding may add to a difference of two distances from pivots.
+    slack = 1e-6 * max(np.abs(vectors).max(), np.abs(queries).max(), np.abs(pivots).max()) * np.sqrt(vectors.shape[1])
     n_posted = min(POSTED, len(pivots))
     files = [np.flatnonzero(posted[:, p] < n_posted) for p in range(len(pivots))]
-    most = max(LEAST, int(share * len(vectors)))
+    most = max(LEAST, int(share * len(vectors)), k)
     out = []
-    for q, own in zip(queries, asked, strict=True):
+    for q, own, own_gap in zip(queries, asked, own_gaps, strict=True):
         met = np.zeros(len(vectors), bool)
-        for p in np.flatnonzero(own < n_posted):
+        opened = np.flatnonzero(own < n_posted)
+        for p in opened:
             met[files[p]] = True
         at = np.flatnonzero(met)
         if len(at) > most:
             footrule = np.abs(posted[at] - own).sum(1, dtype=np.int32)
             at = at[np.argpartition(footrule, most - 1)[:most]]
         gap = np.sqrt(((vectors[at] - q) ** 2).sum(1))
+        edge = np.partition(gap, k - 1)[k - 1] if len(at) >= k else np.inf
+        far = np.zeros(len(vectors), bool)
+        far[at] = True
+        for p in opened:
+            far |= np.abs(from_pivots[p] - own_gap[p]) > edge + slack
+        rest = np.flatnonzero(~far)
+        at, gap = np.append(at, rest), np.append(gap, np.sqrt(((vectors[rest] - q) ** 2).sum(1)))
         if len(at) > k:
             # Everything as near as the k-th stays for now: ties are for the merge to decide.
             edge = np.partition(gap, k - 1)[k - 1]
@@ -66,7 +96,8 @@ def search_block(queries: np.ndarray, vectors: np.ndarray, pivots: np.ndarray, k
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id", vector: str = "embedding", share: float = SHARE) -> DataFrame:
-    """(query_id, rank, key, score) for each query row: its k nearest other rows, score the Euclidean distance.
+    """(query_id, rank, key, score) for each query row: its k nearest other rows, score the Euclidean distance.  The
+    result is exact; share only says how much of a block is ranked before the bound is known.
 
     Vectors that are null, zero, or hold null or non-finite components take no part, neither do null keys and vectors
     of another length than the most common one.  With fewer than k other rows all are returned.  Ties go to the smaller
@@ -85,7 +116,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, key: str = "vec_i
     n = classes.count()
     if not n:
         return spark.createDataFrame([], f"query_id long, rank int, `{key}` long, score double")
-    pivots = np.array([r["v"] for r in classes.orderBy(F.xxhash64("h", F.lit(7)), "cid").limit(PIVOTS).select("v").collect()])
+    pivots = spread(np.array([r["v"] for r in classes.orderBy(F.xxhash64("h", F.lit(7)), "cid").limit(SAMPLE).select("v").collect()]))
     shared = spark.sparkContext.broadcast(pivots)
 
     asking = cut(rows.where("asks").select("id", "h", "v").distinct().join(classes.select("h", "v", "cid"), ["h", "v"]).select(F.col("id").alias("query_id"), "cid"), "queries")

@@ -309,6 +309,19 @@ def test_ties_nulls_and_hot_vectors(spark):
     assert permutation.nearest(frame.where("false"), F.lit(True)).count() == 0
 
 
+def test_near_copies_hide_no_neighbours(spark):
+    random = np.random.default_rng(5)
+    x = random.standard_normal((2000, 64))
+    x[:660] = x[0] / np.linalg.norm(x[0]) + random.standard_normal((660, 64)) * 0.005
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    frame = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    got = {}
+    for r in permutation.nearest(frame, F.col("vec_id") % 40 == 7).orderBy("rank").collect():
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    want = {q: [i for i, _ in exact(np.arange(2000), x, q)] for q in range(7, 2000, 40)}
+    assert got == want
+
+
 # --- language identification
 
 
