@@ -4,7 +4,7 @@ The text itself is the first layer.  Each layer is scanned for the three kinds o
 looks encoded is unwrapped into further layers:
 
 * percent escapes and Unicode escapes (``\\uXXXX``, ``\\xXX``, ``&#NN;``) rewrite the whole layer,
-* each base64 run of 24 or more characters, and each hex run of 32 or more digits, that decodes to readable text or
+* each base64 run of 16 or more characters, and each hex run of 24 or more digits (the shortest secret has 12 bytes), that decodes to readable text or
   to a gzip, zlib or bzip2 stream is a layer of its own; the stream's content is the layer's text.
 
 The worklist ends at a fixpoint: a layer whose content was met before in the same document (by digest) isn't entered
@@ -44,8 +44,8 @@ MIN_ASSIGN = 6
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};)+")
 ESCAPE_ONE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#([0-9]{1,7});|&#[xX]([0-9A-Fa-f]{1,6});")
-BASE64 = re.compile(r"[A-Za-z0-9+/_-]{24,}={0,2}")
-HEX_RUN = re.compile(r"[0-9A-Fa-f]{32,}")
+BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+HEX_RUN = re.compile(r"[0-9A-Fa-f]{24,}")
 #: Bytes that one compressed stream may expand to before its row is flagged.
 MAX_INFLATED = 64 << 20
 

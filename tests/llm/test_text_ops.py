@@ -122,6 +122,14 @@ def test_nested_secrets(wrap):
     assert 4 <= a < b <= 4 + len(hidden)
 
 
+@pytest.mark.parametrize("secret", ["token=abcdef", "password=hunter2", "token=abc123xyz", "api_key=Zx81kq0p"])
+@pytest.mark.parametrize("wrap", [lambda s: base64.b64encode(s).decode(), lambda s: s.hex().upper()])
+def test_short_encoded_secrets(secret, wrap):
+    hidden = wrap(secret.encode())
+    assert secrets.find(around(hidden))[1] == [(4, 0, 4 + len(hidden))]
+    assert not secrets.find("internationalization of uncharacteristically/long_words-and-paths ABCDEF0123456789ABCDEF01")[1]
+
+
 def test_exact_span_of_escapes():
     text = around(KEY.replace("B", "%42") + " é")
     _, spans, _, _ = secrets.find(text)
