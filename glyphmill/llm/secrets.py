@@ -4,15 +4,19 @@ The text itself is the first layer.  Each layer is scanned for the three kinds o
 looks encoded is unwrapped into further layers:
 
 * percent escapes and Unicode escapes (``\\uXXXX``, ``\\xXX``, ``&#NN;``) rewrite the whole layer,
-* each base64 run of 16 or more characters, and each hex run of 24 or more digits (the shortest secret has 12 bytes), that decodes to readable text or
-  to a gzip, zlib or bzip2 stream is a layer of its own; the stream's content is the layer's text.
+* each base64 run of 16 or more characters, and each hex run of 24 or more digits (the shortest secret has 12 bytes), is
+  decoded at every alignment, so what stands before a blob in the same run does not hide it; each stretch of readable
+  ASCII in it, and each gzip, zlib or bzip2 stream that begins in it, is a layer of its own; the stream's content is the
+  layer's text.  Secrets and all that can be unwrapped are ASCII, so nothing is lost between the stretches,
+* runs on consecutive lines are decoded joined, too.
 
 The worklist ends at a fixpoint: a layer whose content was met before in the same document (by digest) isn't entered
 again, which also breaks cycles.  Decoding always shrinks a layer except for compressed streams, so only those can
 blow up; a stream that expands beyond MAX_INFLATED bytes is scanned up to there and the row is flagged in n_oversize.
 
 Every layer knows how its characters map to its parent's, so a find is reported as the span of the original text that
-it came from: exact for escapes, whole quadruples for base64, whole pairs for hex, the whole run for streams.
+it came from: exact for escapes, whole quadruples for base64, whole pairs for hex, for streams all of the run from where
+they begin.
 
 All of a document is done in one pass over its row: a plain map, no shuffle.
 """
@@ -20,7 +24,6 @@ All of a document is done in one pass over its row: a plain map, no shuffle.
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
 import hashlib
 import re
@@ -46,6 +49,13 @@ ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|&#[0-9]{1,7};|&#[xX
 ESCAPE_ONE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#([0-9]{1,7});|&#[xX]([0-9A-Fa-f]{1,6});")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 HEX_RUN = re.compile(r"[0-9A-Fa-f]{24,}")
+#: Runs on consecutive lines, the first and last of which may hold other text, too.
+WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:[ \t]*+\r?\n[ \t]*+[A-Za-z0-9+/_-]++)++={0,2}")
+LINE = re.compile(r"[A-Za-z0-9+/_-]+")
+READABLE = re.compile(rb"[\t\n\r\x20-\x7e]{12,}")
+#: Where a gzip, bzip2 or zlib stream may begin in base64 and in hex.
+STREAM_64 = re.compile(r"(?=H4sI|Qlpo|e[A-P])")
+STREAM_16 = re.compile(r"(?=1f8b|425a68|78)", re.I)
 #: Bytes that one compressed stream may expand to before its row is flagged.
 MAX_INFLATED = 64 << 20
 
@@ -150,54 +160,72 @@ def _inflate(raw: bytes) -> tuple[bytes, bool] | None:
     return None
 
 
-def _readable(raw: bytes) -> str | None:
-    if not raw:
-        return None
-    try:
-        text = raw.decode()
-    except UnicodeDecodeError:
-        return None
-    odd = sum(c < 32 and c not in (9, 10, 13) for c in raw[:4096])
-    return text if odd * 10 <= min(len(raw), 4096) else None
+def _unbase64(run: str) -> bytes:
+    run = run[: len(run) - (len(run) % 4 == 1)]
+    return base64.b64decode(run + "=" * (-len(run) % 4))
+
 
+def _unhex(run: str) -> bytes:
+    return bytes.fromhex(run[: len(run) & ~1])
 
-def _byte_offsets(text: str) -> Callable[[int, int], tuple[int, int]]:
-    if text.isascii():
-        return lambda a, b: (a, b)
-    return lambda a, b: (len(text[:a].encode()), len(text[:b].encode()))
 
+Place = Callable[[int, int], tuple[int, int]]
 
-def _runs(text: str) -> Iterator[tuple[str, Callable[[int, int], tuple[int, int]], bool]]:
+
+def _runs(text: str) -> Iterator[tuple[str, Place, bool]]:
     """Layers from the encoded runs of one layer: text, map to this layer, whether it was cut off."""
     for m in BASE64.finditer(text):
-        run = m[0].rstrip("=").replace("-", "+").replace("_", "/")
-        run = run[: len(run) - (len(run) % 4 == 1)]
-        try:
-            raw = base64.b64decode(run + "=" * (-len(run) % 4))
-        except (binascii.Error, ValueError):
-            continue
-        yield from _layers(raw, m.start(), m.end(), 3, 4)
+        yield from _base64_run(m[0].rstrip("="), lambda a, b, m=m: (m.start() + a, m.start() + b), m.end())
     for m in HEX_RUN.finditer(text):
-        yield from _layers(bytes.fromhex(m[0][: len(m[0]) & ~1]), m.start(), m.end(), 1, 2)
+        yield from _unpacked(m[0], lambda a, b, m=m: (m.start() + a, m.start() + b), m.end(), _unhex, 1, 2, STREAM_16)
+    for m in WRAPPED.finditer(text):
+        starts, at, lines = [], [], []
+        size = 0
+        for line in LINE.finditer(text, m.start(), m.end()):
+            starts.append(size)
+            at.append(line.start())
+            lines.append(line[0])
+            size += len(line[0])
+        if size < 16:
+            continue
+        joined = "".join(lines)
+
+        def place(a: int, b: int, starts: list[int] = starts, at: list[int] = at) -> tuple[int, int]:
+            i, j = bisect_right(starts, a) - 1, bisect_right(starts, b - 1) - 1
+            return at[i] + a - starts[i], at[j] + b - starts[j]
+
+        yield from _base64_run(joined, place, m.end())
+        for h in HEX_RUN.finditer(joined):
+            yield from _unpacked(h[0], lambda a, b, h=h, place=place: place(h.start() + a, h.start() + b), place(h.start(), h.end())[1], _unhex, 1, 2, STREAM_16)
+
+
+def _base64_run(run: str, place: Place, end: int) -> Iterator[tuple[str, Place, bool]]:
+    return _unpacked(run.replace("-", "+").replace("_", "/"), place, end, _unbase64, 3, 4, STREAM_64)
 
 
-def _layers(raw: bytes, start: int, end: int, per: int, width: int) -> Iterator[tuple[str, Callable[[int, int], tuple[int, int]], bool]]:
-    if found := _inflate(raw):
-        got, over = found
-        # A stream holds either text or yet another stream; both map to the whole run.
-        while inner := _inflate(got):
-            if inner[0] == got:
-                break
-            got, over = inner[0], over or inner[1]
-        yield got.decode("utf-8", "replace"), lambda a, b: (start, end), over
-    elif (text := _readable(raw)) is not None:
-        offsets = _byte_offsets(text)
+def _unpacked(run: str, place: Place, end: int, decode: Callable[[str], bytes], per: int, width: int, begins: re.Pattern) -> Iterator[tuple[str, Place, bool]]:
+    """Layers of one run, `per` bytes in `width` characters; end is where the run ends in its layer."""
+    for shift in range(width):
+        for m in READABLE.finditer(decode(run[shift:])):
 
-        def to(a: int, b: int) -> tuple[int, int]:
-            a, b = offsets(a, b)
-            return start + a // per * width, min(end, start + -(-b // per) * width)
+            def to(a: int, b: int, first: int = m.start(), shift: int = shift) -> tuple[int, int]:
+                c0, c1 = shift + (first + a) // per * width, shift - (-(first + b) // per) * width
+                return (place(c0, c1)) if c1 < len(run) else (place(c0, len(run))[0], end)
 
-        yield text, to, False
+            yield m[0].decode("ascii"), to, False
+    for m in begins.finditer(run):
+        at = m.start()
+        # A short piece tells almost every chance beginning from a stream.
+        if _inflate(decode(run[at : at + 4096])) and (found := _inflate(decode(run[at:]))):
+            got, over = found
+            # A stream holds either text or yet another stream; both map to the rest of the run.
+            while inner := _inflate(got):
+                if inner[0] == got:
+                    break
+                got, over = inner[0], over or inner[1]
+            if got:
+                start = place(at, len(run))[0]
+                yield got.decode("utf-8", "replace"), lambda a, b, start=start: (start, end), over
 
 
 def find(text: str | None) -> tuple[list[Span], list[Span], int, int]:
@@ -205,7 +233,7 @@ def find(text: str | None) -> tuple[list[Span], list[Span], int, int]:
     text = text or ""
     base = scan(text)
     spans, seen, over = set(base), set(), 0
-    work: list[tuple[str, tuple[Callable[[int, int], tuple[int, int]], ...]]] = [(text, ())]
+    work: list[tuple[str, tuple[Place, ...]]] = [(text, ())]
     while work:
         layer, maps = work.pop()
         digest = hashlib.blake2b(layer.encode("utf-8", "surrogatepass"), digest_size=16).digest()

@@ -130,6 +130,31 @@ def test_short_encoded_secrets(secret, wrap):
     assert not secrets.find("internationalization of uncharacteristically/long_words-and-paths ABCDEF0123456789ABCDEF01")[1]
 
 
+LONG = "password=correcthorsebatterystaple"
+NOISE = "".join(chr(33 + i * i * 7 % 90) for i in range(300)).replace("=", "~").replace(":", "~")
+
+
+@pytest.mark.parametrize("prefix", ["https://h.io/d/", "cfg-", "v1_", "a/", "x", ""])
+@pytest.mark.parametrize("pack", [lambda s: s, gzip.compress, zlib.compress, bz2.compress])
+def test_base64_beside_its_own_characters(prefix, pack):
+    hidden = base64.b64encode(pack(LONG.encode())).decode()
+    text = around(prefix + hidden)
+    spans = secrets.find(text)[1]
+    assert spans and all(4 <= a < b <= 4 + len(prefix + hidden) for a, _, b in spans)
+    assert hidden[8:-8] not in secrets.redacted(text, spans)
+    assert secrets.find(around("d" + LONG.encode().hex().upper()))[1]
+
+
+@pytest.mark.parametrize("newline", ["\n", "\r\n  "])
+@pytest.mark.parametrize("at", range(20, 62, 3))
+def test_base64_wrapped_over_lines(newline, at):
+    for pack in (lambda s: s, gzip.compress):
+        blob = base64.b64encode(pack((NOISE[:at] + " " + LONG + " " + NOISE).encode())).decode()
+        text = around("key:" + newline + newline.join(blob[i : i + 76] for i in range(0, len(blob), 76)) + newline)
+        spans = secrets.find(text)[1]
+        assert spans and not secrets.find(secrets.redacted(text, spans))[1]
+
+
 def test_exact_span_of_escapes():
     text = around(KEY.replace("B", "%42") + " é")
     _, spans, _, _ = secrets.find(text)
