@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from glyphmill.llm.common import fold, table
+from glyphmill.llm.common import cut, discard, fold, table
 
 ORDER = 3
 LETTER = regex.compile(r"\p{L}")
@@ -139,23 +139,25 @@ def _contexts(pair: np.ndarray, n: np.ndarray, a: int, least: int) -> np.ndarray
     return ctx[np.bincount(at, n, len(ctx)) >= least]
 
 
-def sample_texts(docs: DataFrame, text: str, lang: str, key: str, per_lang: int, max_chars: int, max_langs: int) -> dict[str, list[bytes]]:
-    """At most per_lang texts of each language, picked by a hash of their key, none over max_chars characters; of more
-    than max_langs languages those with the most rows."""
-    counts = docs.where(F.col(lang).isNotNull()).groupBy(F.col(lang).alias("l")).agg(F.count(F.lit(1)).alias("n"))
-    langs = [r["l"] for r in counts.orderBy(F.desc("n"), "l").limit(max_langs).collect()]
-    fit = docs.where(F.col(lang).isin(langs) & F.col(text).rlike(r"\p{L}") & (F.length(text) <= max_chars))
-    order = Window.partitionBy("lang").orderBy("h", "key")
+def sample_texts(docs: DataFrame, text: str, lang: str, key: str, per_lang: int, max_chars: int, langs: list[str]) -> dict[str, list[bytes]]:
+    """At most per_lang texts of each of langs, picked by a hash of their key, none over max_chars characters; where a
+    language has longer texts only, their first max_chars characters from the first letter on."""
+    fit = docs.where(F.col(lang).isin(langs) & F.col(text).rlike(r"\p{L}")).withColumn("_long", F.length(text) > max_chars)
+    order = Window.partitionBy("lang").orderBy("long", "h", "key")
     picked = (
-        fit.select(F.col(lang).alias("lang"), F.col(key).alias("key"), F.xxhash64(F.col(key).cast("string")).alias("h"))
+        fit.select(F.col(lang).alias("lang"), F.col(key).alias("key"), F.col("_long").alias("long"), F.xxhash64(F.col(key).cast("string")).alias("h"))
         .withColumn("rn", F.row_number().over(order))
         .where(F.col("rn") <= per_lang)
-        .select("lang", "key")
-        .limit(per_lang * max_langs)
+        .select("lang", "key", "long")
+        .limit(per_lang * len(langs))
+        .withColumn("least", F.min("long").over(Window.partitionBy("lang")))
+        .where(F.col("long") == F.col("least"))
     )
-    picked = picked.distinct().withColumnRenamed("lang", "_lang")
-    rows = fit.select(F.col(lang).alias("lang"), F.col(key).alias("key"), F.col(text).alias("text"))
-    rows = rows.join(F.broadcast(picked), (rows["key"] == picked["key"]) & (rows["lang"] == picked["_lang"])).select("lang", rows["key"], "text")
+    picked = picked.select(F.col("lang").alias("_lang"), "key", F.col("long").alias("_cut")).distinct()
+    start = F.substring(F.regexp_replace(F.col(text), r"^\P{L}+", ""), 1, max_chars)
+    rows = fit.select(F.col(lang).alias("lang"), F.col(key).alias("key"), F.when(F.col("_long"), start).otherwise(F.col(text)).alias("text"), "_long")
+    same = (rows["key"] == picked["key"]) & (rows["lang"] == picked["_lang"]) & (rows["_long"] == picked["_cut"])
+    rows = rows.join(F.broadcast(picked), same).select("lang", rows["key"], "text")
     rows = rows.groupBy("lang", "key").agg(F.min("text").alias("text"))  # however often a key is repeated
     found: dict[str, list[tuple]] = {}
     for r in rows.collect():
@@ -164,37 +166,63 @@ def sample_texts(docs: DataFrame, text: str, lang: str, key: str, per_lang: int,
 
 
 def identify(
-    docs: DataFrame, train_rows: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", per_lang: int = 250, max_chars: int = 50_000, max_langs: int = 64
+    docs: DataFrame, train_rows: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", per_lang: int = 250, max_chars: int = 50_000, langs_a_pass: int = 64
 ) -> DataFrame:
     """docs with the columns lang_pred and score added (score: the predicted language's posterior under equal priors).
 
-    The trees are fitted on at most per_lang texts of each of the max_langs most frequent languages of train_rows, none
-    over max_chars characters (bounded by these parameters); every row of
-    docs is scored over its whole text.  Null texts and texts without a letter get `und` and score 0, as does every
+    The trees are fitted on at most per_lang texts of each language of train_rows, none over max_chars characters (of
+    languages with longer texts only, their beginnings).  Every row of docs is scored over its whole text in every
+    language: langs_a_pass languages are learned and scored at once, and with more, docs are written with their best
+    language so far after each pass.  Null texts and texts without a letter get `und` and score 0, as does every
     text where train_rows gives nothing to learn.  Ties go to the language that sorts first.  Repeated rows are kept.
     Columns of docs named like the added ones are replaced; others pass through untouched.
     """
     spark = docs.sparkSession
-    samples = sample_texts(train_rows, text, lang, key, per_lang, max_chars, max_langs)
-    shared = spark.sparkContext.broadcast(train(samples) if samples else None)
+    counts = train_rows.where(F.col(lang).isNotNull()).groupBy(F.col(lang).alias("l")).agg(F.count(F.lit(1)).alias("n"))
+    langs = [r["l"] for r in counts.orderBy(F.desc("n"), "l").collect()]
     keep = [c for c in docs.columns if c not in ("lang_pred", "score")]
     docs = docs.select(*(F.col(f"`{c}`") for c in keep))
-
+    # Between passes: the best language so far, its bits, and the sum of 2 ** (its bits - bits) over all languages.
+    state = {"lang_pred": F.lit("x"), "score": F.lit(0.0), "_bits": F.lit(0.0)}
+    passes = [langs[k : k + langs_a_pass] for k in range(0, len(langs), langs_a_pass)] or [[]]
+    made = None
+    for k, some in enumerate(passes):
+        samples = sample_texts(train_rows, text, lang, key, per_lang, max_chars, some) if some else {}
+        shared = spark.sparkContext.broadcast(train(samples) if samples else None)
+        docs = docs.mapInPandas(_scored(shared, text, k == 0, k == len(passes) - 1), (docs.withColumns(state) if k == 0 else docs).schema)
+        if k < len(passes) - 1:
+            docs, before = cut(docs, "languages"), made
+            if before is not None:
+                discard(before)
+            made = docs
+            shared.destroy()
+    return docs.select(*(F.col(f"`{c}`") for c in keep), "lang_pred", "score")
+
+
+def _scored(shared, text: str, first: bool, last: bool):
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = shared.value
         for b in batches:
             texts = b[text].tolist()
             at = [i for i, t in enumerate(texts) if isinstance(t, str) and model is not None and LETTER.search(t)]
-            pred, p = np.full(len(b), "und", object), np.zeros(len(b))
+            if first:
+                pred, p, least = np.full(len(b), "und", object), np.zeros(len(b)), np.full(len(b), np.inf)
+            else:
+                pred, p, least = b["lang_pred"].to_numpy(object).copy(), b["score"].to_numpy().copy(), b["_bits"].to_numpy().copy()
             if at:
                 bits = model.bits([texts[i].encode("utf-8", "replace") for i in at])
-                best = bits.argmin(1)
-                pred[at] = np.array(model.langs, object)[best]
-                p[at] = 1 / np.exp2(np.maximum(bits.min(1)[:, None] - bits, -1000)).sum(1)
-            yield b.assign(lang_pred=pred, score=p)
-
-    schema = docs.withColumns({"lang_pred": F.lit("x"), "score": F.lit(0.0)}).schema
-    return docs.mapInPandas(score, schema)
+                best, low = np.array(model.langs, object)[bits.argmin(1)], bits.min(1)
+                total = np.exp2(np.maximum(low[:, None] - bits, -1000)).sum(1)
+                old, had = least[at], pred[at]
+                wins = (low < old) | ((low == old) & (best < had))
+                both = np.minimum(low, old)
+                p[at] = p[at] * np.exp2(np.maximum(both - old, -1000)) + total * np.exp2(np.maximum(both - low, -1000))
+                pred[at], least[at] = np.where(wins, best, had), both
+            if last:
+                p = np.divide(1.0, p, out=np.zeros(len(p)), where=p > 0)
+            yield b.assign(lang_pred=pred, score=p, _bits=least)
+
+    return score
 
 
 def op10_langid_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:

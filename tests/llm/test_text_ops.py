@@ -406,6 +406,19 @@ def test_long_texts_are_scored_in_runs(monkeypatch):
     assert np.allclose(model.bits([b"abcxyz" * 50, b"q"]), whole)
 
 
+def test_every_language_is_learned(spark):
+    random = np.random.default_rng(2)
+    vocabulary = ["".join(map(chr, random.integers(97, 123, 7))) for _ in range(700)]
+    rows = [(i * 2 + r, " ".join(vocabulary[i * 10 : i * 10 + 10] * 3), f"l{i:02}") for i in range(70) for r in range(2)]
+    rows += [(1000, "1" * 20 + "ñandú öçé " * 6000, "long")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = langid.identify(frame, frame).collect()
+    assert [r["lang_pred"] for r in got] == [r["lang"] for r in got]
+    some = frame.where("doc_id < 16 or doc_id = 1000")
+    one, three = ({r["doc_id"]: (r["lang_pred"], round(r["score"], 3)) for r in langid.identify(some, some, langs_a_pass=n).collect()} for n in (64, 3))
+    assert one == three
+
+
 def test_languages_of_odd_rows(odd, none):
     rows = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.identify(odd, odd).collect()}
     assert rows[3] == rows[4] == rows[5] == ("und", 0.0) and rows[1] == ("en", 1.0)
