@@ -58,6 +58,8 @@ STREAM_64 = re.compile(r"(?=H4sI|Qlpo|e[A-P])")
 STREAM_16 = re.compile(r"(?=1f8b|425a68|78)", re.I)
 #: Bytes that one compressed stream may expand to before its row is flagged.
 MAX_INFLATED = 64 << 20
+#: Bytes of a stream that are inflated at once.
+CHUNK = 1 << 14
 
 Span = tuple[int, int, int]
 
@@ -141,23 +143,33 @@ def _escapes(run: str) -> list[tuple[str, int]] | None:
     return out
 
 
+def _member(head: bytes):
+    """A decompressor for what begins with head; None if that isn't a stream."""
+    if head[:2] == b"\x1f\x8b" or head[:1] == b"\x78" and len(head) > 2 and (head[0] << 8 | head[1]) % 31 == 0:
+        return zlib.decompressobj(47)
+    return bz2.BZ2Decompressor() if head[:3] == b"BZh" else None
+
+
 def _inflate(raw: bytes) -> tuple[bytes, bool] | None:
-    """Content of a compressed stream and whether it went beyond the limit; None if raw isn't one."""
-    if raw[:2] == b"\x1f\x8b" or raw[:1] == b"\x78" and len(raw) > 2 and (raw[0] << 8 | raw[1]) % 31 == 0:
-        stream = zlib.decompressobj(47)
-        try:
-            got = stream.decompress(raw, MAX_INFLATED)
-        except zlib.error:
-            return None
-        return got, bool(stream.unconsumed_tail)
-    if raw[:3] == b"BZh":
-        stream = bz2.BZ2Decompressor()
+    """Content of a compressed stream, all of its members, and whether it went beyond the limit; None if raw isn't one."""
+    out, room, pos, members = [], MAX_INFLATED, 0, 0
+    while (stream := _member(raw[pos : pos + 4])) is not None:
+        if room <= 0:
+            return b"".join(out), True
         try:
-            got = stream.decompress(raw, MAX_INFLATED)
-        except (OSError, ValueError):
-            return None
-        return got, not stream.eof and not stream.needs_input
-    return None
+            while not stream.eof and pos < len(raw) and room > 0:
+                piece = raw[pos : pos + CHUNK]
+                out.append(stream.decompress(piece, room))
+                room -= len(out[-1])
+                pos += len(piece) - len(stream.unused_data)
+        except (zlib.error, OSError, ValueError):
+            break
+        members += 1
+        if not stream.eof:
+            return b"".join(out), room <= 0
+        while raw[pos : pos + 1] == b"\0":  # padding between members
+            pos += 1
+    return (b"".join(out), False) if members else None
 
 
 def _unbase64(run: str) -> bytes:

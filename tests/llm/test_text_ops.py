@@ -155,6 +155,14 @@ def test_base64_wrapped_over_lines(newline, at):
         assert spans and not secrets.find(secrets.redacted(text, spans))[1]
 
 
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress])
+def test_all_members_of_a_stream(pack):
+    for between in (b"", b"x" * 100_000):
+        hidden = base64.b64encode(pack(b"first") + pack(between) + pack(LONG.encode())).decode()
+        base, spans, _, over = secrets.find(around(hidden))
+        assert (4, 0, 4 + len(hidden)) in spans and not over
+
+
 def test_exact_span_of_escapes():
     text = around(KEY.replace("B", "%42") + " é")
     _, spans, _, _ = secrets.find(text)
