@@ -8,8 +8,10 @@ Features of a word are the word itself and its first 4 to 7 letters, so inflecte
 not negative: words can add to the suspicion of a sentence but clean words can't talk it away, and a sentence without
 any known feature has probability 0, so length alone never makes a document toxic.
 
-Fitting takes a bounded sample of labelled rows (PER_LABEL of each label, picked by a hash of the id) on the driver;
-scoring is a plain map over all documents, whole texts, sentence by sentence.
+Fitting takes a bounded sample of labelled rows: whole texts picked by a hash of the id, PER_LABEL of each label at most
+and no more than SAMPLE_CHARS characters of each.  Executors count their features and turn their sentences into numbers of
+the features kept; only those numbers reach the driver.  Scoring is a plain map over all documents, whole texts, sentence
+by sentence.
 """
 
 from __future__ import annotations
@@ -22,13 +24,14 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from glyphmill.llm.common import fold, table
+from glyphmill.llm.common import cut, fold, parts, table
 
-#: Labelled documents of each label in the fit, and the longest text in it.
-PER_LABEL, MAX_CHARS = 4000, 50_000
-STEMS, MAX_FEATURES = (4, 5, 6, 7), 4000
-MAX_WORDS = 1_000_000
+#: Labelled documents of each label in the fit, and characters (the first document counts whatever its length).
+PER_LABEL, SAMPLE_CHARS = 4000, 40_000_000
+STEMS, MAX_FEATURES, LEAST_MET = (4, 5, 6, 7), 4000, 3
+MAX_WORDS = 200_000
 WORD, SENTENCE = re.compile(r"[^\W\d_]+"), re.compile(r"[^.!?\n]+")
 
 
@@ -36,35 +39,25 @@ def features(word: str) -> list[str]:
     return [word, *(f"{word[:k]}*" for k in STEMS if len(word) > k)]
 
 
-def train(texts: list[str], labels: list[int], rounds: int = 300) -> tuple[dict[str, float], float]:
-    """Weights of features and the bias, from documents and their labels."""
-    y = np.array(labels, bool)
-    if y.all() or not y.any():
-        return {}, 0.0
-    bags = [[WORD.findall(s.lower()) for s in SENTENCE.findall(t)] for t in texts]
-    seen = (Counter(), Counter())
-    for bag, label in zip(bags, labels, strict=True):
-        seen[label].update({f for w in {w for s in bag for w in s} for f in features(w)})
+def sentences(text: str) -> Iterator[list[str]]:
+    """The words of each sentence."""
+    for s in SENTENCE.finditer(text):
+        yield WORD.findall(s[0].lower())
+
+
+def fit(bags: list[np.ndarray], labels: np.ndarray, n_features: int, rounds: int = 300) -> tuple[np.ndarray, float]:
+    """Weights of features and the bias.  A bag is a document: the feature numbers of its sentences one after the other,
+    each sentence closed by -1; labels are 0 and 1."""
+    y = labels.astype(bool)
+    flat = np.concatenate(bags) if bags else np.zeros(0, np.int32)
+    of = np.repeat(np.arange(len(bags)), [len(x) for x in bags])
+    closed = flat < 0
+    bag_of = of[closed]
+    column = flat[~closed]
+    sentence = np.cumsum(closed)[~closed]
     n1, n0 = y.sum(), (~y).sum()
-    lift = {f: c / n1 * np.log((c + 0.5) / (n1 + 1) * (n0 + 1) / (seen[0][f] + 0.5)) for f, c in seen[1].items() if c >= 3}
-    kept = [f for f, v in sorted(lift.items(), key=lambda x: (-x[1], x[0]))[:MAX_FEATURES] if v > 0]
-    at = {f: i for i, f in enumerate(kept)}
-    of_word: dict[str, list[int]] = {}
-    sentence, column, bag_of = [], [], []
-    for i, bag in enumerate(bags):
-        for words in bag:
-            found = []
-            for w in words:
-                if w not in of_word:
-                    of_word[w] = [at[f] for f in features(w) if f in at]
-                found += of_word[w]
-            if found:
-                sentence += [len(bag_of)] * len(found)
-                column += found
-                bag_of.append(i)
-    sentence, column, bag_of = np.array(sentence, np.int64), np.array(column, np.int64), np.array(bag_of, np.int64)
     # The bias comes last; Adam with projection to weights that aren't negative.
-    w = np.append(np.full(len(kept), 0.5), -6.0)
+    w = np.append(np.full(n_features, 0.5), -6.0)
     m, v = np.zeros_like(w), np.zeros_like(w)
     for step in range(1, rounds + 1):
         z = np.bincount(sentence, w[column], len(bag_of)) + w[-1]
@@ -73,12 +66,12 @@ def train(texts: list[str], labels: list[int], rounds: int = 300) -> tuple[dict[
         toxic = np.maximum(-np.expm1(clean), 1e-9)
         pull = np.where(y, -np.exp(clean) / toxic / n1, 1 / n0)  # both labels weigh alike
         dz = pull[bag_of] * p
-        g = np.append(np.bincount(column, dz[sentence], len(kept)) + 2e-5 * w[:-1] + 1e-5, dz.sum())
+        g = np.append(np.bincount(column, dz[sentence], n_features) + 2e-5 * w[:-1] + 1e-5, dz.sum())
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         w -= 0.15 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
         w[:-1] = np.maximum(w[:-1], 0)
         w[-1] = min(w[-1], -4.0)
-    return {f: float(x) for f, x in zip(kept, w, strict=False) if x > 0.05}, float(w[-1])
+    return w[:-1], float(w[-1])
 
 
 class Scorer:
@@ -110,16 +103,68 @@ class Scorer:
         return float(-np.expm1(clean)), offending, worst[1], worst[2], float(worst[0])
 
 
-def sample(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, per_label: int) -> tuple[list[str], list[int]]:
-    """At most per_label labelled texts of each label; an id labelled both ways counts as toxic."""
-    given = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.max(label).alias("_label"))
-    order = (F.xxhash64(F.col("_key").cast("string")), F.col("_key"))
-    some = [given.where(F.col("_label") == y).orderBy(*order).limit(per_label) for y in (0, 1)]
-    picked = some[0].union(some[1])
-    texts = docs.where(F.col(text).isNotNull() & (F.length(text) <= MAX_CHARS)).select(F.col(key).alias("_id"), F.col(text).alias("_text"))
-    rows = texts.join(F.broadcast(picked), F.col("_id") == F.col("_key")).groupBy("_id", "_label").agg(F.min("_text").alias("_text"))
-    rows = sorted((r["_id"], r["_text"], r["_label"]) for r in rows.collect())  # a row a label, however often an id is repeated
-    return [r[1] for r in rows], [int(r[2]) for r in rows]
+def sample(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, per_label: int) -> DataFrame:
+    """(label, text) of the labelled documents to learn from; an id labelled both ways counts as toxic, and of several
+    texts under one id one is taken."""
+    given = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.max(label).cast("int").alias("_label"))
+    texts = docs.where(F.col(text).isNotNull()).select(F.col(key).alias("_id"), F.col(text).alias("_text"))
+    facts = texts.select("_id", F.xxhash64("_text").alias("_h"), F.length("_text").alias("_n")).join(given, F.col("_id") == F.col("_key"))
+    facts = facts.groupBy("_id", "_label").agg(F.min(F.struct("_h", "_n")).alias("one")).select("_id", "_label", "one.*")
+    order = (F.xxhash64(F.col("_id").cast("string")), F.col("_id"))
+    some = [facts.where(F.col("_label") == y).orderBy(*order).limit(per_label) for y in (0, 1)]
+    # These rows are few: the characters before each are added up in one place.
+    before = F.sum("_n").over(Window.partitionBy("_label").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
+    picked = some[0].union(some[1]).withColumn("_before", F.coalesce(before, F.lit(0)))
+    picked = picked.where((F.col("_before") == 0) | (F.col("_before") + F.col("_n") <= SAMPLE_CHARS)).select(F.col("_id").alias("_key"), "_h", "_label")
+    same = (F.col("_id") == F.col("_key")) & (F.xxhash64("_text") == F.col("_h"))
+    return texts.join(F.broadcast(picked), same).groupBy("_id", F.col("_label").alias("label")).agg(F.min("_text").alias("text")).select("label", "text")
+
+
+def learn(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, per_label: int) -> tuple[dict[str, float], float]:
+    """Weights of features and the bias; nothing where a label has no documents."""
+    picked = cut(sample(docs, labels, key, text, label, per_label), "sample")
+    sizes = {r["label"]: r["n"] for r in picked.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len(sizes) < 2:
+        return {}, 0.0
+
+    def met(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in parts(batches, "text"):
+            for y in (0, 1):
+                seen = Counter()
+                for t in b["text"][b["label"] == y]:
+                    seen.update({f for w in {w for s in sentences(t) for w in s} for f in features(w)})
+                yield pd.DataFrame({"feature": list(seen), "n1": [n * y for n in seen.values()], "n0": [n * (1 - y) for n in seen.values()]})
+
+    n1, n0 = sizes[1], sizes[0]
+    counts = picked.mapInPandas(met, "feature string, n1 long, n0 long").groupBy("feature").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
+    lift = F.col("n1") / n1 * F.log((F.col("n1") + 0.5) / (n1 + 1) * (n0 + 1) / (F.col("n0") + 0.5))
+    counts = counts.withColumn("lift", lift).where((F.col("n1") >= LEAST_MET) & (F.col("lift") > 0))
+    kept = [r["feature"] for r in counts.orderBy(F.desc("lift"), "feature").limit(MAX_FEATURES).collect()]
+    number = {f: i for i, f in enumerate(kept)}
+
+    def numbered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        of_word: dict[str, list[int]] = {}
+        for b in parts(batches, "text"):
+            out = []
+            for t in b["text"]:
+                bag = []
+                for words in sentences(t):
+                    before = len(bag)
+                    for w in words:
+                        if w not in of_word:
+                            of_word[w] = [number[f] for f in features(w) if f in number]
+                        bag += of_word[w]
+                    if len(bag) > before:
+                        bag.append(-1)
+                out.append(np.array(bag, np.int32).tobytes())
+                if len(of_word) > MAX_WORDS:
+                    of_word.clear()
+            yield pd.DataFrame({"label": b["label"], "bag": out})
+
+    rows = picked.mapInPandas(numbered, "label int, bag binary").collect()
+    rows = sorted((r["label"], bytes(r["bag"])) for r in rows)  # the same order whatever the partitions
+    weights, bias = fit([np.frombuffer(x, np.int32) for _, x in rows], np.array([y for y, _ in rows]), len(kept))
+    return {f: float(x) for f, x in zip(kept, weights, strict=True) if x > 0.05}, bias
 
 
 def toxicity(docs: DataFrame, train_docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", per_label: int = PER_LABEL) -> DataFrame:
@@ -130,12 +175,12 @@ def toxicity(docs: DataFrame, train_docs: DataFrame, labels: DataFrame, key: str
     Repeated rows are each scored.  Columns of docs named like the added ones are replaced.
     """
     names = ("score", "predicted", "n_offending", "worst_start", "worst_end", "worst_score")
-    shared = docs.sparkSession.sparkContext.broadcast(train(*sample(train_docs, labels, key, text, label, per_label)))
+    shared = docs.sparkSession.sparkContext.broadcast(learn(train_docs, labels, key, text, label, per_label))
     docs = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c not in names))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer = Scorer(*shared.value)
-        for b in batches:
+        for b in parts(batches, text):
             rows = [scorer.score(t) if isinstance(t, str) else (0.0, 0, -1, -1, 0.0) for t in b[text]]
             score = np.array([r[0] for r in rows], float)
             yield b.assign(score=score, predicted=(score >= 0.5).astype("int32"), n_offending=[int(r[1]) for r in rows], worst_start=[r[2] for r in rows], worst_end=[r[3] for r in rows], worst_score=[r[4] for r in rows])
