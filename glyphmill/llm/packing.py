@@ -7,8 +7,9 @@
    residual counts, which a best fit on the histogram packs: take the longest length left, fill the gap with the
    longest that fits, repeat this pattern as often as the counts allow.  Each step uses up a length.
 4. Assignment.  A pattern used x times owns x consecutive sequences, and each of its slots owns x consecutive ranks
-   among the pieces of its length.  Pieces get their ranks from counts by (length, hash bucket), so no task ever holds
-   all pieces of one length, and find sequence and offset by binary search in the pattern table.
+   among the pieces of its length.  The task that makes a piece numbers it among its own pieces of that length; with the
+   counts of (length, task) added up in order that gives the rank, so pieces of one length are never gathered, however
+   many there are.  Sequence and offset follow by binary search in the pattern table.
 
 What reaches the driver is the histogram and what is broadcast is the pattern table: both bounded by `size` and
 MAX_PATTERNS, not by the input.
@@ -25,18 +26,17 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import regex
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from glyphmill.llm.common import cut, pieces, table
+from glyphmill.llm.common import cut, parts, table
 
 #: Patterns that take part in the fit.
 MAX_PATTERNS = 20_000
-#: Pieces in a rank bucket, about.
-BUCKET_ROWS = 100_000
-#: Distinct words whose ids a worker keeps.
-MAX_WORDS = 1_500_000
+#: Words whose ids a worker keeps, at most twice as many (about 60 MB), and the longest of them.
+MAX_WORDS, LONGEST = 150_000, 40
 
 #: Characters that Python's split() takes for white space and the tokenizer doesn't.
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
@@ -63,54 +63,53 @@ class Encoder:
         self.ends = np.zeros(max(names.values()) + 1, bool)
         self.ends[[i for s, i in names.items() if s.endswith("</w>")]] = True
         self.words: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.raw = [i.to_bytes(4, "little") for i in range(len(self.ends))]
+        self.marks = {mark: self._ids(mark).tobytes() for mark in ".,"}
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
-    def _learn(self, new: set[str]) -> None:
-        known = self.words
-        if len(known) + 2 * len(new) > MAX_WORDS:
-            known.clear()
-        latin, plain, other, split = set(), set(), [], []
+    def _learn(self, new: set[str]) -> dict[str, bytes]:
+        """Ids of words."""
+        known: dict[str, bytes] = {}
+        other, odd = [], []
+        marks, words, old, raw, merges = self.marks, self.words, self.old, self.raw, self.tok.model.tokenize
         for w in new:
-            base = w[:-1] if w[-1] in ".," else w
-            if base.isalpha():  # a run of letters, perhaps with a mark after it: the two are encoded apart
-                if max(base) < LATIN_END and unicodedata.is_normalized("NFC", base) and len(low := base.lower()) == len(base):
-                    base = low
-                    if low not in known:
-                        latin.add(low)
-                elif base not in known:
-                    plain.add(base)
-                if base != w:
-                    split.append((w, base))
+            mark = marks.get(w[-1])
+            base = w if mark is None else w[:-1]
+            plain = base.isascii()
+            if base.isalpha() and (plain or max(base) < LATIN_END and unicodedata.is_normalized("NFC", base)) and len(low := base.lower()) == len(base):
+                # A run of letters, perhaps with a mark after it, which are encoded apart: nothing is left to normalize
+                # or to split, so the merges are all there is to do.
+                ids = known.get(low) or words.get(low) or old.get(low)
+                if ids is None:
+                    shown = low if plain else low.encode().decode("latin-1").translate(_SHOWN)
+                    known[low] = ids = b"".join([raw[t.id] for t in merges(shown)])
+                known[w] = ids if mark is None else ids + mark
             else:
-                other.append(w)
-        model, raw = self.tok.model, self.raw
-        for w in latin:  # nothing is left to normalize or to split: the merges are all there is to do
-            shown = w if w.isascii() else w.encode().decode("latin-1").translate(_SHOWN)
-            known[w] = b"".join([raw[t.id] for t in model.tokenize(shown)])
-        self._encode_words(sorted(plain), None)
-        for mark in ".,":
-            if mark not in known:
-                known[mark] = self._ids(mark).tobytes()
-        for w, base in split:
-            known[w] = known[base] + known[w[-1]] if w[-1] in ".," else known[base]
-        self._encode_words(other, [len(_WORD.findall(unicodedata.normalize("NFC", w).lower())) for w in other])
-
-    def _encode_words(self, words: list[str], counts: list[int] | None) -> None:
-        """Ids of words; counts: of how many words of the vocabulary's kind each consists, one if None."""
+                (other if max(w) < LATIN_END else odd).append(w)
+        self._encode_words(other, known)
+        for at in range(0, len(odd), _TOGETHER):  # what is a letter there depends on the version of Unicode: each alone
+            some = odd[at : at + _TOGETHER]
+            for w, x in zip(some, self.tok.encode_batch_fast(some, add_special_tokens=False), strict=True):
+                known[w] = np.array(x.ids, "<u4").tobytes()
+        return known
+
+    def _encode_words(self, words: list[str], known: dict[str, bytes]) -> None:
+        """Ids of words without characters from LATIN_END on."""
+        counts = [len(_WORD.findall(unicodedata.normalize("NFC", w).lower())) for w in words]
         for at in range(0, len(words), _TOGETHER):
             some = words[at : at + _TOGETHER]
             ids = self._ids(" ".join(some))
             stop = np.flatnonzero(self.ends[ids]) + 1
-            last = np.arange(len(some)) if counts is None else np.cumsum(counts[at : at + _TOGETHER]) - 1
+            last = np.cumsum(counts[at : at + _TOGETHER]) - 1
             if len(stop) == last[-1] + 1 and stop[-1] == len(ids):
                 raw, stop = ids.tobytes(), 4 * stop[last]
                 start = np.append(0, stop[:-1])
-                self.words.update((w, raw[a:b]) for w, a, b in zip(some, start.tolist(), stop.tolist(), strict=True))
+                known.update((w, raw[a:b]) for w, a, b in zip(some, start.tolist(), stop.tolist(), strict=True))
             else:
-                self.words.update((w, self._ids(w).tobytes()) for w in some)
+                known.update((w, self._ids(w).tobytes()) for w in some)
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text, in order."""
@@ -130,14 +129,22 @@ class Encoder:
         yield from self._joined(split)
 
     def _joined(self, split: list[list[str]]) -> Iterator[bytes]:
-        new = set().union(*split).difference(self.words)
-        if new:
-            self._learn(new)
-            if len(self.words) < MAX_WORDS // 2:  # the store may have been emptied on the way
-                self._learn(set().union(*split).difference(self.words))
-        get = self.words.__getitem__
-        for words in split:
-            yield b"".join(map(get, words))
+        """New words of this block are looked up among the old ones, then encoded.  When MAX_WORDS are kept they become
+        the old ones, of which only those that are met again are kept on."""
+        words, old = self.words, self.old
+        new = set().union(*split).difference(words)
+        again = new & old.keys()
+        words.update((w, old[w]) for w in again)
+        fresh = self._learn(new - again)
+        words.update(fresh)
+        get = words.__getitem__
+        for x in split:
+            yield b"".join(map(get, x))
+        for w in fresh:
+            if len(w) > LONGEST:
+                words.pop(w, None)
+        if len(words) > MAX_WORDS:
+            self.old, self.words = words, {}
 
 
 @lru_cache(1)
@@ -160,22 +167,27 @@ def blocks(text: str) -> Iterator[str]:
 
 
 def tokenized(docs: DataFrame, path: str, size: int, key: str = "doc_id", text: str = "text", end_id: int = 0) -> DataFrame:
-    """One row for each piece: key, piece, start, length, ids_crc32."""
+    """One row for each piece: key, piece, start, length, ids_crc32, and its number among the pieces of that length that
+    the same task made."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = encoder_of(path)
         mark = np.array([end_id], "<u4").tobytes()
-        for b in batches:
+        task = TaskContext.get().partitionId()  # the same when the task is run again
+        made = [0] * (size + 1)
+        for b in parts(batches, text):
             rows = []
             for k, ids in zip(b[key], encoder.encode([t if isinstance(t, str) else "" for t in b[text]]), strict=True):
                 ids += mark
                 for i, at in enumerate(range(0, len(ids) // 4, size)):
                     part = ids[4 * at : 4 * (at + size)]
-                    rows.append((k, i, at, len(part) // 4, zlib.crc32(part)))
-            yield pd.DataFrame(rows, columns=[key, "piece", "start", "length", "ids_crc32"]).astype({key: b[key].dtype})
+                    n = len(part) // 4
+                    rows.append((k, i, at, n, zlib.crc32(part), task, made[n]))
+                    made[n] += 1
+            yield pd.DataFrame(rows, columns=[key, "piece", "start", "length", "ids_crc32", "_task", "_nth"]).astype({key: b[key].dtype})
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text).mapInPandas(run, f"`{key}` {kind}, piece int, start long, length long, ids_crc32 long")
+    return docs.select(key, text).mapInPandas(run, f"`{key}` {kind}, piece int, start long, length long, ids_crc32 long, _task int, _nth long")
 
 
 def patterns(counts: np.ndarray, size: int) -> list[tuple[int, ...]]:
@@ -262,20 +274,16 @@ def slots(chosen: list[tuple[tuple[int, ...], int]]) -> dict[int, tuple[np.ndarr
 def packed(found: DataFrame, size: int, key: str = "doc_id") -> DataFrame:
     """Pieces (rows of tokenized(), stored) with sequence_id and offset."""
     spark = found.sparkSession
-    buckets = pieces(found, BUCKET_ROWS)
-    bucket = F.pmod(F.xxhash64(key, "piece", "ids_crc32"), F.lit(buckets)).cast("int")
-    found = found.withColumn("_bucket", bucket)
-    counts = found.groupBy("length", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    counts = cut(found.groupBy("length", "_task").agg(F.count(F.lit(1)).alias("_n")), "counts")
     histogram = np.zeros(size + 1, np.int64)
     for r in counts.groupBy("length").agg(F.sum("_n").alias("n")).collect():  # at most `size` rows
         histogram[r["length"]] = r["n"]
     shared = spark.sparkContext.broadcast(slots(plan(histogram, size)))
 
-    before = F.sum("_n").over(Window.partitionBy("length").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1))
-    starts = counts.withColumn("_before", F.coalesce(before, F.lit(0)))
-    within = F.row_number().over(Window.partitionBy("length", "_bucket").orderBy(key, "piece", "ids_crc32"))
-    ranked = found.withColumn("_within", within).join(starts.select("length", "_bucket", "_before"), ["length", "_bucket"])
-    ranked = ranked.withColumn("_rank", F.col("_before") + F.col("_within") - 1)
+    before = F.sum("_n").over(Window.partitionBy("length").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1))
+    starts = counts.select("length", "_task", F.coalesce(before, F.lit(0)).alias("_before"))
+    # The counts grow with the tasks, so they are dealt with the pieces; a length of one task has few of either.
+    ranked = found.join(starts.hint("merge"), ["length", "_task"]).withColumn("_rank", F.col("_before") + F.col("_nth"))
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         at = shared.value
