@@ -6,10 +6,13 @@ tree holds; a byte not seen there pays the escape of that context and goes on in
 chance in 256.  Escapes are by method C (distinct followers against all followers).  The language with the shortest
 code wins.
 
-The frozen tree is laid out as one table: row = context, column = byte class, and in each cell the code lengths in all
-languages, with every escape already added.  A map from the last ORDER byte classes to a row gives the longest context
-held, so scoring is two array look-ups a byte and needs no state between rows: a plain map over the input, without
-shuffle, where a lost executor costs only its own tasks.
+The frozen tree is sparse: a row for each context, with a bitmap of the byte classes that follow it in any language and
+one entry for each of those, holding the code length in every language with all escapes already added.  A map from the
+last ORDER byte classes gives the row of the longest context held; a byte that isn't in its bitmap pays the escapes of
+the row and goes on in the row of the next shorter context.  So most bytes take one look-up, and scoring needs no state
+between rows: a plain map over the input, without shuffle, where a lost executor costs only its own tasks.
+
+The sample's texts are counted whole, by the executors; what reaches the driver are at most MAX_GRAMS counts a language.
 """
 
 from __future__ import annotations
@@ -24,27 +27,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from glyphmill.llm.common import cut, discard, fold, table
+from glyphmill.llm.common import cut, discard, fold, parts, table
 
 ORDER = 3
 LETTER = regex.compile(r"\p{L}")
 #: A text is scored in runs of this many bytes, so memory doesn't depend on its length.
-RUN_BYTES = 1 << 21
+RUN_BYTES = 1 << 18
+#: Counts a language that a model holds: those of its most frequent runs of ORDER + 1 bytes.
+MAX_GRAMS = 100_000
+_PAD = b"\n" * ORDER
 
 
 @dataclass
 class PPM:
-    """Frozen statistics.  classes: byte -> class, 0 for bytes never seen; rows: last ORDER classes -> row of cost;
-    cost: (row * n_classes + class) -> bits in each language."""
+    """Frozen statistics.  classes: byte -> class, 0 for bytes never seen; rows: last ORDER classes -> row; up: row -> row
+    of the next shorter context (-1: none); bits: the classes that follow a row's context, as a bitmap in words of 64;
+    first: number of the first entry of such a word; cost: bits of an entry in each language; escape: those of a row."""
 
     langs: list[str]
     classes: np.ndarray
     rows: np.ndarray
+    up: np.ndarray
+    bits_: np.ndarray
+    first: np.ndarray
     cost: np.ndarray
+    escape: np.ndarray
 
-    @property
-    def n_classes(self) -> int:
-        return int(self.classes.max()) + 1
+    def entries(self, row: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        """Number of the entry of each (row, class), -1 where there is none."""
+        return _entries(self.bits_, self.first, row, symbol)
 
     def bits(self, texts: list[bytes]) -> np.ndarray:
         """Code length of each text in each language."""
@@ -53,7 +64,7 @@ class PPM:
         for i, t in enumerate(texts):
             for at in range(0, len(t), RUN_BYTES):
                 head = t[max(0, at - ORDER) : at]
-                run = b"\n" * (ORDER - len(head)) + head + t[at : at + RUN_BYTES]
+                run = _PAD[len(head) :] + head + t[at : at + RUN_BYTES]
                 if size + len(run) > RUN_BYTES and batch:
                     self._add(out, batch)
                     batch, size = [], 0
@@ -64,114 +75,173 @@ class PPM:
         return out
 
     def _add(self, out: np.ndarray, batch: list[tuple[int, bytes]]) -> None:
-        a = self.n_classes
+        a = int(self.classes.max()) + 1
         c = self.classes[np.frombuffer(b"".join(x for _, x in batch), np.uint8)]
-        context = np.zeros(len(c) - ORDER, np.int64)
+        n = len(c) - ORDER
+        context = np.zeros(n, np.int64)
         for k in range(ORDER):
             context *= a
-            context += c[k : len(c) - ORDER + k]
-        cell = self.rows[context].astype(np.int64) * a + c[ORDER:]
+            context += c[k : n + k]
+        row, symbol = self.rows[context], c[ORDER:]
+        at = self.entries(row, symbol)
+        missed = np.flatnonzero(at < 0)
+        rest = _climbed(self, row[missed], symbol[missed])
         ends = np.cumsum([len(x) for _, x in batch])
         edges = np.empty(2 * len(batch), np.int64)
         edges[0::2], edges[1::2] = np.concatenate([[0], ends[:-1]]), ends - ORDER
+        owner = [i for i, _ in batch]
+        value = np.zeros(n + 1, np.float32)
         for k in range(len(self.langs)):
-            sums = np.add.reduceat(np.append(self.cost[k][cell], 0.0), edges, dtype=np.float64)[0::2]
-            np.add.at(out[:, k], [i for i, _ in batch], sums)
+            np.take(self.cost[k], at, out=value[:n], mode="wrap")
+            value[missed] = rest[k]
+            np.add.at(out[:, k], owner, np.add.reduceat(value, edges, dtype=np.float64)[0::2])
+
+
+def _entries(bits: np.ndarray, first: np.ndarray, row: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+    at = row * np.int64(bits.shape[1]) + (symbol >> 6)
+    word, place = bits.ravel()[at], (symbol & 63).astype(np.uint64)
+    below = np.bitwise_count(word & ((np.uint64(1) << place) - np.uint64(1)))
+    return np.where((word >> place) & np.uint64(1), first.ravel()[at] + below, -1)
+
+
+def _climbed(model: PPM, row: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+    """Bits in each language of classes that do not follow the context of their row."""
+    out = np.zeros((len(model.langs), len(row)), np.float32)
+    left = np.arange(len(row))
+    while len(left):
+        out[:, left] += model.escape[:, row]
+        row = model.up[row]
+        out[:, left[row < 0]] += 8.0
+        left, row, symbol = left[row >= 0], row[row >= 0], symbol[row >= 0]
+        at = model.entries(row, symbol)
+        met = at >= 0
+        out[:, left[met]] += model.cost[:, at[met]]
+        left, row, symbol = left[~met], row[~met], symbol[~met]
+    return out
+
 
+def gram_counts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Each byte of the texts with the ORDER bytes before it (line feeds before the first) as one number, counted."""
+    out: dict[int, int] = {}
+    for t in texts:
+        for at in range(0, len(t), 1 << 22):
+            head = t[max(0, at - ORDER) : at]
+            x = np.frombuffer(_PAD[len(head) :] + head + t[at : at + (1 << 22)], np.uint8).astype(np.uint32)
+            n = len(x) - ORDER
+            code = np.zeros(n, np.uint32)
+            for k in range(ORDER + 1):
+                code = code << np.uint32(8) | x[k : n + k]
+            for g, m in zip(*(y.tolist() for y in np.unique(code, return_counts=True)), strict=True):
+                out[g] = out.get(g, 0) + m
+    return np.fromiter(out, np.uint32, len(out)), np.fromiter(out.values(), np.int64, len(out))
 
-def train(samples: dict[str, list[bytes]], min_count: int = 3) -> PPM:
-    """Count the trees.  Contexts of two or more bytes met fewer than min_count times in every language are left out."""
-    langs = sorted(samples)
-    joined = {l: np.frombuffer(b"".join(b"\n" * ORDER + t for t in samples[l]) or b"\n" * ORDER, np.uint8) for l in langs}
+
+def train(counts: dict[str, tuple[np.ndarray, np.ndarray]], min_count: int = 3) -> PPM:
+    """The model of gram_counts() of each language.  Contexts of two or more bytes met fewer than min_count times in every
+    language are left out."""
+    langs = sorted(counts)
     seen = np.zeros(256, bool)
-    for x in joined.values():
-        seen[x] = True
+    seen[10] = True
+    for grams, _ in counts.values():
+        for k in range(ORDER + 1):
+            seen[grams >> np.uint32(8 * k) & np.uint32(255)] = True
     classes = np.zeros(256, np.int64)
     classes[seen] = np.arange(1, seen.sum() + 1)
     a = int(seen.sum()) + 1
-    codes = {l: classes[x] for l, x in joined.items()}
-    # The bytes put before each text are contexts, but nobody has to predict them.
-    counted = {}
-    for l, x in joined.items():
-        mask = np.ones(len(x), bool)
-        starts = np.cumsum([0] + [ORDER + len(t) for t in samples[l]])[:-1]
-        mask[(starts[:, None] + np.arange(ORDER)).ravel()] = False
-        counted[l] = mask[ORDER:]
-
-    level_rows, level_cost = None, None
+    width = -(-a // 64)
+    model = PPM(langs, classes, np.zeros(1, np.int64), np.zeros(0, np.int64), np.zeros((0, width), np.uint64), np.zeros((0, width), np.int64), np.zeros((len(langs), 0), np.float32), np.zeros((len(langs), 0), np.float32))
     for order in range(ORDER + 1):
-        grams = {}
-        for l, c in codes.items():
-            ctx = np.zeros(len(c) - ORDER, np.int64)
-            for k in range(ORDER - order, ORDER):
-                ctx = ctx * a + c[k : len(c) - ORDER + k]
-            pair, n = np.unique((ctx * a + c[ORDER:])[counted[l]], return_counts=True)
-            grams[l] = (pair, n)
-        held = np.unique(np.concatenate([_contexts(*g, a, 1 if order < 2 else min_count) for g in grams.values()]))
-        if order == 0:
-            held = np.zeros(1, np.int64)
-        if level_rows is None:
-            rows, parent = np.zeros(1, np.int32), np.full((1, a, len(langs)), 8.0)
+        pairs, contexts = [], []
+        for l in langs:
+            grams, n = counts[l]
+            code = np.zeros(len(grams), np.int64)
+            for k in range(order, -1, -1):
+                code = code * a + classes[grams >> np.uint32(8 * k) & np.uint32(255)]
+            code, at = np.unique(code, return_inverse=True)
+            n = np.bincount(at, n, len(code)).astype(np.int64) if len(code) else np.zeros(0, np.int64)
+            context, at = np.unique(code // a, return_inverse=True)
+            total = np.bincount(at, n, len(context)) if len(context) else np.zeros(0)
+            contexts.append(context[total >= (1 if order < 2 else min_count)])
+            pairs.append((code, n))
+        held = np.unique(np.concatenate(contexts)) if order else np.zeros(1, np.int64)
+        base = len(model.up)
+        if order:
+            up = model.rows[held % a ** (order - 1)]
+            model.rows = np.tile(model.rows, a)
+            model.rows[held] = base + np.arange(len(held))
         else:
-            up = level_rows[held % a ** (order - 1)]
-            parent = level_cost[up]
-            rows = np.tile(level_rows, a)
-            rows[held] = len(level_cost) + np.arange(len(held), dtype=np.int32)
-        cost = parent.copy()
-        for j, l in enumerate(langs):
-            pair, n = grams[l]
-            at = np.searchsorted(held, pair // a)
-            ok = (at < len(held)) & (held[np.minimum(at, len(held) - 1)] == pair // a)
-            at, sym, n = at[ok], (pair % a)[ok], n[ok]
-            total = np.bincount(at, n, len(held))
-            kinds = np.bincount(at, minlength=len(held))
-            met = total > 0
-            cost[met, :, j] += -np.log2(kinds[met] / (total[met] + kinds[met]))[:, None]
-            cost[at, sym, j] = -np.log2(n / (total[at] + kinds[at]))
-        level_cost = cost if level_cost is None else np.concatenate([level_cost, cost])
-        level_rows = rows
-    flat = level_cost.reshape(-1, len(langs)).astype(np.float32)
-    return PPM(langs, classes, level_rows.astype(np.int32), np.ascontiguousarray(flat.T))
+            up = np.array([-1])
 
+        def place(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """Which codes have a context that is held, and its number."""
+            i = np.minimum(np.searchsorted(held, code // a), len(held) - 1)
+            return held[i] == code // a, i
 
-def _contexts(pair: np.ndarray, n: np.ndarray, a: int, least: int) -> np.ndarray:
-    ctx, at = np.unique(pair // a, return_inverse=True)
-    return ctx[np.bincount(at, n, len(ctx)) >= least]
+        known = np.unique(np.concatenate([code[place(code)[0]] for code, _ in pairs]))
+        row, symbol = place(known)[1], known % a
+        # Where a language hasn't met the class in this context: its escape and what the shorter context says.
+        cost = np.full((len(langs), len(known)), 8.0, np.float32)
+        if order:
+            at = model.entries(up[row], symbol)
+            cost = np.where(at >= 0, model.cost[:, at], _climbed(model, up[row], symbol))
+        escape = np.zeros((len(langs), len(held)), np.float32)
+        for j, (code, n) in enumerate(pairs):
+            ok, i = place(code)
+            code, n, i = code[ok], n[ok], i[ok]
+            total, kinds = np.bincount(i, n, len(held)), np.bincount(i, minlength=len(held))
+            met = total > 0
+            escape[j, met] = -np.log2(kinds[met] / (total[met] + kinds[met]))
+            cost[j] += escape[j, row]
+            cost[j, np.searchsorted(known, code)] = -np.log2(n / (total[i] + kinds[i]))
+        bits = np.zeros((len(held), width), np.uint64)
+        np.bitwise_or.at(bits, (row, symbol >> 6), np.uint64(1) << (symbol & 63).astype(np.uint64))
+        held_before = np.cumsum(np.bitwise_count(bits).ravel().astype(np.int64))
+        first = model.cost.shape[1] + np.concatenate([[0], held_before[:-1]]).reshape(len(held), width)
+        model.up = np.concatenate([model.up, up])
+        model.bits_, model.first = np.concatenate([model.bits_, bits]), np.concatenate([model.first, first])
+        model.cost, model.escape = np.concatenate([model.cost, cost], axis=1), np.concatenate([model.escape, escape], axis=1)
+    return model
 
 
-def sample_texts(docs: DataFrame, text: str, lang: str, key: str, per_lang: int, max_chars: int, langs: list[str]) -> dict[str, list[bytes]]:
-    """At most per_lang texts of each of langs, picked by a hash of their key, none over max_chars characters; where a
-    language has longer texts only, their first max_chars characters from the first letter on."""
-    fit = docs.where(F.col(lang).isin(langs) & F.col(text).rlike(r"\p{L}")).withColumn("_long", F.length(text) > max_chars)
-    order = Window.partitionBy("lang").orderBy("long", "h", "key")
+def sampled_counts(docs: DataFrame, text: str, lang: str, key: str, per_lang: int, langs: list[str]) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """gram_counts() of at most per_lang whole texts of each of langs, picked by a hash of their key; of very many
+    different grams the MAX_GRAMS most frequent."""
+    fit = docs.where(F.col(lang).isin(langs) & F.col(text).rlike(r"\p{L}"))
+    order = Window.partitionBy("lang").orderBy("h", "key")
     picked = (
-        fit.select(F.col(lang).alias("lang"), F.col(key).alias("key"), F.col("_long").alias("long"), F.xxhash64(F.col(key).cast("string")).alias("h"))
+        fit.select(F.col(lang).alias("lang"), F.col(key).alias("key"), F.xxhash64(F.col(key).cast("string")).alias("h"))
         .withColumn("rn", F.row_number().over(order))
         .where(F.col("rn") <= per_lang)
-        .select("lang", "key", "long")
+        .select(F.col("lang").alias("_lang"), F.col("key").alias("_key"))
         .limit(per_lang * len(langs))
-        .withColumn("least", F.min("long").over(Window.partitionBy("lang")))
-        .where(F.col("long") == F.col("least"))
+        .distinct()
     )
-    picked = picked.select(F.col("lang").alias("_lang"), "key", F.col("long").alias("_cut")).distinct()
-    start = F.substring(F.regexp_replace(F.col(text), r"^\P{L}+", ""), 1, max_chars)
-    rows = fit.select(F.col(lang).alias("lang"), F.col(key).alias("key"), F.when(F.col("_long"), start).otherwise(F.col(text)).alias("text"), "_long")
-    same = (rows["key"] == picked["key"]) & (rows["lang"] == picked["_lang"]) & (rows["_long"] == picked["_cut"])
-    rows = rows.join(F.broadcast(picked), same).select("lang", rows["key"], "text")
+    rows = fit.select(F.col(lang).alias("lang"), F.col(key).alias("key"), F.col(text).alias("text"))
+    rows = rows.join(F.broadcast(picked), F.col("key").eqNullSafe(F.col("_key")) & (F.col("lang") == F.col("_lang"))).select("lang", "key", "text")
     rows = rows.groupBy("lang", "key").agg(F.min("text").alias("text"))  # however often a key is repeated
-    found: dict[str, list[tuple]] = {}
-    for r in rows.collect():
-        found.setdefault(r.lang, []).append((r.key, r.text.encode("utf-8", "replace")))
-    return {l: [t for _, t in sorted(x)][:per_lang] for l, x in found.items()}
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in parts(batches, "text"):
+            found = [gram_counts([t.encode("utf-8", "replace")]) for t in b["text"]]
+            yield pd.DataFrame({"lang": b["lang"], "grams": [g.tobytes() for g, _ in found], "n": [n.tobytes() for _, n in found]})
+
+    def merge(some: pd.DataFrame) -> pd.DataFrame:  # per_lang rows at most
+        grams, at = np.unique(np.concatenate([np.frombuffer(x, np.uint32) for x in some["grams"]]), return_inverse=True)
+        n = np.bincount(at, np.concatenate([np.frombuffer(x, np.int64) for x in some["n"]]), len(grams)).astype(np.int64)
+        most = np.sort(np.lexsort((grams, -n))[:MAX_GRAMS])
+        return pd.DataFrame({"lang": [some["lang"].iloc[0]], "grams": [grams[most].tobytes()], "n": [n[most].tobytes()]})
+
+    schema = "lang string, grams binary, n binary"
+    found = rows.select("lang", "text").mapInPandas(count, schema).groupBy("lang").applyInPandas(merge, schema)
+    return {r["lang"]: (np.frombuffer(r["grams"], np.uint32), np.frombuffer(r["n"], np.int64)) for r in found.collect()}
 
 
 def identify(
-    docs: DataFrame, train_rows: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", per_lang: int = 250, max_chars: int = 50_000, langs_a_pass: int = 64
+    docs: DataFrame, train_rows: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", per_lang: int = 250, langs_a_pass: int = 16
 ) -> DataFrame:
     """docs with the columns lang_pred and score added (score: the predicted language's posterior under equal priors).
 
-    The trees are fitted on at most per_lang texts of each language of train_rows, none over max_chars characters (of
-    languages with longer texts only, their beginnings).  Every row of docs is scored over its whole text in every
+    The trees are fitted on at most per_lang whole texts of each language of train_rows.  Every row of docs is scored over its whole text in every
     language: langs_a_pass languages are learned and scored at once, and with more, docs are written with their best
     language so far after each pass.  Null texts and texts without a letter get `und` and score 0, as does every
     text where train_rows gives nothing to learn.  Ties go to the language that sorts first.  Repeated rows are kept.
@@ -187,8 +257,8 @@ def identify(
     passes = [langs[k : k + langs_a_pass] for k in range(0, len(langs), langs_a_pass)] or [[]]
     made = None
     for k, some in enumerate(passes):
-        samples = sample_texts(train_rows, text, lang, key, per_lang, max_chars, some) if some else {}
-        shared = spark.sparkContext.broadcast(train(samples) if samples else None)
+        counts = sampled_counts(train_rows, text, lang, key, per_lang, some) if some else {}
+        shared = spark.sparkContext.broadcast(train(counts) if counts else None)
         docs = docs.mapInPandas(_scored(shared, text, k == 0, k == len(passes) - 1), (docs.withColumns(state) if k == 0 else docs).schema)
         if k < len(passes) - 1:
             docs, before = cut(docs, "languages"), made
@@ -202,7 +272,7 @@ def identify(
 def _scored(shared, text: str, first: bool, last: bool):
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = shared.value
-        for b in batches:
+        for b in parts(batches, text):
             texts = b[text].tolist()
             at = [i for i, t in enumerate(texts) if isinstance(t, str) and model is not None and LETTER.search(t)]
             if first:
