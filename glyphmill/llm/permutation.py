@@ -1,17 +1,25 @@
 """Nearest neighbours by a permutation index.
 
-A vector is represented by the order of PIVOTS pivots by their distance from it.  The index is cut into blocks of about
-BLOCK vectors; within a block every vector is posted in the inverted files of its POSTED nearest pivots.  A query opens
-the files of its own POSTED nearest pivots, ranks what it finds there by the footrule distance (the sum of the
-differences of a pivot's places in both orders), and the best SHARE of a block, at least LEAST vectors, are ranked anew
-by their exact distances.  These give a distance that a result can't exceed; by the triangle inequality a vector whose
-distance from one of the query's pivots differs by more from the query's own is further away.  All others are ranked
-too, so the result is exact whatever the pivots are: they only decide how much is ranked.  The nearest of all blocks are
-merged.
+A vector is represented by the order of the pivots by their distance from it, of which the first PREFIX are kept.
+
+1. Pivots are vectors spread apart, each the furthest from those before it in a bounded sample picked by hash; their
+   number grows with the root of the vectors'.  Near copies give one pivot.
+2. Every vector is posted, with its order, in the inverted files of its POSTED nearest pivots.  A file of more than FILE
+   postings is dealt out by hash, and queries go to each part of it.
+3. A query opens the files of its nearest pivots (OPENED, or an OPEN_SHARE of all) and ranks what it meets there by the
+   footrule distance: the sum of the differences of a pivot's places in both orders, a missing place counting as PREFIX.
+   A pair that shares several files is looked at in the query's nearest one.
+4. Those within the query's best go on; how many that is (`wanted`) grows with the 0.7th power of the number of vectors.
+   Where that rank lies is told by the footrule distances from the sample, so nothing has to be gathered to know it.
+5. They are ranked anew by exact distances: the index is cut into blocks of about BLOCK vectors, and each block gets the
+   queries that have candidates in it.
+
+A pivot that is the nearest of more than CROWDED of all vectors - a hot group of near copies, whose orders are alike - has
+an index of its own with pivots of its own, searched by the queries that open its file.  A query that found too few is
+searched again with every file open, so a full result is never missed.
 
 Equal vectors are one entry: a class with its smallest ids, as many as a result can hold.  So a vector that a third of
-all rows share costs one entry, and its ties are exact.  Pivots are PIVOTS vectors spread apart, each the furthest from
-those before it in a bounded sample (SAMPLE vectors picked by hash), so near copies give one pivot; every row is indexed.  Queries are a stated set, searched in blocks of QUERIES against every block of the index.
+all rows share costs one entry, and its ties are exact.  Every row is indexed; only the pivots come from a sample.
 """
 
 from __future__ import annotations
@@ -24,8 +32,14 @@ from pyspark.sql.window import Window
 
 from glyphmill.llm.common import cut, table
 
-PIVOTS, POSTED, BLOCK, QUERIES_A_BLOCK = 256, 20, 4096, 2048
-SHARE, LEAST, SAMPLE = 0.08, 200, 4096
+PREFIX, POSTED, OPENED, OPEN_SHARE = 96, 8, 64, 1 / 16
+#: Most pivots; vectors that each is picked out of.
+PIVOTS, PER_PIVOT = 4096, 4
+FILE, BLOCK, QUERIES_A_BLOCK = 8192, 4096, 8192
+#: Share of all vectors (and number) from which a pivot's own ones get an index of their own, and how deep that may go.
+CROWDED, CROWD, DEPTH = 1 / 8, 400, 6
+#: Candidates a query that are ranked anew: LEAST, or FACTOR times the 0.7th power of the number of vectors.
+LEAST, FACTOR = 150, 0.8
 
 
 def usable(vector: Column) -> Column:
@@ -34,7 +48,7 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & F.coalesce(fine, F.lit(False)) & F.exists(vector, lambda x: x != 0)
 
 
-def spread(sample: np.ndarray, n: int = PIVOTS) -> np.ndarray:
+def spread(sample: np.ndarray, n: int) -> np.ndarray:
     """n vectors of the sample, each the furthest from those before it; all of them if there are no more."""
     at, gap = [0], np.full(len(sample), np.inf)
     while len(at) < min(n, len(sample)):
@@ -44,60 +58,133 @@ def spread(sample: np.ndarray, n: int = PIVOTS) -> np.ndarray:
     return sample[at]
 
 
-def distances(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    """Euclidean distance of each vector from each pivot."""
-    square = (vectors * vectors).sum(1)[:, None] + (pivots * pivots).sum(1) - 2 * (vectors @ pivots.T)
-    return np.sqrt(np.maximum(square, 0.0))
+def orders(vectors: np.ndarray, pivots: np.ndarray, size: int = PREFIX) -> np.ndarray:
+    """The `size` nearest pivots of each vector, nearest first; ties go to the earlier pivot."""
+    out, size = [], min(size, len(pivots))
+    for at in range(0, len(vectors), 1024):
+        near = (pivots * pivots).sum(1) - 2 * (vectors[at : at + 1024] @ pivots.T)
+        first = np.sort(np.argpartition(near, size - 1, axis=1)[:, :size], axis=1)
+        out.append(np.take_along_axis(first, np.argsort(np.take_along_axis(near, first, 1), axis=1, kind="stable"), 1))
+    return np.concatenate(out).astype(np.int16)
 
 
-def places(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    """The place of each pivot in each vector's order; ties go to the earlier pivot."""
-    near = (pivots * pivots).sum(1) - 2 * (vectors @ pivots.T)
-    order = np.argsort(near, axis=1, kind="stable")
-    out = np.empty(order.shape, np.int16)
-    np.put_along_axis(out, order, np.arange(len(pivots), dtype=np.int16)[None, :], axis=1)
+def places(order: np.ndarray, n_pivots: int) -> np.ndarray:
+    """The place of each pivot in one order; the order's length where it isn't in it."""
+    out = np.full(n_pivots, len(order), np.int32)
+    out[order] = np.arange(len(order))
     return out
 
 
-def search_block(queries: np.ndarray, vectors: np.ndarray, pivots: np.ndarray, k: int, share: float = SHARE) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each query the positions of the k nearest among vectors and their exact distances."""
-    asked, posted = places(queries, pivots), places(vectors, pivots)
-    from_pivots, own_gaps = np.ascontiguousarray(distances(vectors, pivots).T), distances(queries, pivots)
-    # What rounding may add to a difference of two distances from pivots.
-    slack = 1e-6 * max(np.abs(vectors).max(), np.abs(queries).max(), np.abs(pivots).max()) * np.sqrt(vectors.shape[1])
-    n_posted = min(POSTED, len(pivots))
-    files = [np.flatnonzero(posted[:, p] < n_posted) for p in range(len(pivots))]
-    most = max(LEAST, int(share * len(vectors)), k)
-    out = []
-    for q, own, own_gap in zip(queries, asked, own_gaps, strict=True):
-        met = np.zeros(len(vectors), bool)
-        opened = np.flatnonzero(own < n_posted)
-        for p in opened:
-            met[files[p]] = True
-        at = np.flatnonzero(met)
-        if len(at) > most:
-            footrule = np.abs(posted[at] - own).sum(1, dtype=np.int32)
-            at = at[np.argpartition(footrule, most - 1)[:most]]
-        gap = np.sqrt(((vectors[at] - q) ** 2).sum(1))
-        edge = np.partition(gap, k - 1)[k - 1] if len(at) >= k else np.inf
-        far = np.zeros(len(vectors), bool)
-        far[at] = True
-        for p in opened:
-            far |= np.abs(from_pivots[p] - own_gap[p]) > edge + slack
-        rest = np.flatnonzero(~far)
-        at, gap = np.append(at, rest), np.append(gap, np.sqrt(((vectors[rest] - q) ** 2).sum(1)))
-        if len(at) > k:
-            # Everything as near as the k-th stays for now: ties are for the merge to decide.
-            edge = np.partition(gap, k - 1)[k - 1]
-            near = gap <= edge
-            at, gap = at[near], gap[near]
-        out.append((at, gap))
-    return out
+def footrule(place: np.ndarray, found: np.ndarray) -> np.ndarray:
+    """Distance of the order with these places from each of the found orders, up to a constant."""
+    size = found.shape[1]
+    own = place[found]
+    return (np.abs(own - np.arange(size)) + own - size).sum(1) + size * (size - 1) // 2
+
+
+def wanted(n: int) -> int:
+    """How many of n vectors are ranked anew by exact distances."""
+    return max(LEAST, int(FACTOR * n**0.7))
+
+
+def candidates(index: DataFrame, asked: DataFrame, n: int, depth: int = 0, whole: bool = False) -> DataFrame:
+    """(qcid, cid) of what the queries asked (qcid, v) find in index (cid, v) of n vectors.  With whole, every file is
+    opened and nothing is left out."""
+    spark = index.sparkSession
+    n_pivots = max(1, min(PIVOTS, int(4 * n**0.5)))
+    sample = np.array([r["v"] for r in index.orderBy(F.xxhash64("cid", F.lit(7)), "cid").limit(PER_PIVOT * n_pivots).select("v").collect()])
+    pivots = spread(sample, n_pivots)
+    n_pivots = len(pivots)
+    known = orders(sample, pivots)
+    n_opened = n_pivots if whole else max(OPENED, int(OPEN_SHARE * n_pivots))
+    shared = spark.sparkContext.broadcast(pivots)
+
+    def posted(batches):
+        for b in batches:
+            if len(b):
+                found = orders(np.stack(b["v"]), shared.value)
+                yield pd.DataFrame({"cid": b["cid"], "prefix": [x.tobytes() for x in found], "files": [x[:POSTED].astype(np.int32) for x in found]})
+
+    postings = cut(index.select("cid", "v").mapInPandas(posted, "cid long, prefix binary, files array<int>"), "postings")
+    home = F.element_at("files", 1)
+    homes = {r["home"]: r["n"] for r in postings.groupBy(home.alias("home")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    crowded = [] if whole or depth == DEPTH else sorted(p for p, m in homes.items() if m > max(CROWD, CROWDED * n))
+    calm = postings.where(~home.isin(crowded)) if crowded else postings
+    n_calm = n - sum(homes[p] for p in crowded)
+    rest = known[~np.isin(known[:, 0], crowded)] if crowded else known
+    share = 1.0 if whole else min(1.0, wanted(n_calm) / max(n_calm, 1))
+    of_sample = spark.sparkContext.broadcast(rest)
+
+    def opened(batches):
+        for b in batches:
+            if len(b):
+                found = orders(np.stack(b["v"]), shared.value, max(PREFIX, n_opened))
+                limit = []
+                for x in found:
+                    gap = np.sort(footrule(places(x[:PREFIX], n_pivots), of_sample.value)) if share < 1 and len(of_sample.value) else []
+                    limit.append(int(gap[min(len(gap) - 1, int(share * len(gap)))]) if len(gap) else 1 << 30)
+                yield pd.DataFrame({"qcid": b["qcid"], "prefix": [x.tobytes() for x in found], "files": [x[:n_opened].astype(np.int32) for x in found], "most": limit})
+
+    queries = cut(asked.select("qcid", "v").mapInPandas(opened, "qcid long, prefix binary, files array<int>, most long"), "opened")
+    files = calm.select(F.explode("files").alias("file"), "cid", "prefix")
+    sizes = F.broadcast(files.groupBy("file").agg(F.ceil(F.count(F.lit(1)) / FILE).cast("int").alias("n_parts")))  # a row a pivot
+    right = files.join(sizes, "file").select("file", F.pmod(F.xxhash64("cid"), "n_parts").cast("int").alias("part"), "cid", "prefix")
+    left = queries.select(F.explode("files").alias("file"), "qcid", "prefix", "most").join(sizes, "file")
+    left = left.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("n_parts") - 1))).drop("n_parts")
+
+    def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        out = {"qcid": [], "cid": []}
+        if len(left) and len(right):
+            read = lambda x: np.frombuffer(b"".join(x), np.int16).reshape(len(x), -1)
+            found, ids, here = read(right["prefix"]), right["cid"].to_numpy(), left["file"].iloc[0]
+            for q, order, most in zip(left["qcid"], read(left["prefix"]), left["most"], strict=True):
+                place = places(order[:n_opened], n_pivots)
+                at = np.flatnonzero(place[found[:, :POSTED]].min(1) == place[here])  # the pair's first shared file
+                at = at[footrule(places(order[:PREFIX], n_pivots), found[at]) <= most]
+                out["qcid"].append(np.full(len(at), q))
+                out["cid"].append(ids[at])
+        return pd.DataFrame({k: np.concatenate(x) if x else np.zeros(0, np.int64) for k, x in out.items()})
+
+    met = left.groupBy("file", "part").cogroup(right.groupBy("file", "part")).applyInPandas(search, "qcid long, cid long")
+    for p in crowded:
+        inside = cut(index.join(postings.where(home == p).select("cid"), "cid"), "crowded")
+        theirs = asked.join(queries.where(F.array_contains("files", p)).select("qcid"), "qcid")
+        met = met.union(candidates(inside, theirs, homes[p], depth + 1))
+    return met
+
+
+def ranked(pairs: DataFrame, index: DataFrame, asked: DataFrame, n: int, k: int) -> DataFrame:
+    """(qcid, cid, score): the k nearest of the pairs of each query, by exact distances."""
+    n_blocks = max(1, -(-n // BLOCK))
+    n_parts = max(1, -(-asked.count() // QUERIES_A_BLOCK))
+    part = F.pmod(F.xxhash64("qcid", F.lit(3)), F.lit(n_parts)).cast("int")
+    block = F.pmod(F.xxhash64("cid"), F.lit(n_blocks)).cast("int")
+    listed = pairs.groupBy(block.alias("block"), "qcid").agg(F.collect_list("cid").alias("cids"))  # BLOCK of them at most
+    listed = listed.join(asked, "qcid").withColumn("part", part)
+    vectors = index.select(block.alias("block"), "cid", "v").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(n_parts - 1))))
+
+    def rank(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        out = {"qcid": [], "cid": [], "score": []}
+        if len(left) and len(right):
+            right = right.sort_values("cid")
+            ids, vectors = right["cid"].to_numpy(), np.stack(right["v"])
+            for q, v, cids in zip(left["qcid"], left["v"], left["cids"], strict=True):
+                cids = np.sort(np.asarray(cids))
+                gap = np.sqrt(((vectors[np.searchsorted(ids, cids)] - v) ** 2).sum(1))
+                order = np.lexsort((cids, gap))[:k]
+                out["qcid"].append(np.full(len(order), q))
+                out["cid"].append(cids[order])
+                out["score"].append(gap[order])
+        got = {c: np.concatenate(x) if x else np.zeros(0) for c, x in out.items()}
+        return pd.DataFrame(got).astype({"qcid": "int64", "cid": "int64"})
+
+    met = listed.groupBy("block", "part").cogroup(vectors.groupBy("block", "part")).applyInPandas(rank, "qcid long, cid long, score double")
+    best = Window.partitionBy("qcid").orderBy("score", "cid")
+    return met.withColumn("rn", F.row_number().over(best)).where(F.col("rn") <= k).drop("rn")
 
 
-def nearest(vectors: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id", vector: str = "embedding", share: float = SHARE) -> DataFrame:
-    """(query_id, rank, key, score) for each query row: its k nearest other rows, score the Euclidean distance.  The
-    result is exact; share only says how much of a block is ranked before the bound is known.
+def nearest(vectors: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
+    """(query_id, rank, key, score) for each query row: the k nearest other rows found, score the Euclidean distance.
 
     Vectors that are null, zero, or hold null or non-finite components take no part, neither do null keys and vectors
     of another length than the most common one.  With fewer than k other rows all are returned.  Ties go to the smaller
@@ -116,32 +203,17 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, key: str = "vec_i
     n = classes.count()
     if not n:
         return spark.createDataFrame([], f"query_id long, rank int, `{key}` long, score double")
-    pivots = spread(np.array([r["v"] for r in classes.orderBy(F.xxhash64("h", F.lit(7)), "cid").limit(SAMPLE).select("v").collect()]))
-    shared = spark.sparkContext.broadcast(pivots)
-
     asking = cut(rows.where("asks").select("id", "h", "v").distinct().join(classes.select("h", "v", "cid"), ["h", "v"]).select(F.col("id").alias("query_id"), "cid"), "queries")
-    n_blocks = max(1, -(-n // BLOCK))
-    index = classes.select(F.pmod(F.xxhash64("cid"), F.lit(n_blocks)).cast("int").alias("block"), "cid", "v")
-    distinct = classes.join(asking.select("cid").distinct(), "cid", "left_semi")
-    n_asked = max(1, -(-distinct.count() // QUERIES_A_BLOCK))
-    asked = distinct.select(F.pmod(F.xxhash64("cid", F.lit(3)), F.lit(n_asked)).cast("int").alias("part"), F.col("cid").alias("qcid"), F.col("v").alias("qv"))
-    asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
-    index = index.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(n_asked - 1))))
-
-    def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = {"qcid": [], "cid": [], "score": []}
-        if len(left) and len(right):
-            ids = right["cid"].to_numpy()
-            for q, (at, gap) in zip(left["qcid"], search_block(np.stack(left["qv"]), np.stack(right["v"]), shared.value, k + 1, share), strict=True):
-                order = np.lexsort((ids[at], gap))[: k + 1]
-                out["qcid"] += [q] * len(order)
-                out["cid"] += ids[at[order]].tolist()
-                out["score"] += gap[order].tolist()
-        return pd.DataFrame(out).astype({"qcid": "int64", "cid": "int64", "score": "float64"})
-
-    met = asked.groupBy("block", "part").cogroup(index.groupBy("block", "part")).applyInPandas(search, "qcid long, cid long, score double")
-    best = Window.partitionBy("qcid").orderBy("score", "cid")
-    met = met.withColumn("rn", F.row_number().over(best)).where(F.col("rn") <= k + 1)
+    index = classes.select("cid", "v")
+    asked = cut(index.join(asking.select("cid").distinct(), "cid", "left_semi").withColumnRenamed("cid", "qcid"), "asked")
+
+    met = cut(ranked(candidates(index, asked, n), index, asked, n, k + 1), "met")
+    few = met.groupBy("qcid").agg(F.count(F.lit(1)).alias("found")).where(F.col("found") < min(k + 1, n))
+    few = asked.join(met.select("qcid").distinct(), "qcid", "left_anti").unionByName(asked.join(few.select("qcid"), "qcid", "left_semi"))
+    few = cut(few, "few")
+    if not few.isEmpty():
+        again = ranked(candidates(index, few, n, whole=True), index, few, n, k + 1)
+        met = met.join(few.select("qcid"), "qcid", "left_anti").unionByName(again)
     wide = met.join(classes.select("cid", "ids"), "cid").select("qcid", "score", F.explode("ids").alias("id"))
     wide = wide.withColumn("rn", F.row_number().over(Window.partitionBy("qcid").orderBy("score", "id"))).where(F.col("rn") <= k + 1)
     pairs = asking.join(wide.drop("rn"), F.col("cid") == F.col("qcid")).where("id <> query_id")
