@@ -1,10 +1,8 @@
-"""Text as Column expressions.  Only Unicode normalization needs Python; ASCII strings never get there."""
+"""Text as Column expressions.  All run in the JVM: normalization and case folding are those of ICU, which Spark brings
+along for its collations; ASCII strings are passed by."""
 
 from __future__ import annotations
 
-import unicodedata
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,24 +11,29 @@ NON_ASCII = r"[^\x00-\x7F]"
 LOOKALIKES, PLAIN = "ɡɑｅｋ\u2003", "gaek "
 # The characters of a clean reading after decomposition.
 READING_CLASS = "A-Za-z ,，､、'’\\-\u0300\u0301\u0302\u0304\u0308\u030c"
+# Elements that make a text look executable, beside event handlers.
+EXECUTABLE = ("script", "iframe", "object", "embed", "form", "audio", "video")
 
 
-def _normalizer(form: str):
-    @F.pandas_udf("string")
-    def normalized(s: pd.Series) -> pd.Series:
-        return s.map(lambda x: unicodedata.normalize(form, x), na_action="ignore")
-
-    return normalized
+def _icu(name: str, method: str, c: Column, flag: bool) -> Column:
+    """A static ICU method of a string and a flag; ASCII strings stay as they are."""
+    odd = c.rlike(NON_ASCII)
+    return F.when(odd, F.call_function("java_method", F.lit(f"com.ibm.icu.{name}"), F.lit(method), F.coalesce(c, F.lit("")), F.lit(flag))).otherwise(c)
 
 
 def nfc(c: Column) -> Column:
     """Canonical composition."""
-    return F.when(c.rlike(NON_ASCII), _normalizer("NFC")(F.when(c.rlike(NON_ASCII), c))).otherwise(c)
+    return _icu("text.Normalizer", "compose", c, False)
 
 
 def nfd(c: Column) -> Column:
     """Canonical decomposition."""
-    return F.when(c.rlike(NON_ASCII), _normalizer("NFD")(F.when(c.rlike(NON_ASCII), c))).otherwise(c)
+    return _icu("text.Normalizer", "decompose", c, False)
+
+
+def casefold(c: Column) -> Column:
+    """Full case folding: like lower(), and sharp s becomes ss."""
+    return _icu("lang.UCharacter", "foldCase", F.lower(c), True)
 
 
 def strip(c: Column) -> Column:
@@ -108,13 +111,14 @@ def url_quote(c: Column) -> Column:
 
 
 def url_unquote(c: Column) -> Column:
-    """Percent decoding; a plus stays a plus, text with broken escapes stays as it is."""
-    return F.coalesce(F.try_url_decode(F.replace(c, F.lit("+"), F.lit("%2B"))), c)
+    """Percent decoding; a plus stays a plus, and a percent sign without two digits one, too."""
+    whole = F.regexp_replace(F.replace(c, F.lit("+"), F.lit("%2B")), "%(?![0-9A-Fa-f]{2})", "%25")
+    return F.when(c.contains("%"), F.coalesce(F.try_url_decode(whole), c)).otherwise(c)
 
 
 def resource_path(c: Column) -> Column:
     """The name under which a resource is looked up: decoded, slashes one way, without scheme and host, without dot
-    segments and leading slashes, in lower case."""
+    segments and leading slashes, case folded."""
     flat = F.replace(url_unquote(c), F.lit("\\"), F.lit("/"))
     path = F.when(flat.contains("://"), F.regexp_extract(flat, "^[^:/?#]*://[^/?#]*([^?#]*)", 1)).otherwise(flat)
     parts = F.filter(F.split(path, "/"), lambda x: (x != "") & (x != "."))
@@ -123,7 +127,7 @@ def resource_path(c: Column) -> Column:
         F.array().cast("array<string>"),
         lambda acc, x: F.when(x == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0)))).otherwise(F.array_append(acc, x)),
     )
-    return F.lower(F.array_join(kept, "/"))
+    return casefold(F.array_join(kept, "/"))
 
 
 def suffix(c: Column) -> Column:
@@ -154,10 +158,6 @@ def odd_codepoints(c: Column) -> Column:
     return F.sort_array(F.transform(chars, codepoint_label))
 
 
-def strip_tags(c: Column) -> Column:
-    return F.regexp_replace(c, "<[^>]+>", "")
-
-
 def strip_corner_brackets(c: Column) -> Column:
     return F.when(c.startswith("「") & c.endswith("」") & (F.length(c) >= 2), F.substring(c, F.lit(2), F.length(c) - 2)).otherwise(c)
 
@@ -168,7 +168,8 @@ def without_note_comma(c: Column) -> Column:
 
 
 def looks_executable(c: Column) -> Column:
-    return c.rlike(r"(?iU)<(?:script|iframe|object|embed|form|audio|video)\b|\bon\w+\s*=")
+    """Something like an active element or an event handler."""
+    return c.rlike(rf"(?iU)<(?:{'|'.join(EXECUTABLE)})\b|\bon\w+\s*=")
 
 
 def is_unsafe_path(c: Column) -> Column:
