@@ -3,7 +3,8 @@
 A redirect leads to all canonical rows of its target if there are any, and only otherwise on through the redirect rows
 of that headword.  The result is the least fixed point, reached by a frontier of (alias, headword) pairs: every round is
 two hash joins, pairs seen before are dropped, so cycles end by themselves, and aliases that share a target share its
-search.  The loop stops when the frontier is empty, or after max_depth rounds.
+search.  The loop stops when the frontier is empty, or after max_depth rounds.  Only ids, headwords and targets are
+written and read by the rounds, whatever the sources carry.
 """
 
 from __future__ import annotations
@@ -13,23 +14,26 @@ from pyspark.sql import functions as F
 
 from glyphmill.plans.scratch import cut
 
-MAX_DEPTH = 64
+MAX_DEPTH, MOST_PARTS = 64, 8
 
 
 def resolve(sources: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
     """(target, canonical_id) for every target of a redirect, from (id, headword, redirect, exclusion)."""
-    live = sources.where(F.col("exclusion").isNull())
+    live = cut(sources.where(F.col("exclusion").isNull()).select("id", "headword", "redirect"), "live")
     canonical = live.where(F.col("redirect").isNull()).select("headword", F.col("id").alias("canonical_id"))
     redirects = live.where(F.col("redirect").isNotNull()).select("headword", "redirect")
     heads = canonical.select("headword").distinct()
     open_ = cut(redirects.join(heads, "headword", "left_anti").distinct(), "open")
     frontier = seen = cut(redirects.select(F.col("redirect").alias("target"), F.col("redirect").alias("headword")).distinct(), "frontier")
+    parts = 1
     for _ in range(max_depth - 1):
         step = frontier.join(open_, "headword").select("target", F.col("redirect").alias("headword")).distinct()
         frontier = cut(step.join(seen, ["target", "headword"], "left_anti"), "frontier")
         if frontier.isEmpty():
             break
-        seen = seen.union(frontier)
+        seen, parts = seen.union(frontier), parts + 1
+        if parts == MOST_PARTS:  # long chains: what was seen is one table again
+            seen, parts = cut(seen, "seen"), 1
     return seen.join(canonical, "headword").select("target", "canonical_id").distinct()
 
 

@@ -15,12 +15,14 @@ def redirect_target(raw: Column) -> Column:
     """Target of a redirect record, normalized; null where raw isn't one.  An empty target still is."""
     bare = T.drop_nul(raw)
     pattern = r"(?sU)^\s*@@@LINK=(.*?)\s*$"
-    return F.when(bare.rlike(pattern), T.normalize_text(F.regexp_extract(bare, pattern, 1)))
+    # Few records have the mark at all, so the expression is seldom tried.
+    return F.when(raw.contains("@@@LINK=") & bare.rlike(pattern), T.normalize_text(F.regexp_extract(bare, pattern, 1)))
 
 
 def is_navigation(headword: Column, raw: Column) -> Column:
     low = F.lower(raw)
-    return ~low.contains("<hdcs") & low.contains("<ul") & (headword.startswith("x") | low.contains('class="entry-id"'))
+    marked = headword.startswith("x") | raw.rlike('(?i)class="entry-id"')
+    return marked & ~low.contains("<hdcs") & low.contains("<ul")
 
 
 def classify(records: DataFrame) -> DataFrame:

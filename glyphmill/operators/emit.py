@@ -14,8 +14,6 @@ from glyphmill.sources.bundle import TERM_COLUMNS
 
 BANK_ROWS = 10_000
 ORDER = ("phase", "a", "b", "c")
-#: Rows that one task numbers, about.
-RUN_ROWS = 200_000
 
 
 def _json(c: Column) -> Column:
@@ -41,7 +39,10 @@ def glossary(e: Column, r: Column, root: str = "record-entry", lang: str = "zh-H
     said = F.when(r["retain_source"] & e["has_pron"], source).when(F.size(e["notes_json"]) > 0, notes)
     header = F.nullif(F.concat_ws(",", _items(e["header_json"]), _box("reading-metadata", said)), F.lit(""))
     content = F.concat_ws(",", e["row_json"], _box("header", header), _items(e["body_json"]))
-    return F.concat(F.lit('[{"type":"structured-content","content":'), _box(root, content, "span", f',"lang":"{lang}"'), F.lit("}]"))
+    shown = F.concat(F.lit('[{"type":"structured-content","content":'), _box(root, content, "span", f',"lang":"{lang}"'), F.lit("}]"))
+    # Of malformed markup only the text is left.
+    text = F.concat(F.lit('[{"type":"text","text":'), F.coalesce(_items(e["body_json"]), F.lit('""')), F.lit("}]"))
+    return F.when(e["plain"], text).otherwise(shown)
 
 
 def entries(parsed: DataFrame, root: str = "record-entry") -> DataFrame:
@@ -51,9 +52,9 @@ def entries(parsed: DataFrame, root: str = "record-entry") -> DataFrame:
     r = R.reading(F.col("e.primary"), F.col("e.original"), F.size("e.notes_json") > 0)
     default = F.struct(F.array(F.lit("")).alias("readings"), F.lit(False).alias("retain_source"), F.expr("cast(array() as array<string>)").alias("reasons"), F.expr("cast(array() as array<string>)").alias("unresolved"))
     rows = rows.withColumn("r", F.when(F.col("e.has_pron"), r).otherwise(default)).withColumn("glossary", glossary(F.col("e"), F.col("r"), root))
-    rows = rows.select("source_id", "block", "e.expression", "e.alternates", "e.omitted_content_id", "e.has_pron", "e.generic", "e.original", "glossary", F.col("r.reasons").alias("reasons"), F.col("r.readings").alias("readings"), F.posexplode("r.readings").alias("reading_no", "reading"))
-    # Order within a record: by block, then reading; a block has far fewer than a thousand readings.
-    return rows.withColumn("entry_index", F.col("block").cast("long") * 1000 + F.col("reading_no"))
+    rows = rows.select("source_id", "block", "e.expression", "e.alternates", "e.omitted_content_id", "e.has_pron", "e.generic", "e.plain", "e.private_use", "e.original", "glossary", F.col("r.reasons").alias("reasons"), F.col("r.readings").alias("readings"), F.posexplode("r.readings").alias("reading_no", "reading"))
+    # Order within a record: by block, then reading; both are array places, so neither reaches 2**31.
+    return rows.withColumn("entry_index", F.col("block").cast("long") * (1 << 31) + F.col("reading_no"))
 
 
 def _term(expression: Column, reading: Column, sequence: Column, tag: str) -> list[Column]:
@@ -79,9 +80,9 @@ def variant_terms(found: DataFrame, sources: DataFrame) -> DataFrame:
     return kept.select(F.lit(0).alias("phase"), F.col("source_id").alias("a"), F.col("entry_index").alias("b"), (F.col("alternate_index") + 1).cast("long").alias("c"), *_term(F.col("alternate"), F.col("reading"), F.col("source_id"), "variant"))
 
 
-def redirect_terms(found: DataFrame, sources: DataFrame) -> DataFrame:
-    """The canonical entries of what an alias leads to, under the alias."""
-    met = resolved_aliases(sources).join(found, F.col("canonical_id") == F.col("source_id"))
+def redirect_terms(found: DataFrame, aliases: DataFrame) -> DataFrame:
+    """The canonical entries of what an alias (of resolved_aliases()) leads to, under the alias."""
+    met = aliases.join(found, F.col("canonical_id") == F.col("source_id"))
     return met.select(F.lit(1).alias("phase"), F.col("alias_id").alias("a"), F.col("place").alias("b"), F.col("entry_index").alias("c"), *_term(F.col("alias"), F.col("reading"), F.col("canonical_id"), "redirect"))
 
 
@@ -97,20 +98,20 @@ def first_of_each(rows: DataFrame, key: str, order: tuple[str, ...]) -> DataFram
     return rows.withColumn("_rn", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where("_rn = 1").drop("_rn")
 
 
-def global_row_number(rows: DataFrame, order: tuple[str, ...], name: str = "place", run_rows: int = RUN_ROWS) -> DataFrame:
-    """rows numbered from 1 in a total order, without bringing them together: ranges of the first numeric order column
-    are numbered each, and shifted by the sizes of the ranges before."""
-    lead = order[0]
-    n = rows.count()
-    runs = max(1, -(-n // run_rows))
-    cuts = sorted(set(rows.approxQuantile(lead, [i / runs for i in range(1, runs)], 0.01))) if runs > 1 else []
-    run = F.size(F.filter(F.array(*(F.lit(x) for x in cuts)), lambda x: x < F.col(lead))) if cuts else F.lit(0)
-    rows = rows.withColumn("_run", run)
-    sizes = rows.groupBy("_run").agg(F.count(F.lit(1)).alias("_n"))
+def global_row_number(rows: DataFrame, order: tuple[str, ...], name: str = "place") -> DataFrame:
+    """rows numbered from 1 in a total order of columns of any kinds, without bringing them together: ranges of the whole
+    order are sorted and written each, and shifted by the sizes of the ranges before.  Rows that tie in the whole order
+    are spread over ranges like others, in any order."""
+    tie = F.rand(17)
+    ranged = rows.withColumn("_tie", tie).repartitionByRange(*(F.col(c) for c in order), F.col("_tie")).sortWithinPartitions(*order, "_tie")
+    # The partition's number and, in the lower 33 bits, the row's number in it.
+    ranged = cut(ranged.drop("_tie").withColumn("_at", F.monotonically_increasing_id()), "ranges")
+    run = F.shiftrightunsigned("_at", 33)
+    sizes = ranged.groupBy(run.alias("_run")).agg(F.count(F.lit(1)).alias("_n"))
     before = F.coalesce(F.sum("_n").over(Window.orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     starts = sizes.select("_run", before.alias("_before"))  # a row a range
-    within = F.row_number().over(Window.partitionBy("_run").orderBy(*order))
-    return rows.withColumn("_within", within).join(F.broadcast(starts), "_run").withColumn(name, (F.col("_before") + F.col("_within")).cast("long")).drop("_run", "_before", "_within")
+    place = F.col("_before") + F.col("_at").bitwiseAND((1 << 33) - 1) + 1
+    return ranged.withColumn("_run", run).join(F.broadcast(starts), "_run").withColumn(name, place.cast("long")).drop("_run", "_before", "_at")
 
 
 def with_banks(rows: DataFrame, order: tuple[str, ...], size: int = BANK_ROWS) -> DataFrame:
@@ -118,10 +119,9 @@ def with_banks(rows: DataFrame, order: tuple[str, ...], size: int = BANK_ROWS) -
     return global_row_number(rows, order).withColumn("bank_no", F.floor((F.col("place") - 1) / size).cast("long") + 1)
 
 
-def emit(found: DataFrame, sources: DataFrame) -> DataFrame:
+def emit(found: DataFrame, sources: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
     """All term rows, duplicates dropped, with place and bank_no."""
-    rows = canonical_terms(found).unionByName(variant_terms(found, sources)).unionByName(redirect_terms(found, sources))
-    # Numbering reads the rows several times, so they are made once.
-    rows = cut(first_of_each(rows.withColumn("signature", signature(F.col("glossary"))), "signature", ORDER), "terms")
-    rows = with_banks(rows.withColumn("lead", F.col("phase") * F.lit(2.0**53) + F.col("a")), ("lead", *ORDER))
+    aliases = resolved_aliases(sources) if aliases is None else aliases
+    rows = canonical_terms(found).unionByName(variant_terms(found, sources)).unionByName(redirect_terms(found, aliases))
+    rows = with_banks(first_of_each(rows.withColumn("signature", signature(F.col("glossary"))), "signature", ORDER), ORDER)
     return rows.select(*TERM_COLUMNS, "signature", "place", "bank_no")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from glyphmill.functions import images
 from glyphmill.functions import text as T
 
 # Media types kept as they are, and those that need an imaging library to become PNG.
@@ -13,14 +14,31 @@ RASTERIZED = (".bmp", ".tif", ".tiff", ".svg")
 
 
 def catalog(files: DataFrame) -> DataFrame:
-    """(path, output, content, ext, status) from (name, content, scan_pos): status is kept, unsupported (would have to be
-    rasterized) or discarded.  A path met again takes the place of the earlier one."""
+    """(path, scan_pos, output, content, ext, status) from (name, content, scan_pos).  status is kept (as it is, or as the
+    PNG that it became), unreadable, unsupported (no library here can draw it) or discarded (no image).  A path met again
+    takes the place of the earlier one; contents aren't shuffled for that, only names are."""
     path = T.resource_path(F.col("name"))
     rows = files.select(path.alias("path"), T.suffix(path).alias("ext"), "content", "scan_pos")
-    status = F.when(F.col("ext").isin(*KEPT), "kept").when(F.col("ext").isin(*RASTERIZED), "unsupported").otherwise("discarded")
-    rows = rows.withColumn("status", status).withColumn("output", F.when(status == "kept", T.content_name(F.col("content"), F.col("ext"))))
-    last = rows.groupBy("path").agg(F.max("scan_pos").alias("scan_pos"))
-    return rows.join(last, ["path", "scan_pos"])
+    # One row wins for each path; should two have the same place, the one with the larger content hash.
+    digest = F.sha2("content", 256)
+    last = rows.groupBy("path").agg(F.max(F.struct("scan_pos", digest.alias("digest"))).alias("last")).select("path", "last.*")
+    rows = rows.withColumn("digest", digest).join(last, ["path", "scan_pos", "digest"], "left_semi").dropDuplicates(["path"]).drop("digest")
+    image = F.col("ext").isin(*KEPT, *RASTERIZED)
+    got = images.normalized(F.when(image, F.col("content")), F.when(image, F.col("ext")))
+    rows = rows.withColumn("got", got)
+    status = F.when(image, F.col("got.status")).otherwise("discarded")
+    content = F.coalesce("got.content", "content")
+    output = F.when(F.col("got.status") == "kept", T.content_name(content, F.col("got.ext")))
+    return rows.select("path", "scan_pos", "ext", content.alias("content"), status.alias("status"), output.alias("output"))
+
+
+def counters(found: DataFrame, scanned: DataFrame) -> DataFrame:
+    """(name, n) of what was scanned and what became of it; equal images count as deduplicated but for the first."""
+    total = scanned.agg(F.count(F.lit(1)).alias("n")).select(F.lit("resources").alias("name"), "n")
+    kept = found.where("status = 'kept'").agg(F.count(F.lit(1)).alias("image_resources"), (F.count(F.lit(1)) - F.count_distinct("output")).alias("deduplicated_resources"))
+    rest = found.agg(*(F.count_if(F.col("status") == s).alias(n) for s, n in (("discarded", "discarded_non_image_resources"), ("unreadable", "unreadable_resources"), ("unsupported", "unsupported_resources"))))
+    unpivoted = lambda df: df.unpivot([], df.columns, "name", "n")
+    return total.union(unpivoted(kept)).union(unpivoted(rest))
 
 
 def resource_map(found: DataFrame) -> DataFrame:

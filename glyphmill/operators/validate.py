@@ -15,74 +15,122 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glyphmill.functions import text as T
-from glyphmill.functions.markup import LIGHT_DROPPED, walk
+from glyphmill.functions.markup import LIGHT_DROPPED
+from glyphmill.functions.nodes import kind, values
+from glyphmill.functions.schema import Schema
 from glyphmill.operators.resources import KEPT, RASTERIZED, missing, unused
-from glyphmill.sources.records import read_banks, read_members
+from glyphmill.plans.scratch import cut
+from glyphmill.sources.records import read_members, scan_banks
 
 MODES = ("targeted", "exhaustive", "archive-only")
 MAX_ERRORS = 1000
-# Fixed values of the term format: keys that each kind of node may have, and the tags of each kind.
-LEAF = {"br"}
-RUBY = {"ruby", "rt", "rp", "table", "thead", "tbody", "tfoot", "tr"}
-CELL = {"td", "th"}
-CONTAINER = {"span", "div", "ol", "ul", "li", "details", "summary"}
-KEYS = {
-    **{t: {"tag", "data"} for t in LEAF},
-    **{t: {"tag", "content", "data", "lang"} for t in RUBY},
-    **{t: {"tag", "content", "data", "colSpan", "rowSpan", "style", "lang"} for t in CELL},
-    **{t: {"tag", "content", "data", "style", "title", "open", "lang"} for t in CONTAINER},
-    "img": {"tag", "data", "path", "width", "height", "title", "alt", "description", "pixelated", "imageRendering", "appearance", "background", "collapsed", "collapsible", "verticalAlign", "border", "borderRadius", "sizeUnits", "preferredWidth", "preferredHeight"},
-    "a": {"tag", "content", "href", "lang"},
+
+# Fixed values of the term format: what each member of a node has to be.  A set lists the texts that a member may be.
+_SIDES = {"baseline", "sub", "super", "text-top", "text-bottom", "middle", "top", "bottom"}
+_LINES = {"underline", "overline", "line-through"}
+STYLE: dict[str, object] = {
+    "fontStyle": {"normal", "italic"}, "fontWeight": {"normal", "bold"}, "fontSize": str, "color": str, "background": str,
+    "backgroundColor": str, "textDecorationStyle": {"solid", "double", "dotted", "dashed", "wavy"}, "textDecorationColor": str,
+    "borderColor": str, "borderStyle": str, "borderRadius": str, "borderWidth": str, "clipPath": str, "verticalAlign": _SIDES,
+    "textAlign": {"start", "end", "left", "right", "center", "justify", "justify-all", "match-parent"}, "textEmphasis": str,
+    "textShadow": str, "margin": str, "padding": str, "paddingTop": str, "paddingLeft": str, "paddingRight": str,
+    "paddingBottom": str, "wordBreak": {"normal", "break-all", "keep-all"}, "whiteSpace": str, "cursor": str, "listStyleType": str,
+    **{f"margin{side}": lambda v: isinstance(v, str) or _number(v) for side in ("Top", "Left", "Right", "Bottom")},
+    "textDecorationLine": lambda v: isinstance(v, str) and v in _LINES | {"none"} or isinstance(v, list) and all(isinstance(x, str) and x in _LINES for x in v),
+}
+_ANY = lambda v: True  # noqa: E731  content is checked node by node
+_SPAN = lambda v: isinstance(v, int) and not isinstance(v, bool) and v >= 1
+_SIZE = lambda v: _number(v) and v >= 0
+_DATA = lambda v: isinstance(v, dict) and all(isinstance(x, str) for x in v.values())
+_STYLE = lambda v: isinstance(v, dict) and not any(True for _ in _broken(v, STYLE))
+_BASIC = {"tag": str, "content": _ANY, "data": _DATA, "lang": str}
+MEMBERS: dict[str, dict[str, object]] = {
+    "br": {"tag": str, "data": _DATA},
+    **{t: _BASIC for t in ("ruby", "rt", "rp", "table", "thead", "tbody", "tfoot", "tr")},
+    **{t: _BASIC | {"colSpan": _SPAN, "rowSpan": _SPAN, "style": _STYLE} for t in ("td", "th")},
+    **{t: _BASIC | {"style": _STYLE, "title": str, "open": bool} for t in ("span", "div", "ol", "ul", "li", "details", "summary")},
+    "img": {
+        "tag": str, "data": _DATA, "path": str, "width": _SIZE, "height": _SIZE, "title": str, "alt": str, "description": str, "pixelated": bool,
+        "imageRendering": {"auto", "pixelated", "crisp-edges"}, "appearance": {"auto", "monochrome"}, "background": bool, "collapsed": bool,
+        "collapsible": bool, "verticalAlign": _SIDES, "border": str, "borderRadius": str, "sizeUnits": {"px", "em"},
+    },
+    "a": {"tag": str, "content": _ANY, "lang": str, "href": lambda v: isinstance(v, str) and v.startswith(("?", "http:", "https:"))},
 }
-NODE = "scope string, place bigint, tag string, kind string, href string, path string, has_lang boolean, data_is_map boolean, shape_fault string, text string, is_root boolean"
+NEEDED = {"img": "path", "a": "href"}
+NODE = "scope string, place bigint, tag string, kind string, href string, path string, has_lang boolean, lang string, data_is_map boolean, faults array<string>, text string, is_root boolean"
 
 
-def term_rows(banks: DataFrame) -> DataFrame:
-    """(bank, place, slots: array of JSON texts or null, n) of rows (bank, place, row: JSON text)."""
-    value = F.try_parse_json("row")
-    n = F.json_array_length("row")
-    slots = F.array(*(F.to_json(F.try_variant_get(value, f"$[{i}]", "variant")) for i in range(8)))
-    return banks.select("bank", "place", "row", F.coalesce(n, F.lit(-1)).alias("n"), F.when(n == 8, slots).alias("slots"))
+def _number(v: object) -> bool:
+    return isinstance(v, int | float) and not isinstance(v, bool)
 
 
-def row_errors(banks: DataFrame, root: str = "record-entry", lang: str = "zh-Hans") -> DataFrame:
-    """Errors of term rows: shape, reading, glossary, root, language."""
-    rows = term_rows(banks).withColumn("scope", F.concat(F.lit("term_bank_"), F.col("bank"), F.lit(".json")))
-    reading = F.col("slots")[1]
-    plain = F.try_variant_get(F.try_parse_json(reading), "$", "string")
-    is_text = reading.startswith('"')
-    glossary = F.col("slots")[5]
-    items = F.when(glossary.startswith("["), F.from_json(glossary, "array<string>"))
-    in_row = [
-        F.when(F.col("n") != 8, "not_eight_slots"),
-        F.when((F.col("n") == 8) & ~is_text, "reading_not_text"),
-        F.when((F.col("n") == 8) & is_text & ~T.is_clean_reading(plain), "reading_not_clean"),
-        F.when((F.col("n") == 8) & ~glossary.startswith("["), "glossary_not_array"),
-    ]
-    first = rows.select("scope", "place", F.explode(F.array_compact(F.array(*in_row))).alias("rule"))
-    item = rows.where(items.isNotNull()).select("scope", "place", F.explode(items).alias("item"))
-    type_, tag, kind, language = (F.get_json_object("item", f"$.{p}") for p in ("type", "content.tag", "content.data.content", "content.lang"))
-    structured = F.coalesce(type_ == "structured-content", F.lit(False))
-    rooted = F.coalesce((tag == "span") & (kind == root), F.lit(False))
-    rule = F.when(~structured, "not_structured").when(~rooted, "no_entry_root").when(F.coalesce(language != lang, F.lit(True)), "wrong_root_language")
-    return first.union(item.withColumn("rule", rule).where("rule is not null").select("scope", "place", "rule"))
+def _broken(node: dict, members: dict[str, object]) -> Iterator[str]:
+    """Members that a node mustn't have, or that aren't what they have to be."""
+    for k, v in node.items():
+        rule = members.get(k)
+        if rule is None:
+            yield "unexpected_key"
+        elif isinstance(rule, set):
+            if not (isinstance(v, str) and v in rule):
+                yield f"bad_{k}"
+        elif isinstance(rule, type):
+            if not isinstance(v, rule):
+                yield f"bad_{k}"
+        elif not rule(v):
+            yield f"bad_{k}"
 
 
-def _fault(node: dict) -> str | None:
+def node_faults(node: dict) -> list[str]:
+    """Rules of the term format that a node breaks by itself."""
     tag = node.get("tag")
-    if tag not in KEYS:
-        return None if tag is None else "unknown_tag"
-    if set(node) - KEYS[tag]:
-        return "unexpected_key"
-    if any(not isinstance(node[k], int) or node[k] < 1 for k in ("colSpan", "rowSpan") if k in node):
-        return "bad_span"
-    if tag == "img" and not isinstance(node.get("path"), str):
-        return "image_without_path"
-    if tag == "a" and not str(node.get("href", "")).startswith(("?", "http:", "https:")):
-        return "bad_href"
-    if "data" in node and not (isinstance(node["data"], dict) and all(isinstance(v, str) for v in node["data"].values())):
-        return "bad_data"
-    return None
+    if tag is None:
+        return []
+    if not isinstance(tag, str) or tag not in MEMBERS:
+        return ["unknown_tag"]
+    lost = [f"no_{NEEDED[tag]}"] if tag in NEEDED and NEEDED[tag] not in node else []
+    return sorted({*_broken(node, MEMBERS[tag]), *lost})
+
+
+def row_errors(banks: DataFrame, root: str = "record-entry", lang: str = "zh-Hans") -> DataFrame:
+    """Errors of term rows (bank, place, row: JSON text): shape, reading, glossary, root, language.  A row is parsed once
+    and all its rules come out of one projection."""
+    scope = F.concat(F.lit("term_bank_"), F.col("bank"), F.lit(".json"))
+    rows = banks.select(scope.alias("scope"), "place", F.try_parse_json("row").alias("v"), F.coalesce(F.json_array_length("row"), F.lit(-1)).alias("n"))
+    at = lambda path, kind: F.try_variant_get("v", path, kind)
+    rows = rows.select("scope", "place", "n", F.schema_of_variant(at("$[1]", "variant")).alias("kind"), at("$[1]", "string").alias("reading"), at("$[5]", "array<variant>").alias("items"))
+    is_text = F.coalesce(F.col("kind") == "STRING", F.lit(False))
+    rules = F.when(F.col("n") != 8, F.array(F.lit("not_eight_slots"))).otherwise(
+        F.array_compact(
+            F.array(
+                F.when(~is_text, "reading_not_text").when(~T.is_clean_reading(F.col("reading")), "reading_not_clean"),
+                F.when(F.col("items").isNull(), "glossary_not_array"),
+            )
+        )
+    )
+
+    def of_item(x: Column) -> Column:
+        get = lambda path: F.try_variant_get(x, path, "string")
+        structured = F.coalesce(get("$.type") == "structured-content", F.lit(False))
+        rooted = F.coalesce((get("$.content.tag") == "span") & (get("$.content.data.content") == root), F.lit(False))
+        right = F.coalesce(get("$.content.lang") == lang, F.lit(False))
+        return F.when(~structured, "not_structured").when(~rooted, "no_entry_root").when(~right, "wrong_root_language")
+
+    items = F.when((F.col("n") == 8) & F.col("items").isNotNull(), F.array_compact(F.transform("items", of_item)))
+    found = F.concat(rules, F.coalesce(items, F.expr("cast(array() as array<string>)")))
+    return rows.select("scope", "place", F.explode(found).alias("rule"))
+
+
+def _json(text: object) -> object:
+    try:
+        return json.loads(text)
+    except (TypeError, ValueError):
+        return None
+
+
+def _roots(slots: object) -> list[dict]:
+    """What the structured glossaries of a row begin with."""
+    items = slots[5] if isinstance(slots, list) and len(slots) == 8 and isinstance(slots[5], list) else []
+    return [i["content"] for i in items if isinstance(i, dict) and i.get("type") == "structured-content" and isinstance(i.get("content"), dict)]
 
 
 def nodes(banks: DataFrame) -> DataFrame:
@@ -93,29 +141,19 @@ def nodes(banks: DataFrame) -> DataFrame:
             out = []
             for bank, place, row in zip(b["bank"], b["place"], b["row"], strict=True):
                 slots = _json(row)
-                items = slots[5] if isinstance(slots, list) and len(slots) == 8 and isinstance(slots[5], list) else []
-                roots = [i["content"] for i in items if isinstance(i, dict) and isinstance(i.get("content"), dict)]
-                for v in walk(slots):
-                    where = (f"term_bank_{bank}.json", place)
+                roots = {id(x) for x in _roots(slots)}
+                where = (f"term_bank_{bank}.json", place)
+                for v in values(slots):
                     if isinstance(v, str):
-                        out.append((*where, None, None, None, None, False, True, None, v, False))
+                        out.append((*where, None, None, None, None, False, None, True, [], v, False))
                     elif isinstance(v, dict):
-                        data = v.get("data", {})
-                        kind = data.get("content") if isinstance(data, dict) else None
-                        text = [v.get(k) if isinstance(v.get(k), str) else None for k in ("tag", "href", "path")]
-                        out.append((*where, text[0], kind if isinstance(kind, str) else None, text[1], text[2], "lang" in v, isinstance(data, dict), _fault(v), None, any(v is r for r in roots)))
+                        own = [v.get(k) if isinstance(v.get(k), str) else None for k in ("tag", "href", "path", "lang")]
+                        out.append((*where, own[0], kind(v), own[1], own[2], "lang" in v, own[3], isinstance(v.get("data", {}), dict), node_faults(v), None, id(v) in roots))
             yield pd.DataFrame(out, columns=[x.split()[0] for x in NODE.split(", ")])
 
     return banks.where("row is not null").select("bank", "place", "row").mapInPandas(run, NODE)
 
 
-def _json(text: str):
-    try:
-        return json.loads(text)
-    except (TypeError, ValueError):
-        return None
-
-
 def node_errors(found: DataFrame, edition: str = "full", schema: bool = True) -> DataFrame:
     """Errors of nodes: links, active text, nested languages, shapes, and what the light edition mustn't have."""
     light = F.col("tag").isin(*LIGHT_DROPPED) | F.col("kind").isin(*LIGHT_DROPPED, "entry-image") | ~F.col("data_is_map")
@@ -123,16 +161,43 @@ def node_errors(found: DataFrame, edition: str = "full", schema: bool = True) ->
         F.when(F.col("href").isNotNull() & ~F.col("href").startswith("?"), "link_not_internal"),
         F.when(T.looks_executable(F.col("text")), "executable_text"),
         F.when(F.col("has_lang") & ~F.col("is_root"), "nested_language"),
+        F.when(F.lit(edition == "light") & F.coalesce(light, F.lit(False)), "light_keeps_removed"),
     ]
-    rules += [F.when(F.lit(edition == "light") & F.coalesce(light, F.lit(False)), "light_keeps_removed")]
-    rules += [F.col("shape_fault")] if schema else []
-    return found.select("scope", "place", F.explode(F.array_compact(F.array(*rules))).alias("rule"))
+    all_ = F.array_compact(F.array(*rules))
+    return found.select("scope", "place", F.explode(F.concat(all_, "faults") if schema else all_).alias("rule"))
+
+
+def counters(found: DataFrame, root: str = "record-entry", lang: str = "zh-Hans") -> DataFrame:
+    """One row of what nodes() found: structured_glossaries, language_roots, nested_lang_attributes and
+    referenced_resources (different paths of images)."""
+    rooted = F.col("is_root") & (F.col("tag") == "span") & (F.col("kind") == root)
+    return found.agg(
+        F.count_if("is_root").alias("structured_glossaries"),
+        F.count_if(rooted & F.coalesce(F.col("lang") == lang, F.lit(False))).alias("language_roots"),
+        F.count_if(F.col("has_lang") & ~F.col("is_root")).alias("nested_lang_attributes"),
+        F.count_distinct(F.when(F.col("tag") == "img", F.col("path"))).alias("referenced_resources"),
+    )
+
+
+def schema_errors(banks: DataFrame, schema: dict) -> DataFrame:
+    """Errors of term rows by a JSON Schema of whole banks: a row is checked as the one row of a bank."""
+    checked = Schema(schema)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for bank, place, row in zip(b["bank"], b["place"], b["row"], strict=True):
+                for path, rule in checked.faults([_json(row)]):
+                    out.append((f"term_bank_{bank}.json", place, f"schema {rule} at {'/'.join(map(str, path[1:]))}"))
+            yield pd.DataFrame(out, columns=["scope", "place", "rule"])
+
+    return banks.where("row is not null").select("bank", "place", "row").mapInPandas(run, "scope string, place long, rule string")
 
 
 def bank_errors(sizes: DataFrame, limit: int = 10_000) -> DataFrame:
-    """Errors of banks (bank, n; n null for a bank that isn't an array)."""
+    """Errors of banks (bank, n, fault: why a bank isn't an array of rows, null if it is)."""
     scope = F.concat(F.lit("term_bank_"), F.col("bank"), F.lit(".json"))
-    rule = F.when(F.col("n").isNull(), "bank_not_array").when(F.col("n") > limit, "bank_too_large")
+    rule = F.coalesce(F.col("fault"), F.when(F.col("n") > limit, "bank_too_large"))
     some = sizes.select(scope.alias("scope"), F.lit(-1).cast("long").alias("place"), rule.alias("rule")).where("rule is not null")
     none = sizes.agg(F.count(F.lit(1)).alias("n")).where("n = 0").select(F.lit("bundle").alias("scope"), F.lit(-1).cast("long").alias("place"), F.lit("no_banks").alias("rule"))
     return some.union(none)
@@ -152,8 +217,10 @@ def file_errors(files: DataFrame, edition: str = "full") -> DataFrame:
     return found.union(needed)
 
 
-def index_errors(index: dict, edition: str = "full", identity: dict | None = None) -> list[str]:
+def index_errors(index: object, edition: str = "full", identity: dict | None = None) -> list[str]:
     """Rules that an index breaks: required keys, update URLs, language codes, the light edition's identity."""
+    if not isinstance(index, dict):
+        return ["index_not_object"]
     out = [f"missing_{k}" for k in ("title", "revision") if not isinstance(index.get(k), str)]
     out += ["missing_format"] if "format" not in index and "version" not in index else []
     out += ["update_without_urls"] if index.get("isUpdatable") and not {"indexUrl", "downloadUrl"} <= set(index) else []
@@ -161,14 +228,19 @@ def index_errors(index: dict, edition: str = "full", identity: dict | None = Non
     return out + [f"light_{k}" for k, v in (identity or {}).items() if edition == "light" and index.get(k) != v]
 
 
+#: Endings of font files.
+FONT_FILES = ("woff", "woff2", "ttf", "otf", "eot")
+
+
 def css_errors(css: Column, root: str = "record-entry") -> Column:
-    """Array of the rules that a stylesheet breaks."""
-    sans = rf"""(?is)\[data-sc-content=["']{root}["']\]\s*\{{[^}}]*font-family\s*:\s*sans-serif\s*;"""
-    return F.array_compact(F.array(
-        F.when(css.contains("@import") | css.rlike(r"""(?i)url\s*\(\s*['"]?(?:https?:)?//"""), "remote_css"),
-        F.when(css.rlike(r"(?i)@font-face|\.(?:woff2?|ttf|otf|eot)\b"), "font_in_css"),
-        F.when(~css.rlike(sans), "no_sans_serif"),
-    ))
+    """Array of the rules that a stylesheet breaks: nothing from elsewhere, no fonts of its own, and the generic
+    sans-serif family for the root of entries."""
+    elsewhere = css.contains("@import") | css.rlike(r"(?i)url\s*\(\s*[\x22']?(https?:)?//")
+    fonts = css.rlike(rf"(?i)@font-face|\.({'|'.join(FONT_FILES)})\b")
+    # The declarations of all blocks for the root.
+    blocks = F.regexp_extract_all(css, F.lit(rf"(?is)\[data-sc-content=[\x22']{root}[\x22']\]\s*\{{([^}}]*)"), F.lit(1))
+    sans = F.exists(blocks, lambda block: block.rlike(r"(?i)font-family\s*:\s*sans-serif\s*;"))
+    return F.array_compact(F.array(F.when(elsewhere, "remote_css"), F.when(fonts, "font_in_css"), F.when(~sans, "no_sans_serif")))
 
 
 def sampled(banks: DataFrame, mode: str) -> DataFrame:
@@ -189,31 +261,52 @@ def summary(errors: DataFrame) -> DataFrame:
     return errors.groupBy("rule").agg(F.count(F.lit(1)).alias("n"))
 
 
-def validate_bundle(spark: SparkSession, path: str, edition: str = "full", mode: str = "targeted", root: str = "record-entry", identity: dict | None = None) -> dict:
-    """A whole archive against all rules: counts, the first errors, warnings."""
+def size_totals(members: DataFrame) -> DataFrame:
+    """(files, bytes) of an archive's members (name, content), uncompressed."""
+    return members.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum(F.octet_length("content")), F.lit(0)).alias("bytes"))
+
+
+def validate_bundle(spark: SparkSession, path: str, edition: str = "full", mode: str = "targeted", root: str = "record-entry", identity: dict | None = None, schemas: dict[str, dict] | None = None) -> dict:
+    """A whole archive against all rules: counts, the first errors, warnings.  schemas: JSON Schemas named index and
+    term-bank, which then decide on shapes in place of the built-in rules."""
+    schemas = schemas or {}
+    archive = spark.read.format("binaryFile").load(path).select("length", F.sha2("content", 256).alias("sha256")).first()
     members = read_members(spark, path)
-    banks = read_banks(spark, path)
-    shapes = sampled(banks, mode).select("bank").distinct()
-    found = nodes(banks)
+    scanned = cut(scan_banks(spark, path), "banks")
+    sizes, banks = scanned.where("place < 0").select("bank", "n", "fault"), scanned.where("place >= 0").select("bank", "place", "row")
+    shapes = sampled(sizes.where("fault is null"), mode).select("bank").distinct()
+    in_shape = banks.join(F.broadcast(shapes), "bank", "left_semi")
+    found = cut(nodes(banks), "nodes")
     rows = [row_errors(banks, root), node_errors(found, edition, schema=False)]
-    shaped = nodes(banks.join(F.broadcast(shapes), "bank", "left_semi"))
-    rows.append(shaped.where("shape_fault is not null").select("scope", "place", F.col("shape_fault").alias("rule")))
-    sizes = banks.groupBy("bank").agg(F.when(F.bool_or(F.col("row").isNull()), F.lit(None)).otherwise(F.count(F.lit(1))).alias("n"))
-    rows.append(bank_errors(sizes))
+    if "term-bank" in schemas:
+        rows.append(schema_errors(in_shape, schemas["term-bank"]))
+    else:
+        named = shapes.select(F.concat(F.lit("term_bank_"), "bank", F.lit(".json")).alias("scope"))
+        rows.append(found.where(F.size("faults") > 0).join(F.broadcast(named), "scope", "left_semi").select("scope", "place", F.explode("faults").alias("rule")))
     names = members.select("name")
-    rows.append(file_errors(names, edition))
     shown = found.where("tag = 'img' and path is not null").select(F.col("path").alias("name"))
     lost = missing(shown, names).select(F.col("name").alias("scope"), F.lit(-1).cast("long").alias("place"), F.lit("missing_resource").alias("rule"))
-    rows.append(lost)
-    errors = [f"{r['scope']}[{r['place']}]: {r['rule']}" if r["place"] >= 0 else f"{r['scope']}: {r['rule']}" for r in capped(reduce(DataFrame.union, rows)).collect()]
+    # Only what is said of rows is capped; what is said of files is few.
+    of_files = reduce(DataFrame.union, [bank_errors(sizes), file_errors(names, edition), lost]).orderBy("scope", "rule")
+    told = [*capped(reduce(DataFrame.union, rows)).collect(), *of_files.collect()]
+    errors = [f"{r['scope']}[{r['place']}]: {r['rule']}" if r["place"] >= 0 else f"{r['scope']}: {r['rule']}" for r in told]
     small = {r["name"]: bytes(r["content"]) for r in members.where(F.col("name").isin("index.json", "styles.css")).collect()}
-    errors += [f"index.json: {e}" for e in index_errors(_json(small.get("index.json", b"{}")) or {}, edition, identity)]
+    if "index.json" in small:
+        index = _json(small["index.json"])
+        if "index" in schemas:
+            errors += [f"index.json: schema {rule} at {'/'.join(map(str, where))}" for where, rule in Schema(schemas["index"]).faults(index)]
+        errors += [f"index.json: {e}" for e in index_errors(index, edition, identity)] if "index" not in schemas or edition == "light" else []
     if "styles.css" in small:
         css = spark.createDataFrame([(small["styles.css"].decode("utf-8", "replace"),)], "css string")
-        errors += [f"styles.css: {e}" for e in css.select(css_errors(F.col("css"), root).alias("e")).first()["e"]]
+        styles = css.select(css_errors(F.col("css"), root).alias("e")).first()["e"]
+        errors += [f"styles.css: {e}" for e in styles]
     total = sizes.agg(F.count(F.lit(1)).alias("banks"), F.coalesce(F.sum("n"), F.lit(0)).alias("terms")).first()
     warnings = [f"unused resource: {r['name']}" for r in unused(names, shown).collect()]
-    return {"edition": edition, "valid": not errors, "mode": mode, "term_banks": total["banks"], "terms": total["terms"], "errors": errors, "warnings": warnings}
+    return {
+        "path": path, "edition": edition, "sha256": archive["sha256"], "size": archive["length"], "uncompressed": size_totals(members).first()["bytes"],
+        "valid": not errors, "mode": mode, "term_banks": total["banks"], "terms": total["terms"], "schema_validated_banks": sorted(r["bank"] for r in shapes.collect()),
+        **counters(found, root).first().asDict(), "css_uses_sans_serif": "styles.css" in small and "no_sans_serif" not in styles, "errors": errors, "warnings": warnings,
+    }
 
 
 def report(result: dict) -> str:

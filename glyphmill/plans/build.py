@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from glyphmill.functions import markup
 from glyphmill.functions import text as T
 from glyphmill.operators import classify, emit, resources, stats
-from glyphmill.operators.aliases import unresolved_aliases
+from glyphmill.operators.aliases import resolved_aliases
 from glyphmill.plans.scratch import cut
 from glyphmill.sources import bundle
 
@@ -39,8 +40,11 @@ class Run:
     sources: DataFrame
     parsed: DataFrame
     found: DataFrame
+    aliases: DataFrame
     terms: DataFrame
     media: DataFrame | None = None
+    catalog: DataFrame | None = None
+    scanned: DataFrame | None = None
 
 
 _IMAGE = r'"tag":"img","path":"((?:[^"\\]|\\.)*)"'
@@ -64,61 +68,81 @@ def with_images(found: DataFrame, mapped: DataFrame) -> tuple[DataFrame, DataFra
     return met.withColumn("glossary", F.when(F.col("_images").isNotNull(), shown).otherwise(F.col("glossary"))).drop("_images"), refs
 
 
-def build(records: DataFrame, rules: DataFrame | None = None, edition_: str = "full", root: str = "record-entry", catalog: DataFrame | None = None) -> Run:
-    """Term rows (with place and bank_no) of records (ordinal, headword, raw), and what they were made from.
+def build(records: DataFrame, rules: DataFrame | None = None, edition_: str = "full", root: str = "record-entry", files: DataFrame | None = None) -> Run:
+    """Term rows (with place and bank_no) of records (ordinal, headword, raw), and what they were made from.  files (name,
+    content, scan_pos) are the resources of images; without them images keep their sources, and the light edition has none.
 
-    Markup is parsed once and written, since variants, redirects and statistics all read it.
+    Markup is parsed once, entries are made once and aliases are resolved once; each is written, since variants, redirects
+    and statistics all read them.
     """
     edition(edition_)
-    sources = classify.classify(records)
-    canonical = sources.where("kind = 'canonical'").select("id", "headword", "raw")
+    classified = classify.classify(records)
+    sources = cut(classified.drop("raw"), "sources")
+    canonical = classified.where("kind = 'canonical'").select("id", "headword", "raw")
     if rules is not None:
         canonical = classify.correct(canonical, rules)
-    parsed = cut(markup.parsed(canonical, edition_), "parsed")
-    found, media = emit.entries(parsed, root), None
-    if catalog is not None and edition_ == "full":
+    parsed = cut(markup.parsed(canonical, edition_).drop("raw"), "parsed")
+    found, media, catalog = emit.entries(parsed, root), None, None
+    if files is not None and edition_ == "full":
+        catalog = cut(resources.catalog(files), "catalog")
         found, refs = with_images(found, resources.resource_map(catalog))
         media = resources.used_blobs(catalog, refs).select(F.col("output").alias("name"), "content")
-    sources = sources.drop("raw")
-    return Run(sources, parsed, found, emit.emit(found, sources), media)
+    found = cut(found, "found")
+    aliases = cut(resolved_aliases(sources), "aliases")
+    return Run(sources, parsed, found, aliases, cut(emit.emit(found, sources, aliases), "terms"), media, catalog, files)
 
 
 def statistics(run: Run) -> DataFrame:
     """(name, n) of every counter of a run that isn't zero."""
     s, kind = run.sources, F.col("kind")
+    one = lambda name, rows: rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
+    blocks = run.found.where("reading_no = 0")
+    variants = emit.variant_terms(run.found, s)
+    redirects = run.aliases.join(run.found.select("source_id"), F.col("canonical_id") == F.col("source_id"))
+    made = run.found.select(F.lit(1)).union(variants.select(F.lit(1))).union(redirects.select(F.lit(1)))
     parts = [
         stats.counters(s, input_records=F.lit(True), excluded_records=kind == "excluded", redirect_records=kind == "redirect", canonical_records=kind == "canonical"),
         stats.events(run.parsed),
+        stats.counters(blocks, source_pronunciation_blocks=F.col("has_pron"), missing_readings=~F.col("generic") & ~F.col("plain") & (F.size("readings") == 1) & (F.element_at("readings", 1) == "")),
+        stats.count_each(blocks.where("has_pron"), "reasons", "name"),
+        one("generated_source_variants", variants),
+        one("resolved_redirects", run.aliases.select("alias_id").distinct()),
+        one("unresolved_redirects", s.where("kind = 'redirect'").join(run.aliases.select(F.col("alias_id").alias("id")), "id", "left_anti")),
+        one("emitted_terms", run.terms),
+        # What is left out as equal to an earlier row: all that was made, less what is emitted.
+        one("deduplicated_terms", made),
+        one("deduplicated_terms", run.terms).withColumn("n", -F.col("n")),
     ]
-    blocks = run.found.where("reading_no = 0")
-    parts.append(stats.counters(blocks, source_pronunciation_blocks=F.col("has_pron"), missing_readings=~F.col("generic") & (F.size("readings") == 1) & (F.element_at("readings", 1) == "")))
-    parts.append(stats.count_each(blocks.where("has_pron"), "reasons", "name"))
-    parts.append(emit.variant_terms(run.found, s).agg(F.count(F.lit(1)).alias("n")).select(F.lit("generated_source_variants").alias("name"), "n"))
-    lost = unresolved_aliases(s).agg(F.count(F.lit(1)).alias("n"))
-    parts.append(lost.select(F.lit("unresolved_redirects").alias("name"), "n"))
-    parts.append(run.terms.agg(F.count(F.lit(1)).alias("n")).select(F.lit("emitted_terms").alias("name"), "n"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.union(p)
-    return out.groupBy("name").agg(F.sum("n").alias("n")).where("n > 0")
+    if "corrections" in run.parsed.columns:
+        parts.append(run.parsed.agg(F.sum("corrections").alias("n")).select(F.lit("corrections").alias("name"), "n"))
+    if run.catalog is not None:
+        parts.append(resources.counters(run.catalog, run.scanned))
+        parts.append(one("used_resources", run.media))
+    return reduce(DataFrame.union, parts).groupBy("name").agg(F.sum("n").alias("n")).where("n > 0")
 
 
 def report(run: Run, edition_: str = "full") -> dict:
-    """What a run did: counters, exclusions, unknown tags by frequency, and the first samples of each reading reason."""
+    """What a run did: counters, exclusions, all unknown tags by frequency, resources by ending, and the first samples of
+    each reading reason, of missing readings, of private-use characters and of aliases that lead nowhere."""
     one = lambda df: {r[0]: r[1] for r in df.collect()}  # noqa: E731  a few names each
-    unknown = stats.events(run.parsed, "unknown_tags").orderBy(F.desc("n"), "name").limit(100)
-    blocks = run.found.where("reading_no = 0 and has_pron").select("expression", "original", "source_id", "block", F.explode(F.array_distinct("reasons")).alias("reason"))
+    unknown = stats.events(run.parsed, "unknown_tags").orderBy(F.desc("n"), "name")
+    blocks = run.found.where("reading_no = 0 and has_pron").select("expression", "original", "source_id", "block", "readings", F.explode(F.array_distinct("reasons")).alias("reason"))
     samples: dict[str, list] = {}
     for r in stats.first_of_group(blocks, ["reason"], ["source_id", "block"]).orderBy("reason", "place").collect():  # 25 a reason
-        samples.setdefault(r["reason"], []).append({"headword": r["expression"], "original": r["original"]})
-    missing = run.found.where("reading_no = 0 and not generic and reading = ''")
+        samples.setdefault(r["reason"], []).append({"headword": r["expression"], "original": r["original"], "readings": r["readings"]})
+    first = lambda rows, value="expression", order="source_id": [r[value] for r in stats.first_distinct(rows, value, order).collect()]
+    lost = run.sources.where("kind = 'redirect'").join(run.aliases.select(F.col("alias_id").alias("id")), "id", "left_anti")
     return {
         "edition": edition_,
         "counts": dict(sorted(one(statistics(run)).items())),
         "exclusions": dict(sorted(one(stats.count_by(run.sources.where("exclusion is not null"), "exclusion")).items())),
         "unknown_tags": one(unknown),
-        "reading_samples": samples,
-        "missing_reading_samples": [r["expression"] for r in stats.first_distinct(missing, "expression", "source_id").collect()],
+        "resource_extensions": dict(sorted(one(resources.extension_counts(run.catalog)).items())) if run.catalog is not None else {},
+        "reading_diagnostics": {"counts": dict(sorted(one(stats.count_each(run.found.where("reading_no = 0 and has_pron"), "reasons", "reason")).items())), "samples": samples, "sample_limit_per_reason": 25},
+        "missing_reading_samples": first(run.found.where("reading_no = 0 and not generic and not plain and reading = ''")),
+        "unresolved_pua_samples": first(run.found.where("reading_no = 0 and private_use")),
+        "unresolved_redirect_samples": first(lost.select(F.concat_ws(" -> ", "headword", "redirect").alias("expression"), F.col("id").alias("source_id"))),
+        "unreadable_resources": [r["path"] for r in run.catalog.where("status in ('unreadable', 'unsupported')").orderBy("path").limit(100).collect()] if run.catalog is not None else [],
     }
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 
@@ -13,9 +14,11 @@ _apps: set[str] = set()
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder in spark.checkpoint.dir; a folder of our own only where that is unset."""
+    """The shared folder in spark.checkpoint.dir; a folder of our own only where that is unset and all is one process."""
     where = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not where:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("on a cluster spark.checkpoint.dir has to name a folder that all executors share")
         if not _own:
             _own.append(f"file://{tempfile.mkdtemp(prefix='glyphmill-')}")
         where = _own[0]
