@@ -4,15 +4,18 @@ from __future__ import annotations
 
 import io
 import json
+import os
 import re
 import zipfile
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glyphmill.functions import text as T
+from glyphmill.sources import container
 
 RULE_SCHEMA = "source_sha256 string, headword string, before string, after string, reason string, evidence string"
 
@@ -24,23 +27,83 @@ def inventory(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     return files.select(name.alias("name"), F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"))
 
 
-def check_inputs(files: DataFrame, main: str = ".records.parquet", resource: str = ".resources.parquet") -> DataFrame:
-    """The inventory again; the query fails unless there's exactly one main file and at least one resource file."""
-    found = files.agg(F.count_if(F.col("name").endswith(main)).alias("mains"), F.count_if(F.col("name").endswith(resource)).alias("resources"))
-    right = found.select(F.assert_true((F.col("mains") == 1) & (F.col("resources") >= 1), F.lit(f"expected one *{main} and at least one *{resource}")).alias("ok"))
-    return files.join(F.broadcast(right), F.col("ok").isNull()).drop("ok")
+@dataclass(frozen=True)
+class Inputs:
+    """What a folder holds: the one main file, resource files, stylesheets; each list by name."""
+
+    root: str
+    main: str
+    resources: tuple[str, ...]
+    styles: tuple[str, ...]
+
+
+#: Endings of containers of records and of resources.
+MAIN, RESOURCES = ".mdx", ".mdd"
+
+
+def discover(root: str) -> Inputs:
+    """The inputs in a folder: exactly one file of records (a container, or Parquet named records.parquet) and at least
+    one of resources (containers, or a folder named resources)."""
+    from pyarrow import fs
+
+    system, inside = fs.FileSystem.from_uri(root) if "://" in root else (fs.LocalFileSystem(), os.path.abspath(root))
+    if system.get_file_info(inside).type != fs.FileType.Directory:
+        raise FileNotFoundError(f"no such folder: {root}")
+    found = sorted(system.get_file_info(fs.FileSelector(inside)), key=lambda f: f.base_name)
+    prefix = root.rstrip("/") if "://" in root else inside
+    named = lambda want: [f"{prefix}/{f.base_name}" for f in found if want(f)]
+    is_file = lambda f: f.type == fs.FileType.File
+    main = named(lambda f: is_file(f) and f.base_name.endswith(MAIN) or f.base_name == "records.parquet")
+    if len(main) != 1:
+        raise ValueError(f"expected exactly one file of records in {root}, found {len(main)}")
+    parts = named(lambda f: is_file(f) and f.base_name.endswith(RESOURCES) or not is_file(f) and f.base_name == "resources")
+    if not parts:
+        raise ValueError(f"expected at least one file of resources in {root}")
+    return Inputs(prefix, main[0], tuple(parts), tuple(named(lambda f: is_file(f) and f.base_name.endswith(".css"))))
+
+
+def described(spark: SparkSession, inputs: Inputs) -> dict:
+    """The inventory of a folder's inputs, with the attributes of the container of records."""
+    files = [inputs.main, *inputs.resources, *inputs.styles]
+    rows = [r.asDict() for path in files for r in inventory(spark, path).orderBy("name").collect()]
+    return {"root": inputs.root, "files": rows, "container": container.attributes(inputs.main) if inputs.main.endswith(MAIN) else {}}
+
+
+def numbered(rows: DataFrame, order: tuple[str, ...]) -> DataFrame:
+    """rows with ordinal, from 1 in an order: for sources that don't number their records."""
+    from glyphmill.operators.emit import global_row_number
+
+    return global_row_number(rows, order, "ordinal")
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """(ordinal, headword, raw) from Parquet; the headword is composed but not trimmed."""
+    """(ordinal, headword, raw) from a container or from Parquet; the headword is composed but not trimmed.  Parquet
+    without ordinals is numbered by headword and text."""
+    if path.endswith(MAIN):
+        rows = container.read(spark, path)
+        text = F.decode("value", "utf-8")
+        return rows.select("ordinal", T.nfc(F.col("key")).alias("headword"), F.regexp_replace(text, "\\x00+$", "").alias("raw"))
     rows = spark.read.parquet(path)
+    if "ordinal" not in rows.columns:
+        rows = numbered(rows.select("headword", "raw"), ("headword", "raw"))
     return rows.select(F.col("ordinal").cast("long").alias("ordinal"), T.nfc(F.col("headword")).alias("headword"), F.col("raw").cast("string").alias("raw"))
 
 
-def read_resources(spark: SparkSession, path: str) -> DataFrame:
-    """(name, content) of loose files."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("name"), "content")
+def read_resources(spark: SparkSession, *paths: str) -> DataFrame:
+    """(name, content, scan_pos) from containers and folders, in their order; names keep their folders."""
+    out = None
+    for i, path in enumerate(paths):
+        if path.endswith(RESOURCES):
+            rows = container.read(spark, path).select(F.col("key").alias("name"), F.col("value").alias("content"), "ordinal")
+        else:
+            files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+            root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            root = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(root).toString()
+            name = F.substring("path", F.lit(len(root) + 2), F.length("path"))
+            rows = files.select(name.alias("name"), "content", F.xxhash64("path").bitwiseAND((1 << 40) - 1).alias("ordinal"))
+        rows = rows.select("name", "content", (F.lit(i << 41) + F.col("ordinal")).alias("scan_pos"))
+        out = rows if out is None else out.union(rows)
+    return out
 
 
 def read_rules(spark: SparkSession, path: str) -> DataFrame:
@@ -49,22 +112,39 @@ def read_rules(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumn("rule", F.monotonically_increasing_id())  # one file, one partition: its order
 
 
-def read_banks(spark: SparkSession, path: str) -> DataFrame:
-    """(bank, place, row: JSON text of a term row; null for a bank that isn't an array) of archives' term banks."""
+BANKS = "bank long, place long, row string, n long, fault string"
+
+
+def scan_banks(spark: SparkSession, path: str) -> DataFrame:
+    """(bank, place, row, n, fault) of the term banks in archives: first a row with place -1 for the bank itself, with its
+    number of rows, or the fault that it isn't JSON or not an array; then its rows as JSON text."""
     files = spark.read.format("binaryFile").load(path).select("content")
 
+    def scanned(number: int, raw: bytes) -> pd.DataFrame:
+        try:
+            rows, fault = json.loads(raw), None
+        except ValueError:
+            rows, fault = None, "bank_not_json"
+        if not isinstance(rows, list):
+            rows, fault = [], fault or "bank_not_array"
+        texts = [json.dumps(r, ensure_ascii=False, separators=(",", ":")) for r in rows]
+        n = None if fault else len(rows)
+        return pd.DataFrame({"bank": number, "place": range(-1, len(rows)), "row": pd.Series([None, *texts], dtype=object), "n": pd.Series([n, *[None] * len(rows)], dtype="Int64"), "fault": pd.Series([fault, *[None] * len(rows)], dtype=object)})
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for content in b["content"]:
                 with zipfile.ZipFile(io.BytesIO(content)) as z:
                     for name in z.namelist():
                         if m := re.fullmatch(r"term_bank_(\d+)\.json", name):
-                            rows = json.loads(z.read(name))
-                            rows = rows if isinstance(rows, list) else [None]
-                            text = [None if r is None else json.dumps(r, ensure_ascii=False, separators=(",", ":")) for r in rows]
-                            yield pd.DataFrame({"bank": int(m[1]), "place": range(len(rows)), "row": text})
+                            yield scanned(int(m[1]), z.read(name))
+
+    return files.mapInPandas(run, BANKS)
 
-    return files.mapInPandas(run, "bank long, place long, row string")
+
+def read_banks(spark: SparkSession, path: str) -> DataFrame:
+    """(bank, place, row: JSON text of a term row) of the term banks in archives; banks that are no arrays have none."""
+    return scan_banks(spark, path).where("place >= 0").select("bank", "place", "row")
 
 
 def read_members(spark: SparkSession, path: str) -> DataFrame:
