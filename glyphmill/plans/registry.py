@@ -6,16 +6,19 @@ both engines; what is under test is done by the library here and by plain SQL th
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glyphmill.functions import markup
+from glyphmill.functions import markup, nodes
 from glyphmill.functions import readings as R
 from glyphmill.functions import text as T
 from glyphmill.operators import aliases, classify, compare, emit, resources, stats, validate
 from glyphmill.plans import build
+from glyphmill.sources import bundle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -38,7 +41,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _made(spark: SparkSession, sf_dir: str, sql: str, table: str) -> DataFrame:
     """An input built from one table by SQL that both engines read alike."""
-    return spark.sql(sql.replace(f"FROM {table}", "FROM {source}"), source=_table(spark, sf_dir, table))
+    sql = sql.replace("{", "{{").replace("}", "}}").replace(f"FROM {table}", "FROM {source}")
+    return spark.sql(sql, source=_table(spark, sf_dir, table))
 
 
 # Records out of documents: chains, two-cycles, dangling and repeated headwords, navigation records.
@@ -117,7 +121,7 @@ def emit_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("emit_redirect_rows", f"{_ALIASES}, {_FOUND} SELECT a AS alias_id, expression, sequence FROM rows WHERE term_tags = 'redirect'")
 def emit_redirect_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     sources = _sources(spark, sf_dir).drop("raw")
-    return emit.redirect_terms(_found(sources), sources).select(F.col("a").alias("alias_id"), "expression", "sequence")
+    return emit.redirect_terms(_found(sources), aliases.resolved_aliases(sources)).select(F.col("a").alias("alias_id"), "expression", "sequence")
 
 
 @_query("suppress_variants", "SELECT p_partkey, lower(p_name) AS alternate FROM part WHERE lower(p_name) NOT IN (SELECT lower(p_name) FROM part WHERE p_partkey < 40)")
@@ -148,6 +152,11 @@ def assign_banks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("l_orderkey", "l_partkey", "l_linenumber", "place", "bank_no")
 
 
+@_query("number_by_text", "SELECT doc_id, row_number() OVER (ORDER BY text, doc_id) AS place FROM documents")
+def number_by_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return emit.global_row_number(_table(spark, sf_dir, "documents").select("doc_id", "text"), ("text", "doc_id")).select("doc_id", "place")
+
+
 @_query("bank_totals", "WITH b AS (SELECT (row_number() OVER (ORDER BY event_id) - 1) // 10000 + 1 AS bank_no FROM events) SELECT bank_no, count(*) AS terms FROM b GROUP BY 1")
 def bank_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return emit.with_banks(_table(spark, sf_dir, "events").select("event_id"), ("event_id",)).groupBy("bank_no").agg(F.count(F.lit(1)).alias("terms"))
@@ -178,37 +187,44 @@ def normalize_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dirty.select("doc_id", F.sha2(T.normalize_text(F.col("dirty")), 256).alias("digest"))
 
 
-_READING = "regexp_extract(text, '^[^ ]+', 0)"
+# Whole texts with look-alike letters, em spaces and decomposed accents.
+_LOOKALIKE = "' ' || replace(replace(translate(text, 'gaek', 'ɡɑｅｋ'), 'é', 'e' || chr(769)), ' en ', chr(8195)) || chr(0)"
 
 
-@_query("normalize_reading", f"SELECT doc_id, nfc_normalize(replace(replace(replace(translate(translate({_READING}, 'gaek', 'ɡɑｅｋ'), 'ɡɑｅｋ', 'gaek'), chr(8195), ' '), 'é', 'e' || chr(769)), chr(0), '')) AS reading FROM documents")
+@_query("normalize_reading", f"SELECT doc_id, sha256(regexp_replace(nfc_normalize(replace(replace(translate({_LOOKALIKE}, 'ɡɑｅｋ', 'gaek'), chr(8195), ' '), chr(0), '')), '^[\\s\\x{{0085}}]+|[\\s\\x{{0085}}]+$', '', 'g')) AS digest FROM documents")
 def normalize_reading(spark: SparkSession, sf_dir: str) -> DataFrame:
-    word = F.regexp_extract("text", "^[^ ]+", 0)
-    dirty = F.concat(F.lit(" "), F.replace(F.translate(word, "gaek", "ɡɑｅｋ"), F.lit("é"), F.lit("é")), F.lit(" "))
-    return _table(spark, sf_dir, "documents").select("doc_id", T.normalize_reading(dirty).alias("reading"))
+    dirty = F.concat(F.lit(" "), F.replace(F.replace(F.translate("text", "gaek", "ɡɑｅｋ"), F.lit("é"), F.lit("e\u0301")), F.lit(" en "), F.lit("\u2003")), F.lit("\x00"))
+    return _table(spark, sf_dir, "documents").select("doc_id", F.sha2(T.normalize_reading(dirty), 256).alias("digest"))
+
 
+_COMPOSED = "àáâäèéêëìíîïòóôöùúûüÀÁÂÄÈÉÊËÌÍÎÏÒÓÔÖÙÚÛÜǎěǐǒǔāēīōū"
 
-@_query("clean_reading_flag", "WITH w AS (SELECT doc_id, split_part(text, ' ', 1) || CASE WHEN doc_id % 3 = 0 THEN '1' WHEN doc_id % 3 = 1 THEN '' ELSE 'ｅ' END AS word FROM documents) SELECT doc_id, word, word = '' OR regexp_full_match(nfc_normalize(word), '[A-Za-z ,，､、’''\\-àáâäèéêëìíîïòóôöùúûüÀÁÂÄÈÉÊËÌÍÎÏÒÓÔÖÙÚÛÜǎěǐǒǔāēīōūñÑ]*') AND NOT regexp_matches(word, '[ñÑ]') AND regexp_matches(strip_accents(word), '[A-Za-z]') AND word = trim(word) AS clean FROM w")
+
+@_query("clean_reading_flag", f"WITH w AS (SELECT doc_id, unnest(string_split_regex(text, '\\s+')) AS word FROM documents) SELECT doc_id, count(*) AS words, count(*) FILTER (word = '' OR regexp_full_match(nfc_normalize(word), '[A-Za-z ,，､、’''\\-{_COMPOSED}]*') AND word = nfc_normalize(word) AND regexp_matches(strip_accents(word), '[A-Za-z]')) AS clean FROM w GROUP BY doc_id")
 def clean_reading_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dirt = F.when(F.col("doc_id") % 3 == 0, "1").when(F.col("doc_id") % 3 == 1, "").otherwise("ｅ")
-    words = _table(spark, sf_dir, "documents").select("doc_id", F.concat(F.element_at(F.split("text", " "), 1), dirt).alias("word"))
-    return words.select("doc_id", "word", T.is_clean_reading(F.col("word")).alias("clean"))
+    words = _table(spark, sf_dir, "documents").select("doc_id", F.explode(F.split("text", "\\s+", -1)).alias("word"))
+    words = words.select("doc_id", T.is_clean_reading(F.col("word")).alias("clean"))
+    return words.groupBy("doc_id").agg(F.count(F.lit(1)).alias("words"), F.count_if("clean").alias("clean"))
 
 
-@_query("slash_alternatives", "SELECT doc_id, unnest(list_sort(list_distinct(string_split(lower(split_part(text, ' ', 1) || '/' || split_part(text, ' ', 2) || '/'), '/')))) AS part FROM documents")
+@_query("slash_alternatives", "SELECT doc_id, len(list_distinct(p)) AS parts, sha256(array_to_string(list_sort(list_distinct(p)), '|')) AS digest FROM (SELECT doc_id, string_split(replace(text, ' ', '/') || '/', '/') AS p FROM documents)")
 def slash_alternatives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = F.split("text", " ", -1)
-    word = lambda i: F.coalesce(F.try_element_at(words, F.lit(i)), F.lit(""))
-    both = F.lower(F.concat(word(1), F.lit("/"), word(2), F.lit("/")))
-    return _table(spark, sf_dir, "documents").select("doc_id", F.explode(F.array_distinct(T.split_alternatives(both))).alias("part"))
+    parts = F.array_distinct(T.split_alternatives(F.concat(F.replace("text", F.lit(" "), F.lit("/")), F.lit("/"))))
+    return _table(spark, sf_dir, "documents").select("doc_id", F.size(parts).cast("long").alias("parts"), F.sha2(F.array_join(F.sort_array(parts), "|"), 256).alias("digest"))
+
 
+# Texts as groups in brackets that tile them or not, by how many words they have.
+_BRACKETED = """SELECT doc_id, CASE (length(text) - length(replace(text, ' ', ''))) % 4 WHEN 0 THEN '［' || replace(text, '. ', 'ㄒㄧㄡ］ ［') || '］'
+  WHEN 1 THEN '[' || replace(text, '. ', '] [') || ']' WHEN 2 THEN '［' || replace(text, '. ', '］.［') || '］' ELSE text END AS v FROM documents"""
 
-@_query("bracket_extract", "WITH w AS (SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN '［' || split_part(text, ' ', 1) || 'ㄒㄧㄡ］［b］' WHEN doc_id % 4 = 1 THEN '[' || split_part(text, ' ', 1) || ']' WHEN doc_id % 4 = 2 THEN '［a］b' ELSE split_part(text, ' ', 1) END AS v, split_part(text, ' ', 1) AS word FROM documents) SELECT doc_id, doc_id % 4 IN (0, 1) AND NOT regexp_matches(word, '[\\[\\]［］]') AS tiled, CASE WHEN doc_id % 4 IN (0, 1) AND NOT regexp_matches(word, '[\\[\\]［］]') THEN word ELSE '' END AS inside FROM w")
+
+@_query("bracket_extract", f"""WITH w AS ({_BRACKETED}), g AS (SELECT doc_id, v, regexp_replace(v, '［[^［］]*］|\\[[^\\[\\]]*\\]', '', 'g') AS rest FROM w),
+t AS (SELECT *, (starts_with(v, '［') OR starts_with(v, '[')) AND regexp_full_match(rest, '\\s*') AS tiled FROM g)
+SELECT doc_id, tiled, sha256(CASE WHEN tiled THEN regexp_extract(substr(v, 2), '^[^ㄒ［］\\[\\]]*') ELSE '' END) AS inside FROM t""")
 def bracket_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    word, k = F.element_at(F.split("text", " "), 1), F.col("doc_id") % 4
-    value = F.when(k == 0, F.concat(F.lit("［"), word, F.lit("ㄒㄧㄡ］［b］"))).when(k == 1, F.concat(F.lit("["), word, F.lit("]"))).when(k == 2, "［a］b").otherwise(word)
-    rows = _table(spark, sf_dir, "documents").select("doc_id", value.alias("v"))
-    return rows.select("doc_id", T.bracket_tiles(F.col("v")).alias("tiled"), F.when(T.bracket_tiles(F.col("v")), T.before_bopomofo(T.first_bracket(F.col("v")))).otherwise("").alias("inside"))
+    tiled = T.bracket_tiles(F.col("v"))
+    inside = F.when(tiled, T.before_bopomofo(T.first_bracket(F.col("v")))).otherwise("")
+    return _made(spark, sf_dir, _BRACKETED, "documents").select("doc_id", tiled.alias("tiled"), F.sha2(inside, 256).alias("inside"))
 
 
 @_query("literal_count_replace", "SELECT doc_id, CAST((length(text) - length(replace(text, 'en', ''))) / 2 AS BIGINT) AS n, sha256(CASE WHEN strpos(text, 'en') > 0 THEN substr(text, 1, strpos(text, 'en') - 1) || 'EN!' || substr(text, strpos(text, 'en') + 2) ELSE text END) AS digest FROM documents")
@@ -271,90 +287,130 @@ def unused_resources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resources.unused(rows, rows.where("page_id % 3 = 0"))
 
 
-@_query("resource_catalog", "WITH f AS (SELECT page_id, 'p/' || (page_id % 40) || CASE WHEN page_id % 4 = 0 THEN '.png' WHEN page_id % 4 = 1 THEN '.JPEG' WHEN page_id % 4 = 2 THEN '.svg' ELSE '.txt' END AS name, html FROM pages), l AS (SELECT *, row_number() OVER (PARTITION BY lower(name) ORDER BY page_id DESC) AS k FROM f) SELECT lower(name) AS path, page_id AS scan_pos, CASE page_id % 4 WHEN 2 THEN 'unsupported' WHEN 3 THEN 'discarded' ELSE 'kept' END AS status, coalesce(CASE page_id % 4 WHEN 0 THEN 'media/' || substr(sha256(html), 1, 24) || '.png' WHEN 1 THEN 'media/' || substr(sha256(html), 1, 24) || '.jpg' END, '') AS output FROM l WHERE k = 1")
+# Files out of pages: images that are whole, images that aren't, other files; a third of all under one path.
+_FILES = """SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 'all/Same' ELSE 'p/' || CAST(page_id % 40 AS STRING) END || CASE page_id % 4 WHEN 0 THEN '.gif' WHEN 1 THEN '.GIF' WHEN 2 THEN '.png' ELSE '.txt' END AS name,
+  CASE WHEN page_id % 8 = 5 THEN html ELSE 'GIF89a' || html || ';' END AS body FROM pages"""
+
+
+@_query("resource_catalog", f"""WITH f AS ({_FILES.replace("STRING", "VARCHAR")}), l AS (SELECT *, row_number() OVER (PARTITION BY lower(name) ORDER BY page_id DESC) AS k FROM f)
+SELECT lower(name) AS path, page_id AS scan_pos, status, CASE WHEN status = 'kept' THEN 'media/' || substr(sha256(body), 1, 24) || '.gif' ELSE '' END AS output
+FROM (SELECT *, CASE WHEN lower(name) LIKE '%.gif' AND body LIKE 'GIF89a%;' THEN 'kept' WHEN lower(name) LIKE '%.txt' THEN 'discarded' ELSE 'unreadable' END AS status FROM l WHERE k = 1)""")
 def resource_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("page_id") % 4
-    ext = F.when(k == 0, ".png").when(k == 1, ".JPEG").when(k == 2, ".svg").otherwise(".txt")
-    files = _table(spark, sf_dir, "pages").select(F.concat(F.lit("p/"), F.col("page_id") % 40, ext).alias("name"), F.encode("html", "utf-8").alias("content"), F.col("page_id").alias("scan_pos"))
-    return resources.catalog(files).select("path", "scan_pos", "status", F.coalesce("output", F.lit("")).alias("output"))
+    return _catalog(spark, sf_dir).select("path", "scan_pos", "status", F.coalesce("output", F.lit("")).alias("output"))
 
 
-_STRIPPED = "regexp_replace(regexp_replace(html, '<!--.*?-->', '', 'gs'), '(<(script|style)[^>]*>).*?(</(script|style)>)', '\\1\\3', 'gs')"
+def _catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = _made(spark, sf_dir, _FILES, "pages").select("name", F.encode("body", "utf-8").alias("content"), F.col("page_id").alias("scan_pos"))
+    return resources.catalog(files)
 
 
-@_query("tag_histogram", f"WITH t AS (SELECT unnest(regexp_extract_all({_STRIPPED}, '<([a-zA-Z][a-zA-Z0-9]*)', 1)) AS tag FROM pages) SELECT lower(tag) AS tag, count(*) AS n FROM t GROUP BY 1")
-def tag_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    @F.pandas_udf("array<string>")
-    def tags(html):
-        return html.map(lambda x: [n.tag for n in markup.tree(x or "").elements() if n.tag])
+_KEPT = f"""f AS ({_FILES.replace("STRING", "VARCHAR")}), kept AS (
+  SELECT path, 'media/' || substr(sha256(body), 1, 24) || '.gif' AS output FROM (SELECT lower(name) AS path, body, row_number() OVER (PARTITION BY lower(name) ORDER BY page_id DESC) AS k FROM f) WHERE k = 1 AND path LIKE '%.gif' AND body LIKE 'GIF89a%;')"""
+# References to them, one of each page, by other spellings of their paths.
+_REFS = """SELECT page_id, CASE WHEN page_id % 5 = 0 THEN 'bres://host/ALL/x/../same.gif' ELSE '/P/' || CAST(page_id % 40 AS STRING) || '%2Egif' END AS src FROM pages"""
 
-    return _table(spark, sf_dir, "pages").select(F.explode(tags("html")).alias("tag")).groupBy("tag").agg(F.count(F.lit(1)).alias("n"))
 
+@_query("resolve_images", f"WITH {_KEPT} SELECT r.page_id, coalesce(k.output, '') AS output FROM ({_REFS.replace('STRING', 'VARCHAR')}) r LEFT JOIN kept k ON k.path = CASE WHEN r.page_id % 5 = 0 THEN 'all/same.gif' ELSE 'p/' || (r.page_id % 40) || '.gif' END")
+def resolve_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    refs = _made(spark, sf_dir, _REFS, "pages").withColumn("path", T.resource_path(F.col("src")))
+    return resources.resolved(refs, resources.resource_map(_catalog(spark, sf_dir)), strict=False).select("page_id", F.coalesce("output", F.lit("")).alias("output"))
 
-@_query("unknown_tags")
+
+@_query("used_resources", f"WITH {_KEPT} SELECT DISTINCT k.output FROM ({_REFS.replace('STRING', 'VARCHAR')}) r JOIN kept k ON k.path = CASE WHEN r.page_id % 5 = 0 THEN 'all/same.gif' ELSE 'p/' || (r.page_id % 40) || '.gif' END")
+def used_resources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _catalog(spark, sf_dir)
+    refs = _made(spark, sf_dir, _REFS, "pages").withColumn("path", T.resource_path(F.col("src")))
+    return resources.used_blobs(found, resources.resolved(refs, resources.resource_map(found), strict=False)).select("output")
+
+
+@_query("resource_counters", f"""WITH {_KEPT}, last AS (SELECT *, row_number() OVER (PARTITION BY lower(name) ORDER BY page_id DESC) AS k FROM f)
+SELECT 'resources' AS name, count(*) AS n FROM f UNION ALL SELECT 'image_resources', count(*) FROM kept UNION ALL SELECT 'deduplicated_resources', count(*) - count(DISTINCT output) FROM kept
+UNION ALL SELECT 'discarded_non_image_resources', count(*) FROM last WHERE k = 1 AND lower(name) LIKE '%.txt'
+UNION ALL SELECT 'unreadable_resources', count(*) FROM last WHERE k = 1 AND lower(name) NOT LIKE '%.txt' AND NOT (lower(name) LIKE '%.gif' AND body LIKE 'GIF89a%;') UNION ALL SELECT 'unsupported_resources', 0""")
+def resource_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resources.counters(_catalog(spark, sf_dir), _table(spark, sf_dir, "pages"))
+
+
+# What regular expressions can tell of the pages' markup, which is flat where it matters: no comments, no active elements.
+_STRIPPED = "regexp_replace(regexp_replace(html, '<!--.*?-->', '', 'gs'), '<(script|style)[^>]*>.*?</(script|style)>', '', 'gs')"
+_TAGS = f"SELECT page_id, lower(unnest(regexp_extract_all({_STRIPPED}, '<([a-zA-Z][a-zA-Z0-9]*)', 1))) AS tag FROM pages"
+
+
+@_query("tag_histogram", f"SELECT tag, count(*) AS n FROM ({_TAGS}) WHERE tag NOT IN ({', '.join(repr(t) for t in sorted(markup.DROPPED))}) GROUP BY 1")
+def tag_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "pages").select(F.explode(markup.tags(F.col("html"))).alias("tag")).groupBy("tag").agg(F.count(F.lit(1)).alias("n"))
+
+
+@_query("unknown_tags", f"SELECT tag AS name, CAST(count(*) AS BIGINT) AS n FROM ({_TAGS}) WHERE tag NOT IN ({', '.join(repr(t) for t in sorted({*markup.SHAPES, *markup.DROPPED}))}) GROUP BY 1")
 def unknown_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages").select("page_id", F.col("url").alias("headword"), F.col("html").alias("raw"))
     return stats.events(markup.parsed(pages), "unknown_tags").orderBy(F.desc("n"), "name")
 
 
-@_query("private_use_scan", "SELECT doc_id % 5 = 0 AS found, count(*) AS n FROM documents GROUP BY 1")
+@_query("private_use_scan", "SELECT source, regexp_matches(translate(text, 'wq', chr(57344) || chr(1048576)), '\\p{Co}') AS found, count(*) AS n FROM documents GROUP BY ALL")
 def private_use_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dirty = F.when(F.col("doc_id") % 5 == 0, F.concat("text", F.lit("\U00100000"))).otherwise(F.col("text"))
-    return _table(spark, sf_dir, "documents").groupBy(T.has_private_use(dirty).alias("found")).agg(F.count(F.lit(1)).alias("n"))
+    dirty = F.translate("text", "wq", "\ue000\U00100000")
+    return _table(spark, sf_dir, "documents").groupBy("source", T.has_private_use(dirty).alias("found")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@_query("usable_content", "SELECT conv_id, turn, regexp_matches(CASE WHEN turn % 3 = 0 THEN '… — 。' ELSE text END, '[\\p{L}\\p{N}\\p{S}]') AS usable FROM conversations")
+@_query("usable_content", "SELECT conv_id, turn, v AS digest, strlen(regexp_replace(x, '[\\p{M}\\p{P}\\p{Z}\\s]+', '', 'g')) > 0 AS usable FROM (SELECT conv_id, turn, sha256(x) AS v, x FROM (SELECT conv_id, turn, CASE WHEN turn % 3 = 0 THEN regexp_replace(text, '[^ .,\\n]+', '…', 'g') ELSE text END AS x FROM conversations))")
 def usable_content(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = F.when(F.col("turn") % 3 == 0, "… — 。").otherwise(F.col("text"))
-    return _table(spark, sf_dir, "conversations").select("conv_id", "turn", T.is_usable(text).alias("usable"))
+    text = F.when(F.col("turn") % 3 == 0, F.regexp_replace("text", "[^ .,\n]+", "…")).otherwise(F.col("text"))
+    return _table(spark, sf_dir, "conversations").select("conv_id", "turn", F.sha2(text, 256).alias("digest"), T.is_usable(text).alias("usable"))
 
 
-@_query("codepoint_labels", "SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'U+100000' WHEN 1 THEN 'U+0007,U+E000' ELSE '' END AS labels FROM documents")
+@_query("codepoint_labels", "SELECT doc_id, array_to_string(list_sort(list_distinct(list_transform(regexp_extract_all(translate(text, 'wqx', chr(57344) || chr(1048576) || chr(7)), '[\\p{Co}\\p{Cc}\\p{Cf}]'), lambda c: format('U+{:04X}', unicode(c))))), ',') AS labels FROM documents")
 def codepoint_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("doc_id") % 3
-    odd = F.when(k == 0, "a\U00100000").when(k == 1, "b\x07").otherwise("plain")
+    odd = F.translate("text", "wqx", "\ue000\U00100000\x07")
     return _table(spark, sf_dir, "documents").select("doc_id", F.array_join(T.odd_codepoints(odd), ",").alias("labels"))
 
 
-@_query("corner_brackets", "SELECT conv_id, turn, sha256(text) AS digest FROM conversations")
+_QUOTED = "CASE turn % 4 WHEN 0 THEN '「' || text || '」' WHEN 1 THEN text || '」' WHEN 2 THEN '「' || text ELSE '「' END"
+
+
+@_query("corner_brackets", f"SELECT conv_id, turn, sha256(CASE WHEN starts_with(v, '「') AND ends_with(v, '」') AND length(v) > 1 THEN substr(v, 2, length(v) - 2) ELSE v END) AS digest FROM (SELECT *, {_QUOTED} AS v FROM conversations)")
 def corner_brackets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    quoted = F.concat(F.lit("「"), "text", F.lit("」"))
-    return _table(spark, sf_dir, "conversations").select("conv_id", "turn", F.sha2(T.strip_corner_brackets(quoted), 256).alias("digest"))
+    return _table(spark, sf_dir, "conversations").select("conv_id", "turn", F.sha2(T.strip_corner_brackets(F.expr(_QUOTED)), 256).alias("digest"))
 
 
-@_query("executable_text", "SELECT page_id, regexp_matches(html, '(?i)<(?:script|iframe|object|embed|form|audio|video)\\b|\\bon\\w+\\s*=') AS found FROM pages")
+@_query("executable_text", "SELECT page_id, " + " OR ".join(f"regexp_matches(lower(html), '<{t}\\b')" for t in T.EXECUTABLE) + " OR regexp_matches(lower(html), '\\bon\\w+\\s*=') AS found FROM (SELECT page_id, CASE WHEN page_id % 3 = 0 THEN replace(html, 'script', 'b') ELSE html END AS html FROM pages)")
 def executable_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "pages").select("page_id", T.looks_executable(F.col("html")).alias("found"))
+    html = F.when(F.col("page_id") % 3 == 0, F.replace("html", F.lit("script"), F.lit("b"))).otherwise(F.col("html"))
+    return _table(spark, sf_dir, "pages").select("page_id", T.looks_executable(html).alias("found"))
 
 
-@_query("unsafe_paths", "SELECT page_id, page_id % 4 <> 3 AS unsafe FROM pages")
+# Names out of urls: as they are, with a step up, with a backslash, relative.
+_NAMES = "CASE length(url) % 4 WHEN 0 THEN substr(url, 8) WHEN 1 THEN replace(url, '/en/', '/../') WHEN 2 THEN replace(url, '.html', chr(92)) ELSE substr(url, strpos(url, '.')) || '..' END"
+
+
+@_query("unsafe_paths", f"SELECT page_id, starts_with(name, '/') OR contains(name, chr(92)) OR list_contains(string_split(name, '/'), '..') AS unsafe FROM (SELECT page_id, {_NAMES} AS name FROM pages)")
 def unsafe_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("page_id") % 4
-    name = F.when(k == 0, "/etc/x").when(k == 1, "a/../b").when(k == 2, "a\\b").otherwise("a/..b/c")
-    return _table(spark, sf_dir, "pages").select("page_id", T.is_unsafe_path(name).alias("unsafe"))
+    names = _table(spark, sf_dir, "pages").select("page_id", F.expr(_NAMES.replace("strpos(url, '.')", "locate('.', url)")).alias("name"))
+    return names.select("page_id", T.is_unsafe_path(F.col("name")).alias("unsafe"))
+
+
+@_query("percent_decode", "SELECT doc_id, sha256(text) AS digest FROM documents")
+def percent_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts survive being encoded and decoded."""
+    return _table(spark, sf_dir, "documents").select("doc_id", F.sha2(T.url_unquote(T.url_quote(F.col("text"))), 256).alias("digest"))
+
+
+@_query("note_comma", "SELECT doc_id, sha256(rtrim_comma) AS digest FROM (SELECT doc_id, CASE WHEN regexp_matches(t, '[,，]$') THEN left(t, length(t) - 1) ELSE v END AS rtrim_comma FROM (SELECT doc_id, v, regexp_replace(v, '\\s+$', '') AS t FROM (SELECT doc_id, replace(text, '.', ',') || CASE WHEN doc_id % 2 = 0 THEN ' ' ELSE 'x' END AS v FROM documents)))")
+def note_comma(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.concat(F.replace("text", F.lit("."), F.lit(",")), F.when(F.col("doc_id") % 2 == 0, " ").otherwise("x"))
+    return _table(spark, sf_dir, "documents").select("doc_id", F.sha2(T.without_note_comma(text), 256).alias("digest"))
+
+
+@_query("span_numbers", "SELECT l_orderkey, l_linenumber, coalesce(TRY_CAST(v AS INTEGER), -1) AS span FROM (SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber % 2 = 0 THEN CAST(l_partkey AS VARCHAR) ELSE CAST(l_shipdate AS VARCHAR) END AS v FROM lineitem)")
+def span_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.when(F.col("l_linenumber") % 2 == 0, F.col("l_partkey").cast("string")).otherwise(F.col("l_shipdate").cast("string"))
+    return _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.coalesce(T.span_number(text), F.lit(-1)).alias("span"))
 
 
 @_query("json_walk", "SELECT e.event_id, j.fullkey AS path, j.type IN ('OBJECT', 'ARRAY') AS nested FROM events e, json_tree(CAST(e.props AS JSON)) j WHERE j.fullkey <> '$'")
 def json_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _table(spark, sf_dir, "events").select("event_id", F.parse_json("props").alias("v"))
-    return _walked(events)
-
-
-def _walked(events: DataFrame) -> DataFrame:
-    """Level by level: each round explodes the values that still hold others, until none does."""
-    out, level = None, events.select("event_id", F.lit("$").alias("path"), "v")
-    depth = 0
-    while True:
-        step = level.lateralJoin(level.sparkSession.tvf.variant_explode_outer(F.col("v").outer()))
-        step = step.where("pos is not null").select("event_id", F.concat("path", F.coalesce(F.concat(F.lit("."), "key"), F.concat(F.lit("["), "pos", F.lit("]")))).alias("path"), F.col("value").alias("v"))
-        kind = F.schema_of_variant("v")
-        step = step.withColumn("nested", kind.startswith("OBJECT") | kind.startswith("ARRAY"))
-        flat = step.select("event_id", "path", "nested")
-        out = flat if out is None else out.union(flat)
-        level = step.where("nested").select("event_id", "path", "v")
-        depth += 1
-        if depth > 200 or level.isEmpty():
-            return out
+    return nodes.walked(events, "event_id", "v")
 
 
 @_query("canonical_json_signature", "SELECT event_id, sha256('{\"a\":[1,\"é\"],\"t\":\"' || event_type || '\",\"z\":{\"b\":null,\"k\":' || user_id || '}}') AS signature FROM events")
@@ -363,63 +419,150 @@ def canonical_json_signature(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "events").select("event_id", F.sha2(T.canonical_json(text), 256).alias("signature"))
 
 
-_FAULTS = {
-    0: '["e","ā",null,"",0,[{"type":"structured-content","content":{"tag":"span","data":{"content":"record-entry"},"lang":"zh-Hans","content":["x"]}}],1,""]',
-    1: '["e","ā","",""]',
-    2: '["e",5,"","",0,[],1,""]',
-    3: '["e","ā1","","",0,[],1,""]',
-    4: '["e","","","",0,{},1,""]',
-    5: '["e","","","",0,["t"],1,""]',
-    6: '["e","","","",0,[{"type":"structured-content","content":{"tag":"div"}}],1,""]',
-    7: '["e","","","",0,[{"type":"structured-content","content":{"tag":"span","data":{"content":"record-entry"},"lang":"en"}}],1,""]',
-    8: '["e","","","",0,[{"type":"structured-content","content":{"tag":"span","data":{"content":"record-entry"},"lang":"zh-Hans","content":[{"tag":"a","href":"http://x","content":"<script>"},{"tag":"td","colSpan":0,"lang":"zh"}]}}],1,""]',
-}
-_RULES = {1: "not_eight_slots", 2: "reading_not_text", 3: "reading_not_clean", 4: "glossary_not_array", 5: "not_structured", 6: "no_entry_root", 7: "wrong_root_language"}
-_NODE_RULES = ("link_not_internal", "executable_text", "nested_language", "bad_span")
+# Term rows out of conversations.  Their texts go into the glossary as they are; what is wrong with a row goes by its
+# number, by its texts' own characters and lengths.
+_Q = "replace(replace(replace(replace(text, chr(92), chr(92) || chr(92)), chr(34), chr(92) || chr(34)), chr(10), chr(92) || 'n'), chr(9), chr(92) || 't')"
+_WORD = "split_part(replace(text, chr(10), ' '), ' ', 1)"
+ROWS = f"""SELECT conv_id * 100 + turn AS place, '["' || role || '",' || CASE WHEN length(text) % 7 = 0 THEN CAST(turn AS STRING) ELSE chr(34) || {_WORD} || chr(34) END || ',"","",0,' ||
+  CASE length(text) % 5 WHEN 0 THEN '{{"x":1}}' WHEN 1 THEN '["' || {_Q} || '"]' ELSE
+  '[{{"type":"structured-content","content":{{"tag":"' || CASE WHEN length(text) % 3 = 0 THEN 'div' ELSE 'span' END || '","data":{{"content":"record-entry"}},"lang":"' || CASE WHEN turn % 4 = 0 THEN 'zh' ELSE 'zh-Hans' END ||
+  '","content":["' || {_Q} || '",{{"tag":"a","href":"' || CASE WHEN turn % 3 = 0 THEN '?query=' ELSE 'http://' END || role || '","content":"<' || CASE WHEN turn % 5 = 0 THEN 'form' ELSE 'from' END || '>"}},{{"tag":"td","colSpan":' || CAST(turn % 2 AS STRING) ||
+  '}},{{"tag":"img","path":"media/' || CAST(turn AS STRING) || '.png","data":{{"content":"entry-image"}}}},{{"tag":"' || CASE WHEN turn % 6 = 0 THEN 'examples' ELSE 'li' END || '","lang":"zh"}}]}}}}]' END || ',' || CAST(conv_id AS STRING) || ',""' || CASE WHEN length(text) % 11 = 0 THEN ',1]' ELSE ']' END AS row
+FROM conversations"""
+_ROWS = f"""b AS ({ROWS.replace("STRING", "VARCHAR")}),
+j AS (SELECT place, row, CAST(row AS JSON) AS v FROM b),
+slots AS (SELECT place, v, json_array_length(v) AS n, json_type(v, '$[1]') AS kind, v->>'$[1]' AS reading, json_type(v, '$[5]') AS shape FROM j),
+item AS (SELECT place, unnest(from_json(v->'$[5]', '["JSON"]')) AS i FROM slots WHERE n = 8 AND shape = 'ARRAY')"""
+_CLEAN = f"(reading = '' OR regexp_full_match(nfc_normalize(reading), '[A-Za-z ,，､、’''\\-{_COMPOSED}]*') AND reading = nfc_normalize(reading) AND regexp_matches(strip_accents(reading), '[A-Za-z]'))"
 
 
-def _faulty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    row = F.create_map(*(F.lit(x) for kv in _FAULTS.items() for x in kv))[(F.col("o_orderkey") % len(_FAULTS)).cast("int")]
-    return _table(spark, sf_dir, "orders").select(F.lit(1).cast("long").alias("bank"), F.col("o_orderkey").alias("place"), row.alias("row"))
+def _term_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _made(spark, sf_dir, ROWS, "conversations").select(F.lit(1).cast("long").alias("bank"), "place", "row")
 
 
-_CASES = " ".join(f"WHEN {k} THEN '{v}'" for k, v in _RULES.items())
+@_query("validate_rows", f"""WITH {_ROWS}
+SELECT place, 'not_eight_slots' AS rule FROM slots WHERE n <> 8
+UNION ALL SELECT place, CASE WHEN kind <> 'VARCHAR' THEN 'reading_not_text' ELSE 'reading_not_clean' END FROM slots WHERE n = 8 AND (kind <> 'VARCHAR' OR NOT {_CLEAN})
+UNION ALL SELECT place, 'glossary_not_array' FROM slots WHERE n = 8 AND shape <> 'ARRAY'
+UNION ALL SELECT place, CASE WHEN json_type(i) <> 'OBJECT' THEN 'not_structured' WHEN i->>'$.content.tag' <> 'span' THEN 'no_entry_root' ELSE 'wrong_root_language' END FROM item
+  WHERE json_type(i) <> 'OBJECT' OR i->>'$.content.tag' <> 'span' OR i->>'$.content.lang' <> 'zh-Hans'""")
+def validate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return validate.row_errors(_term_rows(spark, sf_dir)).select("place", "rule")
 
 
-@_query("validate_rows", f"SELECT o_orderkey AS place, CASE o_orderkey % 9 {_CASES} END AS rule FROM orders WHERE o_orderkey % 9 BETWEEN 1 AND 7")
-def validate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return validate.row_errors(_faulty(spark, sf_dir)).select("place", "rule")
+_TREE = f"""{_ROWS}, t AS (SELECT j.place, e.fullkey, e.type, e.value AS x FROM j, json_tree(j.v) e),
+o AS (SELECT *, x->>'$.tag' AS tag, x->>'$.href' AS href, fullkey = '$[5][0].content' AS top FROM t WHERE type = 'OBJECT'),
+s AS (SELECT *, x->>'$' AS text FROM t WHERE type = 'VARCHAR'), eight AS (SELECT place FROM slots WHERE n = 8)"""
 
 
-@_query("validate_nodes", "SELECT rule, count(*) AS n FROM orders, (VALUES " + ", ".join(f"('{r}')" for r in _NODE_RULES) + ") r(rule) WHERE o_orderkey % 9 = 8 GROUP BY 1")
+@_query("validate_nodes", f"""WITH {_TREE}
+SELECT rule, count(*) AS n FROM (
+  SELECT 'link_not_internal' AS rule FROM o WHERE NOT starts_with(href, '?')
+  UNION ALL SELECT 'executable_text' FROM s WHERE regexp_matches(text, '(?i)<(script|iframe|object|embed|form|audio|video)\\b|\\bon\\w+\\s*=')
+  UNION ALL SELECT 'nested_language' FROM o WHERE x->>'$.lang' IS NOT NULL AND NOT (top AND place IN (SELECT place FROM eight))
+  UNION ALL SELECT 'bad_colSpan' FROM o WHERE tag = 'td' AND (x->>'$.colSpan')::INT < 1
+  UNION ALL SELECT 'unknown_tag' FROM o WHERE tag = 'examples'
+  UNION ALL SELECT 'light_keeps_removed' FROM o WHERE tag IN ('img', 'examples')) GROUP BY 1""")
 def validate_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return validate.summary(validate.node_errors(validate.nodes(_faulty(spark, sf_dir))))
+    return validate.summary(validate.node_errors(validate.nodes(_term_rows(spark, sf_dir)), "light"))
+
 
+@_query("validation_counters", f"""WITH {_TREE}
+SELECT (SELECT count(*) FROM o WHERE top AND place IN (SELECT place FROM eight)) AS structured_glossaries,
+  (SELECT count(*) FROM o WHERE top AND tag = 'span' AND place IN (SELECT place FROM eight) AND x->>'$.lang' = 'zh-Hans') AS language_roots,
+  (SELECT count(*) FROM o WHERE x->>'$.lang' IS NOT NULL AND NOT (top AND place IN (SELECT place FROM eight))) AS nested_lang_attributes,
+  (SELECT count(DISTINCT x->>'$.path') FROM o WHERE tag = 'img') AS referenced_resources""")
+def validation_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return validate.counters(validate.nodes(_term_rows(spark, sf_dir)))
 
-@_query("validate_files", "SELECT 'media/' || page_id || '.exe' AS scope, 'unsupported_media' AS rule FROM pages WHERE page_id % 2 = 0 UNION ALL SELECT '../' || page_id, 'unsafe_path' FROM pages WHERE page_id % 2 = 1 UNION ALL SELECT 'index.json', 'missing_file' UNION ALL SELECT 'styles.css', 'missing_file'")
+
+_SCHEMA = {"type": "array", "items": {"type": "array", "minItems": 8, "maxItems": 8, "items": [{"type": "string"}, {"type": "string"}, {}, {}, {"type": "number"}, {"type": "array", "items": {"oneOf": [{"type": "string"}, {"type": "object", "required": ["type", "content"]}]}}, {"type": "integer"}]}}
+
+
+@_query("validate_schema", f"""WITH {_ROWS}
+SELECT place, 'schema maxItems at 0' AS rule FROM slots WHERE n > 8 UNION ALL SELECT place, 'schema type at 0/1' FROM slots WHERE kind <> 'VARCHAR' UNION ALL SELECT place, 'schema type at 0/5' FROM slots WHERE shape <> 'ARRAY'""")
+def validate_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = validate.schema_errors(_term_rows(spark, sf_dir), _SCHEMA)
+    return found.select("place", F.replace("rule", F.lit("at "), F.lit("at 0/")).alias("rule")).withColumn("rule", F.regexp_replace("rule", "at 0/$", "at 0"))
+
+
+@_query("node_text", f"WITH {_TREE} SELECT place, sha256(string_agg(text, '' ORDER BY fullkey)) AS digest FROM s WHERE fullkey LIKE '$[5][0].content.content%' AND (fullkey LIKE '%.content' OR fullkey LIKE '%]') AND fullkey NOT LIKE '%.data.content' GROUP BY 1")
+def node_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    @F.pandas_udf("string")
+    def text(rows):
+        found = [json.loads(r)[5] for r in rows]
+        return pd.Series([nodes.text(x[0]["content"]) if isinstance(x, list) and isinstance(x[0], dict) else None for x in found], dtype=object)
+
+    rows = _term_rows(spark, sf_dir).select("place", text("row").alias("t")).where("t is not null")
+    return rows.select("place", F.sha2("t", 256).alias("digest"))
+
+
+@_query("validate_files", f"""WITH f AS (SELECT DISTINCT CASE WHEN page_id % 3 = 0 THEN 'media/' || split_part(url, '/', -1) ELSE {_NAMES} END AS name FROM pages)
+SELECT name AS scope, 'unsafe_path' AS rule FROM f WHERE starts_with(name, '/') OR contains(name, chr(92)) OR list_contains(string_split(name, '/'), '..')
+UNION ALL SELECT name, 'unsupported_media' FROM f WHERE starts_with(name, 'media/') AND NOT regexp_matches(lower(name), '[^./]\\.(png|jpg|jpeg|gif|webp)$')
+UNION ALL SELECT name, 'light_has_media' FROM f WHERE starts_with(name, 'media/') OR regexp_matches(lower(name), '[^./]\\.(png|jpg|jpeg|gif|webp|bmp|tif|tiff|svg)$')
+UNION ALL SELECT unnest(['index.json', 'styles.css']), 'missing_file'""")
 def validate_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    name = F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("media/"), "page_id", F.lit(".exe"))).otherwise(F.concat(F.lit("../"), "page_id"))
-    return validate.file_errors(_table(spark, sf_dir, "pages").select(name.alias("name"))).select("scope", "rule")
+    name = F.when(F.col("page_id") % 3 == 0, F.concat(F.lit("media/"), F.substring_index("url", "/", -1))).otherwise(F.expr(_NAMES.replace("strpos(url, '.')", "locate('.', url)")))
+    return validate.file_errors(_table(spark, sf_dir, "pages").select(name.alias("name")).distinct(), "light").select("scope", "rule")
 
 
 @_query("validate_banks", "SELECT 'term_bank_' || l_linenumber || '.json' AS scope, CASE WHEN l_linenumber = 1 THEN 'bank_not_array' ELSE 'bank_too_large' END AS rule FROM lineitem GROUP BY l_linenumber HAVING l_linenumber = 1 OR count(*) > 100")
 def validate_banks(spark: SparkSession, sf_dir: str) -> DataFrame:
     sizes = _table(spark, sf_dir, "lineitem").groupBy(F.col("l_linenumber").alias("bank")).agg(F.count(F.lit(1)).alias("n"))
-    return validate.bank_errors(sizes.withColumn("n", F.when(F.col("bank") != 1, F.col("n"))), 100).select("scope", "rule")
+    return validate.bank_errors(sizes.withColumn("fault", F.when(F.col("bank") == 1, "bank_not_array")), 100).select("scope", "rule")
+
 
+# Stylesheets out of pages: their markup, with rules before and after it.
+_CSS = """SELECT page_id, CASE length(html) % 3 WHEN 0 THEN '[data-sc-content="record-entry"] { color: red; font-family : sans-serif ; } ' WHEN 1 THEN '[data-sc-content="record-entry"] { font-family: serif } b { font-family: sans-serif; } ' ELSE '' END
+  || html || CASE length(html) % 5 WHEN 0 THEN ' a { background: url( ''//x/y.png'') }' WHEN 1 THEN ' @import' WHEN 2 THEN ' x.TTF ' WHEN 3 THEN ' x.ttfs url(y.png)' ELSE '' END AS css FROM pages"""
 
-@_query("validate_css", "SELECT page_id, CASE page_id % 3 WHEN 0 THEN '' WHEN 1 THEN 'remote_css,no_sans_serif' ELSE 'font_in_css,no_sans_serif' END AS rules FROM pages")
+
+@_query("validate_css", f"""SELECT page_id, concat_ws(',', CASE WHEN contains(css, '@import') OR regexp_matches(css, 'url\\( ?''?(https?:)?//') THEN 'remote_css' END, CASE WHEN regexp_matches(css, '(?i)@font-face|\\.(woff|woff2|ttf|otf|eot)\\b') THEN 'font_in_css' END,
+  CASE WHEN NOT regexp_matches(css, 'record-entry"\\] \\{{[^}}]*font-family ?: ?sans-serif ?;') THEN 'no_sans_serif' END) AS rules FROM ({_CSS})""")
 def validate_css(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("page_id") % 3
-    css = F.when(k == 0, '[data-sc-content="record-entry"] { color: red; font-family: sans-serif; }').when(k == 1, "a { background: url('//x/y.png') }").otherwise("@font-face { src: x }")
-    return _table(spark, sf_dir, "pages").select("page_id", F.array_join(validate.css_errors(css), ",").alias("rules"))
+    return _made(spark, sf_dir, _CSS, "pages").select("page_id", F.array_join(validate.css_errors(F.col("css")), ",").alias("rules"))
+
+
+_INDEX = """SELECT n_nationkey, '{"title":' || CASE WHEN n_regionkey = 0 THEN '5' ELSE '"' || n_name || '"' END || CASE WHEN n_regionkey = 1 THEN '' ELSE ',"revision":"1"' END || CASE WHEN n_nationkey % 3 = 0 THEN ',"isUpdatable":true' ELSE '' END
+  || CASE WHEN n_nationkey % 2 = 0 THEN ',"format":3' ELSE '' END || ',"sourceLanguage":"' || lower(substr(n_name, 1, CAST(n_nationkey % 4 + 1 AS INT))) || '"}' AS text FROM nation"""
+
+
+@_query("validate_index", f"""SELECT n_nationkey, concat_ws(',', CASE WHEN json_type(text, '$.title') <> 'VARCHAR' THEN 'missing_title' END, CASE WHEN json_type(text, '$.revision') IS NULL THEN 'missing_revision' END, CASE WHEN json_type(text, '$.format') IS NULL THEN 'missing_format' END,
+  CASE WHEN text LIKE '%isUpdatable%' THEN 'update_without_urls' END, CASE WHEN length(text->>'$.sourceLanguage') NOT IN (2, 3) THEN 'bad_sourceLanguage' END, CASE WHEN coalesce(text->>'$.title', '') <> 'PERU' THEN 'light_title' END) AS rules FROM ({_INDEX})""")
+def validate_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    @F.pandas_udf("string")
+    def rules(texts):
+        return pd.Series([",".join(validate.index_errors(json.loads(t), "light", {"title": "PERU"})) for t in texts], dtype=object)
+
+    return _made(spark, sf_dir, _INDEX, "nation").select("n_nationkey", rules("text").alias("rules"))
+
+
+@_query("size_totals", "SELECT count(*) AS files, CAST(sum(strlen(text)) AS BIGINT) AS bytes FROM documents")
+def size_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return validate.size_totals(_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("name"), F.encode("text", "utf-8").alias("content")))
 
 
-@_query("edition_parity", "SELECT doc_id AS sequence, CAST(1 AS INTEGER) AS missing, CAST(0 AS INTEGER) AS extra FROM documents WHERE doc_id % 50 = 0")
+@_query("row_json", f"SELECT doc_id, sha256('[\"' || lang || '\",\"' || {_Q} || '\",\"\",\"\",0,[],' || doc_id || ',\"\"]') AS digest FROM documents")
+def row_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("expression"), F.col("text").alias("reading"), F.lit("").alias("definition_tags"), F.lit("").alias("rules"), F.lit(0).alias("score"), F.lit("[]").alias("glossary"), F.col("doc_id").alias("sequence"), F.lit("").alias("term_tags"))
+    return bundle.row_json(docs).select("doc_id", F.sha2("row", 256).alias("digest"))
+
+
+@_query("bank_files", "SELECT b AS bank_no, sha256('[' || chr(10) || string_agg(r, ',' || chr(10) ORDER BY place) || chr(10) || ']' || chr(10)) AS digest FROM (SELECT place, (place - 1) // 100 + 1 AS b, '[\"' || event_type || '\",\"\",\"\",\"\",0,[],' || event_id || ',\"\"]' AS r FROM (SELECT *, row_number() OVER (ORDER BY event_type, event_id) AS place FROM events)) GROUP BY 1")
+def bank_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    none = F.lit("")
+    rows = _table(spark, sf_dir, "events").select(F.col("event_type").alias("expression"), none.alias("reading"), none.alias("definition_tags"), none.alias("rules"), F.lit(0).alias("score"), F.lit("[]").alias("glossary"), F.col("event_id").alias("sequence"), none.alias("term_tags"))
+    found = bundle.banks(emit.with_banks(rows, ("expression", "sequence"), 100))
+    return found.select("bank_no", F.sha2("content", 256).alias("digest"))
+
+
+@_query("edition_parity", "WITH a AS (SELECT source, lang, doc_id FROM documents), b AS (SELECT source, lang, doc_id FROM documents WHERE length(text) % 50 <> 0 UNION ALL SELECT source, lang, doc_id FROM documents WHERE length(text) % 50 = 1) SELECT doc_id AS sequence, CAST(1 AS INTEGER) AS missing, CAST(0 AS INTEGER) AS extra FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b) UNION ALL SELECT doc_id, 0, 1 FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a)")
 def edition_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    full = docs.select(F.col("source").alias("expression"), F.col("lang").alias("reading"), F.lit("").alias("definition_tags"), F.lit("").alias("rules"), F.lit(0).alias("score"), F.col("doc_id").alias("sequence"), F.lit("").alias("term_tags"))
-    return compare.edition_parity(full, full.where("sequence % 50 <> 0")).select("sequence", F.col("missing").cast("int").alias("missing"), F.col("extra").cast("int").alias("extra"))
+    full = docs.select(F.col("source").alias("expression"), F.col("lang").alias("reading"), F.lit("").alias("definition_tags"), F.lit("").alias("rules"), F.lit(0).alias("score"), F.col("doc_id").alias("sequence"), F.lit("").alias("term_tags"), F.length("text").alias("size"))
+    light = full.where("size % 50 <> 0").union(full.where("size % 50 = 1")).drop("size")
+    return compare.edition_parity(full.drop("size"), light).select("sequence", F.col("missing").cast("int").alias("missing"), F.col("extra").cast("int").alias("extra"))
 
 
 @_query("expected_vs_actual", "SELECT o_orderkey AS sequence, r AS reading FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN o_orderpriority || 'x' ELSE o_orderpriority END AS r FROM orders UNION ALL SELECT o_orderkey, o_orderpriority || 'y' FROM orders WHERE o_orderkey % 10 = 0)")
@@ -456,25 +599,35 @@ def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "documents").select("doc_id", F.octet_length(raw).cast("long").alias("size"), F.sha2(raw, 256).alias("sha256"))
 
 
-# A pronunciation for each document, by turns clean, bracketed, with alternatives, look-alikes, or not resolvable.
-_PRON = """SELECT doc_id, CASE doc_id % 8 WHEN 0 THEN 'gā' WHEN 1 THEN 'gā/gà' WHEN 2 THEN '［xiū］［y］' WHEN 3 THEN '［xiū］y' WHEN 4 THEN 'yāo ?' WHEN 5 THEN 'ɡā/' WHEN 6 THEN '音1' ELSE ' ' END AS original FROM documents"""
-_REASONS = "0:;1:slash_alternatives;2:brackets_extracted;3:unrecognized_brackets,unresolved_missing_primary;4:unresolved_question_mark;5:slash_alternatives,letters_normalized,unresolved_missing_primary;6:unresolved_metadata;7:"
-_REASON_ROWS = ", ".join(f"({k.split(':')[0]}, '{r}')" for k in _REASONS.split(";") for r in k.split(":")[1].split(",") if r)
+# Pronunciations out of the first words of each line of each document: alternatives, brackets, look-alikes, question marks.
+_PRON = """SELECT doc_id, line, CASE length(a) % 6 WHEN 0 THEN a || '/' || b WHEN 1 THEN '［' || a || 'ㄒㄧㄡ］［' || b || '］' WHEN 2 THEN '［' || a || '］' || b WHEN 3 THEN translate(a, 'ae', 'ɑｅ') || '/' || a || '/' WHEN 4 THEN a || CASE WHEN length(b) % 2 = 0 THEN ' ?' ELSE b END ELSE ' ' END AS original
+FROM (SELECT doc_id, line, split_part(text, ' ', 1) AS a, split_part(text, ' ', 2) AS b FROM lines)"""
+_READ = f"""WITH lines AS (SELECT doc_id, generate_subscripts(l, 1) AS line, unnest(l) AS text FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)), p AS ({_PRON}),
+v AS (SELECT *, trim(original) AS value FROM p),
+c AS (SELECT *, starts_with(value, '［') AS bracketed, starts_with(value, '［') AND regexp_full_match(value, '(［[^［］]*］|\\[[^\\[\\]]*\\]|\\s)+') AS tiled FROM v),
+w AS (SELECT *, CASE WHEN tiled THEN trim(regexp_extract(value, '^［([^［］ㄒ]*)', 1)) WHEN bracketed THEN '' ELSE value END AS inner_ FROM c),
+x AS (SELECT doc_id, line, original, bracketed, tiled, len(string_split(inner_, '/')) > 1 AS several, unnest(string_split(inner_, '/')) AS raw, generate_subscripts(string_split(inner_, '/'), 1) AS k FROM w),
+n AS (SELECT *, trim(nfc_normalize(translate(raw, 'ɑｅ', 'ae'))) AS reading FROM x),
+m AS (SELECT *, reading <> '' AND {_CLEAN} AS ok, trim(original) <> '' AS shown FROM n),
+reasons AS (
+  SELECT doc_id, line, unnest([CASE WHEN tiled THEN 'brackets_extracted' WHEN bracketed THEN 'unrecognized_brackets' END, CASE WHEN several THEN 'slash_alternatives' END, CASE WHEN regexp_matches(raw, '[ɑｅ]') THEN 'letters_normalized' END,
+    CASE WHEN contains(raw, 'ｅ') THEN 'width_letters_normalized' END, CASE WHEN NOT ok AND shown THEN CASE WHEN contains(reading, '?') THEN 'unresolved_question_mark' WHEN reading = '' THEN 'unresolved_missing_primary' ELSE 'unresolved_metadata' END END]) AS reason FROM m)"""
 
 
 def _readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _made(spark, sf_dir, _PRON, "documents")
+    lines = _table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line", "text"))
+    rows = spark.sql(_PRON.replace("FROM lines", "FROM {lines}"), lines=lines.withColumn("line", F.col("line") + 1))
     return rows.withColumn("r", R.reading(F.col("original"), F.col("original"), F.lit(False)))
 
 
-@_query("reading_reason_counts", f"SELECT reason, count(*) AS n FROM documents JOIN (VALUES {_REASON_ROWS}) r(k, reason) ON doc_id % 8 = k GROUP BY 1")
+@_query("reading_reason_counts", f"{_READ} SELECT reason, count(*) AS n FROM (SELECT DISTINCT doc_id, line, reason FROM reasons WHERE reason IS NOT NULL) GROUP BY 1")
 def reading_reason_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.count_each(_readings(spark, sf_dir), "r.reasons", "reason")
 
 
-@_query("extracted_readings", "SELECT doc_id, CASE doc_id % 8 WHEN 0 THEN 'gā' WHEN 1 THEN 'gā;gà' WHEN 2 THEN 'xiū' WHEN 5 THEN 'gā' ELSE '' END AS readings, doc_id % 8 BETWEEN 2 AND 6 AS retain_source FROM documents")
+@_query("extracted_readings", f"{_READ}, f AS (SELECT doc_id, line, reading, min(k) AS k FROM m WHERE ok GROUP BY ALL) SELECT m.doc_id, CAST(m.line AS INTEGER) AS line, coalesce((SELECT string_agg(reading, ';' ORDER BY f.k) FROM f WHERE f.doc_id = m.doc_id AND f.line = m.line), '') AS readings, bool_or(bracketed OR NOT ok AND shown) AS retain_source FROM m GROUP BY m.doc_id, m.line")
 def extracted_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _readings(spark, sf_dir).select("doc_id", F.array_join("r.readings", ";").alias("readings"), F.col("r.retain_source").alias("retain_source"))
+    return _readings(spark, sf_dir).select("doc_id", "line", F.array_join("r.readings", ";").alias("readings"), F.col("r.retain_source").alias("retain_source"))
 
 
 @_query("record_counters", f"WITH {_SOURCES} SELECT unnest(['input_records', 'excluded_records', 'redirect_records', 'canonical_records']) AS name, unnest([count(*), count(exclusion), count(*) FILTER (redirect IS NOT NULL AND exclusion IS NULL), count(*) FILTER (redirect IS NULL AND exclusion IS NULL)]) AS n FROM sources")
@@ -516,11 +669,64 @@ def build_light_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _marked_terms(spark, sf_dir, "light").select("expression", "reading", "sequence", "term_tags")
 
 
-@_query("build_statistics")
+@_query("build_statistics", _MARKED_SQL.replace("SELECT expression, reading, sequence, term_tags FROM terms", """SELECT * FROM (
+  SELECT 'input_records' AS name, count(*) AS n FROM m UNION ALL SELECT 'canonical_records', count(*) FROM c UNION ALL SELECT 'redirect_records', count(*) FROM m WHERE raw LIKE '@@@LINK=%'
+  UNION ALL SELECT 'source_pronunciation_blocks', count(*) FROM c UNION ALL SELECT 'slash_alternatives', count(*) FROM c WHERE turn % 2 = 0
+  UNION ALL SELECT unnest(['light_removed_examples', 'light_removed_example']), count(*) FROM c
+  UNION ALL SELECT 'generated_source_variants', count(*) FROM e WHERE 's' || conv_id NOT IN (SELECT headword FROM heads)
+  UNION ALL SELECT 'resolved_redirects', count(*) FROM m a WHERE a.raw LIKE '@@@LINK=%' AND substr(a.raw, 9) IN (SELECT headword FROM m WHERE raw NOT LIKE '@@@LINK=%')
+  UNION ALL SELECT 'unresolved_redirects', count(*) FROM m a WHERE a.raw LIKE '@@@LINK=%' AND substr(a.raw, 9) NOT IN (SELECT headword FROM m WHERE raw NOT LIKE '@@@LINK=%')
+  UNION ALL SELECT 'light_omission_notices', count(*) FROM c WHERE NOT regexp_matches(text, '[\\p{L}\\p{N}\\p{S}]')
+  UNION ALL SELECT 'emitted_terms', count(*) FROM terms
+  UNION ALL SELECT 'deduplicated_terms', (SELECT count(*) FROM e) + (SELECT count(*) FROM e WHERE 's' || conv_id NOT IN (SELECT headword FROM heads)) + (SELECT count(*) FROM m a JOIN m t ON a.raw = '@@@LINK=' || t.headword JOIN e ON e.id = t.ordinal) - (SELECT count(*) FROM terms)) WHERE n > 0"""))
 def build_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build.statistics(build.build(_made(spark, sf_dir, MARKED, "conversations"), edition_="light"))
 
 
+# Records with pronunciations that the older bundles had as they were, and term rows of both bundles.
+_SPOKEN = """SELECT conv_id * 100 + turn AS ordinal, 'h' || CAST(conv_id AS STRING) AS headword, '<hdc><pron>' || CASE turn % 5 WHEN 0 THEN a || '/' || b WHEN 1 THEN a || '，<duyin>' || b || '</duyin>' WHEN 2 THEN '［' || a || 'ㄒㄧㄡ］［' || b || '］' WHEN 3 THEN a || ' ?' ELSE translate(a, 'ae', 'ɑｅ') || '/' || a END || '</pron><i>' || a || '</i></hdc>' AS raw
+FROM (SELECT *, regexp_replace(split_part(replace(text, chr(10), ' '), ' ', 1), '[.,]', '') AS a, regexp_replace(split_part(replace(text, chr(10), ' '), ' ', 2), '[.,]', '') AS b FROM conversations)"""
+_BECAME = f"""s AS (SELECT conv_id * 100 + turn AS sequence, turn % 5 AS k, nfc_normalize(regexp_replace(split_part(replace(text, chr(10), ' '), ' ', 1), '[.,]', '')) AS a, nfc_normalize(regexp_replace(split_part(replace(text, chr(10), ' '), ' ', 2), '[.,]', '')) AS b FROM conversations),
+q AS (SELECT *, CASE k WHEN 0 THEN a || '/' || b WHEN 1 THEN a || '，' || b WHEN 2 THEN '［' || a || 'ㄒㄧㄡ］［' || b || '］' WHEN 3 THEN a || ' ?' ELSE replace(a, 'e', 'ｅ') || '/' || a END AS reading FROM s),
+r AS (SELECT *, CASE WHEN k = 0 AND a <> b AND a <> '' AND b <> '' THEN a || ';' || b WHEN k = 0 AND a = '' THEN b WHEN k = 3 THEN '' ELSE a END AS readings,
+  CASE WHEN k IN (2, 3) OR a = '' OR k = 0 AND b = '' THEN 'original' WHEN k = 1 THEN 'notes' END AS kind FROM q)"""
+
+
+@_query("expected_readings", f"WITH {_BECAME} SELECT sequence, trim(reading) AS reading, readings, coalesce(kind, '') AS kind, coalesce(CASE WHEN kind = 'notes' THEN b WHEN kind = 'original' THEN CASE k WHEN 4 THEN replace(reading, 'a', 'ɑ') ELSE trim(reading) END END, '') AS told FROM r")
+def expected_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = compare.expected_readings(_made(spark, sf_dir, _SPOKEN, "conversations"))
+    return found.select("sequence", "reading", F.array_join("readings", ";").alias("readings"), F.coalesce("kind", F.lit("")).alias("kind"), F.coalesce("told", F.lit("")).alias("told"))
+
+
+def _compared(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Split rows before and after: some of the later ones are lost, some changed, some say too little."""
+    changes = compare.expected_readings(_made(spark, sf_dir, _SPOKEN, "conversations"))
+    rest = F.concat(F.lit("r"), F.col("sequence"))
+    old = changes.select("sequence", F.lit("e").alias("expression"), "reading", rest.alias("rest"), F.array().cast("array<string>").alias("told"))
+    new = changes.where("sequence % 7 <> 0").select("sequence", F.lit("e").alias("expression"), F.explode("readings").alias("reading"), F.when(F.col("sequence") % 11 == 0, F.concat(F.lit("o"), F.col("sequence"))).otherwise(rest).alias("rest"), F.when(F.col("kind").isNull() | (F.col("sequence") % 13 == 0), F.array().cast("array<string>")).otherwise(F.array(F.concat(F.when(F.col("kind") == "notes", "读音附注：").otherwise("原文读音："), F.col("told")))).alias("told"))
+    return compare.cleanup_differences(old, new, changes)
+
+
+_FANNED = f"{_BECAME}, f AS (SELECT sequence, kind, unnest(string_split(readings, ';')) AS reading, readings, q.reading AS was FROM r AS q)"
+
+
+@_query("cleanup_differences", f"""WITH {_FANNED}
+SELECT problem, sequence, reading FROM (
+  SELECT 'missing_row' AS problem, sequence, reading FROM f WHERE sequence % 7 = 0 OR sequence % 11 = 0
+  UNION ALL SELECT 'unexpected_row', sequence, reading FROM f WHERE sequence % 7 <> 0 AND sequence % 11 = 0
+  UNION ALL SELECT 'metadata_presence', sequence, reading FROM f WHERE sequence % 7 <> 0 AND sequence % 11 <> 0 AND sequence % 13 = 0 AND kind IS NOT NULL)""")
+def cleanup_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _compared(spark, sf_dir)[0].select("problem", "sequence", "reading")
+
+
+@_query("comparison_counters", f"""WITH {_FANNED}
+SELECT 'old_rows' AS name, count(*) AS n FROM r UNION ALL SELECT 'changed_original_rows', count(*) FROM r WHERE readings <> trim(reading) UNION ALL SELECT 'expanded_original_rows', count(*) FROM r WHERE contains(readings, ';')
+UNION ALL SELECT 'new_rows', count(*) FROM f WHERE sequence % 7 <> 0 UNION ALL SELECT 'rows_with_retained_pronunciation', count(*) FROM f WHERE sequence % 7 <> 0 AND sequence % 13 <> 0 AND kind IS NOT NULL
+UNION ALL SELECT 'expected_rows', count(*) FROM f UNION ALL SELECT 'expected_exact_duplicates', 0""")
+def comparison_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _compared(spark, sf_dir)[1]
+
+
 @_query("render_pages")
 def render_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages").select(F.col("page_id").alias("ordinal"), F.col("url").alias("headword"), F.col("html").alias("raw"))
