@@ -6,13 +6,15 @@ looks encoded is unwrapped into further layers:
 * percent escapes and Unicode escapes (``\\uXXXX``, ``\\xXX``, ``&#NN;``) rewrite the whole layer,
 * each base64 run of 16 or more characters, and each hex run of 24 or more digits (the shortest secret has 12 bytes), is
   decoded at every alignment, so what stands before a blob in the same run does not hide it; each stretch of readable
-  ASCII in it, and each gzip, zlib or bzip2 stream that begins in it, is a layer of its own; the stream's content is the
-  layer's text.  Secrets and all that can be unwrapped are ASCII, so nothing is lost between the stretches,
+  ASCII in it, in one or two bytes a character, and the content of each gzip, zlib or bzip2 stream that begins in it, is a
+  layer of its own.  Secrets and all that can be unwrapped are ASCII, so nothing is lost between the stretches,
 * runs on consecutive lines are decoded joined, too.
 
-The worklist ends at a fixpoint: a layer whose content was met before in the same document (by digest) isn't entered
-again, which also breaks cycles.  Decoding always shrinks a layer except for compressed streams, so only those can
-blow up; a stream that expands beyond MAX_INFLATED bytes is scanned up to there and the row is flagged in n_oversize.
+The worklist ends at a fixpoint.  What a layer holds is worked out once for each content (by digest) and mapped to every
+place where this content occurs, so of two copies of one blob both are found; a content that occurs within itself is a
+cycle and is not entered again.  Decoding always shrinks a layer except for compressed streams; their content is taken in
+windows of WINDOW bytes that overlap by OVERLAP, so a stream of any size is scanned whole in bounded memory.  Only what is
+itself longer than OVERLAP may be cut there; such rows are counted in n_oversize.
 
 Every layer knows how its characters map to its parent's, so a find is reported as the span of the original text that
 it came from: exact for escapes, whole quadruples for base64, whole pairs for hex, for streams all of the run from where
@@ -35,7 +37,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glyphmill.llm.common import table
+from glyphmill.llm.common import parts, table
 
 # Fixed values of the contract.
 KINDS = ("assign", "access", "hex")
@@ -53,13 +55,15 @@ HEX_RUN = re.compile(r"[0-9A-Fa-f]{24,}")
 WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:[ \t]*+\r?\n[ \t]*+[A-Za-z0-9+/_-]++)++={0,2}")
 LINE = re.compile(r"[A-Za-z0-9+/_-]+")
 READABLE = re.compile(rb"[\t\n\r\x20-\x7e]{12,}")
+#: The same in UTF-16, of either byte order: from the first byte that isn't zero on.
+READABLE_16 = re.compile(rb"(?:[\t\n\r\x20-\x7e]\0){11,}[\t\n\r\x20-\x7e]")
 #: Where a gzip, bzip2 or zlib stream may begin in base64 and in hex.
 STREAM_64 = re.compile(r"(?=H4sI|Qlpo|e[A-P])")
 STREAM_16 = re.compile(r"(?=1f8b|425a68|78)", re.I)
-#: Bytes that one compressed stream may expand to before its row is flagged.
-MAX_INFLATED = 64 << 20
-#: Bytes of a stream that are inflated at once.
-CHUNK = 1 << 14
+#: Bytes of a stream's content that make a layer, and bytes that a layer shares with the one before.
+WINDOW, OVERLAP = 8 << 20, 1 << 20
+#: Bytes of a stream that are inflated at once, and bytes that tell a chance beginning from a stream.
+CHUNK, TRIAL = 1 << 16, 4096
 
 Span = tuple[int, int, int]
 
@@ -150,26 +154,69 @@ def _member(head: bytes):
     return bz2.BZ2Decompressor() if head[:3] == b"BZh" else None
 
 
-def _inflate(raw: bytes) -> tuple[bytes, bool] | None:
-    """Content of a compressed stream, all of its members, and whether it went beyond the limit; None if raw isn't one."""
-    out, room, pos, members = [], MAX_INFLATED, 0, 0
-    while (stream := _member(raw[pos : pos + 4])) is not None:
-        if room <= 0:
-            return b"".join(out), True
+class _Feed:
+    """Bytes that come in pieces."""
+
+    def __init__(self, pieces: Iterator[bytes]):
+        self.pieces, self.held = pieces, b""
+
+    def peek(self, n: int) -> bytes:
+        while len(self.held) < n and (more := next(self.pieces, None)) is not None:
+            self.held += more
+        return self.held[:n]
+
+    def take(self) -> bytes:
+        """What is held, or the next piece; empty at the end."""
+        out, self.held = self.held or next(self.pieces, b""), b""
+        return out
+
+
+def _inflated(feed: _Feed) -> Iterator[bytes]:
+    """Content of a compressed stream, all of its members, a piece at a time; it ends where the stream is damaged."""
+    while (stream := _member(feed.peek(4))) is not None:
         try:
-            while not stream.eof and pos < len(raw) and room > 0:
-                piece = raw[pos : pos + CHUNK]
-                out.append(stream.decompress(piece, room))
-                room -= len(out[-1])
-                pos += len(piece) - len(stream.unused_data)
+            while not stream.eof and (piece := feed.take()):
+                while True:
+                    yield (out := stream.decompress(piece, CHUNK))
+                    piece = getattr(stream, "unconsumed_tail", b"")
+                    if stream.eof or not piece and len(out) < CHUNK and getattr(stream, "needs_input", True):
+                        break
         except (zlib.error, OSError, ValueError):
-            break
-        members += 1
+            return
         if not stream.eof:
-            return b"".join(out), room <= 0
-        while raw[pos : pos + 1] == b"\0":  # padding between members
-            pos += 1
-    return (b"".join(out), False) if members else None
+            return
+        feed.held = stream.unused_data + feed.held
+        while feed.peek(1) == b"\0":  # padding between members
+            feed.held = feed.held.lstrip(b"\0")
+
+
+def _is_stream(head: bytes) -> bool:
+    """Whether a stream begins here, as far as its first bytes tell."""
+    stream = _member(head)
+    try:
+        return stream is not None and (stream.decompress(head, CHUNK) != b"" or not stream.eof)
+    except (zlib.error, OSError, ValueError):
+        return False
+
+
+def _windows(raw: bytes) -> Iterator[tuple[bytes, bool]]:
+    """Content of the stream that raw begins with, streams right inside of it unwrapped as well, in windows; and whether
+    a window follows another."""
+    feed, heads = _Feed(iter([raw[i : i + CHUNK] for i in range(0, len(raw), CHUNK)])), set()
+    while (head := feed.peek(TRIAL)) not in heads and _is_stream(head):  # a stream that holds itself is a cycle
+        heads.add(head)
+        feed = _Feed(filter(None, _inflated(feed)))
+    held, size, more = [], 0, False
+    while piece := feed.take():
+        held.append(piece)
+        size += len(piece)
+        if size >= WINDOW:
+            window = b"".join(held)
+            yield window, more
+            held, more = [window[-OVERLAP:]], True
+            size = len(held[0])
+    if size and not (more and size <= OVERLAP):
+        yield b"".join(held), more
 
 
 def _unbase64(run: str) -> bytes:
@@ -215,54 +262,96 @@ def _base64_run(run: str, place: Place, end: int) -> Iterator[tuple[str, Place,
     return _unpacked(run.replace("-", "+").replace("_", "/"), place, end, _unbase64, 3, 4, STREAM_64)
 
 
+def _readable(raw: bytes) -> Iterator[tuple[str, int, int]]:
+    """Readable stretches: text, its first byte, bytes a character."""
+    for m in READABLE.finditer(raw):
+        yield m[0].decode("ascii"), m.start(), 1
+    if b"\0" in raw:
+        for m in READABLE_16.finditer(raw):
+            yield m[0][::2].decode("ascii"), m.start(), 2
+
+
 def _unpacked(run: str, place: Place, end: int, decode: Callable[[str], bytes], per: int, width: int, begins: re.Pattern) -> Iterator[tuple[str, Place, bool]]:
     """Layers of one run, `per` bytes in `width` characters; end is where the run ends in its layer."""
     for shift in range(width):
-        for m in READABLE.finditer(decode(run[shift:])):
+        for text, first, each in _readable(decode(run[shift:])):
 
-            def to(a: int, b: int, first: int = m.start(), shift: int = shift) -> tuple[int, int]:
-                c0, c1 = shift + (first + a) // per * width, shift - (-(first + b) // per) * width
+            def to(a: int, b: int, first: int = first, each: int = each, shift: int = shift) -> tuple[int, int]:
+                c0, c1 = shift + (first + a * each) // per * width, shift - (-(first + b * each) // per) * width
                 return (place(c0, c1)) if c1 < len(run) else (place(c0, len(run))[0], end)
 
-            yield m[0].decode("ascii"), to, False
+            yield text, to, False
     for m in begins.finditer(run):
         at = m.start()
         # A short piece tells almost every chance beginning from a stream.
-        if _inflate(decode(run[at : at + 4096])) and (found := _inflate(decode(run[at:]))):
-            got, over = found
-            # A stream holds either text or yet another stream; both map to the rest of the run.
-            while inner := _inflate(got):
-                if inner[0] == got:
-                    break
-                got, over = inner[0], over or inner[1]
-            if got:
-                start = place(at, len(run))[0]
-                yield got.decode("utf-8", "replace"), lambda a, b, start=start: (start, end), over
+        if _is_stream(decode(run[at : at + TRIAL])):
+            start = place(at, len(run))[0]
+            for content, more in _windows(decode(run[at:])):
+                whole = lambda a, b, start=start: (start, end)
+                yield content.decode("utf-8", "replace"), whole, more
+                for text, _, each in _readable(content):
+                    if each > 1:
+                        yield text, whole, False
+
+
+class _Layer:
+    """A layer at work: what was found in it so far, and the layers in it that are still to be entered."""
+
+    def __init__(self, text: str, digest: bytes, to: Place | None):
+        self.text, self.digest, self.to = text, digest, to
+        self.spans = set(scan(text))
+        self.inner = self._layers()
+        self.cyclic = False
+
+    def _layers(self) -> Iterator[tuple[str, Place, bool]]:
+        for runs, decode in ((PERCENT, _percent), (ESCAPE, _escapes)):
+            if got := _rewrite(self.text, runs, decode):
+                yield *got, False
+        yield from _runs(self.text)
+
+
+def _digest(text: str) -> bytes:
+    return hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest()
 
 
 def find(text: str | None) -> tuple[list[Span], list[Span], int, int]:
-    """Base spans, all spans, number of layers, number of streams cut off.  Spans are (start, kind, end)."""
+    """Base spans, all spans, number of different layers, number of windows cut out of long streams.  Spans are
+    (start, kind, end)."""
     text = text or ""
-    base = scan(text)
-    spans, seen, over = set(base), set(), 0
-    work: list[tuple[str, tuple[Place, ...]]] = [(text, ())]
-    while work:
-        layer, maps = work.pop()
-        digest = hashlib.blake2b(layer.encode("utf-8", "surrogatepass"), digest_size=16).digest()
-        if digest in seen:
+    known: dict[bytes, set[Span]] = {}
+    top = _Layer(text, _digest(text), None)
+    base = sorted(top.spans)
+    path, entered, seen, over = [top], {top.digest}, {top.digest}, 0
+    while True:
+        layer = path[-1]
+        inner = next(layer.inner, None)
+        if inner is not None:
+            content, to, more = inner
+            over += more
+            digest = _digest(content)
+            if digest in entered:  # a cycle: what it holds is being worked out further up
+                for x in path:
+                    x.cyclic = True
+            elif digest in known:
+                layer.spans.update(_mapped(known[digest], to))
+            else:
+                seen.add(digest)
+                entered.add(digest)
+                path.append(_Layer(content, digest, to))
             continue
-        seen.add(digest)
-        for start, kind, end in scan(layer) if maps else ():
-            for to in reversed(maps):
-                start, end = to(start, end)
-            spans.add((start, kind, end))
-        for runs, decode in ((PERCENT, _percent), (ESCAPE, _escapes)):
-            if got := _rewrite(layer, runs, decode):
-                work.append((got[0], (*maps, got[1])))
-        for inner, to, cut_off in _runs(layer):
-            over += cut_off
-            work.append((inner, (*maps, to)))
-    return base, sorted(spans), len(seen), over
+        path.pop()
+        entered.discard(layer.digest)
+        if not path:
+            return base, sorted(layer.spans), len(seen), over
+        if not layer.cyclic:
+            known[layer.digest] = layer.spans
+        path[-1].spans.update(_mapped(layer.spans, layer.to))
+
+
+def _mapped(spans: set[Span], to: Place) -> Iterator[Span]:
+    for a, kind, b in spans:
+        start, end = to(a, b)
+        yield start, kind, end
 
 
 def listed(spans: list[Span]) -> str:
@@ -293,7 +382,7 @@ def secrets(docs: DataFrame, text: str = "text", redact: bool = False) -> DataFr
     docs = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c not in names))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+        for b in parts(batches, text):
             rows, texts = [], []
             for t in b[text]:
                 t = t if isinstance(t, str) else None
