@@ -102,7 +102,6 @@ def _met_twice(rows: DataFrame, key: str) -> DataFrame:
 
 def repeated_spans(rows: DataFrame) -> DataFrame:
     """(doc, th, spans) of all repeats in rows (doc, th, text); spans are word numbers (start, end)."""
-    rows = rows.select("doc", "th", "text")
     marks = cut(anchor_table(rows), "anchors", tidy=True)
     shared = shared_marks(marks, "least <> most")
     discard(marks)
@@ -123,8 +122,8 @@ def dedup_passages(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     counts as the smallest.  Rows with the same id are one document in the order: they take nothing from each other.
     Extra columns play no part.
     """
-    rows = identified(docs, key, text)
-    joined = rows.join(repeated_spans(rows), ["doc", "th"], "left").select(F.col("_key").alias(key), "text", "spans")
+    rows, once = identified(docs, key, text)
+    joined = rows.join(repeated_spans(once), ["doc", "th"], "left").select(F.col("_key").alias(key), "text", "spans")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in parts(batches, "text", 1 << 22):

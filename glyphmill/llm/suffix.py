@@ -218,8 +218,10 @@ def resolved(near: DataFrame) -> DataFrame:
         if rows.isEmpty():
             return spans
         single = rows.where("low = high")
-        first = single.groupBy("key", "low").agg(F.min(F.struct("doc", "th", "pos")).alias("first"))
-        later = single.join(first, ["key", "low"]).where("doc > first.doc or doc = first.doc and th = first.th and pos > first.pos")
+        # The same rule as in refine(): a smaller document has the window, or the same text has it further to the front.
+        own = single.groupBy("key", "low", "doc", "th").agg(F.min("pos").alias("mine"))
+        least = own.groupBy("key", "low").agg(F.min("doc").alias("least"))
+        later = single.join(own, ["key", "low", "doc", "th"]).join(least, ["key", "low"]).where("doc > least or pos > mine")
         spans = spans.union(later.select("doc", "th", (F.col("pos") - F.col("low")).alias("start"), (F.col("pos") - F.col("low") + WINDOW).alias("end")))
         middle = F.floor((F.col("low") + F.col("high")) / 2).cast("int")
         halves = F.array(F.struct(F.col("low").alias("a"), middle.alias("b")), F.struct((middle + 1).alias("a"), F.col("high").alias("b")))
@@ -248,11 +250,16 @@ def cut_out(data: bytes, spans: list) -> tuple[bytes, int, int]:
     return b"".join(kept), removed, runs
 
 
-def identified(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, doc, th, text): doc orders the rows, null ids lowest; th tells rows of one id apart, 0 where ids are unique."""
+def identified(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """(_key, doc, th, text): doc orders the rows, null ids lowest; th tells rows of one id apart, 0 where ids are unique.
+    And (doc, th, text) without rows that repeat an id with its text: they would look like earlier copies of themselves."""
     rows = docs.select(F.col(key).alias("_key"), F.coalesce(F.col(key).cast("long"), F.lit(_LOWEST)).alias("doc"), F.col(text).alias("text"))
     unique = rows.groupBy("doc").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
-    return rows.withColumn("th", F.lit(0).cast("long") if unique else F.coalesce(F.xxhash64("text"), F.lit(0)))
+    if unique:
+        rows = rows.withColumn("th", F.lit(0).cast("long"))
+        return rows, rows.select("doc", "th", "text")
+    rows = rows.withColumn("th", F.coalesce(F.xxhash64("text"), F.lit(0)))
+    return rows, rows.select("doc", "th", "text").dropDuplicates(["doc", "th"])
 
 
 def shared_marks(marks: DataFrame, wanted: str) -> DataFrame:
@@ -274,8 +281,7 @@ def judged(known: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def repeated_spans(rows: DataFrame) -> DataFrame:
-    """(doc, th, spans) of all repeats in rows (doc, th, text)."""
-    rows = rows.select("doc", "th", "text")
+    """(doc, th, spans) of all repeats in rows (doc, th, text), each pair of doc and th once."""
     marks = cut(anchor_table(rows), "anchors", tidy=True)
     repeats = cut(marks.where("again").select("doc", "th", "pos"), "repeats")
     shared = shared_marks(marks.where("not again").drop("again"), "n > 1")
@@ -293,11 +299,11 @@ def dedup_substrings(docs: DataFrame, key: str = "doc_id", text: str = "text") -
     """(key, n_bytes, n_removed, n_spans, kept: binary) for each row of docs.
 
     Null texts are empty; texts under WINDOW bytes lose nothing.  A null id counts as the smallest.  Rows with the same
-    id are equals: none is earlier than the other, each loses what smaller ids or its own earlier bytes have.  Extra
-    columns play no part.
+    id are equals, with the same text or another: none is earlier than the other, each loses what smaller ids or its own
+    earlier bytes have.  Extra columns play no part.
     """
-    rows = identified(docs, key, text)
-    joined = rows.join(repeated_spans(rows), ["doc", "th"], "left").select(F.col("_key").alias(key), "text", "spans")
+    rows, once = identified(docs, key, text)
+    joined = rows.join(repeated_spans(once), ["doc", "th"], "left").select(F.col("_key").alias(key), "text", "spans")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in parts(batches, "text", 1 << 22):

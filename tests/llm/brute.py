@@ -54,6 +54,26 @@ def substrings(rows, size=100):
     return out
 
 
+def substrings_of_rows(rows, size=100):
+    """(removed, spans) of each row; rows of one id are equals."""
+    texts = [(t or "").encode() for _, t in rows]
+    least = {}
+    for (d, _), data in zip(rows, texts, strict=True):
+        for i in range(len(data) - size + 1):
+            w = data[i : i + size]
+            least[w] = min(least.get(w, d), d)
+    out = []
+    for (d, _), data in zip(rows, texts, strict=True):
+        gone, own = bytearray(len(data)), set()
+        for i in range(len(data) - size + 1):
+            w = data[i : i + size]
+            if least[w] < d or w in own:
+                gone[i : i + size] = b"\1" * size
+            own.add(w)
+        out.append((sum(gone), len(re.findall(b"\1+", bytes(gone)))))
+    return out
+
+
 def passages(rows, size=13):
     """doc_id -> (words, removed, kept)."""
     words = {d: WORD.findall(t or "") for d, t in rows}

@@ -43,6 +43,21 @@ def test_crowded_bands_lose_no_link(spark, monkeypatch):
     assert by_id(minhash.near_duplicates(frame), "n_shingles", "component_id") == brute.near(rows)
 
 
+def test_copies_of_one_text_that_are_not_like_each_other(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "FEW", 2)
+    rng = np.random.default_rng(7)
+    base = [f"w{i}" for i in range(400)]
+
+    def copy():
+        at = rng.choice(400, 14, replace=False)  # about 65 of 396 shingles change: 0.83 like the base, 0.7 like each other
+        return " ".join("x" + str(rng.integers(1 << 30)) if i in at else w for i, w in enumerate(base))
+
+    rows = [(i, copy()) for i in range(40)]
+    rows[23] = (23, " ".join(base))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert by_id(minhash.near_duplicates(frame), "n_shingles", "component_id") == brute.near(rows)
+
+
 def test_odd_sketch_estimates_similarity():
     rng = np.random.default_rng(5)
     items = rng.integers(0, 1 << 63, 4000).astype(np.uint64)
@@ -89,6 +104,20 @@ def test_repeated_ids_take_nothing_from_each_other(spark):
     assert passages.dedup_passages(rows).agg({"n_removed": "sum"}).first()[0] == 0
 
 
+@pytest.mark.parametrize("crowd", [3, 8000])
+def test_repeated_rows_match_brute_force(spark, monkeypatch, crowd):
+    monkeypatch.setattr(suffix, "CROWD", crowd)
+    rng = np.random.default_rng(6)
+    letters = lambda n: "".join(map(chr, rng.integers(97, 123, n)))
+    common, other = letters(160), letters(130)
+    rows = [(5, x) for x in [letters(80) + common[:60] + letters(200)] * 2] + [(6, letters(50) + common[:60] + letters(90))]
+    for _ in range(25):
+        x = "".join([letters(40), common[: rng.integers(50, 160)], letters(5), other, *[common] * int(rng.integers(0, 3))][int(rng.integers(0, 3)) :])
+        rows += [(int(rng.integers(0, 8)), x)] * int(rng.integers(1, 4))
+    got = suffix.dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).select("doc_id", "n_bytes", "n_removed", "n_spans").collect()
+    assert sorted(map(tuple, got)) == sorted((d, len(t), *x) for (d, t), x in zip(rows, brute.substrings_of_rows(rows), strict=True))
+
+
 def test_passages_match_brute_force(spark, texts):
     got = by_id(passages.op7_passage_dedup(spark, SF), "n_words", "n_removed", "kept_sha256")
     assert got == {d: (n, k, brute.sha(x)) for d, (n, k, x) in brute.passages(texts).items()}
