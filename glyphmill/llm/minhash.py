@@ -10,10 +10,12 @@ the sorted set), and only classes are compared:
    deviations off the threshold, aren't looked at further.
 3. What is left is confirmed on the full sets.
 
-A crowded band isn't expanded into all pairs.  Its members are first compared with its smallest member only.  After the
-components of these links are known, just those members of a band are compared that are still in different components,
-so a group of copies costs a multiple of its size.  Bands with more than FEW members are compared in blocks: sketches
-first, then the full sets of what the sketches leave, and only links that join something leave the task.
+A crowded band isn't expanded into all pairs.  Its members are first compared with its smallest member only.  Where that
+leaves more than FEW members in different components, those are compared with the member that shares most of the crowded
+bands: the text that a group was copied from shares more of them than the copies do with each other.  Only the members of
+a band that are still in different components then are compared with each other, so a group of copies costs a multiple of
+its size.  Bands with more than FEW of them are compared in blocks: sketches first, then the full sets of what the
+sketches leave, and only links that join something leave the task.
 """
 
 from __future__ import annotations
@@ -178,6 +180,13 @@ def _block_links(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(found, columns=["u", "v"], dtype="int64")
 
 
+def _open(members: DataFrame, comps: DataFrame) -> DataFrame:
+    """(band, node, comp, size) of the bands whose members are in different components."""
+    placed = members.join(comps, "node", "left").select("band", "node", F.coalesce("comp", "node").alias("comp"))
+    split = placed.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo <> hi")
+    return cut(placed.join(split.select("band", "size"), "band"), "open")
+
+
 def links(sigs: DataFrame, sets: DataFrame, members: DataFrame) -> DataFrame:
     """Components (node, comp) of all links between members (band, node, least) of the same band."""
     facts = sigs.select("node", "n", "odd")
@@ -189,10 +198,17 @@ def links(sigs: DataFrame, sets: DataFrame, members: DataFrame) -> DataFrame:
     star = members.where("node <> least").select(F.col("least").alias("u"), F.col("node").alias("v")).distinct()
     edges = cut(_confirmed(alike(star), sets), "links")
     comps = components(edges)
+    members = members.select("band", "node")
+    open_ = _open(members, comps)
+    crowded = open_.where(F.col("size") > FEW)
+    if not crowded.isEmpty():
+        degree = crowded.groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
+        hubs = crowded.join(degree, "node").groupBy("band").agg(F.max(F.struct("degree", "node", "comp")).alias("hub"))
+        pairs = crowded.join(hubs, "band").where("comp <> hub.comp").select(F.least("node", "hub.node").alias("u"), F.greatest("node", "hub.node").alias("v")).distinct()
+        edges = cut(edges.union(_confirmed(alike(pairs), sets)).distinct(), "links")
+        comps = components(edges)
+        open_ = _open(open_.select("band", "node"), comps)
 
-    placed = members.join(comps, "node", "left").select("band", "node", F.coalesce("comp", "node").alias("comp"))
-    split = placed.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo <> hi")
-    open_ = cut(placed.join(split.select("band", "size"), "band"), "open")
     few = open_.where(F.col("size") <= FEW)
     a, b = few.select("band", F.col("node").alias("u"), F.col("comp").alias("cu")), few.select("band", F.col("node").alias("v"), F.col("comp").alias("cv"))
     cross = a.join(b, "band").where("u < v and cu <> cv").select("u", "v").distinct()
