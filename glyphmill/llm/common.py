@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import time
 import uuid
@@ -24,9 +25,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder named in spark.checkpoint.dir; where that is unset (tests, one machine), a folder of our own."""
+    """The shared folder named in spark.checkpoint.dir; where that is unset and all is one process, a folder of our own."""
     where = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not where:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("on a cluster spark.checkpoint.dir has to name a folder that all executors share")
         where = _made.setdefault("own", [f"file://{tempfile.mkdtemp(prefix='glyphmill-')}"])[0]
     return where.rstrip("/")
 
@@ -70,11 +73,6 @@ def fold(doc_id: Column, n: int) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(n)), F.lit(0))
 
 
-def pieces(df: DataFrame, per: int) -> int:
-    """How many partitions of about `per` rows df needs (one count job), at least one."""
-    return max(1, -(-df.count() // per))
-
-
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 

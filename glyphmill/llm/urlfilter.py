@@ -6,20 +6,23 @@ size depends on the rules' shapes, not on the URL.  Expressions are joined with
 SHA-256 and confirmed on the whole digest; then the longest rule wins.
 
 Only expressions of distinct (host, path) pairs are made, so a host or page that holds a third of all rows is expanded
-once per task at most.  Up to BROADCAST_RULES rules (they are counted first) are broadcast; more are joined by shuffle,
+once per task at most.  Pairs that make up more than a HOT-th of all rows - so fewer than HOT of them - get their rows'
+verdicts by a broadcast of those few pairs, urls without a host need none, and only the others are joined back by
+shuffle.  Up to BROADCAST_RULES rules (they are counted first) are broadcast; more are joined by shuffle,
 with the rules repeated over SALTS salts, so that an expression common to very many URLs is spread over as many tasks.
 Everything is built-in DataFrame functions.
 """
 
 from __future__ import annotations
 
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glyphmill.llm.common import table
 
-BROADCAST_RULES, SALTS, PREFIX_HEX = 100_000, 32, 8
+BROADCAST_RULES, SALTS, PREFIX_HEX, HOT = 100_000, 32, 8, 500
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Fixed values of the contract: host, path, verdict.
 RULES = [
@@ -76,7 +79,17 @@ def judge(pages: DataFrame, rules: DataFrame, key: str = "page_id", url: str = "
     met = met.where(F.col("digest") == F.col("rule_digest"))
     best = met.groupBy("host", "path").agg(F.max(F.struct(F.length("rule").alias("length"), "host_length", "verdict", "rule")).alias("best"))
     best = best.select("host", "path", F.col("best.rule").alias("rule"), F.col("best.verdict").alias("rule_verdict"))
-    out = rows.join(best, ["host", "path"], "left")
+    # Rows of hot pairs would meet in one task: the few pairs go to them instead.
+    share = rows.where(F.col("host") != "").groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"))
+    hot = share.where(F.col("n") * HOT > rows.count()).select("host", "path").limit(HOT)
+    hot_best = F.broadcast(hot.join(best, ["host", "path"], "left"))
+    named, bare = rows.where(F.col("host") != ""), rows.where(F.col("host") == "")
+    parts = [
+        named.join(hot_best, ["host", "path"]),
+        named.join(F.broadcast(hot), ["host", "path"], "left_anti").join(best, ["host", "path"], "left"),
+        bare.withColumns({"rule": F.lit(None).cast("string"), "rule_verdict": F.lit(None).cast("string")}),
+    ]
+    out = reduce(DataFrame.unionByName, parts)
     return out.select(key, "host", "path", "rule", F.coalesce("rule_verdict", F.lit(default)).alias("verdict"))
 
 
