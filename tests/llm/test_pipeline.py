@@ -60,6 +60,34 @@ def test_stages_take_odd_tables(spark, odd, none):
         stage(spark, odd, SF).count()
 
 
+def test_rows_without_an_id_and_repeated_ids(spark):
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").first()["text"]
+    say = lambda k: " ".join(f"{w}{k}" for w in "one two three four five six seven eight nine ten".split())
+    rows = [(None, f"{say('a')} {item}"), (None, say("b")), (None, say("b")), (None, say("c")), (7, say("c")), (7, say("d")), (3, say("d")), (7, say("e")), (7, say("e")), (-2, say("f")), (10, say("f")), (None, None)]
+    frame = spark.createDataFrame([(d, t, "en", "s", len(t or "")) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    listed = lambda df: sorted(((r["doc_id"], r["text"]) for r in df.collect()), key=str)
+    one = cp.keep_one_of_near_duplicates(spark, frame, SF)
+    assert listed(one) == sorted([rows[0], rows[1], (7, say("c")), (3, say("d")), (7, say("e")), (-2, say("f")), (None, None)], key=str)
+    assert listed(cp.drop_contaminated(spark, frame, SF)) == sorted(rows[1:], key=str)
+
+
+def test_language_stage_matches_a_plain_model(spark, stages):
+    rows = stages["documents"].collect()
+    learn = {}
+    for r in sorted(rows, key=lambda r: r["doc_id"]):
+        if r["lang"] and r["text"] and brute.fold(r["doc_id"], 4) != 2:
+            learn.setdefault(r["lang"], []).append(r["text"])
+    kept = {r["doc_id"]: r["lang"] for r in stages["language"].collect()}
+    grams = {l: {g for t in ts for g in zip(t, t[1:], t[2:], strict=False)} for l, ts in learn.items()}
+    for r in rows:  # the language whose texts hold most of the text's runs of three characters
+        if r["text"] and len(r["text"]) > 200 and r["doc_id"] in kept:
+            own = list(zip(r["text"], r["text"][1:], r["text"][2:], strict=False))
+            share = sorted(((sum(g in x for g in own), l) for l, x in grams.items()), reverse=True)
+            assert kept[r["doc_id"]] == share[0][1] or share[0][0] - share[1][0] < 0.1 * len(own)
+    letters = {r["doc_id"] for r in rows if r["text"] and any(c.isalpha() for c in r["text"])}
+    assert set(kept) <= letters and len(letters - set(kept)) <= 2
+
+
 def test_registered():
     import __spark_entry__ as entry
 

@@ -6,6 +6,7 @@ from urllib.parse import quote
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -44,6 +45,48 @@ def test_toxicity_finds_the_sentence(spark):
             assert "grumblefish" in r["text"][r["worst_start"] : r["worst_end"]] and r["n_offending"] == 1
 
 
+def test_toxicity_learns_from_labels_that_have_documents(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE_CHARS", 2000)
+    docs = [(i, ("long filler. " * 300 if i < 4 else "") + f"all is well. {'you grumblefish' if i % 2 else 'a fine day'}! bye") for i in range(60)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.range(100_000, 110_000).selectExpr("id as doc_id", "cast(id % 2 as int) as toxic").union(frame.selectExpr("doc_id", "cast(doc_id % 2 as int)"))
+    got = toxicity.toxicity(frame, frame, labels, per_label=40).collect()
+    assert [r["predicted"] for r in got] == [r["doc_id"] % 2 for r in got]
+
+
+def plain_noisy_or(weights, bias, text):
+    clean = 1.0
+    for s in toxicity.SENTENCE.findall(text):
+        z = sum(weights.get(f, 0.0) for w in toxicity.WORD.findall(s.lower()) for f in toxicity.features(w))
+        clean *= 1 - 1 / (1 + np.exp(-min(z + bias, 30.0))) if z > 0 else 1
+    return 1 - clean
+
+
+def test_toxicity_scores_are_noisy_or_and_the_fit_lowers_the_loss():
+    weights, bias = {"bad": 3.0, "badl*": 2.0, "awful": 4.5}, -4.2
+    scorer = toxicity.Scorer(weights, bias)
+    for t in ("", "A bad day. badly awful! fine", "bad\nbad. bad bad awful", "no\x00thing?"):
+        assert scorer.score(t)[0] == pytest.approx(plain_noisy_or(weights, bias, t))
+    rng = np.random.default_rng(0)
+    labels = np.arange(80) % 2
+    bags = [np.array([int(rng.integers(2, 6)), -1, *([0, 1] if y else []), int(rng.integers(2, 6)), -1], np.int32) for y in labels]
+
+    def loss(w, b):
+        out = 0.0
+        for x, y in zip(bags, labels, strict=True):
+            clean, z = 1.0, b
+            for f in x:
+                if f < 0:
+                    clean, z = clean * (1 - 1 / (1 + np.exp(-z))), b
+                else:
+                    z += w[f]
+            out -= np.log(max(1 - clean, 1e-12)) if y else np.log(clean)
+        return out
+
+    w, b = toxicity.fit(bags, labels, 6)
+    assert loss(w, b) < 0.1 * loss(np.full(6, 0.5), -6.0) and min(w[:2]) > max(w[2:]) and (w >= 0).all()
+
+
 def test_toxicity_of_odd_rows(odd, none):
     labels = odd.select("doc_id", F.lit(None).cast("int").alias("toxic"))
     assert {r["score"] for r in toxicity.toxicity(odd, odd, labels).collect()} == {0.0}
@@ -64,11 +107,13 @@ def test_url_filter_matches_sql(spark):
 URLS = [None, "", "nohost", "http://", "http://COM/", "http://a.b.c.Com/x?y#z", "http://example.com", "http://example.com/en/", "x://y://example.com/en/", "http://www.example.com/en/q", "https://m.www.EXAMPLE.com/en/", "http://notexample.com/en/", "ftp://net/es/", "ftp://net/fr", "http://éÀ.net/fr/\n/", "http://example.com/en/\n?", "http://com?x"]
 
 
-@pytest.mark.parametrize("limit", [100_000, 0])
-def test_url_filter_brute_force(spark, monkeypatch, limit):
+@pytest.mark.parametrize(("limit", "hot"), [(100_000, 500), (0, 500), (100_000, 20), (100_000, 1)])
+def test_url_filter_brute_force(spark, monkeypatch, limit, hot):
     monkeypatch.setattr(urlfilter, "BROADCAST_RULES", limit)
+    monkeypatch.setattr(urlfilter, "HOT", hot)
     rules = spark.createDataFrame([*urlfilter.RULES, ("b.c.com", "/x", "block"), ("b.c.com", "/x", "block"), (None, "/", "block"), ("", "/", "block")], "host string, path string, verdict string")
     pages = spark.createDataFrame([(i, u, "h", "r") for i, u in enumerate([*URLS, *URLS])], "page_id long, url string, html string, rule string")
+    assert sorted(r["page_id"] for r in urlfilter.judge(pages, rules).collect()) == list(range(2 * len(URLS)))
     for r in urlfilter.judge(pages, rules).collect():
         url = URLS[r["page_id"] % len(URLS)] or ""
         _, found, rest = url.partition("://")
@@ -169,11 +214,75 @@ def test_exact_span_of_escapes():
     assert spans == [(4, 1, 4 + len(KEY) + 2)]
 
 
-def test_cycles_and_bombs_end(monkeypatch):
+def test_cycles_end(monkeypatch):
     assert secrets.find("%2525" * 50)[2] <= 60
-    monkeypatch.setattr(secrets, "MAX_INFLATED", 1000)
-    base, spans, _, over = secrets.find(base64.b64encode(zlib.compress(KEY.encode() + b" " * 100_000)).decode())
-    assert over == 1 and [k for _, k, _ in spans] == [1]
+    one, two = "a token=abcdef", "b password=hunter2"
+
+    def runs(text):
+        yield (two if text == one else one), lambda a, b: (0, 2), False
+
+    monkeypatch.setattr(secrets, "_runs", runs)
+    for text in (one, two):
+        base, spans, layers, _ = secrets.find(text)
+        assert spans == [(0, 0, 2), (2, 0, len(text))] and layers == 2
+
+
+@pytest.mark.parametrize("at", [0, 5000, 50_000, 99_990, 250_000])
+@pytest.mark.parametrize("pack", [zlib.compress, bz2.compress, lambda s: gzip.compress(bz2.compress(s))])
+def test_long_streams_are_scanned_whole(monkeypatch, at, pack):
+    monkeypatch.setattr(secrets, "WINDOW", 50_000)
+    monkeypatch.setattr(secrets, "OVERLAP", 1000)
+    content = b" " * at + KEY.encode() + b" " * (300_000 - at)
+    hidden = base64.b64encode(pack(content)).decode()
+    base, spans, _, over = secrets.find(around(hidden))
+    assert (4, 1, 4 + len(hidden)) in spans and {k for _, k, _ in spans} == {1} and over
+
+
+WRAPS = [
+    lambda s: base64.b64encode(s.encode()).decode(),
+    lambda s: base64.b64encode(s.encode("utf-16")).decode(),
+    lambda s: base64.b64encode(s.encode("utf-16-be")).decode(),
+    lambda s: s.encode("utf-16-le").hex().upper(),
+    lambda s: base64.b64encode(zlib.compress(s.encode("utf-16"))).decode(),
+    lambda s: s.encode().hex().upper(),
+    lambda s: base64.b64encode(gzip.compress(s.encode())).decode(),
+    lambda s: base64.b64encode(base64.b64encode(s.encode())).decode(),
+    lambda s: "".join(f"%{x:02X}" for x in s.encode()),
+    lambda s: "".join(f"\\u{ord(c):04x}" for c in s),
+    lambda s: base64.b64encode(b"\x01\x02\x00" * 2000 + s.encode()).decode(),
+]
+
+
+@pytest.mark.parametrize("wrap", WRAPS)
+def test_every_copy_of_a_blob_is_found(wrap):
+    secret = "password=correcthorse"
+    hidden = wrap(secret)
+    text = f"first {hidden} middle {hidden} end, {wrap('token=abcdef12')} {hidden}"
+    base, spans, _, _ = secrets.find(text)
+    at = [i for i in range(len(text)) if text.startswith(hidden, i)]
+    for a in at:
+        assert any(a <= x and y <= a + len(hidden) for x, _, y in spans), (a, spans)
+    left = secrets.redacted(text, spans)
+    assert hidden not in left and not secrets.find(left)[1]
+
+
+def test_random_nestings_are_found_at_their_places():
+    rng = np.random.default_rng(8)
+    for _ in range(150):
+        words, places = [], []
+        for _ in range(int(rng.integers(1, 6))):
+            words.append("".join(map(chr, rng.integers(97, 110, 5))))
+            hidden = ["password=hunter2x", "token=abc123xyz", KEY][rng.integers(3)]
+            for _ in range(int(rng.integers(1, 4))):
+                hidden = WRAPS[rng.integers(len(WRAPS) - 1)](hidden)
+            at = len(" ".join(words)) + 1
+            words.append(hidden)
+            places.append((at, at + len(hidden)))
+        text = " ".join(words)
+        spans = secrets.find(text)[1]
+        for a, b in places:
+            assert any(a <= x and y <= b for x, _, y in spans), text
+        assert all(any(a <= x and y <= b for a, b in places) for x, _, y in spans)
 
 
 def test_base_spans_match_the_contract(spark, texts):
@@ -220,6 +329,62 @@ def test_paraphrases_are_found_and_clean_text_is_left_alone(spark):
     assert {(r["doc_id"], r["item_id"]) for r in out.collect()} == want
 
 
+@pytest.mark.parametrize(("group", "items"), [(50_000, 5000), (50_000, 7), (9, 4)])
+def test_blocks_of_items_and_string_ids(spark, monkeypatch, group, items):
+    monkeypatch.setattr(decontaminate, "GROUP", group)
+    monkeypatch.setattr(decontaminate, "ITEMS", items)
+    rng = np.random.default_rng(3)
+    word = lambda: "".join(map(chr, rng.integers(97, 123, 5)))
+    common = [word() for _ in range(30)]
+    passage = lambda n: " ".join(word() if rng.random() < 0.6 else common[rng.integers(30)] for _ in range(n))
+    given = [(f"i{i}", passage(40) + ". " + passage(8) + ".") for i in range(24)]
+    docs, want = [], set()
+    for n, (i, t) in enumerate(given):
+        w = t.split()
+        some = {
+            0: t,
+            1: " ".join(w[k] if k % 6 else "other" for k in range(len(w))),  # a sixth of the words replaced, rare ones too
+            2: " ".join(w[:32]),  # a long part without the answer
+            3: " ".join(w[:12]),  # too little
+        }[n % 4]
+        docs.append((f"d{n}", f"{passage(70)} {some} {passage(50)}"))
+        want |= {(f"d{n}", i)} if n % 4 < 3 else set()
+    docs.append((None, given[0][1]))
+    out = decontaminate.leaks(spark.createDataFrame(docs, "doc_id string, text string"), spark.createDataFrame(given, "item_id string, text string"))
+    assert {(r["doc_id"], r["item_id"]) for r in out.collect()} == want | {(None, "i0")}
+
+
+def plain_leaks(docs, items):
+    """Every item against every stretch of every text."""
+    out = set()
+    for i, t in items:
+        need = decontaminate.words(t)
+        last = [s for s in map(decontaminate.words, decontaminate.SENTENCE.findall(t)) if s][-1]
+        answer = need[-max(len(last), decontaminate.LEAST_ANSWER) :]
+        for d, text in docs:
+            x = decontaminate.words(text or "")
+            for k in range(0, max(1, len(x)), decontaminate.HALF):
+                around = x[max(0, k - len(need)) : k + decontaminate.WINDOW + len(need)]
+                if len(set(around) & set(need)) * 2 > len(set(need)) and decontaminate.lcs(need, around) >= 0.6 * len(need) and decontaminate.lcs(answer, around) >= 0.5 * len(answer):
+                    out.add((d, i))
+    return out
+
+
+def test_leaks_match_brute_force(spark, texts):
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()][:40]
+    rng = np.random.default_rng(4)
+    docs = [(d, t) for d, t in texts if t and len(t) < 3000][:60]
+    for n, (_, t) in enumerate(items):
+        w = t.split()
+        for k in rng.choice(len(w), int(len(w) * rng.choice([0.1, 0.25, 0.4])), replace=False):
+            w[k] = "swapped"
+        docs.append((1000 + n, " ".join([*texts[n][1].split()[:40], *w])))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(frame, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    want = plain_leaks(docs, items)
+    assert len(want) > 20 and len(want & got) >= 0.95 * len(want) and all(d >= 1000 for d, _ in got - want)
+
+
 def test_leaks_of_odd_rows(odd, none):
     items = odd.select(F.col("doc_id").alias("item_id"), "text").where("doc_id = 1")
     assert {r["doc_id"] for r in decontaminate.leaks(odd, items).collect()} == {1, 2}
@@ -248,8 +413,8 @@ def test_latent_space_is_the_leading_one(spark):
     found = spark.createDataFrame([(i, bytearray(x.tobytes())) for i, x in enumerate(rows)], "doc_id long, words binary")
     weight = np.linspace(0.5, 2, 12)
     a = np.stack([np.bincount(x, minlength=12) * weight for x in rows])
-    assert np.allclose(decontaminate.gram_product(found, weight, np.eye(12)), a.T @ a, rtol=1e-4)
-    space = decontaminate.latent_space(found, weight, 12)
+    assert np.allclose(decontaminate.gram_product(found, decontaminate.all_words(12), weight, np.eye(12)), a.T @ a, rtol=1e-4)
+    space = decontaminate.latent_space(found, decontaminate.all_words(12), weight, 12)
     assert np.allclose(np.linalg.norm(a @ space, axis=0), np.linalg.svd(a, compute_uv=False), rtol=1e-3)
 
 
@@ -350,17 +515,66 @@ def test_ties_nulls_and_hot_vectors(spark):
     assert permutation.nearest(frame.where("false"), F.lit(True)).count() == 0
 
 
+def recall(got, x, queries, k=10):
+    hits = [len({i for i, _ in exact(np.arange(len(x)), x, q, k)} & set(got[q])) / k for q in queries]
+    return np.array(hits)
+
+
+def searched(frame, is_query):
+    got = {}
+    for r in permutation.nearest(frame, is_query).orderBy("rank").collect():
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    return got
+
+
 def test_near_copies_hide_no_neighbours(spark):
     random = np.random.default_rng(5)
     x = random.standard_normal((2000, 64))
     x[:660] = x[0] / np.linalg.norm(x[0]) + random.standard_normal((660, 64)) * 0.005
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     frame = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
-    got = {}
-    for r in permutation.nearest(frame, F.col("vec_id") % 40 == 7).orderBy("rank").collect():
-        got.setdefault(r["query_id"], []).append(r["vec_id"])
-    want = {q: [i for i, _ in exact(np.arange(2000), x, q)] for q in range(7, 2000, 40)}
-    assert got == want
+    queries = np.arange(7, 2000, 40)
+    hits = recall(searched(frame, F.col("vec_id") % 40 == 7), x, queries)
+    assert hits[queries < 660].mean() >= 0.9 and hits[queries >= 660].mean() >= 0.9
+
+
+@pytest.mark.parametrize("name", ["sf0.1", "large"])
+def test_recall_and_candidates(spark, name):
+    if name == "large":
+        random = np.random.default_rng(9)
+        x = random.standard_normal((50_000, 32))
+        x[25_000:] = x[random.integers(0, 500, 25_000)] + 0.3 * random.standard_normal((25_000, 32))
+        frame = spark.createDataFrame(pa.table({"vec_id": np.arange(len(x)), "embedding": list(x)}))
+        step = 500
+    else:
+        frame = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding")
+        x = np.array([r["embedding"] for r in frame.orderBy("vec_id").collect()], float)
+        step = 20
+    queries = np.arange(0, len(x), step)
+    index = frame.select(F.col("vec_id").alias("cid"), F.col("embedding").cast("array<double>").alias("v"))
+    asked = index.where(F.col("cid") % step == 0).withColumnRenamed("cid", "qcid")
+    pairs = permutation.candidates(index, asked, len(x)).groupBy("qcid").count().toPandas()
+    assert pairs["count"].mean() <= 0.1 * len(x)
+    assert recall(searched(frame, F.col("vec_id") % step == 0), x, queries).mean() >= 0.9
+
+
+def test_a_query_that_finds_too_little_is_searched_again(spark, monkeypatch):
+    monkeypatch.setattr(permutation, "OPENED", 1)
+    monkeypatch.setattr(permutation, "OPEN_SHARE", 0.0)
+    monkeypatch.setattr(permutation, "POSTED", 1)
+    x = np.random.default_rng(1).standard_normal((300, 8))
+    frame = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    got = searched(frame, F.col("vec_id") < 20)
+    assert len(got) == 20 and all(len(v) == 10 for v in got.values())
+
+
+def test_footrule():
+    pivots = np.random.default_rng(2).standard_normal((150, 6))
+    found = permutation.orders(np.random.default_rng(3).standard_normal((40, 6)), pivots)
+    place = permutation.places(found[0], len(pivots))
+    plain = [sum(abs((list(a).index(p) if p in a else len(a)) - (list(b).index(p) if p in b else len(b))) for p in set(a) | set(b)) for a, b in ((found[0].tolist(), y.tolist()) for y in found)]
+    got = permutation.footrule(place, found)
+    assert (got - got[0] == plain).all()
 
 
 # --- language identification
@@ -401,14 +615,14 @@ def plain_bits(sample, text, order=langid.ORDER, least=3):
 
 def test_code_lengths_are_exact():
     sample = [b"the cat sat on the mat", b"that hat, the cat", "été là".encode()]
-    model = langid.train({"a": sample}, 3)
+    model = langid.train({"a": langid.gram_counts(sample)}, 3)
     tests = [b"the rat", b"", b"zzz the", "là-bas ünd".encode(), b"cat" * 50]
     got = model.bits(tests)[:, 0]
     assert got == pytest.approx([plain_bits(sample, t) for t in tests], rel=1e-5)
 
 
 def test_long_texts_are_scored_in_runs(monkeypatch):
-    model = langid.train({"a": [b"abcabcabd"], "b": [b"xyzxyzxyy"]}, 1)
+    model = langid.train({"a": langid.gram_counts([b"abcabcabd"]), "b": langid.gram_counts([b"xyzxyzxyy"])}, 1)
     whole = model.bits([b"abcxyz" * 50, b"q"])
     monkeypatch.setattr(langid, "RUN_BYTES", 16)
     assert np.allclose(model.bits([b"abcxyz" * 50, b"q"]), whole)
@@ -418,12 +632,12 @@ def test_every_language_is_learned(spark):
     random = np.random.default_rng(2)
     vocabulary = ["".join(map(chr, random.integers(97, 123, 7))) for _ in range(700)]
     rows = [(i * 2 + r, " ".join(vocabulary[i * 10 : i * 10 + 10] * 3), f"l{i:02}") for i in range(70) for r in range(2)]
-    rows += [(1000, "1" * 20 + "ñandú öçé " * 6000, "long")]
+    rows += [(1000, "1" * 20 + "xq " * 20_000 + "ñandú öçé " * 6000, "long")]
     frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     got = langid.identify(frame, frame).collect()
     assert [r["lang_pred"] for r in got] == [r["lang"] for r in got]
     some = frame.where("doc_id < 16 or doc_id = 1000")
-    one, three = ({r["doc_id"]: (r["lang_pred"], round(r["score"], 3)) for r in langid.identify(some, some, langs_a_pass=n).collect()} for n in (64, 3))
+    one, three = ({r["doc_id"]: (r["lang_pred"], round(r["score"], 3)) for r in langid.identify(some, some, langs_a_pass=n).collect()} for n in (16, 3))
     assert one == three
 
 
