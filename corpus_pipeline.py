@@ -20,8 +20,9 @@ from glyphmill.llm.packing import pack, tokenizer_path
 from glyphmill.llm.secrets import secrets
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-#: A text whose best language has less than this share of the posterior isn't in any learned language.
-LEAST_SCORE = 0.5
+#: A text whose best language has less than this share of the posterior isn't in any learned language; neither is one of
+#: LONG bytes or more whose best model needs more bits a byte than knowing nothing takes.
+LEAST_SCORE, MOST_BITS, LONG = 0.5, 8.0, 64
 SEQUENCE = 2048
 
 
@@ -38,7 +39,8 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """
     rows = docs.select(*COLUMNS)
     found = identify(rows, rows.where(fold(F.col("doc_id"), 4) != 2))
-    kept = found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE))
+    explained = (F.col("bits_per_byte") <= MOST_BITS) | (F.octet_length("text") < LONG)
+    kept = found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE) & explained)
     return kept.select("doc_id", "text", F.col("lang_pred").alias("lang"), "source", "n_chars")
 
 
