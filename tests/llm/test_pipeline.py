@@ -71,6 +71,13 @@ def test_rows_without_an_id_and_repeated_ids(spark):
     assert listed(cp.drop_contaminated(spark, frame, SF)) == sorted(rows[1:], key=str)
 
 
+def test_texts_of_no_learned_language_go(spark, stages):
+    rows = stages["documents"].select(*cp.COLUMNS).limit(150)
+    more = spark.createDataFrame([(9001, "Это совсем другой язык, который здесь никто не учил. " * 3), (9002, "日本語の文章はここでは学ばれていない。" * 5), (9003, "The")], "doc_id long, text string").selectExpr("doc_id", "text", "cast(null as string) lang", "'s' source", "cast(length(text) as long) n_chars")
+    kept = ids(cp.keep_known_languages(spark, rows.union(more), SF))
+    assert not kept & {9001, 9002} and 9003 in kept and len(kept) >= 148
+
+
 def test_language_stage_matches_a_plain_model(spark, stages):
     rows = stages["documents"].collect()
     learn = {}
