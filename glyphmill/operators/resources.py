@@ -16,7 +16,8 @@ RASTERIZED = (".bmp", ".tif", ".tiff", ".svg")
 def catalog(files: DataFrame) -> DataFrame:
     """(path, scan_pos, output, content, ext, status) from (name, content, scan_pos).  status is kept (as it is, or as the
     PNG that it became), unreadable, unsupported (no library here can draw it) or discarded (no image).  A path met again
-    takes the place of the earlier one; contents aren't shuffled for that, only names are."""
+    takes the place of the earlier one: the last place of each path is found on names alone, and contents meet it by path,
+    place and hash, so a path that very many files share isn't gathered in a task."""
     path = T.resource_path(F.col("name"))
     rows = files.select(path.alias("path"), T.suffix(path).alias("ext"), "content", "scan_pos")
     # One row wins for each path; should two have the same place, the one with the larger content hash.

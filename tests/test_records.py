@@ -44,12 +44,12 @@ def test_readings(spark, source, want, reasons):
     assert got["unresolved"] == (["U+100000"] if "\U00100000" in source else [])
 
 
-@pytest.mark.parametrize("dirty", [" gā", "gā1", "ɡā", "gā", "ｅ", "?", "gā/gà", "（gā）", "－", "\U00100000"])
+@pytest.mark.parametrize("dirty", ["péng ", "\tpéng", "nǐ2", "ɡuó", "mɑ", "ｅr", "xī?", "hǎo/hào", "(tā)", "tā–", "\ue000", "wǒ\u2003men", "e\u0301", "ñu", "，", "漢"])
 def test_dirty_readings(spark, dirty):
     assert one(spark, T.is_clean_reading(F.col("s")), s=dirty) is False
 
 
-@pytest.mark.parametrize("clean", ["", "gā", "lǜ, nǚ", "chuán fěng", "Xī’ān", "ê̄"])
+@pytest.mark.parametrize("clean", ["", "péng", "nǚ, lǜ", "zhōng guó", "tiān'é", "bú-yào、ba", "ê̄"])
 def test_clean_readings(spark, clean):
     assert one(spark, T.is_clean_reading(F.col("s")), s=clean) is True
 
