@@ -16,6 +16,7 @@ by sentence.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -95,12 +96,12 @@ class Scorer:
                 z += self.word(w) if x is None else x
                 get = self.words.get
             if z > 0:
-                p = 1 / (1 + np.exp(-min(z + self.bias, 30.0)))
-                clean += np.log1p(-p)
+                p = 1 / (1 + math.exp(-min(z + self.bias, 30.0)))
+                clean += math.log1p(-p)
                 offending += p >= 0.5
                 if p > worst[0]:
                     worst = (p, s.start(), s.end())
-        return float(-np.expm1(clean)), offending, worst[1], worst[2], float(worst[0])
+        return 0.0 - math.expm1(clean), offending, worst[1], worst[2], float(worst[0])
 
 
 def sample(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, per_label: int) -> DataFrame:
