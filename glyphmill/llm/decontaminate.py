@@ -36,6 +36,8 @@ from glyphmill.llm.common import cut, parts, table
 
 GROUP, ITEMS, PASSAGE, WINDOW, RANK, COMMON, COSINE, MASS, LCS, ANSWER = 50_000, 5000, 64, 32, 128, 0.05, 0.25, 0.5, 0.6, 0.5
 WORD, SENTENCE = re.compile(r"[^\W_]+"), re.compile(r"[^.!?\n]+")
+#: What no word holds beyond ASCII; and a table that makes blanks of what no word holds within it.
+MARK, BLANKS = re.compile(r"[^\w\x00-\x7f]"), bytes(c if chr(c).isalnum() or c > 127 else 32 for c in range(256))
 HALF, ROWS, LEAST_ANSWER, RAREST, VERBATIM = WINDOW // 2, 32, 6, 8, 25
 
 
@@ -43,6 +45,14 @@ def words(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
+def word_bytes(text: str) -> list[bytes]:
+    """words() in UTF-8; texts without marks beyond ASCII are split as bytes."""
+    text = text.lower()
+    if text.isascii() or not MARK.search(text):
+        return text.encode("utf-8", "replace").translate(BLANKS).split()
+    return [w.encode("utf-8", "replace") for w in WORD.findall(text)]
+
+
 @dataclass(frozen=True)
 class Words:
     """How the stored numbers of a group's words are read by one block of items: number is -1 for words of other blocks,
@@ -67,15 +77,15 @@ def all_words(n: int) -> Words:
 
 def encoded(docs: DataFrame, vocabulary: dict[str, int], key: str, text: str) -> DataFrame:
     """(key, words: binary of word numbers, -1 for words outside of the vocabulary)."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    shared = docs.sparkSession.sparkContext.broadcast({w.encode("utf-8", "replace"): n for w, n in vocabulary.items()})
     kind = kind_of(len(vocabulary))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = shared.value
+        known = shared.value.get
         for b in parts(batches, text):
             out = []
             for t in b[text]:
-                ids = np.array([known.get(w, -1) for w in words(t)], kind) if isinstance(t, str) else np.zeros(0, kind)
+                ids = np.array([known(w, -1) for w in word_bytes(t)], kind) if isinstance(t, str) else np.zeros(0, kind)
                 out.append(ids.tobytes())
             yield pd.DataFrame({key: b[key], "words": out})
 
@@ -104,17 +114,14 @@ def frequencies(found: DataFrame, n_words: int) -> np.ndarray:
 def _blocks(batch: pd.Series, read: Words, weight: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Weighted words of a batch: their ids and their block numbers (blocks of `size` words, never across rows), and
     for all blocks their row and number in it."""
-    ids, block, row, nth, done = [], [], [], [], 0
-    for i, raw in enumerate(batch):
-        x = read(raw)
-        n = -(-len(x) // size)
-        at = np.flatnonzero((x >= 0) & (weight[x] > 0))
-        ids.append(x[at])
-        block.append(at // size + done)
-        row.append(np.full(n, i))
-        nth.append(np.arange(n))
-        done += n
-    return tuple(np.concatenate(x).astype(np.int64) if x else np.zeros(0, np.int64) for x in (ids, block, row, nth))
+    x = read(b"".join(batch))
+    n = np.array([len(raw) for raw in batch], np.int64) // np.dtype(read.kind).itemsize
+    end, blocks = np.cumsum(n), -(-n // size)
+    first = np.cumsum(blocks) - blocks
+    at = np.flatnonzero(np.append(weight > 0, False)[x])  # -1 finds the last place
+    row = np.searchsorted(end, at, "right")
+    of = np.repeat(np.arange(len(n)), blocks)
+    return x[at], (at - (end - n)[row]) // size + first[row], of, np.arange(len(of)) - first[of]
 
 
 def _summed(ids: np.ndarray, groups: np.ndarray, n: int, table_: np.ndarray) -> np.ndarray:

@@ -392,6 +392,14 @@ def test_leaks_of_odd_rows(odd, none):
     assert decontaminate.leaks(odd, items.where("false")).count() == 0
 
 
+def test_word_bytes():
+    rng = np.random.default_rng(3)
+    signs = list("aÀéßİ日１_-.,' \t\n\x1c\x85\u00a0\u2003“”’…·\u0301\u200d½Ⅷ٣")
+    for _ in range(3000):
+        text = "".join(rng.choice(signs, rng.integers(0, 9)))
+        assert decontaminate.word_bytes(text) == [w.encode() for w in decontaminate.words(text)], ascii(text)
+
+
 def test_lcs():
     def plain(a, b):
         row = [0] * (len(b) + 1)
