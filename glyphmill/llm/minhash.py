@@ -35,8 +35,8 @@ WORDS, ROWS, BANDS, BITS, PERCENT = 5, 5, 40, 512, 75
 SAMPLES = ROWS * BANDS
 #: Sketches that differ in more bits than this estimate a similarity under 0.55.
 MOST_BITS = int(BITS / 2 * (1 - np.exp((0.55 - 1) * 4 * SAMPLES / BITS)))
-#: Members of a band that are paired by a join; more are compared in blocks of about BLOCK.
-FEW, BLOCK = 12, 1000
+#: Members of a band that are paired by a join; more are compared in blocks of about BLOCK.  Copies of a band's hub.
+FEW, BLOCK, SALTS = 12, 1000, 32
 
 _STEP = powers(0xD6E8FEB86659FD93, WORDS + 1)[1:]
 _MULT = mix(np.arange(1, SAMPLES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -204,7 +204,10 @@ def links(sigs: DataFrame, sets: DataFrame, members: DataFrame) -> DataFrame:
     if not crowded.isEmpty():
         degree = crowded.groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
         hubs = crowded.join(degree, "node").groupBy("band").agg(F.max(F.struct("degree", "node", "comp")).alias("hub"))
-        pairs = crowded.join(hubs, "band").where("comp <> hub.comp").select(F.least("node", "hub.node").alias("u"), F.greatest("node", "hub.node").alias("v")).distinct()
+        # A band may hold very many members, so they meet copies of its hub.
+        hubs = hubs.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        salted = crowded.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
+        pairs = salted.join(hubs, ["band", "salt"]).where("comp <> hub.comp").select(F.least("node", "hub.node").alias("u"), F.greatest("node", "hub.node").alias("v")).distinct()
         edges = cut(edges.union(_confirmed(alike(pairs), sets)).distinct(), "links")
         comps = components(edges)
         open_ = _open(open_.select("band", "node"), comps)
