@@ -43,11 +43,21 @@ _ODD_SPACE = re.compile("[\x1c-\x1f]")
 #: What the vocabulary takes for a word of its own, after lower-casing.
 _WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 _BLOCK, _TOGETHER = 1 << 20, 1000
-#: Up to here letters have one lower-case letter each, but for those whose lower case is longer.
+#: Up to here letters have one lower-case letter each, but for those whose lower case is longer; none composes with
+#: what follows, and no context changes its case.
 LATIN_END = "\u0250"
+_BEYOND = re.compile(f"[{LATIN_END}-\U0010ffff]")
 # How the vocabulary shows bytes: printable ones as themselves, the rest as U+0100 and up, in order.
 _PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 _SHOWN = {b: 0x100 + n for n, b in enumerate(x for x in range(256) if x not in _PRINTABLE)}
+#: Lower-case letters that need no look at all, and how the vocabulary shows those beyond ASCII.
+_LETTERS = re.compile("[a-zß-öø-ÿ]+")
+_LATIN = {c: chr(c).encode().decode("latin-1").translate(_SHOWN) for c in range(0xDF, 0x100)}
+
+
+def lowered(text: str) -> str:
+    """text in lower case where that is what the vocabulary's own steps make of it, whatever their version of Unicode."""
+    return text.lower() if text.isascii() or not _BEYOND.search(text) else text
 
 
 class Encoder:
@@ -71,22 +81,21 @@ class Encoder:
         return np.array(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
     def _learn(self, new: set[str]) -> dict[str, bytes]:
-        """Ids of words."""
+        """Ids of words that aren't kept."""
         known: dict[str, bytes] = {}
         other, odd = [], []
-        marks, words, old, raw, merges = self.marks, self.words, self.old, self.raw, self.tok.model.tokenize
+        marks, words, old, raw, merges, letters = self.marks, self.words, self.old, self.raw, self.tok.model.tokenize, _LETTERS.fullmatch
         for w in new:
+            # A run of letters, perhaps with a mark after it, which are encoded apart: where nothing is left to normalize
+            # or to split, the merges are all there is to do.
             mark = marks.get(w[-1])
             base = w if mark is None else w[:-1]
-            plain = base.isascii()
-            if base.isalpha() and (plain or max(base) < LATIN_END and unicodedata.is_normalized("NFC", base)) and len(low := base.lower()) == len(base):
-                # A run of letters, perhaps with a mark after it, which are encoded apart: nothing is left to normalize
-                # or to split, so the merges are all there is to do.
-                ids = known.get(low) or words.get(low) or old.get(low)
+            if letters(base):
+                ids = known.get(base) if mark is None else known.get(base) or words.get(base) or old.get(base)
                 if ids is None:
-                    shown = low if plain else low.encode().decode("latin-1").translate(_SHOWN)
-                    known[low] = ids = b"".join([raw[t.id] for t in merges(shown)])
-                known[w] = ids if mark is None else ids + mark
+                    known[base] = ids = b"".join([raw[t.id] for t in merges(base if base.isascii() else base.translate(_LATIN))])
+                if mark is not None:
+                    known[w] = ids + mark
             else:
                 (other if max(w) < LATIN_END else odd).append(w)
         self._encode_words(other, known)
@@ -122,9 +131,9 @@ class Encoder:
             if odd:
                 yield b"".join(self._ids(x).tobytes() for x in blocks(t))
             elif len(t) > _BLOCK:
-                yield b"".join(b"".join(self._joined([x.split()])) for x in blocks(t))
+                yield b"".join(b"".join(self._joined([lowered(x).split()])) for x in blocks(t))
             else:
-                split.append(t.split())
+                split.append(lowered(t).split())
                 total += len(t)
         yield from self._joined(split)
 
