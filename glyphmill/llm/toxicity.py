@@ -31,6 +31,7 @@ from glyphmill.llm.common import cut, fold, parts, table
 
 #: Labelled documents of each label in the fit, and characters (the first document counts whatever its length).
 PER_LABEL, SAMPLE_CHARS = 4000, 40_000_000
+#: Features kept: fewer than 2**15, by whose numbers sentences come to the driver.
 STEMS, MAX_FEATURES, LEAST_MET = (4, 5, 6, 7), 4000, 3
 MAX_WORDS = 200_000
 WORD, SENTENCE = re.compile(r"[^\W\d_]+"), re.compile(r"[^.!?\n]+")
@@ -157,14 +158,14 @@ def learn(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, p
                         bag += of_word[w]
                     if len(bag) > before:
                         bag.append(-1)
-                out.append(np.array(bag, np.int32).tobytes())
+                out.append(np.array(bag, np.int16).tobytes())
                 if len(of_word) > MAX_WORDS:
                     of_word.clear()
             yield pd.DataFrame({"label": b["label"], "bag": out})
 
     rows = picked.mapInPandas(numbered, "label int, bag binary").collect()
     rows = sorted((r["label"], bytes(r["bag"])) for r in rows)  # the same order whatever the partitions
-    weights, bias = fit([np.frombuffer(x, np.int32) for _, x in rows], np.array([y for y, _ in rows]), len(kept))
+    weights, bias = fit([np.frombuffer(x, np.int16) for _, x in rows], np.array([y for y, _ in rows]), len(kept))
     return {f: float(x) for f, x in zip(kept, weights, strict=True) if x > 0.05}, bias
 
 
