@@ -12,7 +12,8 @@ last ORDER byte classes gives the row of the longest context held; a byte that i
 the row and goes on in the row of the next shorter context.  So most bytes take one look-up, and scoring needs no state
 between rows: a plain map over the input, without shuffle, where a lost executor costs only its own tasks.
 
-The sample's texts are counted whole, by the executors; what reaches the driver are at most MAX_GRAMS counts a language.
+The sample's texts are counted whole, by the executors; what reaches the driver are the counts of a language's sample,
+which SAMPLE_CHARS bounds, and all of them are held.
 """
 
 from __future__ import annotations
@@ -33,8 +34,8 @@ ORDER = 3
 LETTER = regex.compile(r"\p{L}")
 #: A text is scored in runs of this many bytes, so memory doesn't depend on its length.
 RUN_BYTES = 1 << 18
-#: Counts a language that a model holds: those of its most frequent runs of ORDER + 1 bytes.
-MAX_GRAMS = 100_000
+#: Characters a language in the sample, which bound what its tree can hold; the text that crosses it is the last one taken.
+SAMPLE_CHARS = 1_000_000
 _PAD = b"\n" * ORDER
 
 
@@ -164,6 +165,9 @@ def train(counts: dict[str, tuple[np.ndarray, np.ndarray]], min_count: int = 3)
             contexts.append(context[total >= (1 if order < 2 else min_count)])
             pairs.append((code, n))
         held = np.unique(np.concatenate(contexts)) if order else np.zeros(1, np.int64)
+        if not len(held):  # too little was met: this order, and with it all longer ones, says nothing
+            model.rows = np.tile(model.rows, a)
+            continue
         base = len(model.up)
         if order:
             up = model.rows[held % a ** (order - 1)]
@@ -204,14 +208,16 @@ def train(counts: dict[str, tuple[np.ndarray, np.ndarray]], min_count: int = 3)
 
 
 def sampled_counts(docs: DataFrame, text: str, lang: str, key: str, per_lang: int, langs: list[str]) -> dict[str, tuple[np.ndarray, np.ndarray]]:
-    """gram_counts() of at most per_lang whole texts of each of langs, picked by a hash of their key; of very many
-    different grams the MAX_GRAMS most frequent."""
+    """gram_counts() of at most per_lang whole texts of each of langs, picked by a hash of their key, until SAMPLE_CHARS
+    characters of a language are reached."""
     fit = docs.where(F.col(lang).isin(langs) & F.col(text).rlike(r"\p{L}"))
     order = Window.partitionBy("lang").orderBy("h", "key")
     picked = (
-        fit.select(F.col(lang).alias("lang"), F.col(key).alias("key"), F.xxhash64(F.col(key).cast("string")).alias("h"))
+        fit.select(F.col(lang).alias("lang"), F.col(key).alias("key"), F.xxhash64(F.col(key).cast("string")).alias("h"), F.length(text).alias("size"))
         .withColumn("rn", F.row_number().over(order))
         .where(F.col("rn") <= per_lang)
+        .withColumn("before", F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+        .where(F.col("before") < SAMPLE_CHARS)
         .select(F.col("lang").alias("_lang"), F.col("key").alias("_key"))
         .limit(per_lang * len(langs))
         .distinct()
@@ -228,8 +234,7 @@ def sampled_counts(docs: DataFrame, text: str, lang: str, key: str, per_lang: in
     def merge(some: pd.DataFrame) -> pd.DataFrame:  # per_lang rows at most
         grams, at = np.unique(np.concatenate([np.frombuffer(x, np.uint32) for x in some["grams"]]), return_inverse=True)
         n = np.bincount(at, np.concatenate([np.frombuffer(x, np.int64) for x in some["n"]]), len(grams)).astype(np.int64)
-        most = np.sort(np.lexsort((grams, -n))[:MAX_GRAMS])
-        return pd.DataFrame({"lang": [some["lang"].iloc[0]], "grams": [grams[most].tobytes()], "n": [n[most].tobytes()]})
+        return pd.DataFrame({"lang": [some["lang"].iloc[0]], "grams": [grams.tobytes()], "n": [n.tobytes()]})
 
     schema = "lang string, grams binary, n binary"
     found = rows.select("lang", "text").mapInPandas(count, schema).groupBy("lang").applyInPandas(merge, schema)
@@ -242,8 +247,8 @@ def identify(
     """docs with the columns lang_pred, score (the predicted language's posterior under equal priors) and bits_per_byte (its
     code length; 8 is what knowing nothing takes, 0 is given for `und`) added.
 
-    The trees are fitted on at most per_lang whole texts of each language of train_rows.  Every row of docs is scored over its whole text in every
-    language: langs_a_pass languages are learned and scored at once, and with more, docs are written with their best
+    The trees are fitted on at most per_lang whole texts (or SAMPLE_CHARS characters) of each language of train_rows; however
+    few there are, they are learned from.  Every row of docs is scored over its whole text in every language: langs_a_pass languages are learned and scored at once, and with more, docs are written with their best
     language so far after each pass.  Null texts and texts without a letter get `und` and score 0, as does every
     text where train_rows gives nothing to learn.  Ties go to the language that sorts first.  Repeated rows are kept.
     Columns of docs named like the added ones are replaced; others pass through untouched.
@@ -253,24 +258,27 @@ def identify(
     langs = [r["l"] for r in counts.orderBy(F.desc("n"), "l").collect()]
     keep = [c for c in docs.columns if c not in ("lang_pred", "score", "bits_per_byte")]
     docs = docs.select(*(F.col(f"`{c}`") for c in keep))
+    least = "_bits"
+    while least in keep:
+        least = f"_{least}"
     # Between passes: the best language so far, its bits, and the sum of 2 ** (its bits - bits) over all languages.
-    state = {"lang_pred": F.lit("x"), "score": F.lit(0.0), "_bits": F.lit(0.0)}
+    state = {"lang_pred": F.lit("x"), "score": F.lit(0.0), least: F.lit(0.0)}
     passes = [langs[k : k + langs_a_pass] for k in range(0, len(langs), langs_a_pass)] or [[]]
     made = None
     for k, some in enumerate(passes):
         counts = sampled_counts(train_rows, text, lang, key, per_lang, some) if some else {}
         shared = spark.sparkContext.broadcast(train(counts) if counts else None)
-        docs = docs.mapInPandas(_scored(shared, text, k == 0, k == len(passes) - 1), (docs.withColumns(state) if k == 0 else docs).schema)
+        docs = docs.mapInPandas(_scored(shared, text, least, k == 0, k == len(passes) - 1), (docs.withColumns(state) if k == 0 else docs).schema)
         if k < len(passes) - 1:
             docs, before = cut(docs, "languages"), made
             if before is not None:
                 discard(before)
             made = docs
             shared.destroy()
-    return docs.select(*(F.col(f"`{c}`") for c in keep), "lang_pred", "score", F.col("_bits").alias("bits_per_byte"))
+    return docs.select(*(F.col(f"`{c}`") for c in keep), "lang_pred", "score", F.col(least).alias("bits_per_byte"))
 
 
-def _scored(shared, text: str, first: bool, last: bool):
+def _scored(shared, text: str, bits_so_far: str, first: bool, last: bool):
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = shared.value
         for b in parts(batches, text):
@@ -279,7 +287,7 @@ def _scored(shared, text: str, first: bool, last: bool):
             if first:
                 pred, p, least = np.full(len(b), "und", object), np.zeros(len(b)), np.full(len(b), np.inf)
             else:
-                pred, p, least = b["lang_pred"].to_numpy(object).copy(), b["score"].to_numpy().copy(), b["_bits"].to_numpy().copy()
+                pred, p, least = b["lang_pred"].to_numpy(object).copy(), b["score"].to_numpy().copy(), b[bits_so_far].to_numpy().copy()
             if at:
                 bits = model.bits([texts[i].encode("utf-8", "replace") for i in at])
                 best, low = np.array(model.langs, object)[bits.argmin(1)], bits.min(1)
@@ -294,7 +302,7 @@ def _scored(shared, text: str, first: bool, last: bool):
                 known = np.isfinite(least)
                 n = np.array([len(t.encode("utf-8", "replace")) if k else 1 for t, k in zip(texts, known, strict=True)])
                 least = np.where(known, least / n, 0.0)
-            yield b.assign(lang_pred=pred, score=p, _bits=least)
+            yield b.assign(**{"lang_pred": pred, "score": p, bits_so_far: least})
 
     return score
 

@@ -125,7 +125,7 @@ class Encoder:
         split, total = [], 0
         for t in texts:
             odd = _ODD_SPACE.search(t) is not None
-            if total and (odd or total + len(t) > _BLOCK):
+            if split and (odd or total + len(t) > _BLOCK):  # empty texts are ones to give ids for, too
                 yield from self._joined(split)
                 split, total = [], 0
             if odd:

@@ -464,6 +464,27 @@ def test_encoder_equals_the_tokenizer():
     assert list(encoder.encode(TRICKY[::-1])) == want[::-1]
 
 
+def test_encoder_over_random_batches():
+    """Empty texts, odd spaces and texts beyond a block, in any order and batch: each text gets its own ids."""
+    import random
+
+    rng, encoder = random.Random(5), packing.Encoder(packing.tokenizer_path())
+    long = "x " * (packing._BLOCK // 2 + 3)
+    assert list(encoder.encode(["", long, ""])) == [b"", next(iter(encoder.encode([long]))), b""]
+    pool = ["", " ", "a\x1cb c", "\x1d", "\x1e\x1f", "plain words", "Don't", "naïve Ärger.", "漢字 kana かな", "x" * 50, "1234 5", "e\u0301\x1cq", "ﬁ İ ǅ", *TRICKY]
+    plain = {t: np.array(encoder.tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in pool}
+    for _ in range(600):
+        batch = [rng.choice(pool) if rng.random() < 0.7 else "" for _ in range(rng.randint(0, 20))]
+        assert list(encoder.encode(batch)) == [plain[t] if t else b"" for t in batch]
+
+
+def test_pack_keeps_each_documents_ids(spark):
+    rows = [(1, ""), (2, "a\x1cb c"), (3, None), (4, "d\x1fe f g")]
+    got = {r["doc_id"]: r["length"] for r in packing.pack(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), packing.tokenizer_path(), 2048).collect()}
+    tok = packing.Encoder(packing.tokenizer_path()).tok
+    assert got == {d: len(tok.encode(t or "", add_special_tokens=False).ids) + 1 for d, t in rows}
+
+
 def test_plan_uses_up_every_histogram():
     rng = np.random.default_rng(4)
     for n in (0, 1, 50, 5000):
@@ -654,3 +675,41 @@ def test_languages_of_odd_rows(odd, none):
     assert rows[3] == rows[4] == rows[5] == ("und", 0.0) and rows[1] == ("en", 1.0)
     assert {r["lang_pred"] for r in langid.identify(odd, none).collect()} == {"und"}
     assert langid.identify(none, odd).count() == 0
+
+
+@pytest.mark.parametrize("rows", [[(1, "hello my friend", "en")], [(1, "hello my friend", "en"), (2, "bonjour", "fr")], [(1, "a", "x"), (2, "b", "y")]])
+def test_tiny_training_sets(spark, rows):
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {r["doc_id"]: r["lang_pred"] for r in langid.identify(frame, frame).collect()} == {d: l for d, _, l in rows}
+
+
+def test_training_sets_without_a_held_context():
+    model = langid.train({"a": langid.gram_counts([b"ab"]), "b": langid.gram_counts([b"cd"])}, 3)
+    got = model.bits([b"ab", b"cd", b"zz"])
+    assert got[0, 0] < got[0, 1] and got[1, 1] < got[1, 0] and np.isfinite(got).all()
+
+
+def test_predictions_equal_plain_code_lengths(spark):
+    """The whole operator against plain_bits over every language, on texts of both sorts and of neither."""
+    learn = [(i, t, l) for i, (t, l) in enumerate([("the cat sat on the mat and the dog", "en"), ("le chat est sur la table et le chien", "fr"), ("the dog and the cat", "en"), ("la table et la chaise", "fr")])]
+    frame = spark.createDataFrame(learn, "doc_id long, text string, lang string")
+    samples = {l: [t.encode() for _, t, k in learn if k == l] for l in ("en", "fr")}
+    asked = ["the mat", "la chaise", "et", "dog", "zzz qqq", "Ünï"]
+    got = {r["text"]: (r["lang_pred"], r["bits_per_byte"]) for r in langid.identify(spark.createDataFrame([(i, t) for i, t in enumerate(asked)], "doc_id long, text string"), frame).collect()}
+    for t in asked:
+        bits = {l: plain_bits(s, t.encode()) for l, s in samples.items()}
+        assert got[t][0] == min(bits, key=lambda l: (round(bits[l], 3), l))
+        assert got[t][1] == pytest.approx(min(bits.values()) / len(t.encode()), rel=1e-4)
+
+
+def test_columns_named_like_inner_ones_pass_untouched(spark):
+    frame = spark.createDataFrame([(1, "hello there", "en", 7.5, "k")], "doc_id long, text string, lang string, _bits double, __bits string")
+    row = langid.identify(frame, frame).collect()[0]
+    assert (row["_bits"], row["__bits"], row["lang_pred"]) == (7.5, "k", "en") and row["bits_per_byte"] != 7.5
+
+
+def test_sample_is_bounded_by_characters(spark, monkeypatch):
+    monkeypatch.setattr(langid, "SAMPLE_CHARS", 30)
+    frame = spark.createDataFrame([(i, "hello my dear friend of mine", "en") for i in range(9)] + [(9, "bonjour " * 99, "fr")], "doc_id long, text string, lang string")
+    found = langid.sampled_counts(frame, "text", "lang", "doc_id", 250, ["en", "fr"])
+    assert found["en"][1].sum() == 2 * len("hello my dear friend of mine") and found["fr"][1].sum() == 8 * 99
