@@ -122,3 +122,39 @@ def best_fit(lengths, size):
 
 def sha(data):
     return hashlib.sha256(data.encode() if isinstance(data, str) else data).hexdigest()
+
+
+def occurrences(rows, one_in=97, least=5):
+    """Words of all rows, a letter of each one_in-th left out."""
+    for d, t in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", t or ""):
+            w = run.translate(LOWER)
+            h = zlib.crc32(f"{'' if d is None else d}:{w}".encode())
+            w = w[: h % len(w)] + w[h % len(w) + 1 :] if h % one_in == 0 else w
+            if len(w) >= least:
+                yield w
+
+
+def one_apart(a, b):
+    """Whether one letter inserted, deleted or replaced makes a into b."""
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    a, b = sorted((a, b), key=len)
+    return len(b) - len(a) == 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def variants(words, least=3, factor=2):
+    """word -> (form, root, n, n_near, form_n) by looking at all pairs."""
+    n = {w: m for w, m in Counter(words).items() if m >= least}
+    near = {w: [v for v in n if abs(len(v) - len(w)) < 2 and one_apart(v, w)] for w in n}
+    form = {}
+    for w in n:
+        best = min(near[w], key=lambda v: (-n[v], v), default=None)
+        form[w] = best if best is not None and n[best] >= factor * n[w] else None
+
+    def root(w):
+        while form[w] is not None:
+            w = form[w]
+        return w
+
+    return {w: (form[w], root(w), n[w], len(near[w]), n[form[w]] if form[w] else None) for w in n}
