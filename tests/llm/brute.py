@@ -1,6 +1,7 @@
 """Plain versions of the operators, for small inputs."""
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -158,3 +159,27 @@ def variants(words, least=3, factor=2):
         return w
 
     return {w: (form[w], root(w), n[w], len(near[w]), n[form[w]] if form[w] else None) for w in n}
+
+
+def lloyd(rows, parts=4, entries=256, rounds=4, scale=1024):
+    """[(id, label, code, error)] of rows (id, label, vector) without faults, and the codebooks, all distances looked at."""
+    whole = [(d, l, [math.floor(scale * x) for x in v]) for d, l, v in rows]
+    width = len(whole[0][2]) // parts
+    cut = [[v[p * width : (p + 1) * width] for p in range(parts)] for _, _, v in whole]
+    first = {}
+    for (d, _, _), v in zip(whole, cut, strict=True):
+        if d is not None:
+            first[d] = min(first.get(d, v), v)
+    books = [[first[d][p] for d in sorted(first)[:entries]] for p in range(parts)]
+
+    def nearest(x, book):
+        return min((sum((a - b) ** 2 for a, b in zip(x, c, strict=True)), j) for j, c in enumerate(book))
+
+    for _ in range(rounds):
+        for p, book in enumerate(books):
+            members = defaultdict(list)
+            for v in cut:
+                members[nearest(v[p], book)[1]].append(v[p])
+            books[p] = [[sum(c) // len(c) for c in zip(*members[j], strict=True)] if j in members else c for j, c in enumerate(book)]
+    best = [[nearest(v[p], books[p]) for p in range(parts)] for v in cut]
+    return [(d, l, bytes(j for _, j in b), sum(e for e, _ in b)) for (d, l, _), b in zip(whole, best, strict=True)], books
