@@ -8,16 +8,19 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from glyphmill.functions import markup, nodes
 from glyphmill.functions import readings as R
 from glyphmill.functions import text as T
-from glyphmill.operators import aliases, classify, compare, emit, resources, stats, validate
+from glyphmill.operators import aliases, classify, compare, emit, resources, stats, tree, validate
 from glyphmill.plans import build
+from glyphmill.plans.scratch import cut
 from glyphmill.sources import bundle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -341,6 +344,53 @@ def tag_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "pages").select(F.explode(markup.tags(F.col("html"))).alias("tag")).groupBy("tag").agg(F.count(F.lit(1)).alias("n"))
 
 
+# Records out of pages: lists are headers, links to words with a t are superscripts, paragraphs are notes, some with a note
+# inside, and a letter is a character for private use.
+_MARKS = (("<ul>", "<hm>"), ("</ul>", "</hm>"), ('<a href="/t', '<sup><a href="/t'), ("</a>", "</a></sup>"), ("<p><b>", "<duyin>"), ("<br>", "<duyin>n</duyin></duyin>"), ("<p>", "<duyin>"), ("</p>", "</duyin>"), ("ç", "\ue000"))
+_TREES = f"SELECT page_id, {reduce(lambda sql, m: f"replace({sql}, '{m[0]}', '{m[1]}')", _MARKS, 'html')} AS html FROM pages"
+_SAID = "replace(replace(replace(replace({}, '&copy;', '©'), '&middot;', '·'), '&quot;', chr(34)), '&amp;', '&')"
+_SHOWN = f"SELECT page_id, {_STRIPPED} AS html FROM ({_TREES})"
+
+
+def _nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cut(tree.node_table(_made(spark, sf_dir, _TREES, "pages"), "page_id", "html"), "nodes")
+
+
+@_query("header_children", f"""WITH l AS (SELECT page_id, regexp_extract_all(regexp_extract(html, '<hm>(.*?)</hm>', 1, 's'), '<(li)>(.*?)</li>', 2) AS items FROM ({_SHOWN}))
+SELECT page_id, generate_subscripts(items, 1)::INTEGER - 1 AS place, 'li' AS tag, {_SAID.format("regexp_replace(unnest(items), '<[^>]*>', '', 'g')")} AS text FROM l""")
+def header_children(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stands right below each header, with all its text."""
+    found = _nodes(spark, sf_dir)
+    kids = tree.children(found, F.col("tag") == "hm", "page_id").select("page_id", "pre", "place", "tag")
+    said = tree.texts(found, F.col("tag") == "li", key="page_id").withColumnRenamed("top", "pre")
+    return kids.join(said, ["page_id", "pre"]).select("page_id", "place", "tag", "text")
+
+
+@_query("outermost_notes", f"""WITH a AS (SELECT page_id, regexp_extract_all(regexp_extract(html, '<article>(.*)</article>', 1, 's'), '<[^>]*>|[^<]+') AS tokens FROM ({_SHOWN})),
+t AS (SELECT page_id, generate_subscripts(tokens, 1) AS k, unnest(tokens) AS token FROM a),
+d AS (SELECT *, sum(CASE token WHEN '<duyin>' THEN 1 WHEN '</duyin>' THEN -1 ELSE 0 END) OVER w AS after FROM t WINDOW w AS (PARTITION BY page_id ORDER BY k)),
+n AS (SELECT *, count(*) FILTER (token = '<duyin>' AND after = 1) OVER (PARTITION BY page_id ORDER BY k) AS note FROM d)
+SELECT page_id, note AS nth, sha256(coalesce(string_agg({_SAID.format("token")}, '' ORDER BY k) FILTER (NOT starts_with(token, '<')), '')) AS digest FROM n WHERE after > 0 GROUP BY page_id, note""")
+def outermost_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The notes that stand in no other, numbered, with their whole text."""
+    found = _nodes(spark, sf_dir)
+    note = F.col("tag") == "duyin"
+    inside = tree.outermost(found, note, "page_id").select("page_id", F.col("pre").alias("top"))
+    said = tree.texts(found, note, key="page_id").join(inside, ["page_id", "top"])
+    nth = F.row_number().over(Window.partitionBy("page_id").orderBy("top")).cast("long")
+    return said.select("page_id", nth.alias("nth"), F.sha2("text", 256).alias("digest"))
+
+
+@_query("text_without_superscripts", f"""WITH r AS (SELECT page_id, html, regexp_extract(html, '<nav>(.*?)</nav>', 1, 's') AS nav FROM ({_SHOWN}))
+SELECT page_id, {_SAID.format("array_to_string(regexp_extract_all(nav, '<li><a [^>]*>([^<]*)</a>', 1), '')")} AS shown, sha256({_SAID.format("regexp_replace(regexp_replace(html, '<![^>]*>', '', 'g'), '<[^>]*>', '', 'g')")}) AS digest, contains(regexp_replace(html, '<[^>]*>', '', 'g'), '\ue000') AS private_use FROM r""")
+def text_without_superscripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text of the navigation without superscripts, all text, and whether that has characters for private use."""
+    found = _nodes(spark, sf_dir)
+    shown = tree.texts(found, F.col("tag") == "nav", ("sup",), "page_id").select("page_id", F.col("text").alias("shown"))
+    whole = tree.texts(found, F.col("pre") == 0, key="page_id").select("page_id", F.sha2("text", 256).alias("digest"))
+    return shown.join(whole, "page_id").join(tree.private_use(found, "page_id"), "page_id").withColumnRenamed("found", "private_use")
+
+
 @_query("unknown_tags", f"SELECT tag AS name, CAST(count(*) AS BIGINT) AS n FROM ({_TAGS}) WHERE tag NOT IN ({', '.join(repr(t) for t in sorted({*markup.SHAPES, *markup.DROPPED}))}) GROUP BY 1")
 def unknown_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages").select("page_id", F.col("url").alias("headword"), F.col("html").alias("raw"))
