@@ -57,9 +57,11 @@ def node_table(records: DataFrame, key: str = "ordinal", raw: str = "raw") -> Da
     each a key of its own.  Depth is bounded by memory only.
     """
     kind = records.schema[key].dataType.simpleString()
+    names = [c.split()[0] for c in COLUMNS.split(", ")]
+    if key in names:
+        raise ValueError(f"the key is named like a column of the table: {key}")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [c.split()[0] for c in COLUMNS.split(", ")]
         for b in batches:
             for k, text in zip(b[key], b[raw], strict=True):
                 if isinstance(text, str):

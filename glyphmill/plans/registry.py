@@ -459,8 +459,17 @@ def span_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("json_walk", "SELECT e.event_id, j.fullkey AS path, j.type IN ('OBJECT', 'ARRAY') AS nested FROM events e, json_tree(CAST(e.props AS JSON)) j WHERE j.fullkey <> '$'")
 def json_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = _table(spark, sf_dir, "events").select("event_id", F.parse_json("props").alias("v"))
-    return nodes.walked(events, "event_id", "v")
+    return nodes.walked(_table(spark, sf_dir, "events"), "event_id", "props")
+
+
+_NESTED = "SELECT event_id, '[' || props || ',{\"a b\":[[],{\"\":' || props || '}],\"é\":[true,null,-1.5e3]}]' AS text FROM events"
+
+
+@_query("json_values", f"""SELECT event_id, fullkey AS path, CASE WHEN type IN ('OBJECT', 'ARRAY', 'BOOLEAN', 'NULL') THEN lower(type) WHEN type = 'VARCHAR' THEN 'string' ELSE 'number' END AS kind, CASE WHEN type = 'VARCHAR' THEN value->>'$' END AS text
+FROM (SELECT event_id, unnest(tree, recursive := true) FROM (SELECT event_id, (SELECT list(j) FROM json_tree(n.text::JSON) j) AS tree FROM ({_NESTED}) n))""")
+def json_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every value of texts that nest, with its kind."""
+    return nodes.json_table(_made(spark, sf_dir, _NESTED, "events"), "event_id", "text").select("event_id", "path", "kind", "text")
 
 
 @_query("canonical_json_signature", "SELECT event_id, sha256('{\"a\":[1,\"é\"],\"t\":\"' || event_type || '\",\"z\":{\"b\":null,\"k\":' || user_id || '}}') AS signature FROM events")
@@ -538,13 +547,9 @@ def validate_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("node_text", f"WITH {_TREE} SELECT place, sha256(string_agg(text, '' ORDER BY fullkey)) AS digest FROM s WHERE fullkey LIKE '$[5][0].content.content%' AND (fullkey LIKE '%.content' OR fullkey LIKE '%]') AND fullkey NOT LIKE '%.data.content' GROUP BY 1")
 def node_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    @F.pandas_udf("string")
-    def text(rows):
-        found = [json.loads(r)[5] for r in rows]
-        return pd.Series([nodes.text(x[0]["content"]) if isinstance(x, list) and isinstance(x[0], dict) else None for x in found], dtype=object)
-
-    rows = _term_rows(spark, sf_dir).select("place", text("row").alias("t")).where("t is not null")
-    return rows.select("place", F.sha2("t", 256).alias("digest"))
+    found = nodes.json_table(_term_rows(spark, sf_dir).withColumnRenamed("place", "line"), "line", "row")
+    said = nodes.node_texts(found, "line", (F.col("path") == "$[5][0].content") & (F.col("kind") == "object"))
+    return said.select(F.col("line").alias("place"), F.sha2("text", 256).alias("digest"))
 
 
 @_query("validate_files", f"""WITH f AS (SELECT DISTINCT CASE WHEN page_id % 3 = 0 THEN 'media/' || split_part(url, '/', -1) ELSE {_NAMES} END AS name FROM pages)
