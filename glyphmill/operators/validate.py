@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from glyphmill.functions import shapes
 from glyphmill.functions import text as T
 from glyphmill.functions.markup import LIGHT_DROPPED
 from glyphmill.functions.nodes import kind, values
@@ -180,18 +181,32 @@ def counters(found: DataFrame, root: str = "record-entry", lang: str = "zh-Hans"
 
 
 def schema_errors(banks: DataFrame, schema: dict) -> DataFrame:
-    """Errors of term rows by a JSON Schema of whole banks: a row is checked as the one row of a bank."""
+    """Errors of term rows by a JSON Schema of whole banks: a row is checked as the one row of a bank.  The schema is
+    compiled to columns, for as many levels as the rows have; rows beyond shapes.LEVELS are checked one by one."""
+    scope = F.concat(F.lit("term_bank_"), F.col("bank"), F.lit(".json"))
+    rows = banks.where("row is not null").select(scope.alias("scope"), "place", F.concat(F.lit("["), F.coalesce(F.nullif(F.trim("row"), F.lit("")), F.lit("null")), F.lit("]")).alias("text"))
+    most = shapes.deepest(rows, "text")
+    deep = shapes.depth(F.col("text")) > shapes.LEVELS
+    found = shapes.faults(rows if most <= shapes.LEVELS else rows.where(~deep), schema, "text", min(most, shapes.LEVELS)).select("scope", "place", F.explode("faults").alias("fault"))
+    # A path begins with the one row's number.
+    rule = F.concat(F.lit("schema "), F.regexp_replace("fault", " at (/0/?)?", " at "))
+    found = found.select("scope", "place", rule.alias("rule"))
+    return found if most <= shapes.LEVELS else found.unionByName(_deep_errors(rows.where(deep), schema))
+
+
+def _deep_errors(rows: DataFrame, schema: dict) -> DataFrame:
+    """schema_errors() of rows (scope, place, text), a row at a time."""
     checked = Schema(schema)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
-            for bank, place, row in zip(b["bank"], b["place"], b["row"], strict=True):
-                for path, rule in checked.faults([_json(row)]):
-                    out.append((f"term_bank_{bank}.json", place, f"schema {rule} at {'/'.join(map(str, path[1:]))}"))
+            for scope, place, text in zip(b["scope"], b["place"], b["text"], strict=True):
+                for path, rule in checked.faults(_json(text)):
+                    out.append((scope, place, f"schema {rule} at {'/'.join(map(str, path[1:]))}"))
             yield pd.DataFrame(out, columns=["scope", "place", "rule"])
 
-    return banks.where("row is not null").select("bank", "place", "row").mapInPandas(run, "scope string, place long, rule string")
+    return rows.mapInPandas(run, "scope string, place long, rule string")
 
 
 def bank_errors(sizes: DataFrame, limit: int = 10_000) -> DataFrame:
@@ -217,15 +232,23 @@ def file_errors(files: DataFrame, edition: str = "full") -> DataFrame:
     return found.union(needed)
 
 
-def index_errors(index: object, edition: str = "full", identity: dict | None = None) -> list[str]:
-    """Rules that an index breaks: required keys, update URLs, language codes, the light edition's identity."""
-    if not isinstance(index, dict):
-        return ["index_not_object"]
-    out = [f"missing_{k}" for k in ("title", "revision") if not isinstance(index.get(k), str)]
-    out += ["missing_format"] if "format" not in index and "version" not in index else []
-    out += ["update_without_urls"] if index.get("isUpdatable") and not {"indexUrl", "downloadUrl"} <= set(index) else []
-    out += [f"bad_{k}" for k in ("sourceLanguage", "targetLanguage") if k in index and not (isinstance(index[k], str) and 2 <= len(index[k]) <= 3 and index[k].islower() and index[k].isalpha())]
-    return out + [f"light_{k}" for k, v in (identity or {}).items() if edition == "light" and index.get(k) != v]
+def index_rules(index: Column, edition: str = "full", identity: dict | None = None) -> Column:
+    """Array of the rules that an index (JSON text) breaks: required keys, update URLs, language codes, the light edition's
+    identity; for text that isn't an object, that alone."""
+    v = F.try_parse_json(index)
+    members = F.try_variant_get(v, "$", "map<string,variant>")
+    has = lambda k: F.map_contains_key(members, k)
+    get = lambda k, kind="string": F.try_variant_get(F.try_element_at(members, F.lit(k)), "$", kind)
+    is_text = lambda k: has(k) & F.coalesce(F.schema_of_variant(F.try_element_at(members, F.lit(k))) == "STRING", F.lit(False))
+    # Anything but false, null, zero and what is empty switches updates on.
+    off = F.coalesce(get("isUpdatable"), F.lit("")).isin("", "false", "0", "0.0", "[]", "{}")
+    rules = [F.when(~is_text(k), f"missing_{k}") for k in ("title", "revision")]
+    rules += [F.when(~has("format") & ~has("version"), "missing_format"), F.when(~off & ~(has("indexUrl") & has("downloadUrl")), "update_without_urls")]
+    rules += [F.when(has(k) & ~(is_text(k) & F.coalesce(get(k).rlike(r"^\p{Ll}{2,3}\z"), F.lit(False))), f"bad_{k}") for k in ("sourceLanguage", "targetLanguage")]
+    if edition == "light":
+        same = lambda k, value: F.to_json(F.try_element_at(members, F.lit(k))) == F.to_json(F.parse_json(F.lit(json.dumps(value))))
+        rules += [F.when(~F.coalesce(same(k, value), F.lit(False)), f"light_{k}") for k, value in (identity or {}).items()]
+    return F.when(members.isNull(), F.array(F.lit("index_not_object"))).otherwise(F.array_compact(F.array(*rules)))
 
 
 #: Endings of font files.
@@ -295,7 +318,9 @@ def validate_bundle(spark: SparkSession, path: str, edition: str = "full", mode:
         index = _json(small["index.json"])
         if "index" in schemas:
             errors += [f"index.json: schema {rule} at {'/'.join(map(str, where))}" for where, rule in Schema(schemas["index"]).faults(index)]
-        errors += [f"index.json: {e}" for e in index_errors(index, edition, identity)] if "index" not in schemas or edition == "light" else []
+        if "index" not in schemas or edition == "light":
+            text = spark.createDataFrame([(small["index.json"].decode("utf-8", "replace"),)], "text string")
+            errors += [f"index.json: {e}" for e in text.select(index_rules(F.col("text"), edition, identity).alias("e")).first()["e"]]
     if "styles.css" in small:
         css = spark.createDataFrame([(small["styles.css"].decode("utf-8", "replace"),)], "css string")
         styles = css.select(css_errors(F.col("css"), root).alias("e")).first()["e"]

@@ -6,16 +6,14 @@ both engines; what is under test is done by the library here and by plain SQL th
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from glyphmill.functions import markup, nodes
+from glyphmill.functions import markup, nodes, shapes
 from glyphmill.functions import readings as R
 from glyphmill.functions import text as T
 from glyphmill.operators import aliases, classify, compare, emit, resources, stats, tree, validate
@@ -535,14 +533,33 @@ def validation_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate.counters(validate.nodes(_term_rows(spark, sf_dir)))
 
 
-_SCHEMA = {"type": "array", "items": {"type": "array", "minItems": 8, "maxItems": 8, "items": [{"type": "string"}, {"type": "string"}, {}, {}, {"type": "number"}, {"type": "array", "items": {"oneOf": [{"type": "string"}, {"type": "object", "required": ["type", "content"]}]}}, {"type": "integer"}]}}
+# A schema of term rows with nodes that hold nodes.
+_TEXT, _DATA = {"type": "string"}, {"$ref": "#/definitions/data"}
+_NODE = {"$ref": "#/definitions/node"}
 
 
-@_query("validate_schema", f"""WITH {_ROWS}
-SELECT place, 'schema maxItems at 0' AS rule FROM slots WHERE n > 8 UNION ALL SELECT place, 'schema type at 0/1' FROM slots WHERE kind <> 'VARCHAR' UNION ALL SELECT place, 'schema type at 0/5' FROM slots WHERE shape <> 'ARRAY'""")
+def _element(tags: list[str], needs: tuple[str, ...] = (), **members: dict) -> dict:
+    tag = {"type": "string", "const": tags[0]} if len(tags) == 1 else {"type": "string", "enum": tags}
+    return {"type": "object", "required": ["tag", *needs], "additionalProperties": False, "properties": {"tag": tag, "data": _DATA, "lang": _TEXT, **members}}
+
+
+_ELEMENTS = [_element(["span", "div", "li"], content=_NODE), _element(["td"], colSpan={"type": "integer", "minimum": 1}), _element(["img"], ("path",), path=_TEXT), _element(["a"], ("href",), content=_NODE, href={"type": "string", "pattern": "^(?:https?:|\\?)[\\w\\W]*"})]
+_ITEM = {"type": "object", "required": ["type"], "oneOf": [
+    {"required": ["text"], "additionalProperties": False, "properties": {"type": {"const": "text"}, "text": _TEXT}},
+    {"required": ["content"], "additionalProperties": False, "properties": {"type": {"const": "structured-content"}, "content": _NODE}}]}
+_LEMMA = {"type": "array", "minItems": 2, "maxItems": 2, "items": [_TEXT, {"type": "array", "items": _TEXT}]}
+_SLOTS = [_TEXT, _TEXT, {"type": ["string", "null"]}, _TEXT, {"type": "number"}, {"type": "array", "items": {"oneOf": [_TEXT, _ITEM, _LEMMA]}}, {"type": "integer"}, _TEXT]
+_SCHEMA = {
+    "definitions": {"node": {"oneOf": [_TEXT, {"type": "array", "items": _NODE}, {"type": "object", "oneOf": _ELEMENTS}]}, "data": {"type": "object", "additionalProperties": _TEXT}},
+    "type": "array", "items": {"type": "array", "minItems": 8, "maxItems": 8, "additionalItems": False, "items": _SLOTS},
+}
+
+
+@_query("validate_schema", f"""WITH {_ROWS}, item5 AS (SELECT place, i FROM item WHERE json_type(i) = 'OBJECT')
+SELECT place, unnest(['schema maxItems at ', 'schema false at 8']) AS rule FROM slots WHERE n > 8 UNION ALL SELECT place, 'schema type at 1' FROM slots WHERE kind <> 'VARCHAR' UNION ALL SELECT place, 'schema type at 5' FROM slots WHERE shape <> 'ARRAY'
+UNION ALL SELECT j.place, 'schema oneOf at 5/0' FROM j WHERE json_type(v, '$[5]') = 'ARRAY' AND json_type(v, '$[5][0]') = 'OBJECT' AND ((v->>'$[5][0].content.content[2].colSpan')::INT < 1 OR v->>'$[5][0].content.content[4].tag' = 'examples')""")
 def validate_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = validate.schema_errors(_term_rows(spark, sf_dir), _SCHEMA)
-    return found.select("place", F.replace("rule", F.lit("at "), F.lit("at 0/")).alias("rule")).withColumn("rule", F.regexp_replace("rule", "at 0/$", "at 0"))
+    return validate.schema_errors(_term_rows(spark, sf_dir), _SCHEMA).select("place", "rule")
 
 
 @_query("node_text", f"WITH {_TREE} SELECT place, sha256(string_agg(text, '' ORDER BY fullkey)) AS digest FROM s WHERE fullkey LIKE '$[5][0].content.content%' AND (fullkey LIKE '%.content' OR fullkey LIKE '%]') AND fullkey NOT LIKE '%.data.content' GROUP BY 1")
@@ -579,18 +596,36 @@ def validate_css(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _made(spark, sf_dir, _CSS, "pages").select("page_id", F.array_join(validate.css_errors(F.col("css")), ",").alias("rules"))
 
 
-_INDEX = """SELECT n_nationkey, '{"title":' || CASE WHEN n_regionkey = 0 THEN '5' ELSE '"' || n_name || '"' END || CASE WHEN n_regionkey = 1 THEN '' ELSE ',"revision":"1"' END || CASE WHEN n_nationkey % 3 = 0 THEN ',"isUpdatable":true' ELSE '' END
-  || CASE WHEN n_nationkey % 2 = 0 THEN ',"format":3' ELSE '' END || ',"sourceLanguage":"' || lower(substr(n_name, 1, CAST(n_nationkey % 4 + 1 AS INT))) || '"}' AS text FROM nation"""
+# Indexes out of customers: their names, keys and segments decide what is there and what is wrong.
+_INDEX = """SELECT c_custkey, '{"title":' || CASE WHEN c_nationkey = 0 THEN '5' ELSE '"' || c_name || '"' END || CASE WHEN c_nationkey = 1 THEN '' ELSE ',"revision":"1"' END || CASE WHEN c_custkey % 3 = 0 THEN ',"isUpdatable":' || CASE WHEN c_custkey % 2 = 0 THEN 'true' ELSE 'false' END ELSE '' END
+  || CASE WHEN c_custkey % 5 = 0 THEN ',"indexUrl":"u","downloadUrl":"v"' ELSE '' END || CASE c_custkey % 4 WHEN 0 THEN ',"format":3' WHEN 1 THEN ',"format":4' WHEN 2 THEN ',"version":2.0' ELSE '' END || ',"sourceLanguage":"' || lower(substr(c_mktsegment, 1, CAST(c_custkey % 5 + 1 AS INT))) || '"'
+  || CASE WHEN c_custkey % 7 = 0 THEN ',"tagMeta":{"a":{"order":1,"notes":' || CASE WHEN c_custkey % 14 = 0 THEN '"n"' ELSE '0' END || '},"b":{"x":1}}' ELSE '' END || CASE WHEN c_custkey % 23 = 0 THEN '' ELSE '}' END AS text FROM customer"""
 
 
-@_query("validate_index", f"""SELECT n_nationkey, concat_ws(',', CASE WHEN json_type(text, '$.title') <> 'VARCHAR' THEN 'missing_title' END, CASE WHEN json_type(text, '$.revision') IS NULL THEN 'missing_revision' END, CASE WHEN json_type(text, '$.format') IS NULL THEN 'missing_format' END,
-  CASE WHEN text LIKE '%isUpdatable%' THEN 'update_without_urls' END, CASE WHEN length(text->>'$.sourceLanguage') NOT IN (2, 3) THEN 'bad_sourceLanguage' END, CASE WHEN coalesce(text->>'$.title', '') <> 'PERU' THEN 'light_title' END) AS rules FROM ({_INDEX})""")
+@_query("validate_index", f"""SELECT c_custkey, CASE WHEN c_custkey % 23 = 0 THEN 'index_not_object' ELSE concat_ws(',', CASE WHEN c_nationkey = 0 THEN 'missing_title' END, CASE WHEN c_nationkey = 1 THEN 'missing_revision' END, CASE WHEN c_custkey % 4 = 3 THEN 'missing_format' END,
+  CASE WHEN c_custkey % 6 = 0 AND c_custkey % 5 <> 0 THEN 'update_without_urls' END, CASE WHEN c_custkey % 5 NOT IN (1, 2) THEN 'bad_sourceLanguage' END, CASE WHEN c_nationkey = 0 OR c_name <> 'Customer#000000007' THEN 'light_title' END) END AS rules FROM customer""")
 def validate_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    @F.pandas_udf("string")
-    def rules(texts):
-        return pd.Series([",".join(validate.index_errors(json.loads(t), "light", {"title": "PERU"})) for t in texts], dtype=object)
-
-    return _made(spark, sf_dir, _INDEX, "nation").select("n_nationkey", rules("text").alias("rules"))
+    rules = validate.index_rules(F.col("text"), "light", {"title": "Customer#000000007"})
+    return _made(spark, sf_dir, _INDEX, "customer").select("c_custkey", F.array_join(rules, ",").alias("rules"))
+
+
+_INDEX_SCHEMA = {
+    "definitions": {"code": {"type": "string", "pattern": "^[a-z]{2,3}$"}}, "type": "object", "required": ["title", "revision"],
+    "properties": {
+        "title": _TEXT, "revision": _TEXT, "format": {"type": "integer", "enum": [1, 2, 3]}, "version": {"type": "integer", "enum": [1, 2, 3]}, "isUpdatable": {"type": "boolean", "const": True},
+        "sourceLanguage": {"$ref": "#/definitions/code"}, "tagMeta": {"type": "object", "additionalProperties": {"type": "object", "properties": {"order": {"type": "number"}, "notes": _TEXT}, "additionalProperties": False}},
+    },
+    "anyOf": [{"required": ["format"]}, {"required": ["version"]}], "dependencies": {"isUpdatable": ["indexUrl", "downloadUrl"]},
+}
+
+
+@_query("validate_index_schema", """WITH f AS (SELECT *, c_custkey % 23 = 0 AS bad FROM customer)
+SELECT c_custkey, 'type at ' AS fault FROM f WHERE bad UNION ALL SELECT c_custkey, fault FROM f, (SELECT unnest(['type at /title', 'required at /revision', 'enum at /format', 'const at /isUpdatable', 'pattern at /sourceLanguage', 'type at /tagMeta/a/notes', 'additionalProperties at /tagMeta/b/x', 'anyOf at ', 'dependencies at /indexUrl', 'dependencies at /downloadUrl']) AS fault)
+WHERE NOT bad AND CASE split_part(fault, ' at ', 2) WHEN '/title' THEN c_nationkey = 0 WHEN '/revision' THEN c_nationkey = 1 WHEN '/format' THEN c_custkey % 4 = 1 WHEN '/isUpdatable' THEN c_custkey % 6 = 3 WHEN '/sourceLanguage' THEN c_custkey % 5 NOT IN (1, 2)
+  WHEN '/tagMeta/a/notes' THEN c_custkey % 14 = 7 WHEN '/tagMeta/b/x' THEN c_custkey % 7 = 0 WHEN '' THEN c_custkey % 4 = 3 ELSE c_custkey % 3 = 0 AND c_custkey % 5 <> 0 END""")
+def validate_index_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = _made(spark, sf_dir, _INDEX, "customer")
+    return shapes.faults(texts, _INDEX_SCHEMA, "text", shapes.deepest(texts, "text")).select("c_custkey", F.explode("faults").alias("fault"))
 
 
 @_query("size_totals", "SELECT count(*) AS files, CAST(sum(strlen(text)) AS BIGINT) AS bytes FROM documents")
