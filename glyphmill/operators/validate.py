@@ -21,7 +21,8 @@ from glyphmill.functions.nodes import kind, values
 from glyphmill.functions.schema import Schema
 from glyphmill.operators.resources import KEPT, RASTERIZED, missing, unused
 from glyphmill.plans.scratch import cut
-from glyphmill.sources.records import read_members, scan_banks
+from glyphmill.sources import archive, files
+from glyphmill.sources.records import scan_banks
 
 MODES = ("targeted", "exhaustive", "archive-only")
 MAX_ERRORS = 1000
@@ -93,14 +94,14 @@ def node_faults(node: dict) -> list[str]:
 
 
 def row_errors(banks: DataFrame, root: str = "record-entry", lang: str = "zh-Hans") -> DataFrame:
-    """Errors of term rows (bank, place, row: JSON text): shape, reading, glossary, root, language.  A row is parsed once
-    and all its rules come out of one projection."""
+    """Errors (scope, place, rule, detail) of term rows (bank, place, row: JSON text): shape, reading, glossary, root,
+    language.  A row is parsed once and all its rules come out of one projection; detail is the reading at fault."""
     scope = F.concat(F.lit("term_bank_"), F.col("bank"), F.lit(".json"))
     rows = banks.select(scope.alias("scope"), "place", F.try_parse_json("row").alias("v"), F.coalesce(F.json_array_length("row"), F.lit(-1)).alias("n"))
     at = lambda path, kind: F.try_variant_get("v", path, kind)
-    rows = rows.select("scope", "place", "n", F.schema_of_variant(at("$[1]", "variant")).alias("kind"), at("$[1]", "string").alias("reading"), at("$[5]", "array<variant>").alias("items"))
+    rows = rows.select("scope", "place", "n", F.col("v").isNull().alias("lost"), F.schema_of_variant(at("$[1]", "variant")).alias("kind"), at("$[1]", "string").alias("reading"), at("$[5]", "array<variant>").alias("items"))
     is_text = F.coalesce(F.col("kind") == "STRING", F.lit(False))
-    rules = F.when(F.col("n") != 8, F.array(F.lit("not_eight_slots"))).otherwise(
+    rules = F.when(F.col("lost"), F.array(F.lit("row_not_json"))).when(F.col("n") != 8, F.array(F.lit("not_eight_slots"))).otherwise(
         F.array_compact(
             F.array(
                 F.when(~is_text, "reading_not_text").when(~T.is_clean_reading(F.col("reading")), "reading_not_clean"),
@@ -118,7 +119,8 @@ def row_errors(banks: DataFrame, root: str = "record-entry", lang: str = "zh-Han
 
     items = F.when((F.col("n") == 8) & F.col("items").isNotNull(), F.array_compact(F.transform("items", of_item)))
     found = F.concat(rules, F.coalesce(items, F.expr("cast(array() as array<string>)")))
-    return rows.select("scope", "place", F.explode(found).alias("rule"))
+    rows = rows.select("scope", "place", F.explode(found).alias("rule"), "reading")
+    return rows.select("scope", "place", "rule", F.when(F.col("rule").startswith("reading_"), F.col("reading")).alias("detail"))
 
 
 def _json(text: object) -> object:
@@ -134,13 +136,15 @@ def _roots(slots: object) -> list[dict]:
     return [i["content"] for i in items if isinstance(i, dict) and i.get("type") == "structured-content" and isinstance(i.get("content"), dict)]
 
 
-def nodes(banks: DataFrame) -> DataFrame:
-    """Every object and string of the rows' JSON trees, parents first."""
+def nodes(banks: DataFrame, shapes_in: str | None = None) -> DataFrame:
+    """Every object and string of the rows' JSON trees, parents first.  shapes_in: a boolean column of the rows whose nodes
+    are held against the format's shapes, which take most of the time; without it all are."""
+    banks = banks.withColumn("shaped", F.col(shapes_in) if shapes_in else F.lit(True))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
-            for bank, place, row in zip(b["bank"], b["place"], b["row"], strict=True):
+            for bank, place, row, shaped in zip(b["bank"], b["place"], b["row"], b["shaped"], strict=True):
                 slots = _json(row)
                 roots = {id(x) for x in _roots(slots)}
                 where = (f"term_bank_{bank}.json", place)
@@ -149,23 +153,26 @@ def nodes(banks: DataFrame) -> DataFrame:
                         out.append((*where, None, None, None, None, False, None, True, [], v, False))
                     elif isinstance(v, dict):
                         own = [v.get(k) if isinstance(v.get(k), str) else None for k in ("tag", "href", "path", "lang")]
-                        out.append((*where, own[0], kind(v), own[1], own[2], "lang" in v, own[3], isinstance(v.get("data", {}), dict), node_faults(v), None, id(v) in roots))
+                        out.append((*where, own[0], kind(v), own[1], own[2], "lang" in v, own[3], isinstance(v.get("data", {}), dict), node_faults(v) if shaped else [], None, id(v) in roots))
             yield pd.DataFrame(out, columns=[x.split()[0] for x in NODE.split(", ")])
 
-    return banks.where("row is not null").select("bank", "place", "row").mapInPandas(run, NODE)
+    return banks.where("row is not null").select("bank", "place", "row", "shaped").mapInPandas(run, NODE)
 
 
 def node_errors(found: DataFrame, edition: str = "full", schema: bool = True) -> DataFrame:
-    """Errors of nodes: links, active text, nested languages, shapes, and what the light edition mustn't have."""
+    """Errors (scope, place, rule, detail) of nodes: links, active text, nested languages, shapes, and what the light edition
+    mustn't have; detail is the link, the text's beginning, the language or the tag at fault."""
     light = F.col("tag").isin(*LIGHT_DROPPED) | F.col("kind").isin(*LIGHT_DROPPED, "entry-image") | ~F.col("data_is_map")
+    fault = lambda rule, detail: F.struct(F.lit(rule).alias("rule"), detail.alias("detail"))
     rules: list[Column] = [
-        F.when(F.col("href").isNotNull() & ~F.col("href").startswith("?"), "link_not_internal"),
-        F.when(T.looks_executable(F.col("text")), "executable_text"),
-        F.when(F.col("has_lang") & ~F.col("is_root"), "nested_language"),
-        F.when(F.lit(edition == "light") & F.coalesce(light, F.lit(False)), "light_keeps_removed"),
+        F.when(F.col("href").isNotNull() & ~F.col("href").startswith("?"), fault("link_not_internal", F.col("href"))),
+        F.when(T.looks_executable(F.col("text")), fault("executable_text", F.left(F.col("text"), F.lit(80)))),
+        F.when(F.col("has_lang") & ~F.col("is_root"), fault("nested_language", F.col("lang"))),
+        F.when(F.lit(edition == "light") & F.coalesce(light, F.lit(False)), fault("light_keeps_removed", F.coalesce("tag", "kind"))),
     ]
     all_ = F.array_compact(F.array(*rules))
-    return found.select("scope", "place", F.explode(F.concat(all_, "faults") if schema else all_).alias("rule"))
+    shaped = F.transform("faults", lambda x: F.struct(x.alias("rule"), F.col("tag").alias("detail")))
+    return found.select("scope", "place", F.inline(F.concat(all_, shaped) if schema else all_))
 
 
 def counters(found: DataFrame, root: str = "record-entry", lang: str = "zh-Hans") -> DataFrame:
@@ -277,7 +284,7 @@ def sampled(banks: DataFrame, mode: str) -> DataFrame:
 
 def capped(errors: DataFrame, most: int = MAX_ERRORS) -> DataFrame:
     """The first errors by scope, place and rule: what a report shows."""
-    return errors.orderBy("scope", "place", "rule").limit(most)
+    return errors.orderBy(*errors.columns).limit(most)
 
 
 def summary(errors: DataFrame) -> DataFrame:
@@ -289,35 +296,55 @@ def size_totals(members: DataFrame) -> DataFrame:
     return members.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum(F.octet_length("content")), F.lit(0)).alias("bytes"))
 
 
+def _told(r) -> str:
+    place = f"{r['scope']}[{r['place']}]" if r["place"] >= 0 else r["scope"]
+    return f"{place}: {r['rule']}" + (f": {r['detail']}" if r["detail"] is not None else "")
+
+
+def _some(errors: DataFrame, what: str) -> list[str]:
+    """The first errors, and how many are left."""
+    n = errors.count()
+    return [_told(r) for r in capped(errors).collect()] + ([f"{n - MAX_ERRORS} more {what}"] if n > MAX_ERRORS else [])
+
+
+def digested(spark: SparkSession, path: str) -> tuple[int, str]:
+    """Bytes and SHA-256 of a file, told by a task that reads it a part at a time."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame([files.digest(p) for p in b["path"]], columns=["size", "sha256"])
+
+    return tuple(spark.createDataFrame([(path,)], "path string").mapInPandas(run, "size long, sha256 string").first())
+
+
 def validate_bundle(spark: SparkSession, path: str, edition: str = "full", mode: str = "targeted", root: str = "record-entry", identity: dict | None = None, schemas: dict[str, dict] | None = None) -> dict:
     """A whole archive against all rules: counts, the first errors, warnings.  schemas: JSON Schemas named index and
-    term-bank, which then decide on shapes in place of the built-in rules."""
+    term-bank, which then decide on shapes in place of the built-in rules.
+
+    Names and sizes come from the archive's directory, banks are read once, by as many tasks as they take, and of other
+    members the index and the stylesheet alone.  Shapes are looked at in the banks of the mode only.
+    """
     schemas = schemas or {}
-    archive = spark.read.format("binaryFile").load(path).select("length", F.sha2("content", 256).alias("sha256")).first()
-    members = read_members(spark, path)
+    size, sha256 = digested(spark, path)
+    listed = cut(archive.members(spark, path, content=False).select("name", "size"), "names")
     scanned = cut(scan_banks(spark, path), "banks")
     sizes, banks = scanned.where("place < 0").select("bank", "n", "fault"), scanned.where("place >= 0").select("bank", "place", "row")
-    shapes = sampled(sizes.where("fault is null"), mode).select("bank").distinct()
-    in_shape = banks.join(F.broadcast(shapes), "bank", "left_semi")
-    found = cut(nodes(banks), "nodes")
-    rows = [row_errors(banks, root), node_errors(found, edition, schema=False)]
-    if "term-bank" in schemas:
-        rows.append(schema_errors(in_shape, schemas["term-bank"]))
-    else:
-        named = shapes.select(F.concat(F.lit("term_bank_"), "bank", F.lit(".json")).alias("scope"))
-        rows.append(found.where(F.size("faults") > 0).join(F.broadcast(named), "scope", "left_semi").select("scope", "place", F.explode("faults").alias("rule")))
-    names = members.select("name")
+    chosen = cut(sampled(sizes.where("fault is null"), mode).select("bank").distinct(), "shapes")
+    by_schema = "term-bank" in schemas
+    flagged = banks.join(F.broadcast(chosen.withColumn("in_mode", F.lit(True))), "bank", "left").withColumn("in_mode", F.coalesce("in_mode", F.lit(False)) & F.lit(not by_schema))
+    found = cut(nodes(flagged, "in_mode"), "nodes")
+    rows = row_errors(banks, root).union(node_errors(found, edition))
+    if by_schema and mode != "archive-only":
+        rows = rows.union(schema_errors(banks.join(F.broadcast(chosen), "bank", "left_semi"), schemas["term-bank"]).withColumn("detail", F.lit(None).cast("string")))
+    names = listed.select("name")
     shown = found.where("tag = 'img' and path is not null").select(F.col("path").alias("name"))
     lost = missing(shown, names).select(F.col("name").alias("scope"), F.lit(-1).cast("long").alias("place"), F.lit("missing_resource").alias("rule"))
-    # Only what is said of rows is capped; what is said of files is few.
-    of_files = reduce(DataFrame.union, [bank_errors(sizes), file_errors(names, edition), lost]).orderBy("scope", "rule")
-    told = [*capped(reduce(DataFrame.union, rows)).collect(), *of_files.collect()]
-    errors = [f"{r['scope']}[{r['place']}]: {r['rule']}" if r["place"] >= 0 else f"{r['scope']}: {r['rule']}" for r in told]
-    small = {r["name"]: bytes(r["content"]) for r in members.where(F.col("name").isin("index.json", "styles.css")).collect()}
+    of_files = reduce(DataFrame.union, [bank_errors(sizes), file_errors(names, edition), lost]).withColumn("detail", F.lit(None).cast("string"))
+    errors = _some(cut(rows, "errors"), "errors of rows") + _some(cut(of_files, "errors"), "errors of files")
+    small = {r["name"]: bytes(r["content"]) for r in archive.members(spark, path, names=r"index\.json|styles\.css").select("name", "content").collect()}
     if "index.json" in small:
-        index = _json(small["index.json"])
         if "index" in schemas:
-            errors += [f"index.json: schema {rule} at {'/'.join(map(str, where))}" for where, rule in Schema(schemas["index"]).faults(index)]
+            errors += [f"index.json: schema {rule} at {'/'.join(map(str, where))}" for where, rule in Schema(schemas["index"]).faults(_json(small["index.json"]))]
         if "index" not in schemas or edition == "light":
             text = spark.createDataFrame([(small["index.json"].decode("utf-8", "replace"),)], "text string")
             errors += [f"index.json: {e}" for e in text.select(index_rules(F.col("text"), edition, identity).alias("e")).first()["e"]]
@@ -326,10 +353,12 @@ def validate_bundle(spark: SparkSession, path: str, edition: str = "full", mode:
         styles = css.select(css_errors(F.col("css"), root).alias("e")).first()["e"]
         errors += [f"styles.css: {e}" for e in styles]
     total = sizes.agg(F.count(F.lit(1)).alias("banks"), F.coalesce(F.sum("n"), F.lit(0)).alias("terms")).first()
-    warnings = [f"unused resource: {r['name']}" for r in unused(names, shown).collect()]
+    idle = cut(unused(names, shown), "unused")
+    n_idle = idle.count()
+    warnings = [f"unused resource: {r['name']}" for r in idle.orderBy("name").limit(MAX_ERRORS).collect()] + ([f"{n_idle - MAX_ERRORS} more unused resources"] if n_idle > MAX_ERRORS else [])
     return {
-        "path": path, "edition": edition, "sha256": archive["sha256"], "size": archive["length"], "uncompressed": size_totals(members).first()["bytes"],
-        "valid": not errors, "mode": mode, "term_banks": total["banks"], "terms": total["terms"], "schema_validated_banks": sorted(r["bank"] for r in shapes.collect()),
+        "path": path, "edition": edition, "sha256": sha256, "size": size, "uncompressed": listed.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("n")).first()["n"],
+        "valid": not errors, "mode": mode, "term_banks": total["banks"], "terms": total["terms"], "schema_validated_banks": sorted(r["bank"] for r in chosen.collect()),
         **counters(found, root).first().asDict(), "css_uses_sans_serif": "styles.css" in small and "no_sans_serif" not in styles, "errors": errors, "warnings": warnings,
     }
 

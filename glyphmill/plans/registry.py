@@ -18,8 +18,8 @@ from glyphmill.functions import readings as R
 from glyphmill.functions import text as T
 from glyphmill.operators import aliases, classify, compare, emit, resources, stats, tree, validate
 from glyphmill.plans import build
-from glyphmill.plans.scratch import cut
-from glyphmill.sources import bundle
+from glyphmill.plans.scratch import cut, scratch_path
+from glyphmill.sources import archive, bundle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -647,6 +647,14 @@ def bank_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("bank_no", F.sha2("content", 256).alias("digest"))
 
 
+@_query("archive_round_trip", "SELECT 'd/' || doc_id AS name, row_number() OVER (ORDER BY 'd/' || doc_id) - 1 AS place, CAST(strlen(text) AS BIGINT) AS size, sha256(text) AS digest FROM documents")
+def archive_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text as a member of an archive that tasks write and tasks read."""
+    path = f"{scratch_path(spark, 'archive')}.zip"
+    archive.write(_table(spark, sf_dir, "documents").select(F.concat(F.lit("d/"), "doc_id").alias("name"), F.encode("text", "utf-8").alias("content")), path)
+    return archive.members(spark, path, bytes_per_partition=1 << 20).select("name", "place", "size", F.sha2("content", 256).alias("digest"))
+
+
 @_query("edition_parity", "WITH a AS (SELECT source, lang, doc_id FROM documents), b AS (SELECT source, lang, doc_id FROM documents WHERE length(text) % 50 <> 0 UNION ALL SELECT source, lang, doc_id FROM documents WHERE length(text) % 50 = 1) SELECT doc_id AS sequence, CAST(1 AS INTEGER) AS missing, CAST(0 AS INTEGER) AS extra FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b) UNION ALL SELECT doc_id, 0, 1 FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a)")
 def edition_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")

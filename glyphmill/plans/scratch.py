@@ -33,13 +33,17 @@ def _drop(spark: SparkSession, folder: str) -> None:
         pass
 
 
-def cut(df: DataFrame, tag: str) -> DataFrame:
-    """Write df into the shared folder and read it back, which ends its lineage."""
-    spark = df.sparkSession
+def scratch_path(spark: SparkSession, tag: str) -> str:
+    """A new path in the shared folder, which goes when Python ends."""
     folder = f"{scratch_dir(spark)}/{spark.sparkContext.applicationId}-plans"
     if folder not in _apps:
         _apps.add(folder)
         atexit.register(_drop, spark, folder)
-    path = f"{folder}/{tag}-{uuid.uuid4().hex}"
+    return f"{folder}/{tag}-{uuid.uuid4().hex}"
+
+
+def cut(df: DataFrame, tag: str) -> DataFrame:
+    """Write df into the shared folder and read it back, which ends its lineage."""
+    path = scratch_path(df.sparkSession, tag)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

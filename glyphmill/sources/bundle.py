@@ -1,21 +1,20 @@
 """The bundle: term banks, index, stylesheet and media in one archive that depends on its content only.
 
-Banks are made by the executors, one string each; the driver takes them one at a time from the ordered result, so it
-holds a single bank whatever their number.
+Banks are made and deflated by the executors, one string each; the archive is put together out of finished streams (see
+sources.archive).
 """
 
 from __future__ import annotations
 
-import hashlib
 import json
-import zipfile
 from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from glyphmill.sources import archive, files
+
 TERM_COLUMNS = ("expression", "reading", "definition_tags", "rules", "score", "glossary", "sequence", "term_tags")
-FIRST_TIME = (1980, 1, 1, 0, 0, 0)
 
 
 def row_json(rows: DataFrame) -> DataFrame:
@@ -42,27 +41,17 @@ def pretty(value: Any) -> str:
     return json.dumps(value, ensure_ascii=False, indent=2, sort_keys=True) + "\n"
 
 
-def write_zip(path: str, members: list[tuple[str, bytes]], more: DataFrame | None = None) -> str:
-    """Write members and the rows (name, content) of more, by name, with fixed times and modes; SHA-256 of the file."""
-    named = dict(members)
-    streamed = {} if more is None else {r["name"]: None for r in more.select("name").collect()}
-    rows = iter(()) if more is None else more.orderBy("name").toLocalIterator()
-    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED, allowZip64=False, compresslevel=9) as z:
-        for name in sorted({*named, *streamed}, key=lambda x: x.encode()):
-            content = named[name] if name in named else next(rows)["content"]
-            info = zipfile.ZipInfo(name, FIRST_TIME)
-            info.compress_type, info.external_attr, info.create_system = zipfile.ZIP_DEFLATED, 0o644 << 16, 3
-            z.writestr(info, content.encode() if isinstance(content, str) else bytes(content), zipfile.ZIP_DEFLATED, 9)
-    digest = hashlib.sha256()
-    with open(path, "rb") as f:
-        while part := f.read(1 << 22):
-            digest.update(part)
-    return digest.hexdigest()
+def write_zip(path: str, members: list[tuple[str, bytes]], more: DataFrame) -> str:
+    """Write members and the rows (name, content) of more, by name, with fixed times and modes; SHA-256 of the file.  Tasks
+    deflate the rows of more, which are computed once."""
+    few = more.sparkSession.createDataFrame(members, "name string, content binary")
+    archive.write(few.coalesce(1).union(more.select("name", F.col("content").cast("binary").alias("content"))), path)
+    return files.digest(path)[1]
 
 
 def write_bundle(path: str, rows: DataFrame, index_: dict[str, Any], css: str, media: DataFrame | None = None) -> str:
     """Write a whole bundle; rows have the term columns, bank_no and place; media has name and content."""
-    files = banks(rows).select(F.concat(F.lit("term_bank_"), F.col("bank_no"), F.lit(".json")).alias("name"), F.encode("content", "utf-8").alias("content"))
+    named = banks(rows).select(F.concat(F.lit("term_bank_"), F.col("bank_no"), F.lit(".json")).alias("name"), F.encode("content", "utf-8").alias("content"))
     if media is not None:
-        files = files.union(media.select("name", "content"))
-    return write_zip(path, [("index.json", pretty(index_).encode()), ("styles.css", css.encode())], files)
+        named = named.union(media.select("name", "content"))
+    return write_zip(path, [("index.json", pretty(index_).encode()), ("styles.css", css.encode())], named)

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import io
 import json
 import os
 import re
-import zipfile
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -15,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glyphmill.functions import text as T
-from glyphmill.sources import container
+from glyphmill.sources import archive, container
 
 RULE_SCHEMA = "source_sha256 string, headword string, before string, after string, reason string, evidence string"
 
@@ -113,12 +111,14 @@ def read_rules(spark: SparkSession, path: str) -> DataFrame:
 
 
 BANKS = "bank long, place long, row string, n long, fault string"
+#: Stored bytes of the banks that a task reads: they grow about tenfold.
+BANK_BYTES = 4 << 20
+BANK_NAMES = r"term_bank_(\d+)\.json"
 
 
-def scan_banks(spark: SparkSession, path: str) -> DataFrame:
-    """(bank, place, row, n, fault) of the term banks in archives: first a row with place -1 for the bank itself, with its
-    number of rows, or the fault that it isn't JSON or not an array; then its rows as JSON text."""
-    files = spark.read.format("binaryFile").load(path).select("content")
+def bank_rows(members: DataFrame) -> DataFrame:
+    """(bank, place, row, n, fault) of the term banks among members (name, content): first a row with place -1 for the bank
+    itself, with its number of rows, or the fault that it isn't JSON or not an array; then its rows as JSON text."""
 
     def scanned(number: int, raw: bytes) -> pd.DataFrame:
         try:
@@ -133,13 +133,15 @@ def scan_banks(spark: SparkSession, path: str) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for content in b["content"]:
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    for name in z.namelist():
-                        if m := re.fullmatch(r"term_bank_(\d+)\.json", name):
-                            yield scanned(int(m[1]), z.read(name))
+            for name, content in zip(b["name"], b["content"], strict=True):
+                yield scanned(int(re.fullmatch(BANK_NAMES, name)[1]), content)
+
+    return members.where(F.col("name").rlike(f"^{BANK_NAMES}$")).select("name", "content").mapInPandas(run, BANKS)
 
-    return files.mapInPandas(run, BANKS)
+
+def scan_banks(spark: SparkSession, path: str) -> DataFrame:
+    """bank_rows() of archives; only the banks are read, by as many tasks as they take."""
+    return bank_rows(archive.members(spark, path, names=BANK_NAMES, bytes_per_partition=BANK_BYTES))
 
 
 def read_banks(spark: SparkSession, path: str) -> DataFrame:
@@ -149,13 +151,4 @@ def read_banks(spark: SparkSession, path: str) -> DataFrame:
 
 def read_members(spark: SparkSession, path: str) -> DataFrame:
     """(name, content) of everything in archives."""
-    files = spark.read.format("binaryFile").load(path).select("content")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for content in b["content"]:
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    for name in z.namelist():
-                        yield pd.DataFrame({"name": [name], "content": [z.read(name)]})
-
-    return files.mapInPandas(run, "name string, content binary")
+    return archive.members(spark, path).select("name", "content")

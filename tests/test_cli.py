@@ -7,7 +7,8 @@ import pytest
 from glyphmill import cli
 from glyphmill.functions import images
 from glyphmill.plans import build
-from glyphmill.sources import container, records
+from glyphmill.sources import records
+from tests import containers
 
 ROWS = [
     (1, "傳", "<hdc><hm><hw>傳</hw><pron>gā/?</pron></hm><item>x<img src='bres://h/A.png'><img src='a.PNG'></item></hdc>"),
@@ -22,8 +23,8 @@ SCHEMA = {"index": {"type": "object", "required": ["title", "revision", "author"
 @pytest.fixture(scope="module")
 def folder(tmp_path_factory):
     root = tmp_path_factory.mktemp("in")
-    (root / "words.mdx").write_bytes(container.build([(h, r.encode()) for _, h, r in ROWS]))
-    (root / "more.mdd").write_bytes(container.build([("\\\\A.png", images.png(np.zeros((1, 1, 3), np.uint8))), ("\\\\x.css", b"")], encoding="UTF-16"))
+    (root / "words.mdx").write_bytes(containers.build([(h, r.encode()) for _, h, r in ROWS]))
+    (root / "more.mdd").write_bytes(containers.build([("\\\\A.png", images.png(np.zeros((1, 1, 3), np.uint8))), ("\\\\x.css", b"")], encoding="UTF-16"))
     (root / "resources" / "deep").mkdir(parents=True)
     (root / "resources" / "deep" / "b.png").write_bytes(images.png(np.zeros((1, 2, 3), np.uint8)))
     (root / "rules.json").write_text("[]")

@@ -14,7 +14,8 @@ from glyphmill.functions import text as T
 from glyphmill.functions.schema import Schema
 from glyphmill.operators import aliases, classify, compare, emit, resources, stats, validate
 from glyphmill.plans import build
-from glyphmill.sources import bundle, container, records
+from glyphmill.sources import archive, bundle, container, files, records
+from tests import containers
 
 
 def one(spark, column, **values):
@@ -146,7 +147,6 @@ def test_bundle_is_deterministic_and_valid(spark, tmp_path):
     assert banks.count() == 4
     assert validate.row_errors(banks).count() == 0 and validate.node_errors(validate.nodes(banks)).count() == 0
     assert validate.file_errors(records.read_members(spark, paths[0])).count() == 0
-    assert validate.index_errors(index) == []
     assert records.inventory(spark, str(tmp_path)).where(F.col("sha256") == sums[0]).count() == 2
 
 
@@ -183,12 +183,6 @@ def test_each_fault_breaks_one_rule(spark, change, rule):
     assert [r["rule"] for r in errors.collect()] == [rule]
 
 
-def test_index_rules():
-    assert validate.index_errors({}) == ["missing_title", "missing_revision", "missing_format"]
-    assert validate.index_errors({"title": "t", "revision": "r", "format": 3, "isUpdatable": True, "sourceLanguage": "ZH"}) == ["update_without_urls", "bad_sourceLanguage"]
-    assert "valid: false" in validate.report({"valid": False, "errors": ["x"]})
-
-
 def whole(kind, body=b""):
     """A small whole image of a kind."""
     pixels = np.full((2, 3, 3), 7, np.uint8) + np.frombuffer(body.ljust(3, b"\0")[:3], np.uint8)
@@ -335,7 +329,7 @@ def test_schema_keywords():
 def test_containers(spark, tmp_path, options):
     rows = [(f"k\u00e9{i:03}" if i % 3 else f"漢{i}", f"r{i}\x00".encode() * (i % 5)) for i in range(257)]
     path = tmp_path / "words.mdx"
-    path.write_bytes(container.build(rows, per_block=20, **options))
+    path.write_bytes(containers.build(rows, per_block=20, **options))
     got = container.read(spark, str(path), entries_per_partition=50)
     assert got.rdd.getNumPartitions() > 3
     assert [(r["ordinal"], r["key"], bytes(r["value"])) for r in got.orderBy("ordinal").collect()] == [(i + 1, k, v) for i, (k, v) in enumerate(rows)]
@@ -347,9 +341,9 @@ def test_containers(spark, tmp_path, options):
 
 def test_empty_and_refused_containers(spark, tmp_path):
     path = tmp_path / "e.mdx"
-    path.write_bytes(container.build([]))
+    path.write_bytes(containers.build([]))
     assert container.read(spark, str(path)).count() == 0
-    path.write_bytes(container.build([("a", b"b")], Encrypted="2"))
+    path.write_bytes(containers.build([("a", b"b")], Encrypted="2"))
     with pytest.raises(ValueError, match="scrambled"):
         container.attributes(str(path))
 
@@ -359,11 +353,11 @@ def test_discovery(spark, tmp_path):
         records.discover(str(tmp_path / "no"))
     with pytest.raises(ValueError, match="one file of records"):
         records.discover(str(tmp_path))
-    (tmp_path / "a.mdx").write_bytes(container.build([("e\u0301", "x\x00".encode()), ("b", b"@@@LINK=\xc3\xa9\r\n\x00")]))
+    (tmp_path / "a.mdx").write_bytes(containers.build([("e\u0301", "x\x00".encode()), ("b", b"@@@LINK=\xc3\xa9\r\n\x00")]))
     with pytest.raises(ValueError, match="resources"):
         records.discover(str(tmp_path))
     for name in ("z.mdd", "b.mdd"):
-        (tmp_path / name).write_bytes(container.build([(f"\\\\{name}\\\\P.png", b"1")], encoding="UTF-16"))
+        (tmp_path / name).write_bytes(containers.build([(f"\\\\{name}\\\\P.png", b"1")], encoding="UTF-16"))
     (tmp_path / "s.css").write_text("x")
     found = records.discover(str(tmp_path))
     assert [p.rsplit("/", 1)[1] for p in (found.main, *found.resources, *found.styles)] == ["a.mdx", "b.mdd", "z.mdd", "s.css"]
