@@ -8,6 +8,13 @@ from pyspark.sql import functions as F
 from glyphmill.functions import text as T
 
 
+#: Everything that reading() may tell about a pronunciation.
+REASONS = (
+    "notes_extracted", "brackets_extracted", "unrecognized_brackets", "slash_alternatives", "letters_normalized", "width_letters_normalized", "em_spaces_normalized",
+    "unresolved_question_mark", "unresolved_private_use", "unresolved_missing_primary", "unresolved_metadata",
+)
+
+
 def reading(primary: Column, original: Column, has_notes: Column) -> Column:
     """STRUCT<readings, retain_source, reasons, unresolved> of a pronunciation."""
     value = T.strip(primary)

@@ -1,10 +1,17 @@
-"""Alias resolution: which canonical rows a redirect leads to, over chains and through cycles.
+"""Alias resolution: which canonical rows a redirect leads to, over chains and through cycles, and in which order.
 
 A redirect leads to all canonical rows of its target if there are any, and only otherwise on through the redirect rows
-of that headword.  The result is the least fixed point, reached by a frontier of (alias, headword) pairs: every round is
-two hash joins, pairs seen before are dropped, so cycles end by themselves, and aliases that share a target share its
-search.  The loop stops when the frontier is empty, or after max_depth rounds.  Only ids, headwords and targets are
-written and read by the rounds, whatever the sources carry.
+of that headword, in the order of their ids; what is reached twice counts where it is reached first, and a way that comes
+back to where it has been ends there.  So the canonical rows of a target come in the order of the least way to their
+headword - ways are compared as lists of the redirect rows they take, no headword twice - and of their ids.
+
+Most headwords lead to one other only, and there a way has no choice.  Such chains are shortened first, by doubling: a
+chain of n takes log n rounds over one table of pointers, and what goes round in circles is left when a round reaches
+nothing new.  What is left is a graph of the few headwords with several redirects; their least ways are found by a frontier
+that carries them, and a way that is not the least to its end is never carried on, since no least way goes through it.
+
+Only ids, headwords and redirects are written and read by the rounds, whatever the sources carry.  There is no bound on
+the length of chains.
 """
 
 from __future__ import annotations
@@ -12,41 +19,84 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from glyphmill.operators.skew import spread_join
 from glyphmill.plans.scratch import cut
 
-MAX_DEPTH, MOST_PARTS = 64, 8
+_WAY = "array<bigint>"
+
 
+def _shortened(links: DataFrame) -> DataFrame:
+    """(headword, end) of chains of links (headword, redirect): where they leave the links; circles have no end."""
+    pointers = cut(links.select("headword", F.col("redirect").alias("end")), "pointers")
+    inside = links.select(F.col("headword").alias("end"))
+    open_, n_open = pointers, -1
+    while True:
+        # A pointer to a headword that is a link itself isn't an end yet.
+        open_ = cut(open_.join(inside, "end", "left_semi"), "open")
+        n = open_.count()
+        if n in (0, n_open):  # what hasn't ended in a round never does
+            return pointers.join(open_.select("headword"), "headword", "left_anti")
+        n_open = n
+        onward = pointers.select(F.col("headword").alias("end"), F.col("end").alias("next"))
+        open_ = cut(open_.join(onward, "end").select("headword", F.col("next").alias("end")), "open")
+        pointers = cut(pointers.join(open_.select("headword"), "headword", "left_anti").unionByName(open_), "pointers")
 
-def resolve(sources: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
-    """(target, canonical_id) for every target of a redirect, from (id, headword, redirect, exclusion)."""
+
+def resolve(sources: DataFrame) -> DataFrame:
+    """(target, way, canonical_id) for every target of a redirect, from (id, headword, redirect, exclusion); the rows of a
+    target are in the order of way and canonical_id."""
     live = cut(sources.where(F.col("exclusion").isNull()).select("id", "headword", "redirect"), "live")
     canonical = live.where(F.col("redirect").isNull()).select("headword", F.col("id").alias("canonical_id"))
-    redirects = live.where(F.col("redirect").isNotNull()).select("headword", "redirect")
-    heads = canonical.select("headword").distinct()
-    open_ = cut(redirects.join(heads, "headword", "left_anti").distinct(), "open")
-    frontier = seen = cut(redirects.select(F.col("redirect").alias("target"), F.col("redirect").alias("headword")).distinct(), "frontier")
-    parts = 1
-    for _ in range(max_depth - 1):
-        step = frontier.join(open_, "headword").select("target", F.col("redirect").alias("headword")).distinct()
-        frontier = cut(step.join(seen, ["target", "headword"], "left_anti"), "frontier")
+    redirects = live.where(F.col("redirect").isNotNull())
+    heads = cut(canonical.select("headword").distinct(), "heads")
+    steps = redirects.join(heads, "headword", "left_anti").groupBy("headword", "redirect").agg(F.min("id").alias("id"))
+    steps = cut(steps, "steps")
+    several = steps.groupBy("headword").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("headword")
+    several = cut(several, "several")
+    ends = cut(_shortened(steps.join(several, "headword", "left_anti").select("headword", "redirect")), "ends")
+
+    def at_end(rows: DataFrame, name: str) -> DataFrame:
+        """rows with the headword in a column replaced by where its chain ends."""
+        far = ends.select(F.col("headword").alias(name), F.col("end").alias("_end"))
+        return rows.join(far, name, "left").withColumn(name, F.coalesce("_end", name)).drop("_end")
+
+    targets = redirects.select(F.col("redirect").alias("target")).distinct().withColumn("at", F.col("target"))
+    targets = cut(at_end(targets, "at"), "targets")
+    forks = cut(at_end(steps.join(several, "headword").withColumnRenamed("redirect", "to"), "to").groupBy("headword", "to").agg(F.min("id").alias("id")), "forks")
+
+    starts = targets.join(several.withColumnRenamed("headword", "at"), "at", "left_semi").select("at").distinct()
+    found = cut(starts.select(F.col("at").alias("start"), F.col("at").alias("headword"), F.expr(f"cast(array() as {_WAY})").alias("way"), F.array("at").alias("met")), "ways")
+    frontier = found
+    while True:
+        onward = frontier.join(forks, "headword").where(~F.array_contains("met", F.col("to")))
+        onward = onward.select("start", F.col("to").alias("headword"), F.struct(F.concat("way", F.array("id")).alias("way"), F.concat("met", F.array("to")).alias("met")).alias("new"))
+        least = onward.groupBy("start", "headword").agg(F.min("new").alias("new"))
+        before = found.select("start", "headword", F.col("way").alias("_old"))
+        better = least.join(before, ["start", "headword"], "left").where("_old is null or new.way < _old").select("start", "headword", "new.way", "new.met")
+        frontier = cut(better, "frontier")
         if frontier.isEmpty():
             break
-        seen, parts = seen.union(frontier), parts + 1
-        if parts == MOST_PARTS:  # long chains: what was seen is one table again
-            seen, parts = cut(seen, "seen"), 1
-    return seen.join(canonical, "headword").select("target", "canonical_id").distinct()
-
-
-def resolved_aliases(sources: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
-    """(alias_id, alias, canonical_id, place) for every redirect row that leads somewhere; place counts from 0 by id."""
-    pairs = resolve(sources, max_depth)
-    rows = sources.where("exclusion is null and redirect is not null").select(F.col("id").alias("alias_id"), F.col("headword").alias("alias"), F.col("redirect").alias("target"))
-    ids = pairs.groupBy("target").agg(F.sort_array(F.collect_list("canonical_id")).alias("ids"))
-    found = rows.join(ids, "target")
+        found = cut(found.join(frontier, ["start", "headword"], "left_anti").unionByName(frontier), "ways")
+
+    ways = found.select(F.col("start").alias("at"), "headword", "way")
+    straight = targets.join(several.withColumnRenamed("headword", "at"), "at", "left_anti").select("target", F.col("at").alias("headword"), F.expr(f"cast(array() as {_WAY})").alias("way"))
+    reached = straight.unionByName(targets.join(ways, "at").select("target", "headword", "way"))
+    return reached.join(canonical, "headword").select("target", "way", "canonical_id")
+
+
+def _redirects(sources: DataFrame) -> DataFrame:
+    return sources.where("exclusion is null and redirect is not null").select(F.col("id").alias("alias_id"), F.col("headword").alias("alias"), F.col("redirect").alias("target"))
+
+
+def resolved_aliases(sources: DataFrame) -> DataFrame:
+    """(alias_id, alias, canonical_id, place) for every redirect row that leads somewhere; place counts from 0."""
+    order = F.sort_array(F.collect_list(F.struct("way", "canonical_id")))
+    ids = resolve(sources).groupBy("target").agg(F.transform(order, lambda x: x["canonical_id"]).alias("ids"))
+    found = spread_join(_redirects(sources), cut(ids, "targets"), "target")
     return found.select("alias_id", "alias", F.posexplode("ids").alias("place", "canonical_id")).select("alias_id", "alias", "canonical_id", F.col("place").cast("long").alias("place"))
 
 
-def unresolved_aliases(sources: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
+def unresolved_aliases(sources: DataFrame) -> DataFrame:
     """(alias_id, alias, target) of the redirect rows that lead nowhere."""
-    rows = sources.where("exclusion is null and redirect is not null").select(F.col("id").alias("alias_id"), F.col("headword").alias("alias"), F.col("redirect").alias("target"))
-    return rows.join(resolve(sources, max_depth).select("target").distinct(), "target", "left_anti").select("alias_id", "alias", "target")
+    found = cut(resolve(sources).select("target").distinct(), "targets")
+    return spread_join(_redirects(sources), found, "target", "left_anti").select("alias_id", "alias", "target")

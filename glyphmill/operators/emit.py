@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, VariantType
 from pyspark.sql.window import Window
 
 from glyphmill.functions import readings as R
 from glyphmill.functions import text as T
 from glyphmill.operators.aliases import resolved_aliases
+from glyphmill.operators.skew import spread_join
 from glyphmill.plans.scratch import cut
 from glyphmill.sources.bundle import TERM_COLUMNS
 
@@ -71,7 +73,7 @@ def canonical_terms(found: DataFrame) -> DataFrame:
 def suppressed(alternates: DataFrame, sources: DataFrame, name: str = "alternate") -> DataFrame:
     """The alternates that no source row of any kind has as its headword."""
     heads = sources.select(F.col("headword").alias(name)).distinct()
-    return alternates.join(heads, name, "left_anti")
+    return spread_join(alternates, heads, name, "left_anti")
 
 
 def variant_terms(found: DataFrame, sources: DataFrame) -> DataFrame:
@@ -82,7 +84,7 @@ def variant_terms(found: DataFrame, sources: DataFrame) -> DataFrame:
 
 def redirect_terms(found: DataFrame, aliases: DataFrame) -> DataFrame:
     """The canonical entries of what an alias (of resolved_aliases()) leads to, under the alias."""
-    met = aliases.join(found, F.col("canonical_id") == F.col("source_id"))
+    met = spread_join(aliases.withColumnRenamed("canonical_id", "source_id"), found, "source_id").withColumnRenamed("source_id", "canonical_id")
     return met.select(F.lit(1).alias("phase"), F.col("alias_id").alias("a"), F.col("place").alias("b"), F.col("entry_index").alias("c"), *_term(F.col("alias"), F.col("reading"), F.col("canonical_id"), "redirect"))
 
 
@@ -98,14 +100,23 @@ def first_of_each(rows: DataFrame, key: str, order: tuple[str, ...]) -> DataFram
     return rows.withColumn("_rn", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where("_rn = 1").drop("_rn")
 
 
+def first_and_counts(rows: DataFrame, key: str, order: tuple[str, ...], **counts: Column) -> DataFrame:
+    """The first row of each key, with aggregates over all rows of the key; partly done before the shuffle."""
+    rest = [c for c in rows.columns if c not in (*order, key)]
+    found = rows.groupBy(key).agg(F.min(F.struct(*order, *rest)).alias("_first"), *(c.alias(name) for name, c in counts.items()))
+    return found.select(key, "_first.*", *counts)
+
+
 def global_row_number(rows: DataFrame, order: tuple[str, ...], name: str = "place") -> DataFrame:
     """rows numbered from 1 in a total order of columns of any kinds, without bringing them together: ranges of the whole
-    order are sorted and written each, and shifted by the sizes of the ranges before.  Rows that tie in the whole order
-    are spread over ranges like others, in any order."""
-    tie = F.rand(17)
-    ranged = rows.withColumn("_tie", tie).repartitionByRange(*(F.col(c) for c in order), F.col("_tie")).sortWithinPartitions(*order, "_tie")
+    order are sorted and written each, and shifted by the sizes of the ranges before.  Rows that tie in the whole order come
+    in the order of a digest of all their columns, and are spread over ranges by it; so a task that is run again, after
+    an executor was lost, gives every row the same range and place.  Rows that are equal altogether, which no place tells apart, are spread by the
+    partition that they come from."""
+    tie = F.xxhash64(*(F.to_json(F.col(f"`{f.name}`")) if isinstance(f.dataType, VariantType) else F.col(f"`{f.name}`") for f in rows.schema if not isinstance(f.dataType, MapType)))
+    ranged = rows.withColumn("_tie", tie).withColumn("_from", F.spark_partition_id()).repartitionByRange(*(F.col(c) for c in order), "_tie", "_from").sortWithinPartitions(*order, "_tie")
     # The partition's number and, in the lower 33 bits, the row's number in it.
-    ranged = cut(ranged.drop("_tie").withColumn("_at", F.monotonically_increasing_id()), "ranges")
+    ranged = cut(ranged.drop("_tie", "_from").withColumn("_at", F.monotonically_increasing_id()), "ranges")
     run = F.shiftrightunsigned("_at", 33)
     sizes = ranged.groupBy(run.alias("_run")).agg(F.count(F.lit(1)).alias("_n"))
     before = F.coalesce(F.sum("_n").over(Window.orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -120,8 +131,10 @@ def with_banks(rows: DataFrame, order: tuple[str, ...], size: int = BANK_ROWS) -
 
 
 def emit(found: DataFrame, sources: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
-    """All term rows, duplicates dropped, with place and bank_no."""
+    """All term rows, duplicates dropped, with place and bank_no; made and made_variants say how many rows, and variants
+    among them, were equal to each."""
     aliases = resolved_aliases(sources) if aliases is None else aliases
     rows = canonical_terms(found).unionByName(variant_terms(found, sources)).unionByName(redirect_terms(found, aliases))
-    rows = with_banks(first_of_each(rows.withColumn("signature", signature(F.col("glossary"))), "signature", ORDER), ORDER)
-    return rows.select(*TERM_COLUMNS, "signature", "place", "bank_no")
+    rows = rows.withColumn("signature", signature(F.col("glossary")))
+    first = first_and_counts(rows, "signature", ORDER, made=F.count(F.lit(1)), made_variants=F.count_if(F.col("term_tags") == "variant"))
+    return with_banks(first, ORDER).select(*TERM_COLUMNS, "signature", "place", "bank_no", "made", "made_variants")

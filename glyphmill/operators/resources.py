@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from glyphmill.functions import images
 from glyphmill.functions import text as T
+from glyphmill.operators.skew import spread_join
 
 # Media types kept as they are, and those that need an imaging library to become PNG.
 KEPT = (".png", ".jpg", ".jpeg", ".gif", ".webp")
@@ -23,7 +24,7 @@ def catalog(files: DataFrame) -> DataFrame:
     # One row wins for each path; should two have the same place, the one with the larger content hash.
     digest = F.sha2("content", 256)
     last = rows.groupBy("path").agg(F.max(F.struct("scan_pos", digest.alias("digest"))).alias("last")).select("path", "last.*")
-    rows = rows.withColumn("digest", digest).join(last, ["path", "scan_pos", "digest"], "left_semi").dropDuplicates(["path"]).drop("digest")
+    rows = rows.withColumn("digest", digest).join(last, ["path", "scan_pos", "digest"], "left_semi").dropDuplicates(["path", "scan_pos", "digest"]).drop("digest")
     image = F.col("ext").isin(*KEPT, *RASTERIZED)
     got = images.normalized(F.when(image, F.col("content")), F.when(image, F.col("ext")))
     rows = rows.withColumn("got", got)
@@ -57,7 +58,7 @@ def extension_counts(found: DataFrame) -> DataFrame:
 
 def resolved(references: DataFrame, mapped: DataFrame, strict: bool = True) -> DataFrame:
     """references (path, …) with output; a miss fails the query if strict, else output is null."""
-    met = references.join(mapped, "path", "left")
+    met = spread_join(references, mapped, "path", "left")
     if strict:
         missing = F.raise_error(F.concat(F.lit("missing resource: "), F.col("path"))).cast("string")
         met = met.withColumn("output", F.when(F.col("output").isNull(), missing).otherwise(F.col("output")))

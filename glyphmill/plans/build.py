@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glyphmill.functions import markup
+from glyphmill.functions import readings as R
 from glyphmill.functions import text as T
 from glyphmill.operators import classify, emit, resources, stats
 from glyphmill.operators.aliases import resolved_aliases
-from glyphmill.plans.scratch import cut
+from glyphmill.plans.scratch import cut, cut_and_counted
 from glyphmill.sources import bundle
 
 
@@ -42,6 +43,8 @@ class Run:
     found: DataFrame
     aliases: DataFrame
     terms: DataFrame
+    #: Counters that were observed while the tables were written.
+    counts: dict[str, int]
     media: DataFrame | None = None
     catalog: DataFrame | None = None
     scanned: DataFrame | None = None
@@ -76,8 +79,9 @@ def build(records: DataFrame, rules: DataFrame | None = None, edition_: str = "f
     and statistics all read them.
     """
     edition(edition_)
-    classified = classify.classify(records)
-    sources = cut(classified.drop("raw"), "sources")
+    classified, kind = classify.classify(records), F.col("kind")
+    of_kind = {f"{k}_records": F.count_if(kind == k) for k in ("excluded", "redirect", "canonical")}
+    sources, counts = cut_and_counted(classified.drop("raw"), "sources", input_records=F.count(F.lit(1)), **of_kind)
     canonical = classified.where("kind = 'canonical'").select("id", "headword", "raw")
     if rules is not None:
         canonical = classify.correct(canonical, rules)
@@ -87,32 +91,24 @@ def build(records: DataFrame, rules: DataFrame | None = None, edition_: str = "f
         catalog = cut(resources.catalog(files), "catalog")
         found, refs = with_images(found, resources.resource_map(catalog))
         media = resources.used_blobs(catalog, refs).select(F.col("output").alias("name"), "content")
-    found = cut(found, "found")
-    aliases = cut(resolved_aliases(sources), "aliases")
-    return Run(sources, parsed, found, aliases, cut(emit.emit(found, sources, aliases), "terms"), media, catalog, files)
+    block = F.col("reading_no") == 0
+    lost = ~F.col("generic") & ~F.col("plain") & (F.size("readings") == 1) & (F.element_at("readings", 1) == "")
+    reasons = {reason: F.count_if(block & F.col("has_pron") & F.array_contains("reasons", reason)) for reason in R.REASONS}
+    found, seen = cut_and_counted(found, "found", source_pronunciation_blocks=F.count_if(block & F.col("has_pron")), missing_readings=F.count_if(block & lost), **reasons)
+    aliases, led = cut_and_counted(resolved_aliases(sources), "aliases", resolved_redirects=F.count_if(F.col("place") == 0))
+    terms, emitted = cut_and_counted(emit.emit(found, sources, aliases), "terms", emitted_terms=F.count(F.lit(1)), made=F.sum("made"), generated_source_variants=F.sum("made_variants"))
+    counts |= seen | led | emitted
+    # What is left out as equal to an earlier row: all that was made, less what is emitted.
+    counts["deduplicated_terms"] = counts.pop("made") - counts["emitted_terms"]
+    counts["unresolved_redirects"] = counts["redirect_records"] - counts["resolved_redirects"]
+    return Run(sources, parsed, found, aliases, terms, counts, media, catalog, files)
 
 
 def statistics(run: Run) -> DataFrame:
-    """(name, n) of every counter of a run that isn't zero."""
-    s, kind = run.sources, F.col("kind")
+    """(name, n) of every counter of a run that isn't zero.  Most were observed while the run was written; of the rest,
+    those of markup are sums over what each record says of itself."""
     one = lambda name, rows: rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
-    blocks = run.found.where("reading_no = 0")
-    variants = emit.variant_terms(run.found, s)
-    redirects = run.aliases.join(run.found.select("source_id"), F.col("canonical_id") == F.col("source_id"))
-    made = run.found.select(F.lit(1)).union(variants.select(F.lit(1))).union(redirects.select(F.lit(1)))
-    parts = [
-        stats.counters(s, input_records=F.lit(True), excluded_records=kind == "excluded", redirect_records=kind == "redirect", canonical_records=kind == "canonical"),
-        stats.events(run.parsed),
-        stats.counters(blocks, source_pronunciation_blocks=F.col("has_pron"), missing_readings=~F.col("generic") & ~F.col("plain") & (F.size("readings") == 1) & (F.element_at("readings", 1) == "")),
-        stats.count_each(blocks.where("has_pron"), "reasons", "name"),
-        one("generated_source_variants", variants),
-        one("resolved_redirects", run.aliases.select("alias_id").distinct()),
-        one("unresolved_redirects", s.where("kind = 'redirect'").join(run.aliases.select(F.col("alias_id").alias("id")), "id", "left_anti")),
-        one("emitted_terms", run.terms),
-        # What is left out as equal to an earlier row: all that was made, less what is emitted.
-        one("deduplicated_terms", made),
-        one("deduplicated_terms", run.terms).withColumn("n", -F.col("n")),
-    ]
+    parts = [run.sources.sparkSession.createDataFrame(list(run.counts.items()), "name string, n long"), stats.events(run.parsed)]
     if "corrections" in run.parsed.columns:
         parts.append(run.parsed.agg(F.sum("corrections").alias("n")).select(F.lit("corrections").alias("name"), "n"))
     if run.catalog is not None:
@@ -138,7 +134,7 @@ def report(run: Run, edition_: str = "full") -> dict:
         "exclusions": dict(sorted(one(stats.count_by(run.sources.where("exclusion is not null"), "exclusion")).items())),
         "unknown_tags": one(unknown),
         "resource_extensions": dict(sorted(one(resources.extension_counts(run.catalog)).items())) if run.catalog is not None else {},
-        "reading_diagnostics": {"counts": dict(sorted(one(stats.count_each(run.found.where("reading_no = 0 and has_pron"), "reasons", "reason")).items())), "samples": samples, "sample_limit_per_reason": 25},
+        "reading_diagnostics": {"counts": {k: run.counts[k] for k in sorted(R.REASONS) if run.counts[k]}, "samples": samples, "sample_limit_per_reason": 25},
         "missing_reading_samples": first(run.found.where("reading_no = 0 and not generic and not plain and reading = ''")),
         "unresolved_pua_samples": first(run.found.where("reading_no = 0 and private_use")),
         "unresolved_redirect_samples": first(lost.select(F.concat_ws(" -> ", "headword", "redirect").alias("expression"), F.col("id").alias("source_id"))),

@@ -66,11 +66,11 @@ sources AS (
 _ALIASES = f"""WITH RECURSIVE {_SOURCES},
 canonical AS (SELECT id, headword FROM sources WHERE redirect IS NULL AND exclusion IS NULL),
 redirects AS (SELECT id, headword, redirect FROM sources WHERE redirect IS NOT NULL AND exclusion IS NULL),
-open_redirects AS (SELECT DISTINCT headword, redirect FROM redirects WHERE headword NOT IN (SELECT headword FROM canonical)),
-walk(target, headword) AS (
-  SELECT DISTINCT redirect, redirect FROM redirects
-  UNION SELECT w.target, o.redirect FROM walk w JOIN open_redirects o ON w.headword = o.headword),
-pairs AS (SELECT DISTINCT target, c.id AS canonical_id FROM walk w JOIN canonical c ON w.headword = c.headword)"""
+open_redirects AS (SELECT id, headword, redirect FROM redirects WHERE headword NOT IN (SELECT headword FROM canonical)),
+walk(target, headword, way, met) AS (
+  SELECT DISTINCT redirect, redirect, CAST([] AS BIGINT[]), [redirect] FROM redirects
+  UNION ALL SELECT w.target, o.redirect, list_append(w.way, o.id), list_append(w.met, o.redirect) FROM walk w JOIN open_redirects o ON w.headword = o.headword WHERE NOT list_contains(w.met, o.redirect)),
+pairs AS (SELECT target, c.id AS canonical_id, min(way) AS way FROM walk w JOIN canonical c ON w.headword = c.headword GROUP BY ALL)"""
 
 
 def _sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,7 +83,7 @@ def classify_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("kind", F.coalesce("exclusion", F.lit("")).alias("exclusion")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@_query("resolve_aliases", f"{_ALIASES} SELECT r.id AS alias_id, r.headword AS alias, canonical_id, row_number() OVER (PARTITION BY r.id ORDER BY canonical_id) - 1 AS place FROM redirects r JOIN pairs p ON r.redirect = p.target")
+@_query("resolve_aliases", f"{_ALIASES} SELECT r.id AS alias_id, r.headword AS alias, canonical_id, row_number() OVER (PARTITION BY r.id ORDER BY way, canonical_id) - 1 AS place FROM redirects r JOIN pairs p ON r.redirect = p.target")
 def resolve_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aliases.resolved_aliases(_sources(spark, sf_dir).drop("raw"))
 
@@ -108,7 +108,7 @@ alternates AS (
 rows AS (
   SELECT 0 AS phase, source_id AS a, 0 AS b, 0 AS c, expression, source_id AS sequence, '' AS term_tags FROM found
   UNION ALL SELECT 0, source_id, 0, c, alternate, source_id, 'variant' FROM alternates WHERE alternate NOT IN (SELECT headword FROM sources)
-  UNION ALL SELECT 1, r.id, p.canonical_id, 0, r.headword, p.canonical_id, 'redirect' FROM redirects r JOIN pairs p ON r.redirect = p.target),
+  UNION ALL SELECT 1, r.id, row_number() OVER (PARTITION BY r.id ORDER BY way, canonical_id) - 1, 0, r.headword, p.canonical_id, 'redirect' FROM redirects r JOIN pairs p ON r.redirect = p.target),
 firsts AS (SELECT *, row_number() OVER (PARTITION BY expression, sequence, term_tags ORDER BY phase, a, b, c) AS k FROM rows),
 numbered AS (SELECT *, row_number() OVER (ORDER BY phase, a, b, c) AS place FROM firsts WHERE k = 1)"""
 

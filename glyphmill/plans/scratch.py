@@ -7,7 +7,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _own: list[str] = []
 _apps: set[str] = set()
@@ -47,3 +47,11 @@ def cut(df: DataFrame, tag: str) -> DataFrame:
     path = scratch_path(df.sparkSession, tag)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def cut_and_counted(df: DataFrame, tag: str, **metrics: Column) -> tuple[DataFrame, dict[str, int]]:
+    """cut(), and aggregates over all rows that are observed while they are written, without a pass of their own.  They are
+    taken in the tasks that write, of which each counts once, however often executors are lost; nulls count as 0."""
+    seen = Observation(tag)
+    out = cut(df.observe(seen, *(m.alias(name) for name, m in metrics.items())), tag)
+    return out, {name: n or 0 for name, n in seen.get.items()}

@@ -77,13 +77,6 @@ def test_alias_graph(spark):
     assert {r["alias"] for r in aliases.unresolved_aliases(rows).collect()} == {"甲", "乙"}
 
 
-@pytest.mark.parametrize("tail_first", [True, False])
-def test_long_chain_stops_at_the_depth(spark, tail_first):
-    n = 80
-    rows = [(i if tail_first else n - i, f"h{i}", f"h{i - 1}" if i else None, None) for i in range(n)]
-    assert aliases.resolved_aliases(spark.createDataFrame(rows, SOURCES)).count() == 64
-
-
 def test_classification(spark):
     rows = [(1, "a", "@@@LINK= 漢 \r\n\x00"), (2, "b", "<hdcs>x</hdcs>"), (3, "x9", "<UL><li>n</li></UL>"), (4, "x12", "@@@LINK=x34"), (5, "汉", "@@@LINK=漢"), (6, "c", '<ul class="entry-id">'), (7, "d", "@@@LINK=")]
     got = {r["id"]: (r["kind"], r["redirect"], r["exclusion"]) for r in classify.classify(spark.createDataFrame(rows, "ordinal long, headword string, raw string")).collect()}
