@@ -10,6 +10,8 @@ NON_ASCII = r"[^\x00-\x7F]"
 # Look-alike letters and the blank that readings are written with, and what they stand for.
 LOOKALIKES, PLAIN = "ɡɑｅｋ\u2003", "gaek "
 # The characters of a clean reading after decomposition.
+#: Phonetic symbols, as ranges of a character class.
+BOPOMOFO = "\u3100-\u312f\u31a0-\u31bf"
 READING_CLASS = "A-Za-z ,，､、'’\\-\u0300\u0301\u0302\u0304\u0308\u030c"
 # Elements that make a text look executable, beside event handlers.
 EXECUTABLE = ("script", "iframe", "object", "embed", "form", "audio", "video")
@@ -76,7 +78,7 @@ def split_alternatives(c: Column) -> Column:
 
 
 def before_bopomofo(c: Column) -> Column:
-    return F.element_at(F.split(c, "[\u3100-\u312f\u31a0-\u31bf]", 2), 1)
+    return F.element_at(F.split(c, f"[{BOPOMOFO}]", 2), 1)
 
 
 def bracket_tiles(c: Column) -> Column:
@@ -142,8 +144,8 @@ def content_name(content: Column, ext: Column) -> Column:
 
 
 def canonical_json(c: Column) -> Column:
-    """JSON text with sorted keys, compact."""
-    return F.to_json(F.parse_json(c))
+    """JSON text with sorted keys, compact; null for what isn't JSON."""
+    return F.to_json(F.try_parse_json(c))
 
 
 def codepoint_label(c: Column) -> Column:

@@ -61,51 +61,77 @@ def edition_parity(full: DataFrame, light: DataFrame) -> DataFrame:
     return multiset_difference(full, light, columns)
 
 
-#: A pronunciation in a record's text; a note in it, and one within another.
-PRON = r"(?s)(<pron\b[^>]*>.*?</pron>)"
-NOTE = r"(?s)<duyin\b[^>]*>((?:(?!</?duyin\b).)*)</duyin>"
-INNER = r"(?s)(<duyin\b[^>]*>(?:(?!</duyin>).)*?)<duyin\b[^>]*>((?:(?!</?duyin\b).)*)</duyin>"
+#: A pronunciation in a record's text; what it's made of.
+PRON = r"(?s)<pron\b[^>]*>(.*?)</pron>"
+TOKEN = r"(?s)<[^>]*>|[^<]+"
+# What stands for a character in markup, and the words by which the source says that a reading is unknown.
 ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", "\u00a0"), ("&amp;", "&"))
-#: Marks of a reading that can't be told from the source.
 UNKNOWN = "音未详"
+#: Letters of the source by which the older bundles wrote others, and what they stand for.
+OLDER = dict(list(zip(T.LOOKALIKES, T.PLAIN, strict=True))[:2])
 
 
-def _bare(markup: Column) -> Column:
-    """The text of a stretch of markup."""
-    out = F.regexp_replace(markup, "<[^>]*>", "")
+def _shown(text: Column) -> Column:
+    """Text as it is shown: what stands for characters replaced."""
     for was, now in ENTITIES:
-        out = F.replace(out, F.lit(was), F.lit(now))
-    return out
+        text = F.replace(text, F.lit(was), F.lit(now))
+    return text
 
 
 def _old(text: Column) -> Column:
     """A reading as the older bundles wrote it."""
-    return T.strip(T.nfc(F.translate(text, "ɡɑ", "ga")))
+    return T.strip(T.nfc(F.translate(text, "".join(OLDER), "".join(OLDER.values()))))
+
+
+def pronunciation_parts(markup: Column) -> Column:
+    """STRUCT<original, primary, notes> of a pronunciation's markup: all its text; its text without notes and the comma and
+    white space before each; the text of each outermost note.
+
+    One fold over tags and texts with the number of notes that are open, so notes may nest at will.  A note that isn't
+    closed ends with the pronunciation, and an end without a beginning says nothing.
+    """
+    text = F.lit("").cast("string")
+    # done: text up to the last note, for good; tail: text since then, which may end in a note's comma.
+    start = F.struct(F.lit(0).alias("open"), text.alias("all"), text.alias("done"), text.alias("tail"), text.alias("note"), F.array().cast("array<string>").alias("notes"))
+
+    def step(s: Column, token: Column) -> Column:
+        said = F.when(token.startswith("<"), F.lit("")).otherwise(_shown(token))
+        begins, ends = token.rlike(r"(?i)^<duyin\b"), token.rlike(r"(?i)^</duyin\b") & (s["open"] > 0)
+        outside = s["open"] == 0
+        first, last = begins & outside, ends & (s["open"] == 1)
+        return F.struct(
+            (s["open"] + F.when(begins, 1).when(ends, -1).otherwise(0)).alias("open"),
+            F.concat(s["all"], said).alias("all"),
+            F.when(first, F.concat(s["done"], F.regexp_replace(s["tail"], r"(?U)[,，]?\s*$", ""))).otherwise(s["done"]).alias("done"),
+            F.when(first, F.lit("")).when(outside, F.concat(s["tail"], said)).otherwise(s["tail"]).alias("tail"),
+            F.when(first, F.lit("")).when(~outside, F.concat(s["note"], said)).otherwise(s["note"]).alias("note"),
+            F.when(last, F.concat(s["notes"], F.array(s["note"]))).otherwise(s["notes"]).alias("notes"),
+        )
+
+    def finish(s: Column) -> Column:
+        notes = F.when(s["open"] > 0, F.concat(s["notes"], F.array(s["note"]))).otherwise(s["notes"])
+        return F.struct(s["all"].alias("original"), F.concat(s["done"], s["tail"]).alias("primary"), notes.alias("notes"))
+
+    return F.aggregate(F.regexp_extract_all(markup, F.lit(TOKEN), F.lit(0)), start, step, finish)
 
 
 def expected_readings(records: DataFrame) -> DataFrame:
     """(sequence, reading, readings, kind, told): which readings the old reading of a record has become, and what has to
     be told about it: kind original (its text) or notes (theirs, joined), null for nothing.  From (ordinal, raw)."""
     found = records.where(F.col("raw").contains("<pron")).select(F.col("ordinal").alias("sequence"), F.explode(F.regexp_extract_all(T.drop_nul(F.col("raw")), F.lit(PRON), F.lit(1))).alias("m"))
-    found = found.withColumn("original", _bare(F.col("m")))
-    flat = F.col("m")
-    for _ in range(4):  # notes within notes are part of the outer one
-        flat = F.regexp_replace(flat, INNER, "$1$2")
-    found = found.withColumn("flat", flat)
-    notes = F.transform(F.regexp_extract_all("flat", F.lit(NOTE), F.lit(1)), lambda x: T.strip(_bare(x)))
-    primary = T.strip(_bare(F.regexp_replace("flat", r"(?U)[,，]?\s*" + NOTE.removeprefix("(?s)").join(("(?s:", ")")), "")))
-    found = found.select("sequence", "original", notes.alias("notes"), primary.alias("primary"))
-    bracketed = F.col("primary").rlike(r"^[［\[]")
-    inside = F.element_at(F.split(F.substring("primary", 2, 1 << 30), r"[］\]]", 2), 1)
-    inside = T.strip(F.element_at(F.split(inside, "[\u3100-\u312f\u31a0-\u31bf]", 2), 1))
-    found = found.withColumn("bracketed", bracketed).withColumn("value", F.when(bracketed, inside).otherwise(F.col("primary")))
-    clean = lambda x: T.strip(T.nfc(F.translate(_old(x), "ｅｋ\u2003", "ek ")))
+    found = found.select("sequence", pronunciation_parts(F.col("m")).alias("p")).select("sequence", "p.original", F.transform("p.notes", lambda x: T.strip(T.nfc(x))).alias("notes"), T.strip(F.col("p.primary")).alias("primary"))
+    # A pronunciation in brackets: what its first ones hold, up to the phonetic symbols.
+    bracketed = F.left("primary", F.lit(1)).isin("［", "[")
+    inside = F.regexp_extract("primary", r"(?s)^.([^］\]]*)", 1)
+    value = F.when(bracketed, T.before_bopomofo(inside)).otherwise(F.col("primary"))
+    found = found.withColumn("bracketed", bracketed).withColumn("value", value)
+    clean = lambda x: T.strip(T.nfc(F.translate(_old(x), T.LOOKALIKES, T.PLAIN)))
     found = found.withColumn("each", F.transform(F.split("value", "/", -1), clean))
-    unsure = lambda x: (x == "") | x.contains("?") | x.rlike(r"\p{Co}") | x.contains(UNKNOWN)
+    unsure = lambda x: (x == "") | x.contains("?") | T.has_private_use(x) | x.contains(UNKNOWN)
     good = F.array_distinct(F.filter("each", lambda x: ~unsure(x)))
     unresolved = F.exists("each", unsure) & (T.strip(F.col("original")) != "")
     kind = F.when(F.col("bracketed") | unresolved, "original").when(F.size("notes") > 0, "notes")
-    told = F.when(kind == "original", T.strip(T.nfc(F.col("original")))).when(kind == "notes", F.array_join(F.transform("notes", T.nfc), "；"))
+    told = F.when(kind == "original", T.strip(T.nfc(F.col("original")))).when(kind == "notes", F.array_join("notes", "；"))
     return found.select("sequence", _old(F.col("original")).alias("reading"), F.when(F.size(good) > 0, good).otherwise(F.array(F.lit(""))).alias("readings"), kind.alias("kind"), told.alias("told"))
 
 
@@ -116,6 +142,8 @@ def told_apart(changes: DataFrame) -> DataFrame:
     return listed.withColumn("one", F.when(F.size("all") > 1, wrong.cast("array<string>")).otherwise(F.array(F.lit("")))).where(F.size("one") == 1).select("sequence", "reading", F.explode("all").alias("x")).select("sequence", "reading", "x.*")
 
 
+#: What no reading has after the clean-up: letters of the source, marks of alternatives, doubt and asides, phonetic symbols.
+NOT_IN_READINGS = f"[{T.LOOKALIKES}/？?（）()" + r"［］\[\]" + f"{T.BOPOMOFO}]"
 METADATA, HEADER = "reading-metadata", "header"
 ROW = "sequence bigint, expression string, reading string, rest string, told array<string>"
 
@@ -157,7 +185,7 @@ def cleanup_differences(old: DataFrame, new: DataFrame, changes: DataFrame) -> t
     problem = (
         F.when(F.col("s").isNull(), "missing_row").when(F.col("sequence").isNull(), "unexpected_row")
         .when(told != F.col("kind_").isNotNull(), "metadata_presence").when(told & (F.size("found") > 1), "metadata_repeated").when(told & ~right, "metadata_text")
-        .when(F.col("r").rlike("[ɡɑｅｋ\u2003/？?［］\\[\\]（）()\u3100-\u312f\u31a0-\u31bf]") | T.has_private_use(F.col("r")), "reading_not_clean")
+        .when(F.col("r").rlike(NOT_IN_READINGS) | T.has_private_use(F.col("r")), "reading_not_clean")
     )
     columns = [F.coalesce(a, b).alias(a) for a, b in (("sequence", "s"), ("expression", "e"), ("reading", "r"))]
     different = met.withColumn("problem", problem).where("problem is not null").select("problem", *columns)

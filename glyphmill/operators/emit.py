@@ -89,8 +89,9 @@ def redirect_terms(found: DataFrame, aliases: DataFrame) -> DataFrame:
 
 
 def signature(glossary_json: Column) -> Column:
-    """SHA-256 of a term row in canonical form, with what the light edition left out."""
-    slots = [*(_json(F.col(c)) for c in ("expression", "reading", "definition_tags", "rules")), F.col("score").cast("string"), T.canonical_json(glossary_json), F.col("sequence").cast("string"), _json(F.col("term_tags"))]
+    """SHA-256 of a term row in canonical form, with what the light edition left out.  A glossary that isn't JSON counts as
+    its text."""
+    slots = [*(_json(F.col(c)) for c in ("expression", "reading", "definition_tags", "rules")), F.col("score").cast("string"), F.coalesce(T.canonical_json(glossary_json), _json(glossary_json), F.lit("null")), F.col("sequence").cast("string"), _json(F.col("term_tags"))]
     plain = F.sha2(F.concat(F.lit("["), F.concat_ws(",", *slots), F.lit("]")), 256)
     return F.when(F.col("omitted_content_id") != "", F.sha2(F.concat(F.unhex(plain), F.encode("omitted_content_id", "utf-8")), 256)).otherwise(plain)
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -19,7 +19,7 @@ from glyphmill.functions import text as T
 from glyphmill.operators import aliases, classify, compare, emit, resources, stats, tree, validate
 from glyphmill.plans import build
 from glyphmill.plans.scratch import cut, scratch_path
-from glyphmill.sources import archive, bundle
+from glyphmill.sources import archive, bundle, records
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -138,10 +138,12 @@ def dedupe_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return emit.first_of_each(docs, "signature", ("doc_id",)).select("signature", "doc_id")
 
 
-@_query("duplicates_suppressed", "SELECT count(*) AS rows, count(DISTINCT sha256(text)) AS kept, count(*) - count(DISTINCT sha256(text)) AS suppressed FROM documents")
+@_query("duplicates_suppressed", "SELECT sha256(text) AS signature, min(doc_id) AS first, count(*) - 1 AS suppressed, count(*) FILTER (lang = 'en') AS english FROM documents GROUP BY text")
 def duplicates_suppressed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents").groupBy(F.sha2("text", 256).alias("s")).agg(F.count(F.lit(1)).alias("n"))
-    return docs.agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("kept"), (F.sum("n") - F.count(F.lit(1))).alias("suppressed"))
+    """Which row of each text stays, and how many it stands for."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "lang", F.sha2("text", 256).alias("signature"))
+    found = emit.first_and_counts(docs, "signature", ("doc_id",), made=F.count(F.lit(1)), english=F.count_if(F.col("lang") == "en"))
+    return found.select("signature", F.col("doc_id").alias("first"), (F.col("made") - 1).alias("suppressed"), "english")
 
 
 _LINES = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice")
@@ -437,10 +439,14 @@ def unsafe_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return names.select("page_id", T.is_unsafe_path(F.col("name")).alias("unsafe"))
 
 
-@_query("percent_decode", "SELECT doc_id, sha256(text) AS digest FROM documents")
+# Texts with escapes: of letters, in either case, of parts of characters that don't belong together, and cut ones.
+_ESCAPED = "SELECT doc_id, replace(replace(replace(replace(replace(replace(text, '%', '+'), 'a', '%61'), 'ü', '%c3%BC'), 'o', '%C3'), 's', '%zz'), '.', '%4;') || '%' AS text FROM documents"
+
+
+@_query("percent_decode", "SELECT doc_id, sha256(replace(replace(replace(replace(text, '%', '+'), 'o', '\ufffd'), 's', '%zz'), '.', '%4;') || '%') AS digest FROM documents")
 def percent_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Texts survive being encoded and decoded."""
-    return _table(spark, sf_dir, "documents").select("doc_id", F.sha2(T.url_unquote(T.url_quote(F.col("text"))), 256).alias("digest"))
+    """Escapes are undone, what makes no character is marked, and what is no escape stays."""
+    return _made(spark, sf_dir, _ESCAPED, "documents").select("doc_id", F.sha2(T.url_unquote(F.col("text")), 256).alias("digest"))
 
 
 @_query("note_comma", "SELECT doc_id, sha256(rtrim_comma) AS digest FROM (SELECT doc_id, CASE WHEN regexp_matches(t, '[,，]$') THEN left(t, length(t) - 1) ELSE v END AS rtrim_comma FROM (SELECT doc_id, v, regexp_replace(v, '\\s+$', '') AS t FROM (SELECT doc_id, replace(text, '.', ',') || CASE WHEN doc_id % 2 = 0 THEN ' ' ELSE 'x' END AS v FROM documents)))")
@@ -470,17 +476,17 @@ def json_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nodes.json_table(_made(spark, sf_dir, _NESTED, "events"), "event_id", "text").select("event_id", "path", "kind", "text")
 
 
-@_query("canonical_json_signature", "SELECT event_id, sha256('{\"a\":[1,\"é\"],\"t\":\"' || event_type || '\",\"z\":{\"b\":null,\"k\":' || user_id || '}}') AS signature FROM events")
+@_query("canonical_json_signature", "SELECT event_id, CASE WHEN event_id % 50 = 0 THEN 'not json' ELSE sha256('{\"a\":[1,\"é\"],\"t\":\"' || event_type || '\",\"z\":{\"b\":null,\"k\":' || user_id || '}}') END AS signature FROM events")
 def canonical_json_signature(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.concat(F.lit('{ "z": {"k": '), "user_id", F.lit(', "b": null}, "t": "'), "event_type", F.lit('", "a": [1, "é"] }'))
-    return _table(spark, sf_dir, "events").select("event_id", F.sha2(T.canonical_json(text), 256).alias("signature"))
+    text = F.when(F.col("event_id") % 50 == 0, F.concat(F.lit("{"), text)).otherwise(text)
+    return _table(spark, sf_dir, "events").select("event_id", F.coalesce(F.sha2(T.canonical_json(text), 256), F.lit("not json")).alias("signature"))
 
 
 # Term rows out of conversations.  Their texts go into the glossary as they are; what is wrong with a row goes by its
 # number, by its texts' own characters and lengths.
 _Q = "replace(replace(replace(replace(text, chr(92), chr(92) || chr(92)), chr(34), chr(92) || chr(34)), chr(10), chr(92) || 'n'), chr(9), chr(92) || 't')"
-_WORD = "split_part(replace(text, chr(10), ' '), ' ', 1)"
-ROWS = f"""SELECT conv_id * 100 + turn AS place, '["' || role || '",' || CASE WHEN length(text) % 7 = 0 THEN CAST(turn AS STRING) ELSE chr(34) || {_WORD} || chr(34) END || ',"","",0,' ||
+ROWS = f"""SELECT conv_id * 100 + turn AS place, '["' || role || '",' || CASE WHEN length(text) % 7 = 0 THEN CAST(turn AS STRING) ELSE chr(34) || {_Q} || chr(34) END || ',"","",0,' ||
   CASE length(text) % 5 WHEN 0 THEN '{{"x":1}}' WHEN 1 THEN '["' || {_Q} || '"]' ELSE
   '[{{"type":"structured-content","content":{{"tag":"' || CASE WHEN length(text) % 3 = 0 THEN 'div' ELSE 'span' END || '","data":{{"content":"record-entry"}},"lang":"' || CASE WHEN turn % 4 = 0 THEN 'zh' ELSE 'zh-Hans' END ||
   '","content":["' || {_Q} || '",{{"tag":"a","href":"' || CASE WHEN turn % 3 = 0 THEN '?query=' ELSE 'http://' END || role || '","content":"<' || CASE WHEN turn % 5 = 0 THEN 'form' ELSE 'from' END || '>"}},{{"tag":"td","colSpan":' || CAST(turn % 2 AS STRING) ||
@@ -691,15 +697,19 @@ def members_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare.by_name(left, right)
 
 
-@_query("inventory", "SELECT doc_id, CAST(strlen(text) AS BIGINT) AS size, sha256(text) AS sha256 FROM documents")
+@_query("inventory", "SELECT lang || '.txt' AS name, CAST(sum(strlen(text) + 1) AS BIGINT) AS size, sha256(string_agg(text || chr(10), '' ORDER BY doc_id)) AS sha256 FROM (SELECT doc_id, lang, replace(replace(text, chr(10), ' '), chr(13), ' ') AS text FROM documents) GROUP BY lang")
 def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = F.encode("text", "utf-8")
-    return _table(spark, sf_dir, "documents").select("doc_id", F.octet_length(raw).cast("long").alias("size"), F.sha2(raw, 256).alias("sha256"))
+    """Sizes and digests of files: the texts of each language, a line each, that are written first."""
+    lines = _table(spark, sf_dir, "documents").select("doc_id", "lang", F.translate("text", "\n\r", "  ").alias("text"))
+    folder = scratch_path(spark, "files")
+    lines.repartition("lang").sortWithinPartitions("lang", "doc_id").select("lang", "text").write.partitionBy("lang").text(folder)
+    found = records.inventory(spark, folder, "part-*.txt", within=True)
+    return found.select(F.concat(F.regexp_extract("folder", "lang=(.*)", 1), F.lit(".txt")).alias("name"), "size", "sha256")
 
 
-# Pronunciations out of the first words of each line of each document: alternatives, brackets, look-alikes, question marks.
+# Pronunciations out of both halves of each line of each document: alternatives, brackets, look-alikes, question marks.
 _PRON = """SELECT doc_id, line, CASE length(a) % 6 WHEN 0 THEN a || '/' || b WHEN 1 THEN '［' || a || 'ㄒㄧㄡ］［' || b || '］' WHEN 2 THEN '［' || a || '］' || b WHEN 3 THEN translate(a, 'ae', 'ɑｅ') || '/' || a || '/' WHEN 4 THEN a || CASE WHEN length(b) % 2 = 0 THEN ' ?' ELSE b END ELSE ' ' END AS original
-FROM (SELECT doc_id, line, split_part(text, ' ', 1) AS a, split_part(text, ' ', 2) AS b FROM lines)"""
+FROM (SELECT doc_id, line, left(text, CAST((length(text) - length(text) % 2) / 2 AS INT)) AS a, substr(text, CAST((length(text) - length(text) % 2) / 2 AS INT) + 1) AS b FROM lines)"""
 _READ = f"""WITH lines AS (SELECT doc_id, generate_subscripts(l, 1) AS line, unnest(l) AS text FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)), p AS ({_PRON}),
 v AS (SELECT *, trim(original) AS value FROM p),
 c AS (SELECT *, starts_with(value, '［') AS bracketed, starts_with(value, '［') AND regexp_full_match(value, '(［[^［］]*］|\\[[^\\[\\]]*\\]|\\s)+') AS tiled FROM v),
@@ -781,10 +791,13 @@ def build_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build.statistics(build.build(_made(spark, sf_dir, MARKED, "conversations"), edition_="light"))
 
 
-# Records with pronunciations that the older bundles had as they were, and term rows of both bundles.
+# Records with pronunciations, out of both halves of each text, that the older bundles had as they were; term rows of both.
+_BARE = "replace(replace(replace(text, chr(10), ' '), '.', ''), ',', '')"
+_HALF = f"CAST((length({_BARE}) - length({_BARE}) % 2) / 2 AS INT)"
+_HALVES = (f"trim(left({_BARE}, {_HALF}))", f"trim(substr({_BARE}, {_HALF} + 1))")
 _SPOKEN = """SELECT conv_id * 100 + turn AS ordinal, 'h' || CAST(conv_id AS STRING) AS headword, '<hdc><pron>' || CASE turn % 5 WHEN 0 THEN a || '/' || b WHEN 1 THEN a || '，<duyin>' || b || '</duyin>' WHEN 2 THEN '［' || a || 'ㄒㄧㄡ］［' || b || '］' WHEN 3 THEN a || ' ?' ELSE translate(a, 'ae', 'ɑｅ') || '/' || a END || '</pron><i>' || a || '</i></hdc>' AS raw
-FROM (SELECT *, regexp_replace(split_part(replace(text, chr(10), ' '), ' ', 1), '[.,]', '') AS a, regexp_replace(split_part(replace(text, chr(10), ' '), ' ', 2), '[.,]', '') AS b FROM conversations)"""
-_BECAME = f"""s AS (SELECT conv_id * 100 + turn AS sequence, turn % 5 AS k, nfc_normalize(regexp_replace(split_part(replace(text, chr(10), ' '), ' ', 1), '[.,]', '')) AS a, nfc_normalize(regexp_replace(split_part(replace(text, chr(10), ' '), ' ', 2), '[.,]', '')) AS b FROM conversations),
+FROM (SELECT *, HALF1 AS a, HALF2 AS b FROM conversations)""".replace("HALF1", _HALVES[0]).replace("HALF2", _HALVES[1])
+_BECAME = f"""s AS (SELECT conv_id * 100 + turn AS sequence, turn % 5 AS k, nfc_normalize({_HALVES[0]}) AS a, nfc_normalize({_HALVES[1]}) AS b FROM conversations),
 q AS (SELECT *, CASE k WHEN 0 THEN a || '/' || b WHEN 1 THEN a || '，' || b WHEN 2 THEN '［' || a || 'ㄒㄧㄡ］［' || b || '］' WHEN 3 THEN a || ' ?' ELSE replace(a, 'e', 'ｅ') || '/' || a END AS reading FROM s),
 r AS (SELECT *, CASE WHEN k = 0 AND a <> b AND a <> '' AND b <> '' THEN a || ';' || b WHEN k = 0 AND a = '' THEN b WHEN k = 3 THEN '' ELSE a END AS readings,
   CASE WHEN k IN (2, 3) OR a = '' OR k = 0 AND b = '' THEN 'original' WHEN k = 1 THEN 'notes' END AS kind FROM q)"""
@@ -796,13 +809,23 @@ def expected_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("sequence", "reading", F.array_join("readings", ";").alias("readings"), F.coalesce("kind", F.lit("")).alias("kind"), F.coalesce("told", F.lit("")).alias("told"))
 
 
+def _row(reading: str | Column, told: Column, rest: Column) -> Column:
+    """The JSON text of a term row, with what is told about its reading, if anything, in a header."""
+    said = F.concat(F.lit('{"tag":"div","data":{"content":"reading-metadata"},"content":["'), told, F.lit('"]}'))
+    header = F.concat(F.lit('{"tag":"div","data":{"content":"header"},"content":['), said, F.lit("]},"))
+    content = F.concat(F.coalesce(header, F.lit("")), F.lit('{"tag":"li","content":["'), rest, F.lit('"]}'))
+    return F.concat(F.lit('["e","'), reading, F.lit('","","",0,[{"type":"structured-content","content":{"tag":"span","content":['), content, F.lit("]}}],"), F.col("sequence"), F.lit(',""]')).alias("row")
+
+
 def _compared(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Split rows before and after: some of the later ones are lost, some changed, some say too little."""
-    changes = compare.expected_readings(_made(spark, sf_dir, _SPOKEN, "conversations"))
+    """Term rows before and after: some of the later ones are lost, some changed, some say too little."""
+    changes = cut(compare.expected_readings(_made(spark, sf_dir, _SPOKEN, "conversations")), "changes")
     rest = F.concat(F.lit("r"), F.col("sequence"))
-    old = changes.select("sequence", F.lit("e").alias("expression"), "reading", rest.alias("rest"), F.array().cast("array<string>").alias("told"))
-    new = changes.where("sequence % 7 <> 0").select("sequence", F.lit("e").alias("expression"), F.explode("readings").alias("reading"), F.when(F.col("sequence") % 11 == 0, F.concat(F.lit("o"), F.col("sequence"))).otherwise(rest).alias("rest"), F.when(F.col("kind").isNull() | (F.col("sequence") % 13 == 0), F.array().cast("array<string>")).otherwise(F.array(F.concat(F.when(F.col("kind") == "notes", "读音附注：").otherwise("原文读音："), F.col("told")))).alias("told"))
-    return compare.cleanup_differences(old, new, changes)
+    old = changes.select(_row("reading", F.lit(None).cast("string"), rest))
+    told = F.when(F.col("sequence") % 13 != 0, F.concat(F.when(F.col("kind") == "notes", "读音附注：").when(F.col("kind") == "original", "原文读音："), F.col("told")))
+    kept = changes.where("sequence % 7 <> 0").withColumn("each", F.explode("readings"))
+    new = kept.select(_row(F.col("each"), told, F.when(F.col("sequence") % 11 == 0, F.concat(F.lit("o"), F.col("sequence"))).otherwise(rest)))
+    return compare.cleanup_differences(cut(compare.split_rows(old), "old"), cut(compare.split_rows(new), "new"), changes)
 
 
 _FANNED = f"{_BECAME}, f AS (SELECT sequence, kind, unnest(string_split(readings, ';')) AS reading, readings, q.reading AS was FROM r AS q)"

@@ -18,11 +18,12 @@ from glyphmill.sources import archive, container
 RULE_SCHEMA = "source_sha256 string, headword string, before string, after string, reason string, evidence string"
 
 
-def inventory(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """(name, size, sha256) of each file below path."""
+def inventory(spark: SparkSession, path: str, glob: str = "*", within: bool = False) -> DataFrame:
+    """(name, size, sha256) of each file below path; with within the name of its folder, too."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path)
-    name = F.element_at(F.split("path", "/"), -1)
-    return files.select(name.alias("name"), F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"))
+    steps = F.split("path", "/")
+    folder = [F.element_at(steps, -2).alias("folder")] if within else []
+    return files.select(F.element_at(steps, -1).alias("name"), *folder, F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"))
 
 
 @dataclass(frozen=True)

@@ -386,3 +386,24 @@ def test_expected_readings(spark):
     assert compare.told_apart(both).count() == 8
     with pytest.raises(Exception, match="conflicting"):
         compare.told_apart(both.withColumn("reading", F.lit("x"))).collect()
+
+
+def nested_notes(n, inside):
+    return "<duyin>n" * n + inside + "</duyin>" * n
+
+
+@pytest.mark.parametrize(
+    ("markup", "want"),
+    [
+        ("a，" + nested_notes(7, "x") + "b", ("a，nnnnnnnxb", "ab", ["nnnnnnnx"])),
+        ("a" + nested_notes(40, ""), ("a" + "n" * 40, "a", ["n" * 40])),
+        ("a，，<duyin>1</duyin><duyin>2</duyin> , <duyin>3</duyin>", ("a，，12 , 3", "a， ", ["1", "2", "3"])),
+        ("a，<b></b> <duyin c='d'>1<i>2</i></duyin>c", ("a， 12c", "ac", ["12"])),
+        ("a</duyin>b<duyin>c", ("abc", "ab", ["c"])),
+        ("a&lt;b&amp;lt;<duyin>&quot;</duyin>", ('a<b&lt;"', "a<b&lt;", ['"'])),
+        ("", ("", "", [])),
+    ],
+)
+def test_parts_of_a_pronunciation(spark, markup, want):
+    row = spark.createDataFrame([(markup,)], "m string").select(compare.pronunciation_parts(F.col("m")).alias("p")).select("p.*").first()
+    assert (row["original"], row["primary"], row["notes"]) == want
