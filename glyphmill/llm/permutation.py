@@ -11,8 +11,8 @@ A vector is represented by the order of the pivots by their distance from it, of
    A pair that shares several files is looked at in the query's nearest one.
 4. Those within the query's best go on; how many that is (`wanted`) grows with the 0.7th power of the number of vectors.
    Where that rank lies is told by the footrule distances from the sample, so nothing has to be gathered to know it.
-5. They are ranked anew by exact distances: the index is cut into blocks of about BLOCK vectors, and each block gets the
-   queries that have candidates in it.
+5. They are ranked anew by exact distances: pairs are joined with the vectors by entry and with the queries by query, and
+   each task keeps the best of a query before they are brought together.
 
 A pivot that is the nearest of more than CROWDED of all vectors - a hot group of near copies, whose orders are alike - has
 an index of its own with pivots of its own, searched by the queries that open its file.  A query that found too few is
@@ -35,7 +35,9 @@ from glyphmill.llm.common import cut, table
 PREFIX, POSTED, OPENED, OPEN_SHARE = 96, 8, 64, 1 / 16
 #: Most pivots; vectors that each is picked out of.
 PIVOTS, PER_PIVOT = 4096, 4
-FILE, BLOCK, QUERIES_A_BLOCK = 8192, 4096, 8192
+FILE = 8192
+#: Bytes of query vectors that are sent to every task.
+SMALL = 32 << 20
 #: Share of all vectors (and number) from which a pivot's own ones get an index of their own, and how deep that may go.
 CROWDED, CROWD, DEPTH = 1 / 8, 400, 6
 #: Candidates a query that are ranked anew: LEAST, or FACTOR times the 0.7th power of the number of vectors.
@@ -153,34 +155,36 @@ def candidates(index: DataFrame, asked: DataFrame, n: int, depth: int = 0, whole
     return met
 
 
-def ranked(pairs: DataFrame, index: DataFrame, asked: DataFrame, n: int, k: int) -> DataFrame:
-    """(qcid, cid, score): the k nearest of the pairs of each query, by exact distances."""
-    n_blocks = max(1, -(-n // BLOCK))
-    n_parts = max(1, -(-asked.count() // QUERIES_A_BLOCK))
-    part = F.pmod(F.xxhash64("qcid", F.lit(3)), F.lit(n_parts)).cast("int")
-    block = F.pmod(F.xxhash64("cid"), F.lit(n_blocks)).cast("int")
-    listed = pairs.groupBy(block.alias("block"), "qcid").agg(F.collect_list("cid").alias("cids"))  # BLOCK of them at most
-    listed = listed.join(asked, "qcid").withColumn("part", part)
-    vectors = index.select(block.alias("block"), "cid", "v").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(n_parts - 1))))
-
-    def rank(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = {"qcid": [], "cid": [], "score": []}
-        if len(left) and len(right):
-            right = right.sort_values("cid")
-            ids, vectors = right["cid"].to_numpy(), np.stack(right["v"])
-            for q, v, cids in zip(left["qcid"], left["v"], left["cids"], strict=True):
-                cids = np.sort(np.asarray(cids))
-                gap = np.sqrt(((vectors[np.searchsorted(ids, cids)] - v) ** 2).sum(1))
-                order = np.lexsort((cids, gap))[:k]
-                out["qcid"].append(np.full(len(order), q))
-                out["cid"].append(cids[order])
-                out["score"].append(gap[order])
-        got = {c: np.concatenate(x) if x else np.zeros(0) for c, x in out.items()}
-        return pd.DataFrame(got).astype({"qcid": "int64", "cid": "int64"})
-
-    met = listed.groupBy("block", "part").cogroup(vectors.groupBy("block", "part")).applyInPandas(rank, "qcid long, cid long, score double")
+def ranked(pairs: DataFrame, index: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """(qcid, cid, score): the k nearest of the pairs of each query, by exact distances.  Pairs meet the vectors by cid and
+    the queries by qcid; queries of SMALL bytes or less go to every task in place of a second shuffle."""
+    met = pairs.join(index.select("cid", "v"), "cid")
+    size = asked.agg(F.coalesce(F.sum(F.size("v")) * 8, F.lit(0)).alias("n")).first()["n"]
+    if size <= SMALL:
+        rows = asked.select("qcid", "v").collect()
+        ids = np.array([r["qcid"] for r in rows], np.int64)
+        order = np.argsort(ids)
+        shared = index.sparkSession.sparkContext.broadcast((ids[order], np.array([r["v"] for r in rows])[order]))
+
+        def near(batches):
+            for b in batches:
+                if len(b):
+                    ids, vectors = shared.value
+                    gap = np.stack(b["v"]) - vectors[np.searchsorted(ids, b["qcid"].to_numpy())]
+                    yield pd.DataFrame({"qcid": b["qcid"], "cid": b["cid"], "score": np.sqrt((gap**2).sum(1))})
+
+    else:
+        met = met.join(asked.select("qcid", F.col("v").alias("q")), "qcid")
+
+        def near(batches):
+            for b in batches:
+                if len(b):
+                    gap = np.stack(b["v"]) - np.stack(b["q"])
+                    yield pd.DataFrame({"qcid": b["qcid"], "cid": b["cid"], "score": np.sqrt((gap**2).sum(1))})
+
+    scored = met.select("qcid", "cid", "v", *(["q"] if "q" in met.columns else [])).mapInPandas(near, "qcid long, cid long, score double")
     best = Window.partitionBy("qcid").orderBy("score", "cid")
-    return met.withColumn("rn", F.row_number().over(best)).where(F.col("rn") <= k).drop("rn")
+    return scored.withColumn("rn", F.row_number().over(best)).where(F.col("rn") <= k).drop("rn")
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -207,12 +211,12 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, key: str = "vec_i
     index = classes.select("cid", "v")
     asked = cut(index.join(asking.select("cid").distinct(), "cid", "left_semi").withColumnRenamed("cid", "qcid"), "asked")
 
-    met = cut(ranked(candidates(index, asked, n), index, asked, n, k + 1), "met")
+    met = cut(ranked(candidates(index, asked, n), index, asked, k + 1), "met")
     few = met.groupBy("qcid").agg(F.count(F.lit(1)).alias("found")).where(F.col("found") < min(k + 1, n))
     few = asked.join(met.select("qcid").distinct(), "qcid", "left_anti").unionByName(asked.join(few.select("qcid"), "qcid", "left_semi"))
     few = cut(few, "few")
     if not few.isEmpty():
-        again = ranked(candidates(index, few, n, whole=True), index, few, n, k + 1)
+        again = ranked(candidates(index, few, n, whole=True), index, few, k + 1)
         met = met.join(few.select("qcid"), "qcid", "left_anti").unionByName(again)
     wide = met.join(classes.select("cid", "ids"), "cid").select("qcid", "score", F.explode("ids").alias("id"))
     wide = wide.withColumn("rn", F.row_number().over(Window.partitionBy("qcid").orderBy("score", "id"))).where(F.col("rn") <= k + 1)

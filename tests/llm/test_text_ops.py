@@ -713,3 +713,19 @@ def test_sample_is_bounded_by_characters(spark, monkeypatch):
     frame = spark.createDataFrame([(i, "hello my dear friend of mine", "en") for i in range(9)] + [(9, "bonjour " * 99, "fr")], "doc_id long, text string, lang string")
     found = langid.sampled_counts(frame, "text", "lang", "doc_id", 250, ["en", "fr"])
     assert found["en"][1].sum() == 2 * len("hello my dear friend of mine") and found["fr"][1].sum() == 8 * 99
+
+
+def test_rerank_by_either_join(spark, monkeypatch):
+    """Queries that are sent to every task, and queries that are joined: the same distances, and no block of the index."""
+    rng = np.random.default_rng(4)
+    index = spark.createDataFrame([(i, rng.standard_normal(5).tolist()) for i in range(300)], "cid long, v array<double>")
+    asked = index.where("cid % 10 = 0").withColumnRenamed("cid", "qcid")
+    pairs = asked.select("qcid").crossJoin(index.where("cid % 3 = 0").select("cid"))
+    vectors = {r["cid"]: np.array(r["v"]) for r in index.collect()}
+    want = {q: sorted((float(np.sqrt(((vectors[q] - vectors[c]) ** 2).sum())), c) for c in range(0, 300, 3))[:7] for q in range(0, 300, 10)}
+    for small in (permutation.SMALL, -1):
+        monkeypatch.setattr(permutation, "SMALL", small)
+        got = {}
+        for r in permutation.ranked(pairs, index, asked, 7).collect():
+            got.setdefault(r["qcid"], []).append((r["score"], r["cid"]))
+        assert {q: sorted(x) for q, x in got.items()} == want
