@@ -14,8 +14,9 @@ A crowded band isn't expanded into all pairs.  Its members are first compared wi
 leaves more than FEW members in different components, those are compared with the member that shares most of the crowded
 bands: the text that a group was copied from shares more of them than the copies do with each other.  Only the members of
 a band that are still in different components then are compared with each other, so a group of copies costs a multiple of
-its size.  Bands with more than FEW of them are compared in blocks: sketches first, then the full sets of what the
-sketches leave, and only links that join something leave the task.
+its size.  Bands with more than FEW of them are compared in blocks, which are as many as keep a block within BLOCK members
+and ITEMS shingles: sketches alone first, then the blocks anew with the members that a sketch left and their full sets,
+and only links that join something leave the task.
 """
 
 from __future__ import annotations
@@ -35,8 +36,8 @@ WORDS, ROWS, BANDS, BITS, PERCENT = 5, 5, 40, 512, 75
 SAMPLES = ROWS * BANDS
 #: Sketches that differ in more bits than this estimate a similarity under 0.55.
 MOST_BITS = int(BITS / 2 * (1 - np.exp((0.55 - 1) * 4 * SAMPLES / BITS)))
-#: Members of a band that are paired by a join; more are compared in blocks of about BLOCK.
-FEW, BLOCK = 12, 1000
+#: Members of a band that are paired by a join; more are compared in blocks of about BLOCK, whose sets hold about ITEMS.
+FEW, BLOCK, ITEMS = 12, 1000, 2_000_000
 
 _STEP = powers(0xD6E8FEB86659FD93, WORDS + 1)[1:]
 _MULT = mix(np.arange(1, SAMPLES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -148,14 +149,39 @@ def _alike_sets(a: np.ndarray, b: np.ndarray) -> bool:
     return met * 100 >= (len(a) + len(b) - met) * PERCENT
 
 
-def _block_links(rows: pd.DataFrame) -> pd.DataFrame:
-    """Links within one block pair of a crowded band, confirmed on the full sets: as many as it takes to join what
-    belongs together (a forest), so their number is below that of the members.  A pair that shares several bands is
-    looked at in the first of them only."""
-    side, n, node, comp = (rows[c].to_numpy() for c in ("side", "n", "node", "comp"))
+def _candidates(rows: pd.DataFrame) -> Iterator[tuple[int, np.ndarray]]:
+    """Pairs of rows within one block pair of a crowded band that sizes and sketches let pass: a row and those it may be
+    like, the nearest first.  Rows of one component aren't paired, and a pair that shares several bands is looked at in
+    the first of them only."""
+    side, n, comp = (rows[c].to_numpy() for c in ("side", "n", "comp"))
     odd, bands = np.stack(rows["odd"]).view(np.uint64), np.stack(rows["bands"])
-    sets = [np.asarray(x) for x in rows["items"]]
     here = int(np.flatnonzero(bands[0] == rows["band"].iloc[0])[0])
+    right = np.flatnonzero(side > 0)
+    for i in np.flatnonzero(side < 2):
+        j = right[(comp[right] != comp[i]) & (np.minimum(n[right], n[i]) * 100 >= np.maximum(n[right], n[i]) * PERCENT)]
+        apart = np.bitwise_count(odd[j] ^ odd[i]).sum(1)
+        near = apart <= MOST_BITS
+        j, apart = j[near], apart[near]
+        j = j[np.argsort(apart, kind="stable")]
+        j = j[(bands[j] == bands[i]).argmax(1) == here]
+        if len(j):
+            yield i, j
+
+
+def _block_survivors(rows: pd.DataFrame) -> pd.DataFrame:
+    """The members of a block pair that have a candidate there."""
+    met = np.zeros(len(rows), bool)
+    for i, j in _candidates(rows):
+        met[i] = True
+        met[j] = True
+    return rows.loc[met, ["band", "i", "j", "side", "node", "comp"]]
+
+
+def _block_links(rows: pd.DataFrame) -> pd.DataFrame:
+    """Links within one block pair, confirmed on the full sets: as many as it takes to join what belongs together (a
+    forest), so their number is below that of the members."""
+    node, comp = rows["node"].to_numpy(), rows["comp"].to_numpy()
+    sets = [np.asarray(x) for x in rows["items"]]
     up = {c: c for c in comp.tolist()}
 
     def top(c: int) -> int:
@@ -164,15 +190,9 @@ def _block_links(rows: pd.DataFrame) -> pd.DataFrame:
             c = up[c]
         return c
 
-    right, found = np.flatnonzero(side > 0), []
-    for i in np.flatnonzero(side < 2):
-        j = right[(comp[right] != comp[i]) & (np.minimum(n[right], n[i]) * 100 >= np.maximum(n[right], n[i]) * PERCENT)]
-        apart = np.bitwise_count(odd[j] ^ odd[i]).sum(1)
-        near = apart <= MOST_BITS
-        j, apart = j[near], apart[near]
-        j = j[np.argsort(apart, kind="stable")]
-        j = j[(bands[j] == bands[i]).argmax(1) == here]
-        for k in j:
+    found = []
+    for i, js in _candidates(rows):
+        for k in js:
             a, b = top(comp[i]), top(comp[k])
             if a != b and _alike_sets(sets[i], sets[k]):
                 up[a] = b
@@ -213,14 +233,16 @@ def links(sigs: DataFrame, sets: DataFrame, members: DataFrame) -> DataFrame:
     a, b = few.select("band", F.col("node").alias("u"), F.col("comp").alias("cu")), few.select("band", F.col("node").alias("v"), F.col("comp").alias("cv"))
     cross = a.join(b, "band").where("u < v and cu <> cv").select("u", "v").distinct()
     # Crowded bands: each member goes to the block pairs of its block; side 1 stands for both sides of a block with itself.
-    n_blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("node"), n_blocks).cast("int")
-    many = open_.where(F.col("size") > FEW).withColumn("k", n_blocks).withColumn("own", own)
+    many = open_.where(F.col("size") > FEW).join(sigs.select("node", "n"), "node")
+    blocks = many.groupBy("band").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") / ITEMS)).cast("int").alias("k"))
+    many = many.join(blocks, "band").withColumn("own", F.pmod(F.xxhash64("node"), "k").cast("int"))
     many = many.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
     side = F.when(F.col("own") == F.col("other"), 1).when(F.col("own") < F.col("other"), 0).otherwise(2)
     many = many.select("band", "node", "comp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), side.alias("side"))
-    many = many.join(sigs.select("node", "n", "odd", "bands"), "node").join(sets, "node")
-    blocks = many.groupBy("band", "i", "j").applyInPandas(_block_links, "u long, v long")
+    facts = sigs.select("node", "n", "odd", "bands")
+    left = many.join(facts, "node").groupBy("band", "i", "j").applyInPandas(_block_survivors, "band long, i int, j int, side int, node long, comp long")
+    left = cut(left, "survivors").join(facts, "node").join(sets, "node")
+    blocks = left.groupBy("band", "i", "j").applyInPandas(_block_links, "u long, v long")
     more = cut(_confirmed(alike(cross), sets).union(blocks).distinct(), "links")
     return components(edges.union(more)) if not more.isEmpty() else comps
 
@@ -231,22 +253,28 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     Rows with the same set are linked whatever their ids; a row without words or with a null text is linked with
     nothing and is its own component.  component_id is the smallest key reachable, null keys aside; a row with a null
     key gets the component of its set, and is kept only if that component has no other key.  Repeated rows are each
-    returned, and all of them are kept or not alike.  Extra columns play no part.
+    returned, and all of them are kept or not alike.  Texts that only rows without a key have are linked like others.  Extra columns play no part.
     """
     docs = docs.select(key, text)
     found = cut(signatures(docs, key, text), "signatures")
     nodes = cut(found.where(F.col("node").isNotNull()).groupBy("node").agg(F.min(key).alias("rep")), "nodes")
     reps = nodes.where(F.col("rep").isNotNull()).select(F.col("rep").alias(key)).distinct()
-    # Two texts under one id both pass here; they differ in node, by which everything goes from here on.
-    sigs = found.where(F.col("node").isNotNull()).join(reps, key, "left_semi").select("node", "n", "bands", "odd").dropDuplicates(["node"])
-    sigs = cut(sigs, "sigs")
+    # Two texts under one id both pass here; they differ in node, by which everything goes from here on.  So do sets that
+    # rows without an id have alone.
+    full = found.where(F.col("node").isNotNull())
+    alone = nodes.where(F.col("rep").isNull()).select("node")
+    chosen = full.join(reps, key, "left_semi").unionByName(full.where(F.col(key).isNull()).join(alone, "node", "left_semi"))
+    sigs = cut(chosen.select("node", "n", "bands", "odd").dropDuplicates(["node"]), "sigs")
     bands = sigs.select(F.explode("bands").alias("band"), "node")
     shared = bands.groupBy("band").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least <> most")
     members = cut(bands.join(shared.select("band", "least"), "band"), "members")
 
     involved = members.select("node").distinct()
-    texts = docs.join(nodes.join(involved, "node", "left_semi").select(F.col("rep").alias(key)).distinct(), key, "left_semi")
-    sets = cut(set_table(texts, key, text).dropDuplicates(["node"]), "sets")
+    wanted = nodes.join(involved, "node", "left_semi")
+    texts = docs.join(wanted.where(F.col("rep").isNotNull()).select(F.col("rep").alias(key)).distinct(), key, "left_semi")
+    if not wanted.where(F.col("rep").isNull()).isEmpty():
+        texts = texts.unionByName(docs.where(F.col(key).isNull()))
+    sets = cut(set_table(texts, key, text).join(involved, "node", "left_semi").dropDuplicates(["node"]), "sets")
     comps = links(sigs, sets, members)
 
     placed = nodes.join(comps, "node", "left").select("node", "rep", F.coalesce("comp", "node").alias("comp"))

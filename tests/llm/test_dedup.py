@@ -30,6 +30,30 @@ def test_repeated_rows_and_null_ids(spark):
     assert sorted(got, key=str) == [(5, 5, True), (5, 5, True), (None, 5, False), (None, None, True)]
 
 
+def test_rows_without_ids_are_linked(spark):
+    """A text that only null ids have is like another one: its row goes where the other has an id, and stays with its like
+    where none has."""
+    words = [f"w{i}" for i in range(60)]
+    like, other = [*words[:59], "x"], [f"v{i}" for i in range(60)]
+    rows = [(None, " ".join(words)), (5, " ".join(like)), (None, " ".join(other)), (None, " ".join([*other[:59], "y"])), (7, "q r s")]
+    got = [(r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted(got, key=str) == [(5, 56, 5, True), (7, 1, 7, True), (None, 56, 5, False), (None, 56, None, True), (None, 56, None, True)]
+
+
+def test_blocks_carry_sets_of_survivors_only(spark, monkeypatch):
+    """Of a crowded band of unlike texts no set leaves its table; blocks are cut by shingles, too."""
+    monkeypatch.setattr(minhash, "FEW", 2)
+    monkeypatch.setattr(minhash, "ITEMS", 300)
+    rng = np.random.default_rng(3)
+    rows = chain(40) + [(100 + i, " ".join(f"u{x}" for x in rng.integers(0, 1 << 30, 50))) for i in range(10)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert by_id(minhash.near_duplicates(frame), "n_shingles", "component_id") == brute.near(rows)
+    some = minhash.signatures(frame, "doc_id", "text").where("doc_id >= 100").toPandas()
+    bands = some["bands"].iloc[0][0]
+    block = some.assign(band=bands, i=0, j=0, side=1, comp=some["node"], bands=[np.concatenate([[bands], b[1:]]) for b in some["bands"]], node=some["node"].astype("int64"))
+    assert len(minhash._block_survivors(block)) == 0
+
+
 def chain(n, words=60, step=4):
     """Texts of which each is like the next only."""
     return [(i, " ".join(f"w{j}" for j in range(i * step, i * step + words))) for i in range(n)]
