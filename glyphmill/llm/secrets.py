@@ -3,12 +3,14 @@
 The text itself is the first layer.  Each layer is scanned for the three kinds of secrets, and everything in it that
 looks encoded is unwrapped into further layers:
 
-* percent escapes and Unicode escapes (``\\uXXXX``, ``\\xXX``, ``&#NN;``) rewrite the whole layer,
+* percent escapes and other ones (``\\uXXXX``, ``\\u{X}``, ``\\UXXXXXXXX``, ``%uXXXX``, ``\\xXX``, ``\\101``, ``&#NN;``, with its
+  semicolon or without, ``\\n`` and the like, ``&quot;`` and the like) rewrite the whole layer; beside percent escapes a
+  layer of its own has blanks for pluses,
 * each base64 run of 16 or more characters, and each hex run of 24 or more digits (the shortest secret has 12 bytes), is
   decoded at every alignment, so what stands before a blob in the same run does not hide it; each stretch of readable
-  ASCII in it, in one or two bytes a character, and the content of each gzip, zlib or bzip2 stream that begins in it, is a
-  layer of its own.  Secrets and all that can be unwrapped are ASCII, so nothing is lost between the stretches,
-* runs on consecutive lines are decoded joined, too.
+  ASCII in it, in one, two or four bytes a character, the content of each gzip, zlib or bzip2 stream that begins in it, and
+  that of a deflated stream without a header that begins where the run does, is a layer of its own.  Secrets and all that can be unwrapped are ASCII, so nothing is lost between the stretches,
+* runs on consecutive lines, quoted or continued ones too, are decoded joined as well.
 
 The worklist ends at a fixpoint.  What a layer holds is worked out once for each content (by digest) and mapped to every
 place where this content occurs, so of two copies of one blob both are found; a content that occurs within itself is a
@@ -47,16 +49,25 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 MIN_ASSIGN = 6
 
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};)+")
-ESCAPE_ONE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#([0-9]{1,7});|&#[xX]([0-9A-Fa-f]{1,6});")
+#: A form's encoding: a plus is a blank there.
+FORM = re.compile(r"(?:%[0-9A-Fa-f]{2}|\+)+")
+# Escapes that name their character, in programs and in markup.
+LETTERS = {"n": "\n", "r": "\r", "t": "\t", '"': '"', "'": "'", "/": "/", "\\": "\\"}
+NAMED = {"quot": '"', "apos": "'", "amp": "&", "lt": "<", "gt": ">", "equals": "=", "colon": ":", "nbsp": "\xa0"}
+ESCAPE_ONE = re.compile(
+    r"(?:\\[uU]|%u|\\x)(?:\{(?P<braced>[0-9A-Fa-f]{1,8})\}|(?<=\\U)(?P<eight>[0-9A-Fa-f]{8})|(?<=[\\%]u)(?P<four>[0-9A-Fa-f]{4})|(?<=x)(?P<two>[0-9A-Fa-f]{2}))"
+    r"|\\(?P<octal>[0-3][0-7]{2})|&#(?P<decimal>[0-9]{1,7});?|&#[xX](?P<hexadecimal>[0-9A-Fa-f]{1,6});?|\\(?P<letter>[nrt\"'/\\])|&(?P<named>" + "|".join(NAMED) + ");"
+)
+ESCAPE = re.compile(f"(?:{re.sub(r'[?]P<[a-z]+>', '?:', ESCAPE_ONE.pattern)})+")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 HEX_RUN = re.compile(r"[0-9A-Fa-f]{24,}")
-#: Runs on consecutive lines, the first and last of which may hold other text, too.
-WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:[ \t]*+\r?\n[ \t]*+[A-Za-z0-9+/_-]++)++={0,2}")
+#: Runs on consecutive lines, the first and last of which may hold other text, too; lines may be quoted or continued.
+WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:[ \t]*+\\?\r?\n[ \t>|#*]*+[A-Za-z0-9+/_-]++)++={0,2}")
 LINE = re.compile(r"[A-Za-z0-9+/_-]+")
 READABLE = re.compile(rb"[\t\n\r\x20-\x7e]{12,}")
-#: The same in UTF-16, of either byte order: from the first byte that isn't zero on.
+#: The same in UTF-16 and UTF-32, of either byte order: from the first byte that isn't zero on.
 READABLE_16 = re.compile(rb"(?:[\t\n\r\x20-\x7e]\0){11,}[\t\n\r\x20-\x7e]")
+READABLE_32 = re.compile(rb"(?:[\t\n\r\x20-\x7e]\0\0\0){11,}[\t\n\r\x20-\x7e]")
 #: Where a gzip, bzip2 or zlib stream may begin in base64 and in hex.
 STREAM_64 = re.compile(r"(?=H4sI|Qlpo|e[A-P])")
 STREAM_16 = re.compile(r"(?=1f8b|425a68|78)", re.I)
@@ -135,10 +146,22 @@ def _percent(run: str) -> list[tuple[str, int]] | None:
     return out
 
 
+def _form(run: str) -> list[tuple[str, int]] | None:
+    """A run of percent escapes and pluses; a plus is a blank."""
+    out: list[tuple[str, int]] = []
+    for m in re.finditer(r"\+|[^+]+", run):
+        out += [(" ", 1)] if m[0] == "+" else _percent(m[0])
+    return out
+
+
 def _escapes(run: str) -> list[tuple[str, int]] | None:
     out = []
     for m in ESCAPE_ONE.finditer(run):
-        code = int(m[3]) if m[3] else int(m[1] or m[2] or m[4], 16)
+        kind, value = m.lastgroup, m[m.lastgroup]
+        if kind in ("letter", "named"):
+            out.append(((LETTERS if kind == "letter" else NAMED)[value], len(m[0])))
+            continue
+        code = int(value, {"octal": 8, "decimal": 10}.get(kind, 16))
         if out and 0xDC00 <= code < 0xE000 and len(out[-1][0]) == 1 and 0xD800 <= ord(out[-1][0]) < 0xDC00:
             high, n = out.pop()
             out.append((chr(0x10000 + ((ord(high) - 0xD800) << 10) + code - 0xDC00), n + len(m[0])))
@@ -199,10 +222,35 @@ def _is_stream(head: bytes) -> bool:
         return False
 
 
-def _windows(raw: bytes) -> Iterator[tuple[bytes, bool]]:
-    """Content of the stream that raw begins with, streams right inside of it unwrapped as well, in windows; and whether
-    a window follows another."""
+def _deflated(feed: _Feed) -> Iterator[bytes]:
+    """Content of a deflated stream without any header, a piece at a time."""
+    stream = zlib.decompressobj(-15)
+    try:
+        while not stream.eof and (piece := feed.take()):
+            while piece and not stream.eof:
+                yield stream.decompress(piece, CHUNK)
+                piece = stream.unconsumed_tail
+    except zlib.error:
+        return
+
+
+def _is_deflated(head: bytes, whole: bool) -> bool:
+    """Whether a deflated stream without a header begins here: its content begins with something readable, and if head is
+    the whole of it, it ends."""
+    stream = zlib.decompressobj(-15)
+    try:
+        content = stream.decompress(head, CHUNK)
+    except zlib.error:
+        return False
+    return (not whole or stream.eof or bool(stream.unconsumed_tail)) and any(p.search(content) for p in (READABLE, READABLE_16, READABLE_32))
+
+
+def _windows(raw: bytes, bare: bool = False) -> Iterator[tuple[bytes, bool]]:
+    """Content of the stream that raw begins with (bare: deflated, without a header), streams right inside of it unwrapped
+    as well, in windows; and whether a window follows another."""
     feed, heads = _Feed(iter([raw[i : i + CHUNK] for i in range(0, len(raw), CHUNK)])), set()
+    if bare:
+        feed = _Feed(filter(None, _deflated(feed)))
     while (head := feed.peek(TRIAL)) not in heads and _is_stream(head):  # a stream that holds itself is a cycle
         heads.add(head)
         feed = _Feed(filter(None, _inflated(feed)))
@@ -269,6 +317,8 @@ def _readable(raw: bytes) -> Iterator[tuple[str, int, int]]:
     if b"\0" in raw:
         for m in READABLE_16.finditer(raw):
             yield m[0][::2].decode("ascii"), m.start(), 2
+        for m in READABLE_32.finditer(raw):
+            yield m[0][::4].decode("ascii"), m.start(), 4
 
 
 def _unpacked(run: str, place: Place, end: int, decode: Callable[[str], bytes], per: int, width: int, begins: re.Pattern) -> Iterator[tuple[str, Place, bool]]:
@@ -281,17 +331,19 @@ def _unpacked(run: str, place: Place, end: int, decode: Callable[[str], bytes],
                 return (place(c0, c1)) if c1 < len(run) else (place(c0, len(run))[0], end)
 
             yield text, to, False
-    for m in begins.finditer(run):
-        at = m.start()
-        # A short piece tells almost every chance beginning from a stream.
-        if _is_stream(decode(run[at : at + TRIAL])):
-            start = place(at, len(run))[0]
-            for content, more in _windows(decode(run[at:])):
-                whole = lambda a, b, start=start: (start, end)
-                yield content.decode("utf-8", "replace"), whole, more
-                for text, _, each in _readable(content):
-                    if each > 1:
-                        yield text, whole, False
+    # Streams; a short piece tells almost every chance beginning from one.  Without a header one is looked for where a run
+    # begins.
+    starts = [(m.start(), False) for m in begins.finditer(run) if _is_stream(decode(run[m.start() : m.start() + TRIAL]))]
+    if (0, False) not in starts and _is_deflated(decode(run[:TRIAL]), len(run) <= TRIAL):
+        starts.append((0, True))
+    for at, bare in starts:
+        start = place(at, len(run))[0]
+        whole = lambda a, b, start=start: (start, end)
+        for content, more in _windows(decode(run[at:]), bare):
+            yield content.decode("utf-8", "replace"), whole, more
+            for text, _, each in _readable(content):
+                if each > 1:
+                    yield text, whole, False
 
 
 class _Layer:
@@ -307,6 +359,8 @@ class _Layer:
         for runs, decode in ((PERCENT, _percent), (ESCAPE, _escapes)):
             if got := _rewrite(self.text, runs, decode):
                 yield *got, False
+                if runs is PERCENT and "+" in self.text:
+                    yield *_rewrite(self.text, FORM, _form), False
         yield from _runs(self.text)
 
 

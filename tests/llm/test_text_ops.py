@@ -238,6 +238,14 @@ def test_long_streams_are_scanned_whole(monkeypatch, at, pack):
     assert (4, 1, 4 + len(hidden)) in spans and {k for _, k, _ in spans} == {1} and over
 
 
+
+
+def lined(s, between):
+    """Base64 on lines of 20 characters."""
+    whole = base64.b64encode(s.encode()).decode()
+    return between.join(whole[i : i + 20] for i in range(0, len(whole), 20))
+
+
 WRAPS = [
     lambda s: base64.b64encode(s.encode()).decode(),
     lambda s: base64.b64encode(s.encode("utf-16")).decode(),
@@ -249,6 +257,20 @@ WRAPS = [
     lambda s: base64.b64encode(base64.b64encode(s.encode())).decode(),
     lambda s: "".join(f"%{x:02X}" for x in s.encode()),
     lambda s: "".join(f"\\u{ord(c):04x}" for c in s),
+    lambda s: "".join(f"%u{ord(c):04X}" for c in s),
+    lambda s: "".join(f"\\u{{{ord(c):x}}}" for c in s),
+    lambda s: "".join(f"\\U{ord(c):08X}" for c in s),
+    lambda s: "".join(f"\\{ord(c):03o}" for c in s),
+    lambda s: "".join(f"&#{ord(c)}" for c in s) + ";",
+    lambda s: "".join(f"&#X{ord(c):x};" for c in s),
+    lambda s: base64.b64encode(s.encode("utf-32")).decode(),
+    lambda s: s.encode("utf-32-be").hex(),
+    lambda s: base64.b64encode(zlib.compress(s.encode(), wbits=-15)).decode(),
+    lambda s: zlib.compress(s.encode("utf-16-le"), wbits=-15).hex().upper(),
+    lambda s: lined(s, "\n> "),
+    lambda s: lined(s, "\\n"),
+    lambda s: lined(s, "\\\n  "),
+    lambda s: lined(s, "\\r\\n"),
     lambda s: base64.b64encode(b"\x01\x02\x00" * 2000 + s.encode()).decode(),
 ]
 
@@ -266,6 +288,32 @@ def test_every_copy_of_a_blob_is_found(wrap):
     assert hidden not in left and not secrets.find(left)[1]
 
 
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("q=token+%3D+abcdef123&x=1", [(2, 0, 21)]),
+        ("q=api_key%3A+%22abc+def", []),
+        ('{"a":"\\"password\\":\\"hunter2x\\""}', [(8, 0, 29)]),
+        ("password&equals;&quot;hunter2x&quot;", [(0, 0, 30)]),
+        ("secret\\x3d\\141bcdef", [(0, 0, 19)]),
+    ],
+)
+def test_forms_of_escapes(text, want):
+    base, spans, _, _ = secrets.find(text)
+    assert base == [] and spans == want, (text, spans)
+
+
+def test_streams_without_a_header():
+    """Found where a run begins; runs that aren't streams give nothing."""
+    rng = np.random.default_rng(6)
+    body = b"".join(rng.bytes(90) + b" filler words " for _ in range(400)) + b" password=correcthorse "
+    for pack in (lambda b: base64.b64encode(b).decode(), lambda b: b.hex()):
+        text = "see " + pack(zlib.compress(body, wbits=-15))
+        assert (4, 0, len(text)) in secrets.find(text)[1]
+    for _ in range(300):
+        secrets.find(base64.b64encode(rng.bytes(200)).decode())
+
+
 def test_random_nestings_are_found_at_their_places():
     rng = np.random.default_rng(8)
     for _ in range(150):
