@@ -210,6 +210,10 @@ def _share_run(need: np.ndarray, around: np.ndarray) -> bool:
     return any(x.tobytes() in runs for x in view(around, VERBATIM))
 
 
+#: Cosines that are made at once, of some windows with all pieces of a block of items.
+CELLS = 1 << 22
+
+
 def _search(found: DataFrame, key: str, kind: str, items: list[tuple], read: Words, weight: np.ndarray, space: np.ndarray) -> DataFrame:
     n_words = len(weight)
     pieces, owner = [], []
@@ -239,8 +243,9 @@ def _search(found: DataFrame, key: str, kind: str, items: list[tuple], read: Wor
                 live = np.flatnonzero(held >= MASS * mass.min())
                 raw = some.tolist()
                 last, whole = -1, None
-                for at in range(0, len(live), 4096):
-                    chosen = live[at : at + 4096]
+                step = max(1, min(4096, CELLS // len(vectors)))
+                for at in range(0, len(live), step):
+                    chosen = live[at : at + step]
                     part = _windows(ids, block, chosen, same[chosen], weighted)
                     cosine = (part / np.maximum(np.linalg.norm(part, axis=1, keepdims=True), 1e-9)) @ vectors.T
                     p, j = np.nonzero((cosine >= COSINE) & (held[chosen, None] >= MASS * mass))

@@ -433,6 +433,18 @@ def test_leaks_match_brute_force(spark, texts):
     assert len(want) > 20 and len(want & got) >= 0.95 * len(want) and all(d >= 1000 for d, _ in got - want)
 
 
+def test_cosines_in_small_blocks_are_the_same(spark, texts, monkeypatch):
+    """The items of the table and passages of the texts, windows a few at a time: memory doesn't grow with windows times
+    pieces."""
+    more = [(1000 + d, " ".join(t.split()[20:60])) for d, t in texts if t and len(t.split()) > 80][:60]
+    items = spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").union(spark.createDataFrame(more, "item_id long, text string"))
+    assert items.count() >= 90
+    frame = spark.createDataFrame([(d, t) for d, t in texts if t][:120], "doc_id long, text string")
+    want = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(frame, items).collect()}
+    monkeypatch.setattr(decontaminate, "CELLS", 500)
+    assert {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(frame, items).collect()} == want and want
+
+
 def test_leaks_of_odd_rows(odd, none):
     items = odd.select(F.col("doc_id").alias("item_id"), "text").where("doc_id = 1")
     assert {r["doc_id"] for r in decontaminate.leaks(odd, items).collect()} == {1, 2}
