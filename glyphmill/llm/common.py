@@ -68,6 +68,18 @@ def discard(df: DataFrame) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def is_integral(rows: DataFrame, column: str) -> bool:
+    """Whether a column is of integers, which order rows as they are."""
+    return rows.schema[column].dataType.typeName() in ("byte", "short", "integer", "long")
+
+
+def numbers_of(rows: DataFrame, column: str) -> DataFrame:
+    """(column, _number) for each distinct value that isn't null: numbers in the order of the values, with gaps."""
+    values = cut(rows.select(column).where(F.col(column).isNotNull()).distinct(), "values")
+    ordered = values.repartitionByRange(column).sortWithinPartitions(column)
+    return cut(ordered.select(column, F.monotonically_increasing_id().alias("_number")), "numbers")
+
+
 def fold(doc_id: Column, n: int) -> Column:
     """crc32 of the id as text, modulo n; 0 where the id is null."""
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(n)), F.lit(0))

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from glyphmill.llm.common import cut, table
+from glyphmill.llm.common import cut, is_integral, numbers_of, table
 
 PREFIX, POSTED, OPENED, OPEN_SHARE = 96, 8, 64, 1 / 16
 #: Most pivots; vectors that each is picked out of.
@@ -191,10 +191,16 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, key: str = "vec_i
     """(query_id, rank, key, score) for each query row: the k nearest other rows found, score the Euclidean distance.
 
     Vectors that are null, zero, or hold null or non-finite components take no part, neither do null keys and vectors
-    of another length than the most common one.  With fewer than k other rows all are returned.  Ties go to the smaller
+    of another length than the most common one.  Keys may be of any kind that has an order.  With fewer than k other rows all are returned.  Ties go to the smaller
     key.  Rows repeated with the same key and vector count once.  Extra columns play no part.
     """
     spark = vectors.sparkSession
+    if not is_integral(vectors, key):  # keys of other kinds are numbered in their order meanwhile
+        numbers = numbers_of(vectors, key)
+        numbered = vectors.withColumn("_asks", is_query).join(numbers, key).select("_number", F.col(vector).alias("_vector"), "_asks")
+        found = nearest(numbered, F.col("_asks"), k, "_number", "_vector")
+        asked = numbers.select(F.col(key).alias("_query"), F.col("_number").alias("query_id"))
+        return found.join(numbers, "_number").join(asked, "query_id").select(F.col("_query").alias("query_id"), "rank", key, "score")
     rows = vectors.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("v"), is_query.alias("asks")).where(F.col("id").isNotNull() & usable(F.col("v")))
     sizes = rows.groupBy(F.size("v").alias("size")).count().orderBy(F.desc("count"), "size").head(1)
     size = sizes[0]["size"] if sizes else 0

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glyphmill.llm.common import cut, discard, mix, parts, table
+from glyphmill.llm.common import cut, discard, is_integral, mix, numbers_of, parts, table
 from glyphmill.llm.winnow import Prefix, anchors
 
 WINDOW, Q, STEP, CROWD = 100, 24, 25, 8_000
@@ -253,7 +253,11 @@ def cut_out(data: bytes, spans: list) -> tuple[bytes, int, int]:
 def identified(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
     """(_key, doc, th, text): doc orders the rows, null ids lowest; th tells rows of one id apart, 0 where ids are unique.
     And (doc, th, text) without rows that repeat an id with its text: they would look like earlier copies of themselves."""
-    rows = docs.select(F.col(key).alias("_key"), F.coalesce(F.col(key).cast("long"), F.lit(_LOWEST)).alias("doc"), F.col(text).alias("text"))
+    rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("text"))
+    number = F.col("_key").cast("long")
+    if not is_integral(rows, "_key"):
+        rows, number = rows.join(numbers_of(rows, "_key"), "_key", "left"), F.col("_number")
+    rows = rows.select("_key", F.coalesce(number, F.lit(_LOWEST)).alias("doc"), "text")
     unique = rows.groupBy("doc").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
     if unique:
         rows = rows.withColumn("th", F.lit(0).cast("long"))

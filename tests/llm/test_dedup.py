@@ -167,3 +167,18 @@ def test_sliding(op):
     x = np.random.default_rng(1).integers(0, 100, 50)
     for w in (1, 2, 3, 7, 8, 50):
         assert winnow.sliding(x, w, op).tolist() == [int(op.reduce(x[i : i + w])) for i in range(51 - w)]
+
+
+def test_ids_of_any_kind(spark, texts):
+    """Ids that are text order rows as text: the earlier one keeps what both have."""
+    some = [(f"d{i % 7}-{i:03}", t) for i, t in texts[:40] if t]
+    rows = some + [(f"e{d}", t) for d, t in some[:5]] + [(None, "x " * 80)]
+    frame = spark.createDataFrame(rows, "doc_id string, text string")
+    place = {d: n for n, d in enumerate(sorted(d for d, _ in rows if d is not None))}
+    want = brute.substrings([(place.get(d, -1), t) for d, t in rows])
+    got = by_id(suffix.dedup_substrings(frame), "n_bytes", "n_removed", "n_spans", "kept")
+    assert {place.get(d, -1): (a, b, c, bytes(k)) for d, (a, b, c, k) in got.items()} == want
+    words = by_id(passages.dedup_passages(frame), "n_words", "n_removed", "kept")
+    whole = {place.get(d, -1): v for d, v in words.items()}
+    numbered = spark.createDataFrame([(place.get(d, -1), t) for d, t in rows], "doc_id long, text string")
+    assert whole == by_id(passages.dedup_passages(numbered), "n_words", "n_removed", "kept")

@@ -775,6 +775,16 @@ def test_sample_is_bounded_by_characters(spark, monkeypatch):
     assert found["en"][1].sum() == 2 * len("hello my dear friend of mine") and found["fr"][1].sum() == 8 * 99
 
 
+def test_keys_of_any_kind(spark):
+    rng = np.random.default_rng(12)
+    rows = [(f"v{i:03}", rng.standard_normal(4).tolist()) for i in range(60)] + [(None, [1.0, 2.0, 3.0, 4.0])]
+    frame = spark.createDataFrame(rows, "vec_id string, embedding array<double>")
+    got = permutation.nearest(frame, F.col("vec_id") < "v005", 3).collect()
+    numbered = spark.createDataFrame([(int(i[1:]), v) for i, v in rows[:60]], "vec_id long, embedding array<double>")
+    want = permutation.nearest(numbered, F.col("vec_id") < 5, 3).collect()
+    assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got) == sorted((f"v{r['query_id']:03}", r["rank"], f"v{r['vec_id']:03}", r["score"]) for r in want)
+
+
 def test_rerank_by_either_join(spark, monkeypatch):
     """Queries that are sent to every task, and queries that are joined: the same distances, and no block of the index."""
     rng = np.random.default_rng(4)
