@@ -54,6 +54,25 @@ def test_toxicity_learns_from_labels_that_have_documents(spark, monkeypatch):
     assert [r["predicted"] for r in got] == [r["doc_id"] % 2 for r in got]
 
 
+def test_query_equals_a_plain_run(spark, documents, texts):
+    """The features that the executors count, and every score, against loops over all texts."""
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    learned = [(t, labels[d]) for d, t in texts if t and d in labels and brute.fold(d, 5)]
+    seen = {0: {}, 1: {}}
+    for t, y in learned:
+        for f in {f for s in toxicity.SENTENCE.findall(t) for w in toxicity.WORD.findall(s.lower()) for f in toxicity.features(w)}:
+            seen[y][f] = seen[y].get(f, 0) + 1
+    n = {y: sum(z == y for _, z in learned) for y in (0, 1)}
+    lift = {f: k / n[1] * np.log((k + 0.5) / (n[1] + 1) * (n[0] + 1) / (seen[0].get(f, 0) + 0.5)) for f, k in seen[1].items() if k >= toxicity.LEAST_MET}
+    usable = {f for f, x in lift.items() if x > 0}
+    train = documents.where(fold(F.col("doc_id"), 5) != 0)
+    weights, bias = toxicity.learn(train, spark.read.parquet(f"{SF}/labels.parquet").where(fold(F.col("doc_id"), 5) != 0), "doc_id", "text", "toxic", toxicity.PER_LABEL)
+    assert weights and set(weights) <= usable and bias <= -4
+    rows = {r["doc_id"]: r for r in toxicity.op1_toxicity_mil(spark, SF).collect()}
+    for d, t in texts:
+        assert rows[d]["score"] == pytest.approx(plain_noisy_or(weights, bias, t or ""), abs=1e-6) and rows[d]["held_out"] == (brute.fold(d, 5) == 0)
+
+
 def plain_noisy_or(weights, bias, text):
     clean = 1.0
     for s in toxicity.SENTENCE.findall(text):
