@@ -20,26 +20,42 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glyphmill.operators.skew import spread_join
-from glyphmill.plans.scratch import cut
+from glyphmill.plans.scratch import cut, cut_and_counted
 
 _WAY = "array<bigint>"
 
 
 def _shortened(links: DataFrame) -> DataFrame:
     """(headword, end) of chains of links (headword, redirect): where they leave the links; circles have no end."""
-    pointers = cut(links.select("headword", F.col("redirect").alias("end")), "pointers")
-    inside = links.select(F.col("headword").alias("end"))
-    open_, n_open = pointers, -1
+    pointers, before = links.select("headword", F.col("redirect").alias("end")), -1
     while True:
-        # A pointer to a headword that is a link itself isn't an end yet.
-        open_ = cut(open_.join(inside, "end", "left_semi"), "open")
-        n = open_.count()
-        if n in (0, n_open):  # what hasn't ended in a round never does
-            return pointers.join(open_.select("headword"), "headword", "left_anti")
-        n_open = n
         onward = pointers.select(F.col("headword").alias("end"), F.col("end").alias("next"))
-        open_ = cut(open_.join(onward, "end").select("headword", F.col("next").alias("end")), "open")
-        pointers = cut(pointers.join(open_.select("headword"), "headword", "left_anti").unionByName(open_), "pointers")
+        doubled = pointers.join(onward, "end", "left").select("headword", F.coalesce("next", "end").alias("end"), F.col("next").isNotNull().alias("moved"))
+        doubled, counts = cut_and_counted(doubled, "pointers", moved=F.count_if("moved"))
+        pointers = doubled.select("headword", "end")
+        if not counts["moved"]:
+            return pointers
+        if counts["moved"] == before:  # what hasn't ended in a round never does
+            return doubled.where("not moved").select("headword", "end")
+        before = counts["moved"]
+
+
+def _least_ways(targets: DataFrame, forks: DataFrame) -> DataFrame:
+    """(at, headword, way): the least way from each fork that a target leads to (at) to each headword it reaches over
+    forks (headword, to, id), itself included."""
+    starts = targets.join(forks.select(F.col("headword").alias("at")), "at", "left_semi").select("at").distinct()
+    found = cut(starts.select("at", F.col("at").alias("headword"), F.expr(f"cast(array() as {_WAY})").alias("way"), F.array("at").alias("met")), "ways")
+    frontier = found
+    while True:
+        onward = frontier.join(forks, "headword").where(~F.array_contains("met", F.col("to")))
+        onward = onward.select("at", F.col("to").alias("headword"), F.struct(F.concat("way", F.array("id")).alias("way"), F.concat("met", F.array("to")).alias("met")).alias("new"))
+        least = onward.groupBy("at", "headword").agg(F.min("new").alias("new"))
+        before = found.select("at", "headword", F.col("way").alias("_old"))
+        better = least.join(before, ["at", "headword"], "left").where("_old is null or new.way < _old").select("at", "headword", "new.way", "new.met")
+        frontier, counts = cut_and_counted(better, "frontier", n=F.count(F.lit(1)))
+        if not counts["n"]:
+            return found.select("at", "headword", "way")
+        found = cut(found.join(frontier, ["at", "headword"], "left_anti").unionByName(frontier), "ways")
 
 
 def resolve(sources: DataFrame) -> DataFrame:
@@ -48,39 +64,22 @@ def resolve(sources: DataFrame) -> DataFrame:
     live = cut(sources.where(F.col("exclusion").isNull()).select("id", "headword", "redirect"), "live")
     canonical = live.where(F.col("redirect").isNull()).select("headword", F.col("id").alias("canonical_id"))
     redirects = live.where(F.col("redirect").isNotNull())
-    heads = cut(canonical.select("headword").distinct(), "heads")
-    steps = redirects.join(heads, "headword", "left_anti").groupBy("headword", "redirect").agg(F.min("id").alias("id"))
+    steps = redirects.join(canonical.select("headword").distinct(), "headword", "left_anti").groupBy("headword", "redirect").agg(F.min("id").alias("id"))
     steps = cut(steps, "steps")
-    several = steps.groupBy("headword").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("headword")
-    several = cut(several, "several")
-    ends = cut(_shortened(steps.join(several, "headword", "left_anti").select("headword", "redirect")), "ends")
+    several, counts = cut_and_counted(steps.groupBy("headword").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("headword"), "several", n=F.count(F.lit(1)))
+    ends = _shortened(steps.join(several, "headword", "left_anti").select("headword", "redirect"))
 
     def at_end(rows: DataFrame, name: str) -> DataFrame:
         """rows with the headword in a column replaced by where its chain ends."""
         far = ends.select(F.col("headword").alias(name), F.col("end").alias("_end"))
         return rows.join(far, name, "left").withColumn(name, F.coalesce("_end", name)).drop("_end")
 
-    targets = redirects.select(F.col("redirect").alias("target")).distinct().withColumn("at", F.col("target"))
-    targets = cut(at_end(targets, "at"), "targets")
-    forks = cut(at_end(steps.join(several, "headword").withColumnRenamed("redirect", "to"), "to").groupBy("headword", "to").agg(F.min("id").alias("id")), "forks")
-
-    starts = targets.join(several.withColumnRenamed("headword", "at"), "at", "left_semi").select("at").distinct()
-    found = cut(starts.select(F.col("at").alias("start"), F.col("at").alias("headword"), F.expr(f"cast(array() as {_WAY})").alias("way"), F.array("at").alias("met")), "ways")
-    frontier = found
-    while True:
-        onward = frontier.join(forks, "headword").where(~F.array_contains("met", F.col("to")))
-        onward = onward.select("start", F.col("to").alias("headword"), F.struct(F.concat("way", F.array("id")).alias("way"), F.concat("met", F.array("to")).alias("met")).alias("new"))
-        least = onward.groupBy("start", "headword").agg(F.min("new").alias("new"))
-        before = found.select("start", "headword", F.col("way").alias("_old"))
-        better = least.join(before, ["start", "headword"], "left").where("_old is null or new.way < _old").select("start", "headword", "new.way", "new.met")
-        frontier = cut(better, "frontier")
-        if frontier.isEmpty():
-            break
-        found = cut(found.join(frontier, ["start", "headword"], "left_anti").unionByName(frontier), "ways")
-
-    ways = found.select(F.col("start").alias("at"), "headword", "way")
-    straight = targets.join(several.withColumnRenamed("headword", "at"), "at", "left_anti").select("target", F.col("at").alias("headword"), F.expr(f"cast(array() as {_WAY})").alias("way"))
-    reached = straight.unionByName(targets.join(ways, "at").select("target", "headword", "way"))
+    targets = cut(at_end(redirects.select(F.col("redirect").alias("target")).distinct().withColumn("at", F.col("target")), "at"), "targets")
+    reached = targets.select("target", F.col("at").alias("headword"), F.expr(f"cast(array() as {_WAY})").alias("way"))
+    if counts["n"]:
+        forks = at_end(steps.join(several, "headword").withColumnRenamed("redirect", "to"), "to")
+        forks = cut(forks.groupBy("headword", "to").agg(F.min("id").alias("id")), "forks")
+        reached = reached.unionByName(targets.join(_least_ways(targets, forks), "at").select("target", "headword", "way").where(F.size("way") > 0))
     return reached.join(canonical, "headword").select("target", "way", "canonical_id")
 
 

@@ -258,17 +258,18 @@ def index_rules(index: Column, edition: str = "full", identity: dict | None = No
     return F.when(members.isNull(), F.array(F.lit("index_not_object"))).otherwise(F.array_compact(F.array(*rules)))
 
 
-#: Endings of font files.
+# Fixed values of the rule: what a stylesheet mustn't hold - imports, addresses elsewhere, fonts of its own and their files.
+IMPORT, ELSEWHERE, FONT_FACE = "@import", r"""(?i)url\s*\(\s*["']?(https?:)?//""", "(?i)@font-face"
 FONT_FILES = ("woff", "woff2", "ttf", "otf", "eot")
 
 
 def css_errors(css: Column, root: str = "record-entry") -> Column:
     """Array of the rules that a stylesheet breaks: nothing from elsewhere, no fonts of its own, and the generic
     sans-serif family for the root of entries."""
-    elsewhere = css.contains("@import") | css.rlike(r"(?i)url\s*\(\s*[\x22']?(https?:)?//")
-    fonts = css.rlike(rf"(?i)@font-face|\.({'|'.join(FONT_FILES)})\b")
+    elsewhere = css.contains(IMPORT) | css.rlike(ELSEWHERE)
+    fonts = css.rlike(FONT_FACE) | css.rlike(rf"(?i)\.({'|'.join(FONT_FILES)})\b")
     # The declarations of all blocks for the root.
-    blocks = F.regexp_extract_all(css, F.lit(rf"(?is)\[data-sc-content=[\x22']{root}[\x22']\]\s*\{{([^}}]*)"), F.lit(1))
+    blocks = F.regexp_extract_all(css, F.lit(rf"""(?is)\[data-sc-content=["']{root}["']\]\s*\{{([^}}]*)"""), F.lit(1))
     sans = F.exists(blocks, lambda block: block.rlike(r"(?i)font-family\s*:\s*sans-serif\s*;"))
     return F.array_compact(F.array(F.when(elsewhere, "remote_css"), F.when(fonts, "font_in_css"), F.when(~sans, "no_sans_serif")))
 
