@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glyphmill.llm.common import cut, parts, table
+from glyphmill.llm.common import cut, give_back, parts, table
 
 GROUP, ITEMS, PASSAGE, WINDOW, RANK, COMMON, COSINE, MASS, LCS, ANSWER = 50_000, 5000, 64, 32, 128, 0.05, 0.25, 0.5, 0.6, 0.5
 WORD, SENTENCE = re.compile(r"[^\W_]+"), re.compile(r"[^.!?\n]+")
@@ -102,6 +102,8 @@ def frequencies(found: DataFrame, n_words: int) -> np.ndarray:
             for raw in b["words"]:
                 ids = np.unique(read(raw))
                 count[ids[ids >= 0]] += 1
+        b = None
+        give_back()
         at = np.flatnonzero(count)
         yield pd.DataFrame({"word": at, "n": count[at]})
 
@@ -147,6 +149,8 @@ def gram_product(found: DataFrame, read: Words, weight: np.ndarray, right: np.nd
                 passages = _summed(ids, block, len(nth), weighted)
                 order = np.argsort(ids, kind="stable")
                 total += _summed(block[order], ids[order], n_words, passages)
+        b = ids = block = nth = passages = order = None
+        give_back()
         task = TaskContext.get().partitionId()  # the same when the task is run again
         for k in range(0, n_words, ROWS):
             yield pd.DataFrame({"salt": [task], "k": [k], "part": [total[k : k + ROWS].astype(np.float32).tobytes()]})
