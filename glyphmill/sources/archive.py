@@ -4,10 +4,12 @@ Reading.  Planning reads the end of a file and its central directory, by ranges;
 about `bytes_per_partition` stored bytes, and its task reads the bytes of its own members, one at a time, and nothing else.
 Names, sizes and checksums come from the directory alone (`content` false).
 
-Writing.  Each task deflates its members into a part beside the target and tells where each stream is; the commit copies
-the finished streams in the order of their names, with fixed times and modes, and writes the directory.  So the file
-depends on names and contents only - not on how rows were dealt out - and neither the driver nor any task holds more
-than one member.  Parts of tasks that were lost or run twice are never looked at, and go with the folder.
+Writing.  Each task deflates its members, by name, into a part beside the target and tells where that is; the commit merges
+the finished streams of the parts in the order of their names, with fixed times and modes, and appends the directory, which
+grows in a file, too.  So the file depends on names and contents only - not on how rows were dealt out - and neither the
+driver nor any task holds more than one member and a stretch of each part.  Archives of 65,535 members or 4 GB and more get
+the long fields that these take, others none.  Parts of tasks that were lost or run twice are never looked at, and go with
+the folder.
 
     spark.read.format("zip_members").load("a.zip")       -> path, name, place, size, stored, crc, content
     df.write.format("zip_members").mode("overwrite").save("b.zip")      from name, content
@@ -15,6 +17,7 @@ than one member.  Parts of tasks that were lost or run twice are never looked at
 
 from __future__ import annotations
 
+import heapq
 import os
 import re
 import struct
@@ -28,16 +31,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 
-from glyphmill.sources.files import created, dropped, folder, opened
+from glyphmill.sources.files import created, dropped, folder, moved, opened
 
 SCHEMA = "path string, name string, place bigint, size bigint, stored bigint, crc bigint, content binary"
 #: Stored bytes of a partition's members.
 RUN_BYTES = 32 << 20
 _CHUNK = 1 << 20
+#: What a commit holds of all parts together, and of the directory at a time.
+_HELD = 64 << 20
 
 # Fixed values of the format: marks of its records, fixed parts, methods, flags, and the largest values of short fields.
 _LOCAL, _ENTRY, _END, _END64, _AT64 = b"PK\3\4", b"PK\1\2", b"PK\5\6", b"PK\6\6", b"PK\6\7"
 _LOCAL_PART, _ENTRY_PART, _END_PART, _END64_PART = struct.Struct("<4s5H3I2H"), struct.Struct("<4s6H3I5H2I"), struct.Struct("<4s4H2IH"), struct.Struct("<4sQ2H2I4Q")
+_AT64_PART, _MEMBER = struct.Struct("<4sIQI"), struct.Struct("<HIQQ")
 _STORED, _DEFLATED, _SCRAMBLED, _UTF8 = 0, 8, 1, 0x800
 _FULL16, _FULL32 = 0xFFFF, 0xFFFFFFFF
 #: The first day that a date can be, and a regular file that all may read.
@@ -126,20 +132,32 @@ class Run(InputPartition):
     place: int
 
 
+def _entry_runs(f: BinaryIO, begin: int, size: int) -> Iterator[tuple[bytes, int]]:
+    """The entries of a directory as bytes, and where each ends in it; a chunk of it is held at a time."""
+    raw, at, end = b"", 0, 0
+    while end < size:
+        here = len(raw) - at
+        need = _ENTRY_PART.size + (sum(struct.unpack_from("<3H", raw, at + 28)) if here >= _ENTRY_PART.size else 0)
+        if here < need:
+            if end + here == size:
+                raise ValueError("damaged directory")
+            raw, at = raw[at:] + _exact(f, begin + end + here, min(_CHUNK, size - end - here)), 0
+            continue
+        at, end = at + need, end + need
+        yield raw[at - need : at], end
+
+
 def runs(path: str, per_run: int) -> list[Run]:
     """The partitions of an archive; its members aren't touched."""
+    out, first, end, place, n, stored = [], 0, 0, 0, 0, 0
     with opened(path) as f:
-        begin, size, n = _directory(f)
-        raw = _exact(f, begin, size)
-    out, at, first, place, stored = [], 0, 0, 0, 0
-    for i, e in enumerate(_entries(raw)):
-        n_name, n_extra, n_note = struct.unpack_from("<3H", raw, at + 28)
-        at += _ENTRY_PART.size + n_name + n_extra + n_note
-        stored += e.stored
-        if stored >= per_run or i + 1 == n:
-            out.append(Run(path, begin + first, begin + at, place))
-            first, place, stored = at, i + 1, 0
-    return out
+        begin, size, _ = _directory(f)
+        for raw, end in _entry_runs(f, begin, size):
+            n, stored = n + 1, stored + next(_entries(raw)).stored
+            if stored >= per_run:
+                out.append(Run(path, begin + first, begin + end, place))
+                first, place, stored = end, n, 0
+    return [*out, Run(path, begin + first, begin + end, place)] if end > first else out
 
 
 class _Reader(DataSourceReader):
@@ -163,56 +181,94 @@ class _Reader(DataSourceReader):
 
 @dataclass
 class Written(WriterCommitMessage):
-    """(name as bytes, checksum, stored bytes, bytes, where in the part) of a task's members, and its part."""
+    """A task's part: its members by name, each a fixed head, its name and its stream."""
 
     part: str
-    members: list[tuple[bytes, int, int, int, int]]
+
+
+class _Part:
+    """A part that is read from its begin to its end, a stretch at a time; it is open only while a stretch is read."""
+
+    def __init__(self, path: str, stretch: int):
+        self.path, self.stretch, self.at, self.held = path, stretch, 0, b""
+
+    def read(self, n: int) -> bytes:
+        """The next n bytes; fewer at the end."""
+        if len(self.held) < n:
+            with opened(self.path) as f:
+                f.seek(self.at)
+                more = f.read(max(self.stretch, n - len(self.held)))
+            self.at += len(more)
+            self.held += more
+        out, self.held = self.held[:n], self.held[n:]
+        return out
+
+    def members(self) -> Iterator[tuple[bytes, str, int, int, int, _Part]]:
+        """(name, path, checksum, stored bytes, bytes, this); the stream is to be read before the next member is asked for."""
+        while head := self.read(_MEMBER.size):
+            n, crc, stored, size = _MEMBER.unpack(head)
+            yield self.read(n), self.path, crc, stored, size, self
+
+
+def _entry(name: bytes, crc: int, stored: int, size: int, at: int) -> bytes:
+    """A member's entry of the directory; what lies beyond 4 GB is told by a long field."""
+    flags, far = 0 if name.isascii() else _UTF8, at >= _FULL32
+    extra, needs = (struct.pack("<HHQ", 1, 8, at), 45) if far else (b"", 20)
+    fixed = _ENTRY_PART.pack(_ENTRY, _UNIX, needs, flags, _DEFLATED, 0, _DATE, crc, stored, size, len(name), len(extra), 0, 0, 0, _MODE, _FULL32 if far else at)
+    return fixed + name + extra
+
+
+def _end(n: int, size: int, begin: int) -> bytes:
+    """The end of an archive, with a long one before it where its values don't fit."""
+    short = _END_PART.pack(_END, 0, 0, min(n, _FULL16), min(n, _FULL16), min(size, _FULL32), min(begin, _FULL32), 0)
+    if n < _FULL16 and max(size, begin) < _FULL32:
+        return short
+    long = _END64_PART.pack(_END64, _END64_PART.size - 12, 45, 45, 0, 0, n, n, size, begin)
+    return long + _AT64_PART.pack(_AT64, 0, begin + size, 1) + short
 
 
 class _Writer(DataSourceWriter):
+    """Writes rows that are sorted by name within each task."""
+
     def __init__(self, path: str):
         self.path, self.parts = path, f"{path}.parts-{uuid.uuid4().hex}"
 
     def write(self, rows: Iterator) -> Written:
-        part, members, at = f"{self.parts}/{uuid.uuid4().hex}", [], 0
+        part = f"{self.parts}/{uuid.uuid4().hex}"
         folder(self.parts)
         with created(part) as f:
             for r in rows:
-                raw = bytes(r["content"] or b"")
+                name, raw = r["name"].encode(), bytes(r["content"] or b"")
                 pack = zlib.compressobj(9, zlib.DEFLATED, -15)
-                stored = 0
-                for k in range(0, len(raw) + 1, _CHUNK):
-                    piece = pack.compress(raw[k : k + _CHUNK]) + (pack.flush() if k + _CHUNK > len(raw) else b"")
+                pieces = [pack.compress(raw[k : k + _CHUNK]) for k in range(0, len(raw), _CHUNK)] + [pack.flush()]
+                f.write(_MEMBER.pack(len(name), zlib.crc32(raw), sum(map(len, pieces)), len(raw)) + name)
+                for piece in pieces:
                     f.write(piece)
-                    stored += len(piece)
-                members.append((r["name"].encode(), zlib.crc32(raw), stored, len(raw), at))
-                at += stored
-        return Written(part, members)
+        return Written(part)
 
     def commit(self, messages: list[Written | None]) -> None:
-        found = sorted((name, m.part, *rest) for m in messages if m is not None for name, *rest in m.members)
-        for a, b in zip(found, found[1:], strict=False):
-            if a[0] == b[0]:
-                raise ValueError(f"two members of one name: {a[0].decode()}")
-        if len(found) >= _FULL16:
-            raise ValueError("too many members for an archive without long fields")
-        entries, at = [], 0
-        with created(self.path) as out:
-            for name, part, crc, stored, size, begin in found:
-                flags = 0 if name.isascii() else _UTF8
-                if max(at, stored, size) >= _FULL32:
-                    raise ValueError("too large for an archive without long fields")
-                out.write(_LOCAL_PART.pack(_LOCAL, 20, flags, _DEFLATED, 0, _DATE, crc, stored, size, len(name), 0) + name)
-                with opened(part) as f:
-                    f.seek(begin)
+        parts = sorted(m.part for m in messages if m is not None)
+        stretch = max(1 << 12, min(_CHUNK, _HELD // max(1, len(parts))))
+        folder(self.parts)
+        last, n, at, whole, entries = None, 0, 0, f"{self.parts}/archive", f"{self.parts}/directory"
+        with created(whole) as out:
+            with created(entries) as listed:
+                for name, _, crc, stored, size, part in heapq.merge(*(_Part(p, stretch).members() for p in parts)):
+                    if name == last:
+                        raise ValueError(f"two members of one name: {name.decode()}")
+                    flags = 0 if name.isascii() else _UTF8
+                    out.write(_LOCAL_PART.pack(_LOCAL, 20, flags, _DEFLATED, 0, _DATE, crc, stored, size, len(name), 0) + name)
                     for k in range(0, stored, _CHUNK):
-                        out.write(f.read(min(_CHUNK, stored - k)))
-                entries.append(_ENTRY_PART.pack(_ENTRY, _UNIX, 20, flags, _DEFLATED, 0, _DATE, crc, stored, size, len(name), 0, 0, 0, 0, _MODE, at) + name)
-                at += _LOCAL_PART.size + len(name) + stored
-            directory = b"".join(entries)
-            if at + len(directory) >= _FULL32:
-                raise ValueError("too large for an archive without long fields")
-            out.write(directory + _END_PART.pack(_END, 0, 0, len(entries), len(entries), len(directory), at, 0))
+                        out.write(part.read(min(_CHUNK, stored - k)))
+                    listed.write(_entry(name, crc, stored, size, at))
+                    last, n, at = name, n + 1, at + _LOCAL_PART.size + len(name) + stored
+            n_listed = 0
+            with opened(entries) as listed:
+                while piece := listed.read(_CHUNK):
+                    out.write(piece)
+                    n_listed += len(piece)
+            out.write(_end(n, n_listed, at))
+        moved(whole, self.path)
         dropped(self.parts)
 
     def abort(self, messages: list[Written | None]) -> None:
@@ -247,7 +303,8 @@ def members(spark: SparkSession, *paths: str, names: str = ".*", content: bool =
 
 def write(files: DataFrame, path: str) -> None:
     """Write the rows (name, content) of files as one archive, in the order of their names.  A null content is empty; two
-    rows of one name fail, and so does what takes an archive with long fields."""
+    rows of one name fail and leave what was there."""
     files.sparkSession.dataSource.register(ZipMembers)
     folder(path.rpartition("/")[0] or ".")
-    files.select("name", F.col("content").cast("binary").alias("content")).write.format("zip_members").mode("overwrite").save(path)
+    rows = files.select("name", F.col("content").cast("binary").alias("content")).sortWithinPartitions("name")
+    rows.write.format("zip_members").mode("overwrite").save(path)

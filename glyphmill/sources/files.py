@@ -31,6 +31,17 @@ def folder(path: str) -> None:
     system.create_dir(inside, recursive=True)
 
 
+def moved(path: str, to: str) -> None:
+    """Give a file another name of the same file system, in place of a file that has it."""
+    from pyarrow import fs
+
+    system, inside = placed(path)
+    target = placed(to)[1]
+    if not isinstance(system, fs.LocalFileSystem) and system.get_file_info(target).type == fs.FileType.File:
+        system.delete_file(target)  # a local one is replaced by the move itself
+    system.move(inside, target)
+
+
 def dropped(path: str) -> None:
     """Remove a folder and all in it, if it is there."""
     from pyarrow import fs

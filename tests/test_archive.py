@@ -4,6 +4,7 @@ import os
 import random
 import struct
 import zipfile
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -137,6 +138,42 @@ def test_long_archives_and_damage(spark, tmp_path):
             archive.members(spark, str(path)).collect()
 
 
+def test_more_members_than_short_fields_count(spark, tmp_path):
+    path, n = str(tmp_path / "m.zip"), 70_000
+    rows = spark.range(n).select(F.concat(F.lit("d/"), "id").alias("name"), F.col("id").cast("string").cast("binary").alias("content"))
+    archive.write(rows.repartition(5), path)
+    with zipfile.ZipFile(path) as z:
+        assert z.namelist() == sorted(f"d/{i}" for i in range(n)) and z.read("d/69999") == b"69999"
+    got = archive.members(spark, path, bytes_per_partition=100_000)
+    assert got.rdd.getNumPartitions() > 3
+    assert got.where("content <> cast(substr(name, 3) as binary)").isEmpty() and got.agg(F.count_distinct("name"), F.max("place")).first() == (n, n - 1)
+
+
+def test_places_beyond_short_fields(tmp_path):
+    """Entries and the end of an archive of more than 4 GB, whose members are a hole in a file."""
+    path, far = str(tmp_path / "f.zip"), (5 << 30) + 7
+    content = b"x" * 10
+    entries = archive._entry("a".encode(), 1, 10, 10, 3) + archive._entry("é".encode(), zlib.crc32(content), 10, 10, far)
+    begin = far + 100
+    with open(path, "wb") as f:
+        f.seek(far)
+        f.write(archive._LOCAL_PART.pack(b"PK\3\4", 20, 0x800, 0, 0, 0x21, zlib.crc32(content), 10, 10, 2, 0) + "é".encode() + content)
+        f.seek(begin)
+        f.write(entries + archive._end(2, len(entries), begin))
+    with zipfile.ZipFile(path) as z:
+        assert [(i.filename, i.header_offset) for i in z.infolist()] == [("a", 3), ("é", far)]
+    assert [(e.name, e.at) for e in archive._entries(entries)] == [("a", 3), ("é", far)]
+    assert [(r.begin, r.end, r.place) for r in archive.runs(path, 1)] == [(begin, begin + 47, 0), (begin + 47, begin + len(entries), 1)]
+
+
+def test_a_failed_write_leaves_what_was_there(spark, tmp_path):
+    path = str(tmp_path / "k.zip")
+    archive.write(frame(spark, {"a": b"1"}), path)
+    with pytest.raises(Exception, match="two members"):
+        archive.write(spark.createDataFrame([("a", b"1"), ("a", b"2")], "name string, content binary").repartition(2), path)
+    assert zipfile.ZipFile(path).namelist() == ["a"] and os.listdir(tmp_path) == ["k.zip"]
+
+
 def test_a_bundle_of_94_banks_is_read_by_several_tasks(spark, tmp_path, monkeypatch):
     rows = spark.range(940).select(
         F.lit("e").alias("expression"), F.lit("ā").alias("reading"), F.lit("").alias("definition_tags"), F.lit("").alias("rules"), F.lit(0).alias("score"),
