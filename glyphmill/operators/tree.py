@@ -23,11 +23,11 @@ from glyphmill.functions.markup import Malformed, Node, bare_text, tree
 COLUMNS = "pre int, post int, parent int, depth int, place int, tag string, attrs map<string,string>, text string"
 
 
-def tree_rows(raw: str) -> list[tuple]:
+def tree_rows(raw: str, whole_references: bool = False) -> list[tuple]:
     """COLUMNS of the tree of a text; the first row is the tree itself, with an empty tag.  Text that can't be read as
     markup is a tree of its bare text."""
     try:
-        top = tree(raw)
+        top = tree(raw, whole_references)
     except Malformed:
         top = Node("", children=[bare_text(raw)])
     out: list[list] = []
@@ -49,12 +49,13 @@ def tree_rows(raw: str) -> list[tuple]:
     return out
 
 
-def node_table(records: DataFrame, key: str = "ordinal", raw: str = "raw") -> DataFrame:
+def node_table(records: DataFrame, key: str = "ordinal", raw: str = "raw", whole_references: bool = False) -> DataFrame:
     """(key, pre, post, parent, depth, place, tag, attrs, text) of the trees of records: elements have a tag and attributes
     (the harmless ones; elements that are active have no row, nor has what is in them), text has text.
 
     A null raw has no rows, an empty one its tree's own.  Rows of records that repeat a key are told apart by nothing: give
-    each a key of its own.  Depth is bounded by memory only.
+    each a key of its own.  Depth is bounded by memory only.  With whole_references a name is a character reference only
+    with its semicolon, and a cut one (`&amp` before a tag) is text.
     """
     kind = records.schema[key].dataType.simpleString()
     names = [c.split()[0] for c in COLUMNS.split(", ")]
@@ -65,7 +66,7 @@ def node_table(records: DataFrame, key: str = "ordinal", raw: str = "raw") -> Da
         for b in batches:
             for k, text in zip(b[key], b[raw], strict=True):
                 if isinstance(text, str):
-                    rows = pd.DataFrame(tree_rows(text), columns=names)
+                    rows = pd.DataFrame(tree_rows(text, whole_references), columns=names)
                     rows["parent"] = rows["parent"].astype("Int32")
                     yield pd.DataFrame({key: [k] * len(rows)}).join(rows)
 

@@ -94,3 +94,12 @@ def test_odd_rows(spark):
 def test_names_without_a_tree():
     for raw in random_texts(2000, 3):
         assert markup.tag_names(raw) == [n.tag for n in markup.tree(raw).elements() if n.tag]
+
+
+def test_cut_references_are_text_where_whole_ones_are_asked_for(spark):
+    """A name without its semicolon, or one that nobody knows, is no reference; in attributes, raw text and names neither."""
+    raw = '<h1>a&amp;&amp</h1><p title="x&copy=1&amp;y">&copy &copy; &notit; &#65; &am</p><a&lt>t</a&lt><xmp>&amp</xmp>'
+    rows = tree.node_table(spark.createDataFrame([(1, raw)], "k long, raw string"), "k", whole_references=True).orderBy("pre").collect()
+    assert [r["text"] for r in rows if r["text"] is not None] == ["a&&amp", "&copy \xa9 &notit; A &am", "t", "&amp"]
+    assert [r["attrs"] for r in rows if r["tag"] == "p"] == [{"title": "x&copy=1&y"}] and [r["tag"] for r in rows if r["tag"]] == ["h1", "p", "a&lt", "xmp"]
+    assert [r[7] for r in tree.tree_rows("<h1>a&amp;&amp</h1>") if r[7] is not None] == ["a&&"]
