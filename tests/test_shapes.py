@@ -98,3 +98,17 @@ def test_index_rules(spark):
     light = rows.select("t", validate.index_rules(F.col("t"), "light", {"title": "t", "url": 1}).alias("e")).collect()
     assert {r["t"]: r["e"] for r in light}['{"title":"t","revision":"r","format":3}'] == ["light_url"]
     assert "valid: false" in validate.report({"valid": False, "errors": ["x"]})
+
+
+def test_a_pronunciation_is_normalized_once(spark):
+    """Within functions of arrays each mention of a column is computed, so what is named often is bound."""
+    from pyspark.sql import functions as F
+
+    from glyphmill.functions import readings, text
+
+    c = F.col("v")
+    rows = spark.createDataFrame([("　\x1f gā/gà \x85 ",)], "v string")
+    df = rows.select(readings.reading(c, c, F.lit(False)).alias("r"), text.strip(c).alias("s"))
+    plan = df._jdf.queryExecution().analyzed().toString()
+    assert (plan.count("decompose"), plan.count("compose") - plan.count("decompose")) == (1, 1)
+    assert df.select("r.readings", "s").first() == (["gā", "gà"], "gā/gà")
