@@ -207,6 +207,11 @@ def _open(members: DataFrame, comps: DataFrame) -> DataFrame:
     return cut(placed.join(split.select("band", "size"), "band"), "open")
 
 
+def _by_node(rows: DataFrame, *at: str) -> DataFrame:
+    """(node, comp, at) with one row a node: where it stands, so that facts are joined to it once and not once a band."""
+    return rows.groupBy("node", "comp").agg(F.collect_list(F.struct(*at)).alias("at"))
+
+
 def links(sigs: DataFrame, sets: DataFrame, members: DataFrame) -> DataFrame:
     """Components (node, comp) of all links between members (band, node, least) of the same band."""
     facts = sigs.select("node", "n", "odd")
@@ -222,8 +227,8 @@ def links(sigs: DataFrame, sets: DataFrame, members: DataFrame) -> DataFrame:
     open_ = _open(members, comps)
     crowded = open_.where(F.col("size") > FEW)
     if not crowded.isEmpty():
-        degree = crowded.groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
-        hubs = crowded.join(degree, "node").groupBy("band").agg(F.max(F.struct("degree", "node", "comp")).alias("hub"))
+        by_node = _by_node(crowded, "band")
+        hubs = by_node.select(F.explode("at.band").alias("band"), F.struct(F.size("at").alias("degree"), "node", "comp").alias("hub")).groupBy("band").agg(F.max("hub").alias("hub"))
         pairs = crowded.join(hubs, "band").where("comp <> hub.comp").select(F.least("node", "hub.node").alias("u"), F.greatest("node", "hub.node").alias("v")).distinct()
         edges = cut(edges.union(_confirmed(alike(pairs), sets)).distinct(), "links")
         comps = components(edges)
@@ -233,15 +238,15 @@ def links(sigs: DataFrame, sets: DataFrame, members: DataFrame) -> DataFrame:
     a, b = few.select("band", F.col("node").alias("u"), F.col("comp").alias("cu")), few.select("band", F.col("node").alias("v"), F.col("comp").alias("cv"))
     cross = a.join(b, "band").where("u < v and cu <> cv").select("u", "v").distinct()
     # Crowded bands: each member goes to the block pairs of its block; side 1 stands for both sides of a block with itself.
-    many = open_.where(F.col("size") > FEW).join(sigs.select("node", "n"), "node")
+    many = _by_node(open_.where(F.col("size") > FEW), "band").join(sigs, "node").select(F.explode("at.band").alias("band"), "node", "comp", "n", "odd", "bands")
     blocks = many.groupBy("band").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") / ITEMS)).cast("int").alias("k"))
     many = many.join(blocks, "band").withColumn("own", F.pmod(F.xxhash64("node"), "k").cast("int"))
     many = many.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
     side = F.when(F.col("own") == F.col("other"), 1).when(F.col("own") < F.col("other"), 0).otherwise(2)
-    many = many.select("band", "node", "comp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), side.alias("side"))
-    facts = sigs.select("node", "n", "odd", "bands")
-    left = many.join(facts, "node").groupBy("band", "i", "j").applyInPandas(_block_survivors, "band long, i int, j int, side int, node long, comp long")
-    left = cut(left, "survivors").join(facts, "node").join(sets, "node")
+    many = many.select("band", "node", "comp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), side.alias("side"), "n", "odd", "bands")
+    left = many.groupBy("band", "i", "j").applyInPandas(_block_survivors, "band long, i int, j int, side int, node long, comp long")
+    left = _by_node(cut(left, "survivors"), "band", "i", "j", "side").join(sigs, "node").join(sets, "node").select(F.explode("at").alias("at"), "node", "comp", "n", "odd", "bands", "items")
+    left = left.select("at.*", "node", "comp", "n", "odd", "bands", "items")
     blocks = left.groupBy("band", "i", "j").applyInPandas(_block_links, "u long, v long")
     more = cut(_confirmed(alike(cross), sets).union(blocks).distinct(), "links")
     return components(edges.union(more)) if not more.isEmpty() else comps

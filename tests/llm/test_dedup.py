@@ -182,3 +182,11 @@ def test_ids_of_any_kind(spark, texts):
     whole = {place.get(d, -1): v for d, v in words.items()}
     numbered = spark.createDataFrame([(place.get(d, -1), t) for d, t in rows], "doc_id long, text string")
     assert whole == by_id(passages.dedup_passages(numbered), "n_words", "n_removed", "kept")
+
+
+def test_crowded_members_have_one_row_a_node(spark):
+    from glyphmill.llm import minhash
+
+    rows = spark.createDataFrame([(b, n, n % 2) for b in range(5) for n in range(3)], "band long, node long, comp long")
+    found = {r["node"]: (r["comp"], sorted(x["band"] for x in r["at"])) for r in minhash._by_node(rows, "band").collect()}
+    assert found == {n: (n % 2, list(range(5))) for n in range(3)}
