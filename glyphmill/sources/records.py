@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
 import re
@@ -11,19 +12,73 @@ from dataclasses import dataclass
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from glyphmill.functions import text as T
-from glyphmill.sources import archive, container
+from glyphmill.plans.scratch import cut, scratch_path
+from glyphmill.sources import archive, container, files
 
 RULE_SCHEMA = "source_sha256 string, headword string, before string, after string, reason string, evidence string"
 
 
-def inventory(spark: SparkSession, path: str, glob: str = "*", within: bool = False) -> DataFrame:
-    """(name, size, sha256) of each file below path; with within the name of its folder, too."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path)
-    steps = F.split("path", "/")
-    folder = [F.element_at(steps, -2).alias("folder")] if within else []
-    return files.select(F.element_at(steps, -1).alias("name"), *folder, F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"))
+#: Bytes of a file that one task digests; longer files go on from task to task.
+SEGMENT = 1 << 28
+
+
+def inventory(spark: SparkSession, path: str, glob: str = "*", joined: bool = False) -> DataFrame:
+    """(name, size, sha256) of each file below path.  With joined (name, size, sha256) of each folder, whose files, in the
+    order of their names, are the parts of one file.
+
+    No task reads much more than SEGMENT bytes, whatever the length of a file; files that are longer, or in parts, are
+    read through Arrow's file systems.
+    """
+    found = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path)
+    folder, name = F.regexp_extract("path", "^(.*)/[^/]*$", 1), F.element_at(F.split("path", "/"), -1)
+    listed = found.select((folder if joined else F.col("path")).alias("file"), name.alias("part"), "path", "length")
+    if joined:
+        return _digests(listed)
+    short = found.where(F.col("length") <= SEGMENT).select(name.alias("name"), F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"))
+    long = listed.where(F.col("length") > SEGMENT)
+    return short if long.isEmpty() else short.unionByName(_digests(long))
+
+
+def _digests(parts: DataFrame) -> DataFrame:
+    """(name, size, sha256) of files (file, and of each of their parts: part, path, length): a task for each file and SEGMENT
+    bytes, which go on with the digest where the one before has left it."""
+    spark, segment = parts.sparkSession, SEGMENT if files.RESUMABLE else 1 << 62
+    start = F.sum("length").over(Window.partitionBy("file").orderBy("part").rowsBetween(Window.unboundedPreceding, 0)) - F.col("length")
+    rows = parts.withColumn("start", start).withColumn("first", F.expr(f"start div {segment}L"))
+    rows = rows.withColumn("round", F.explode(F.sequence("first", F.greatest("first", F.expr(f"(start + length - 1) div {segment}L")))))
+    begin = F.greatest(F.col("round") * segment - F.col("start"), F.lit(0))
+    # The difference to the part's begin in place of the next round's begin, which may pass 64 bits.
+    size = F.least(F.col("length") - begin, F.lit(segment) - (F.col("start") + begin - F.col("round") * segment))
+    piece = F.struct("part", F.regexp_replace("path", "^file:/+", "/").alias("path"), begin.alias("begin"), size.alias("size"))
+    pieces = rows.groupBy("file", "round").agg(F.sort_array(F.collect_list(piece)).alias("pieces"))
+    pieces = cut(pieces.select("file", "round", "pieces.path", "pieces.begin", "pieces.size", (F.col("round") == F.max("round").over(Window.partitionBy("file"))).alias("last")), "pieces")
+    counts = {r["round"]: r["n"] for r in pieces.groupBy("round").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row a round
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for file, paths, begins, sizes, last, state, n in zip(b["file"], b["path"], b["begin"], b["size"], b["last"], b["state"], b["n"], strict=True):
+                digest = files.Sha256(state) if files.RESUMABLE else hashlib.sha256()
+                for where, begin, size in zip(paths, begins, sizes, strict=True):
+                    for piece in files.ranged(where, int(begin), int(size)):
+                        digest.update(piece)
+                out.append((file, n + int(sum(sizes)), None if last else digest.state(), digest.hexdigest() if last else None))
+            yield pd.DataFrame(out, columns=["file", "n", "state", "sha256"])
+
+    kept, target = "file string, n long, state binary, sha256 string", scratch_path(spark, "digests")
+    for k in range(len(counts)):  # a file has a piece in each round up to its last
+        due = pieces.where(F.col("round") == k)
+        if k:
+            due = due.join(spark.read.schema(kept).parquet(f"{target}/round={k - 1}").drop("sha256"), "file")
+        else:
+            due = due.withColumns({"state": F.lit(None).cast("binary"), "n": F.lit(0).cast("long")})
+        # Rows of one task are dealt evenly, so that each file has a task of its own.
+        due.drop("round").coalesce(1).repartition(counts[k]).mapInPandas(run, kept).write.parquet(f"{target}/round={k}")
+    done = spark.read.schema(kept).parquet(*(f"{target}/round={k}" for k in range(len(counts)))) if counts else spark.createDataFrame([], kept)
+    return done.where("sha256 is not null").select(F.element_at(F.split("file", "/"), -1).alias("name"), F.col("n").alias("size"), "sha256")
 
 
 @dataclass(frozen=True)

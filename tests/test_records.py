@@ -1,3 +1,4 @@
+import hashlib
 import json
 import struct
 import unicodedata
@@ -143,6 +144,34 @@ def test_bundle_is_deterministic_and_valid(spark, tmp_path):
     assert records.inventory(spark, str(tmp_path)).where(F.col("sha256") == sums[0]).count() == 2
 
 
+def test_inventory_goes_on_from_task_to_task(spark, tmp_path, monkeypatch):
+    """Files longer than a task digests, and files in parts, have the digests of their whole bytes."""
+    monkeypatch.setattr(records, "SEGMENT", 100)
+    sizes = {"a": [100, 1, 257], "b": [1], "c": [63, 1, 36], "d e": [1000]}
+    whole = {}
+    for k, (name, parts) in enumerate(sizes.items()):
+        (tmp_path / name).mkdir()
+        for i, n in enumerate(parts):
+            data = np.random.default_rng([k, i]).bytes(n)
+            (tmp_path / name / f"part-{i}").write_bytes(data)
+            whole[name] = whole.get(name, b"") + data
+    want = lambda found: {(name, len(data), hashlib.sha256(data).hexdigest()) for name, data in found.items()}
+    assert {tuple(r) for r in records.inventory(spark, str(tmp_path), joined=True).collect()} == want(whole)
+    for name, data in whole.items():
+        (tmp_path / f"{name}.bin").write_bytes(data)
+    assert {tuple(r) for r in records.inventory(spark, str(tmp_path), "*.bin").collect()} == want({f"{k}.bin": v for k, v in whole.items()})
+
+
+def test_digest_is_put_aside_and_taken_up():
+    data = np.random.default_rng(7).bytes(1000)
+    for at in (0, 1, 64, 100, 1000):
+        first = files.Sha256()
+        first.update(data[:at])
+        rest = files.Sha256(first.state())
+        rest.update(data[at:])
+        assert rest.hexdigest() == rest.hexdigest() == hashlib.sha256(data).hexdigest()
+
+
 GOOD = ["e", "ā", "", "", 0, [{"type": "structured-content", "content": {"tag": "span", "data": {"content": "record-entry"}, "lang": "zh-Hans", "content": ["x"]}}], 1, ""]
 
 
