@@ -3,19 +3,17 @@
 from __future__ import annotations
 
 import atexit
-import ctypes
 import re
 import tempfile
 import time
 import uuid
-from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from glyphmill.functions.batches import give_back, parts  # noqa: F401  the operators take them from here
+
 #: Bytes that separate words: blank, tab, line feed, vertical tab, form feed, carriage return.
 SPACE_BYTES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 _made: dict[str, list[str]] = {}
@@ -158,30 +156,3 @@ def hashed_words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         found.append((starts + at, ends + at, word_hashes(data[at:end], starts, ends)))
         at = end
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
-
-
-_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-
-
-def give_back() -> None:
-    """Return what this process has freed to the system.  A worker that waits for its next task would keep it, while the
-    workers of other stages need it."""
-    pa.default_memory_pool().release_unused()
-    if _trim is not None:
-        _trim(0)
-
-
-def parts(batches: Iterator[pd.DataFrame], text: str, most: int = 1 << 21) -> Iterator[pd.DataFrame]:
-    """The batches again in parts of about `most` characters, so that long texts don't add up in memory; what they took is
-    given back at the end."""
-    for b in batches:
-        at, total = 0, 0
-        for i, t in enumerate(b[text]):
-            n = len(t) if isinstance(t, str) else 0
-            if total and total + n > most:
-                yield b.iloc[at:i].reset_index(drop=True)
-                at, total = i, 0
-            total += n
-        yield b.iloc[at:].reset_index(drop=True)
-    b = None
-    give_back()

@@ -1,10 +1,12 @@
 import json
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from glyphmill.functions import nodes
+from glyphmill.operators import validate
 
 
 def value(rng, depth=0):
@@ -92,3 +94,12 @@ def test_node_texts(spark):
     rows = spark.createDataFrame([(1, json.dumps(tree)), (2, "[]")], "k long, t string")
     got = nodes.node_texts(nodes.json_table(rows, "k", "t"), "k", F.col("path") == "$.x").collect()
     assert [(r["k"], r["text"]) for r in got] == [(1, nodes.text(tree["x"]))] and got[0]["text"] == "abdeg"
+
+
+def test_nodes_are_handed_over_in_parts():
+    """A worker holds the nodes of a part of a batch only, and has the same nodes of all."""
+    row = json.dumps(["e", "ā", "", "", 0, [{"type": "structured-content", "content": {"tag": "span", "content": ["x" * 1000]}}], 1, ""], ensure_ascii=False)
+    batch = pd.DataFrame({"bank": 1, "place": range(2000), "row": [row] * 2000, "shaped": True})
+    frames = list(validate.node_frames(iter([batch])))
+    assert len(frames) > 2 and max(map(len, frames)) < 10 * 1000
+    assert [p for f in frames for p in f["place"]] == [p for p in range(2000) for _ in range(len(frames[0]) // frames[0]["place"].nunique())]
