@@ -18,9 +18,8 @@ MAX_PATTERNS, not by the input.
 from __future__ import annotations
 
 import re
-import unicodedata
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -35,18 +34,23 @@ from glyphmill.llm.common import cut, parts, table
 
 #: Patterns that take part in the fit.
 MAX_PATTERNS = 20_000
-#: Words whose ids a worker keeps, at most twice as many (about 60 MB), and the longest of them.
-MAX_WORDS, LONGEST = 150_000, 40
+#: Words whose ids a worker keeps, at most twice as many, and the longest of them.
+MAX_WORDS, LONGEST = 250_000, 40
 
 #: Characters that Python's split() takes for white space and the tokenizer doesn't.
-_ODD_SPACE = re.compile("[\x1c-\x1f]")
+_ODD_SPACE = "\x1c\x1d\x1e\x1f"
 #: What the vocabulary takes for a word of its own, after lower-casing.
 _WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
-_BLOCK, _TOGETHER = 1 << 20, 1000
+_BLOCK = 1 << 20
 #: Up to here letters have one lower-case letter each, but for those whose lower case is longer; none composes with
 #: what follows, and no context changes its case.
 LATIN_END = "\u0250"
 _BEYOND = re.compile(f"[{LATIN_END}-\U0010ffff]")
+#: A word of the vocabulary's ends where one of these follows a letter or number, so it can be cut there: by something
+#: that split() takes for white space and that no text has where it is used.
+_MARKS, _CUT = ".,;:!?", _ODD_SPACE[-1]
+_LATIN_WORD = "A-Za-zªµºÀ-ÖØ-öø-ɏ0-9²³¹¼-¾"
+_JOINED_MARK = re.compile(rf"{_CUT}(?<=[^\s{_LATIN_WORD}]{_CUT})")
 # How the vocabulary shows bytes: printable ones as themselves, the rest as U+0100 and up, in order.
 _PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 _SHOWN = {b: 0x100 + n for n, b in enumerate(x for x in range(256) if x not in _PRINTABLE)}
@@ -55,105 +59,83 @@ _LETTERS = re.compile("[a-zß-öø-ÿ]+")
 _LATIN = {c: chr(c).encode().decode("latin-1").translate(_SHOWN) for c in range(0xDF, 0x100)}
 
 
-def lowered(text: str) -> str:
-    """text in lower case where that is what the vocabulary's own steps make of it, whatever their version of Unicode."""
-    return text.lower() if text.isascii() or not _BEYOND.search(text) else text
+class _Kept(dict):
+    """Ids of words.  One that isn't kept is looked up among the old ones or made when it is asked for, so that a word
+    takes one look."""
+
+    def __init__(self, old: dict[str, bytes], make: Callable[[str], bytes]):
+        super().__init__()
+        self.old, self.make = old, make
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.old.get(word) or self.make(word)
+        if len(word) <= LONGEST:
+            self[word] = ids
+        return ids
 
 
 class Encoder:
     """Ids of whole texts as little-endian 32-bit bytes.  White space never joins two words in this vocabulary, so each
-    blank-separated word is encoded once and kept.  New words are encoded together: every word of the vocabulary's own
-    kind ends in a token with an end mark, so their ids can be told apart again."""
+    blank-separated word is encoded once and kept.  Words of Latin characters are the ids of the vocabulary's own words in
+    them, one after the other; what those are in other words is left to the tokenizer."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        names = self.tok.get_vocab()
-        self.ends = np.zeros(max(names.values()) + 1, bool)
-        self.ends[[i for s, i in names.items() if s.endswith("</w>")]] = True
-        self.words: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.raw = [i.to_bytes(4, "little") for i in range(len(self.ends))]
-        self.marks = {mark: self._ids(mark).tobytes() for mark in ".,"}
-
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-
-    def _learn(self, new: set[str]) -> dict[str, bytes]:
-        """Ids of words that aren't kept."""
-        known: dict[str, bytes] = {}
-        other, odd = [], []
-        marks, words, old, raw, merges, letters = self.marks, self.words, self.old, self.raw, self.tok.model.tokenize, _LETTERS.fullmatch
-        for w in new:
-            # A run of letters, perhaps with a mark after it, which are encoded apart: where nothing is left to normalize
-            # or to split, the merges are all there is to do.
-            mark = marks.get(w[-1])
-            base = w if mark is None else w[:-1]
-            if letters(base):
-                ids = known.get(base) if mark is None else known.get(base) or words.get(base) or old.get(base)
-                if ids is None:
-                    known[base] = ids = b"".join([raw[t.id] for t in merges(base if base.isascii() else base.translate(_LATIN))])
-                if mark is not None:
-                    known[w] = ids + mark
-            else:
-                (other if max(w) < LATIN_END else odd).append(w)
-        self._encode_words(other, known)
-        for at in range(0, len(odd), _TOGETHER):  # what is a letter there depends on the version of Unicode: each alone
-            some = odd[at : at + _TOGETHER]
-            for w, x in zip(some, self.tok.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                known[w] = np.array(x.ids, "<u4").tobytes()
-        return known
-
-    def _encode_words(self, words: list[str], known: dict[str, bytes]) -> None:
-        """Ids of words without characters from LATIN_END on."""
-        counts = [len(_WORD.findall(unicodedata.normalize("NFC", w).lower())) for w in words]
-        for at in range(0, len(words), _TOGETHER):
-            some = words[at : at + _TOGETHER]
-            ids = self._ids(" ".join(some))
-            stop = np.flatnonzero(self.ends[ids]) + 1
-            last = np.cumsum(counts[at : at + _TOGETHER]) - 1
-            if len(stop) == last[-1] + 1 and stop[-1] == len(ids):
-                raw, stop = ids.tobytes(), 4 * stop[last]
-                start = np.append(0, stop[:-1])
-                known.update((w, raw[a:b]) for w, a, b in zip(some, start.tolist(), stop.tolist(), strict=True))
-            else:
-                known.update((w, self._ids(w).tobytes()) for w in some)
+        self.merges = self.tok.model.tokenize
+        self.raw = [i.to_bytes(4, "little") for i in range(max(self.tok.get_vocab().values()) + 1)]
+        #: Marks of their own, like that of a text's end, are told by case, before anything is lowered.
+        self.added = [x.content for x in self.tok.get_added_tokens_decoder().values()]
+        self.words = _Kept({}, self._made)
+
+    def _ids(self, text: str) -> bytes:
+        raw = self.raw
+        return b"".join([raw[i] for i in self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids])
+
+    def _merged(self, shown: str) -> bytes:
+        """The ids of one of the vocabulary's own words: merges are all there is to do."""
+        raw = self.raw
+        return b"".join([raw[t.id] for t in self.merges(shown)])
+
+    def _made(self, word: str) -> bytes:
+        if _LETTERS.fullmatch(word):
+            return self._merged(word if word.isascii() else word.translate(_LATIN))
+        # What is a letter there depends on the version of Unicode.
+        if max(word) >= LATIN_END or any(x in word for x in self.added):
+            return self._ids(word)
+        own = _WORD.findall(word.lower())
+        if own == [word]:
+            return self._merged(word.encode().decode("latin-1").translate(_SHOWN))
+        return b"".join([self.words[x] for x in own])
+
+    def _split(self, text: str) -> list[str]:
+        """The words of a text or a block of it, in lower case where that is what the vocabulary's own steps make of it,
+        whatever their version of Unicode."""
+        if not text.isascii() and _BEYOND.search(text):
+            return text.split()
+        low = text.lower()
+        if any(x in low for x in self.added):
+            return text.split()
+        for mark in _MARKS:
+            low = low.replace(mark, _CUT + mark)
+        return _JOINED_MARK.sub("", low).split()
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text, in order."""
-        split, total = [], 0
         for t in texts:
-            odd = _ODD_SPACE.search(t) is not None
-            if split and (odd or total + len(t) > _BLOCK):  # empty texts are ones to give ids for, too
-                yield from self._joined(split)
-                split, total = [], 0
-            if odd:
-                yield b"".join(self._ids(x).tobytes() for x in blocks(t))
-            elif len(t) > _BLOCK:
-                yield b"".join(b"".join(self._joined([lowered(x).split()])) for x in blocks(t))
+            if any(x in t for x in _ODD_SPACE):
+                yield b"".join(self._ids(x) for x in blocks(t))
             else:
-                split.append(lowered(t).split())
-                total += len(t)
-        yield from self._joined(split)
-
-    def _joined(self, split: list[list[str]]) -> Iterator[bytes]:
-        """New words of this block are looked up among the old ones, then encoded.  When MAX_WORDS are kept they become
-        the old ones, of which only those that are met again are kept on."""
-        words, old = self.words, self.old
-        new = set().union(*split).difference(words)
-        again = new & old.keys()
-        words.update((w, old[w]) for w in again)
-        fresh = self._learn(new - again)
-        words.update(fresh)
-        get = words.__getitem__
-        for x in split:
-            yield b"".join(map(get, x))
-        for w in fresh:
-            if len(w) > LONGEST:
-                words.pop(w, None)
-        if len(words) > MAX_WORDS:
-            self.old, self.words = words, {}
+                yield self._joined(t) if len(t) <= _BLOCK else b"".join(self._joined(x) for x in blocks(t))
+
+    def _joined(self, text: str) -> bytes:
+        """The ids of a text or a block of it.  When MAX_WORDS are kept they become the old ones, of which only those that
+        are met again are kept on."""
+        ids = b"".join(map(self.words.__getitem__, self._split(text)))
+        if len(self.words) > MAX_WORDS:
+            self.words.old, self.words = {}, _Kept(self.words, self._made)
+        return ids
 
 
 @lru_cache(1)

@@ -557,6 +557,41 @@ def test_encoder_over_random_batches():
         assert list(encoder.encode(batch)) == [plain[t] if t else b"" for t in batch]
 
 
+def equals_tokenizer(encoder, texts):
+    want = [np.array(encoder.tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    got = list(encoder.encode(texts))
+    assert [t for t, a, b in zip(texts, got, want, strict=True) if a != b] == []
+
+
+def test_a_words_ids_are_kept_once_whatever_mark_follows():
+    encoder = packing.Encoder(packing.tokenizer_path())
+    equals_tokenizer(encoder, ["Onal, onal. onal; onal: onal! onal? onal", "Élève. élève,"])
+    assert set(encoder.words) == {"onal", "élève", *".,;:!?"}
+
+
+def test_marks_of_the_vocabulary_are_told_by_case():
+    encoder = packing.Encoder(packing.tokenizer_path())
+    equals_tokenizer(encoder, ["<|ENDOFTEXT|>", "a <|EndOfText|>. B", "<|endoftext|> A<|ENDOFTEXT|>b Ç", "x " * packing._BLOCK + "<|STARTOFTEXT|>", "Ж <|ENDOFTEXT|>, A"])
+
+
+def test_every_latin_character_and_run_of_marks():
+    import random
+
+    rng, encoder = random.Random(8), packing.Encoder(packing.tokenizer_path())
+    latin = [chr(c) for c in range(0x250)]
+    equals_tokenizer(encoder, [x for c in latin for x in (c, f"a{c}b", f"1{c}.2", f"{c}, A.{c}", f"'{c}'s", f"{c}{c}!")])
+    marks = [*".,;:!?'\"()-_$<|>", "...", "'s", "'LL", "a", "Be", "é", "Ñ", "7", "²", "ª", " ", "\n", "\x85", "\xa0", "\x7f", "İ", "ĳ", "\u0307", "e\u0301", "ж"]
+    equals_tokenizer(encoder, ["".join(rng.choice(marks[: rng.choice((12, len(marks) - 4, len(marks)))]) for _ in range(rng.randint(1, 30))) for _ in range(5000)])
+
+
+def test_kept_words_are_bounded_and_met_again(monkeypatch):
+    monkeypatch.setattr(packing, "MAX_WORDS", 20)
+    encoder = packing.Encoder(packing.tokenizer_path())
+    equals_tokenizer(encoder, [f"word{chr(97 + i % 26)}{chr(97 + i % 7)} the, thing. {'long' * 20}" for i in range(300)])
+    assert len(encoder.words) + len(encoder.words.old) <= 60 and encoder.words.old.old == {}
+    assert not any(len(w) > packing.LONGEST for w in {*encoder.words, *encoder.words.old})
+
+
 def test_pack_keeps_each_documents_ids(spark):
     rows = [(1, ""), (2, "a\x1cb c"), (3, None), (4, "d\x1fe f g")]
     got = {r["doc_id"]: r["length"] for r in packing.pack(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), packing.tokenizer_path(), 2048).collect()}
